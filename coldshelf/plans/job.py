@@ -197,7 +197,7 @@ def _split(
         # only one side is needed
         wanted = "keep" if spec.purge else "archive"
         path = f"{root}/{SIDE}={wanted}"
-        tagged.where(F.col(SIDE) == wanted).drop(SIDE).write.mode("overwrite").parquet(path)
+        tagged.where(F.col(SIDE) == wanted).drop(SIDE).write.parquet(path)
         rows = spark.read.schema(source.schema).parquet(path)
         count = rows.count()
         total = seen.get["n_rows"]
@@ -205,7 +205,7 @@ def _split(
         counters.add_rows("delete" if spec.purge else "copy", total - count if spec.purge else count)
         return (None if spec.purge else rows), root
 
-    tagged.write.mode("overwrite").partitionBy(SIDE).parquet(root)
+    tagged.write.partitionBy(SIDE).parquet(root)
     for leaf in ("archive", "keep"):  # a side without rows still gets its folder
         path = f"{root}/{SIDE}={leaf}"
         spark.createDataFrame([], source.schema).write.mode("append").parquet(path)
