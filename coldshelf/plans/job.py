@@ -50,8 +50,10 @@ class Counters:
             entry[0] += 1
             entry[2] += int((time.monotonic() - started) * 1000)
 
-    def add_rows(self, action: str, rows: int) -> None:
-        self.entries.setdefault(action, [0, 0, 0])[1] += rows
+    def add_rows(self, action: str, rows: int, calls: int = 0) -> None:
+        entry = self.entries.setdefault(action, [0, 0, 0])
+        entry[0] += calls
+        entry[1] += rows
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [(name, *entry) for name, entry in self.entries.items()]
@@ -202,7 +204,8 @@ def _split(
         count = rows.count()
         total = seen.get["n_rows"]
         counters.add_rows("select", total)
-        counters.add_rows("delete" if spec.purge else "copy", total - count if spec.purge else count)
+        if spec.purge:
+            counters.add_rows("delete", total - count, calls=1)
         return (None if spec.purge else rows), root
 
     tagged.write.partitionBy(SIDE).parquet(root)
@@ -215,7 +218,7 @@ def _split(
         if sum(w[figure] for w in written.values()) != (seen.get[figure] or 0):
             raise RuntimeError(f"archived and kept rows do not add up to the source ({figure})")
     counters.add_rows("select", seen.get["n_rows"])
-    counters.add_rows("delete", written["archive"]["n_rows"])
+    counters.add_rows("delete", written["archive"]["n_rows"], calls=1)
     return sides["archive"], root
 
 
