@@ -51,7 +51,7 @@ def group_serialize(
     by: Sequence[str],
     col: str,
     order: Sequence[str],
-    max_items: int = 100_000,
+    max_items: int = 10_000,
 ) -> DataFrame:
     """Each group's values in order as escaped lists: ``(*by, part, n_items, items)``.
 

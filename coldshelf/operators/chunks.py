@@ -55,12 +55,12 @@ def stage_in_order(
 ) -> tuple[DataFrame, int]:
     """``df`` plus ``_start``: how many rows (or how much weight) precede each row.
 
-    Returns the staged table and the total.  ``order`` must tell all rows apart.
+    Returns the staged table and the total.  ``order`` must tell all rows apart.  Unless
+    ``partitions`` is given, adaptive execution joins neighbouring small ranges.
     """
-    count = partitions or shuffle_partitions(df)
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order)
     ordered = (
-        df.repartitionByRange(count, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
     if weight is not None:

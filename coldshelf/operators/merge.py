@@ -35,10 +35,11 @@ def purge_orphans(child: DataFrame, parent: DataFrame, on: JoinKeys) -> tuple[Da
     with NOT EXISTS, a NULL key has no parent and makes the row an orphan.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
+    orphans = _without(child, parent, list(pairs), list(pairs.values()))
     present = parent.where(~_null_in(list(pairs.values())))
     keys, names = _renamed_keys(present, list(pairs.values()))
     match = reduce(Column.__and__, [F.col(c) == F.col(n) for c, n in zip(pairs, names)])
-    return child.join(keys, match, "left_anti"), child.join(keys, match, "left_semi")
+    return orphans, child.join(keys, match, "left_semi")
 
 
 def delete_rows(
@@ -86,11 +87,18 @@ def _key_lists(keys: Sequence[str] | Sequence[Sequence[str]]) -> list[list[str]]
     return [list(keys)] if isinstance(keys[0], str) else [list(k) for k in keys]
 
 
-def _without(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``other``; a NULL in the key never conflicts."""
-    named, names = _renamed_keys(other.where(~_null_in(keys)), keys)
+def _without(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], other_keys: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``other``; a key with a NULL never is.
+
+    Rows with a NULL in the key skip the join: they would all meet in one task.
+    """
+    there = list(other_keys or keys)
+    named, names = _renamed_keys(other.where(~_null_in(there)), there)
     match = reduce(Column.__and__, [F.col(c) == F.col(n) for c, n in zip(keys, names)])
-    return df.join(named, match, "left_anti")
+    unmatched = df.where(~_null_in(keys)).join(named, match, "left_anti")
+    return unmatched.union(df.where(_null_in(keys)))
 
 
 def _settle(

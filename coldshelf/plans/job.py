@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from coldshelf.operators.chunks import chunk_manifest
 from coldshelf.operators.compact import compact
-from coldshelf.operators.compare import fingerprint, row_hash
+from coldshelf.operators.compare import row_hash
 from coldshelf.operators.integrity import check_columns, schema_catalog
 from coldshelf.operators.merge import common_columns, delete_rows_exact, new_rows, replace_into
 from coldshelf.operators.predicates import archive_select, is_match
@@ -209,17 +209,19 @@ def _split(
         return (None if spec.purge else rows), root
 
     tagged.write.partitionBy(SIDE).parquet(root)
-    for leaf in ("archive", "keep"):  # a side without rows still gets its folder
-        path = f"{root}/{SIDE}={leaf}"
-        spark.createDataFrame([], source.schema).write.mode("append").parquet(path)
-    sides = {leaf: spark.read.schema(source.schema).parquet(f"{root}/{SIDE}={leaf}") for leaf in ("archive", "keep")}
-    written = {leaf: fingerprint(rows).collect()[0] for leaf, rows in sides.items()}
+    both = spark.read.schema(tagged.schema).parquet(root)
+    written = {row[SIDE]: row for row in both.groupBy(SIDE).agg(*sums).collect()}
     for figure in ("n_rows", "checksum", "checksum2"):
         if sum(w[figure] for w in written.values()) != (seen.get[figure] or 0):
             raise RuntimeError(f"archived and kept rows do not add up to the source ({figure})")
+    for side in ("archive", "keep"):
+        if side not in written:  # a side without rows still gets its folder
+            empty = spark.createDataFrame([], source.schema)
+            empty.write.parquet(f"{root}/{SIDE}={side}")
+    deleted = written["archive"]["n_rows"] if "archive" in written else 0
     counters.add_rows("select", seen.get["n_rows"])
-    counters.add_rows("delete", written["archive"]["n_rows"], calls=1)
-    return sides["archive"], root
+    counters.add_rows("delete", deleted, calls=1)
+    return spark.read.schema(source.schema).parquet(f"{root}/{SIDE}=archive"), root
 
 
 def _return_spared(archived: DataFrame, root: str, spec: ArchiveSpec, counters: Counters) -> None:
@@ -245,7 +247,7 @@ def _insert(
     if spec.bulk_insert:
         path = new_path(spark, "bulk")
         export_dump(rows, path)
-        rows = import_dump(spark, path, rows.schema)
+        rows = stage(import_dump(spark, path, rows.schema), "bulk")
     target = spec.dest
     if dest is not None:
         rows = rows.select(*common_columns(dest, rows.columns))

@@ -123,62 +123,66 @@ def export_csv(
     _write(csv_lines(df, cols), path, line if header else None, mode, rows_per_file)
 
 
-def _join_continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _join_continued():
     """Join lines that end in an escaped line feed, within each piece of a file.
 
     The first record of a piece may continue the piece before it, and its last one may go
     on in the next; these two come out as fragments (``place`` 0 and 1), all others as
-    whole records (``place`` NULL).
+    whole records (``place`` NULL).  Lines without any such neighbour pass in bulk.
     """
-    names = ["file", "start", "place", "open", "value"]
-    piece = None
-    pending: list[str] = []
-    place = 0
-
-    def rows(found):
-        columns = zip(*found)
-        types = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), t) for c, t in zip(columns, types)], names=names
-        )
-
-    was_open = False
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        file, start, is_open, _ = batch.columns
-        opens = is_open.to_numpy(zero_copy_only=False)
-        starts = start.to_numpy()
-        # dictionary codes: comparing them finds where the next piece begins
-        files = file.dictionary_encode().indices.to_numpy()
-        begins = np.ones(len(opens), dtype=bool)
-        begins[1:] = (starts[1:] != starts[:-1]) | (files[1:] != files[:-1])
-        begins[0] = (file[0].as_py(), start[0].as_py()) != piece
-        follows = np.concatenate([[was_open], opens[:-1]])
-        joins = opens | follows | begins
-        was_open = bool(opens[-1])
-
-        whole = batch.filter(pa.array(~joins))
-        if whole.num_rows:
-            yield pa.RecordBatch.from_arrays(
-                [whole.column(0), whole.column(1), pa.nulls(whole.num_rows, pa.int32()), *whole.columns[2:]],
-                names=names,
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["file", "start", "place", "open", "value"]
+        piece = None
+        pending: list[str] = []
+        place = 0
+
+        def rows(found):
+            columns = zip(*found)
+            types = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, types)], names=names
             )
-        found = []
-        touched = batch.filter(pa.array(joins))
-        for f, s, o, value in zip(*(c.to_pylist() for c in touched.columns)):
-            if (f, s) != piece:
-                if pending:
-                    found.append((*piece, place, True, "\n".join(pending)))
-                piece, pending, place = (f, s), [], 0
-            pending.append(value)
-            if not o:
-                found.append((*piece, 0 if place == 0 else None, False, "\n".join(pending)))
-                pending, place = [], 1
-        if found:
-            yield rows(found)
-    if pending:
-        yield rows([(*piece, place, True, "\n".join(pending))])
+
+        was_open = False
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            file, start, is_open, _ = batch.columns
+            opens = is_open.to_numpy(zero_copy_only=False)
+            starts = start.to_numpy()
+            # dictionary codes: comparing them finds where the next piece begins
+            files = file.dictionary_encode().indices.to_numpy()
+            begins = np.ones(len(opens), dtype=bool)
+            begins[1:] = (starts[1:] != starts[:-1]) | (files[1:] != files[:-1])
+            begins[0] = (file[0].as_py(), start[0].as_py()) != piece
+            follows = np.concatenate([[was_open], opens[:-1]])
+            joins = opens | follows | begins
+            was_open = bool(opens[-1])
+
+            whole = batch.filter(pa.array(~joins))
+            if whole.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [whole.column(0), whole.column(1), pa.nulls(whole.num_rows, pa.int32()), *whole.columns[2:]],
+                    names=names,
+                )
+            found = []
+            touched = batch.filter(pa.array(joins))
+            for f, s, o, value in zip(*(c.to_pylist() for c in touched.columns)):
+                if (f, s) != piece:
+                    if pending:
+                        found.append((*piece, place, True, "\n".join(pending)))
+                    piece, pending, place = (f, s), [], 0
+                pending.append(value)
+                if not o:
+                    found.append((*piece, 0 if place == 0 else None, False, "\n".join(pending)))
+                    pending, place = [], 1
+            if found:
+                yield rows(found)
+        if pending:
+            yield rows([(*piece, place, True, "\n".join(pending))])
+
+    return join
 
 
 def read_records(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
@@ -195,7 +199,7 @@ def read_records(spark: SparkSession, path: str, header: bool = False) -> DataFr
         F.col("_metadata.file_block_start").alias("start"),
         (slashes % 2 == 1).alias("open"),
         "value",
-    ).mapInArrow(_join_continued, "file string, start bigint, place int, open boolean, value string")
+    ).mapInArrow(_join_continued(), "file string, start bigint, place int, open boolean, value string")
     pieces = stage(pieces, "records")
 
     in_file = W.partitionBy("file").orderBy("start", "place")

@@ -82,11 +82,11 @@ def archive_files(spark, sf):
 
 @suite.add(
     "archive_files_written",
-    """SELECT event_id, event_type, strftime(ts, '%Y%m%d-%H.') || 'events' AS archive_file FROM events""",
+    """SELECT event_id, event_type, strftime(ts, '%Y%m%d.') || 'events' AS archive_file FROM events""",
 )
 def archive_files_written(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "ts")
-    routed = templates.archive_by_template(events, "ts", "%Y%m%d-%H.%t", table="events").drop("ts")
+    routed = templates.archive_by_template(events, "ts", "%Y%m%d.%t", table="events").drop("ts")
     path = new_path(spark, "template")
     templates.write_by_template(routed, path)
     return spark.read.schema(routed.schema).parquet(path)
