@@ -66,10 +66,11 @@ def _first_error(items: Column, check) -> Column:
 
 
 def dsn_audit(df: DataFrame, col: str) -> DataFrame:
-    """Add ``dsn`` (the parsed parts), ``error``, ``uri`` and ``jdbc_url``.
+    """Replace the text by ``dsn`` (its parts), ``error``, ``uri`` and ``jdbc_url``.
 
     The first faulty item decides the error, and the parts are NULL then.  Of a repeated
-    key the last item counts.  Passwords are masked.
+    key the last item counts.  Passwords are masked; the text itself, which may hold one,
+    is not part of the result.
     """
     parsed = df.withColumn("_items", _items(F.col(col)))
 
@@ -100,7 +101,7 @@ def dsn_audit(df: DataFrame, col: str) -> DataFrame:
         F.coalesce(value("x"), F.lit("parseTime=true")).alias("extra"),
     )
     audited = parsed.withColumn("error", error).withColumn("dsn", F.when(F.col("error").isNull(), parts))
-    return audited.withColumn("uri", _uri(F.col("dsn"))).withColumn("jdbc_url", _jdbc(F.col("dsn"))).drop("_items")
+    return audited.withColumn("uri", _uri(F.col("dsn"))).withColumn("jdbc_url", _jdbc(F.col("dsn"))).drop("_items", col)
 
 
 def _uri(dsn: Column) -> Column:

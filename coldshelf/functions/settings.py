@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coldshelf.functions.columns import bind
+
 _MARK = "\u0001"
 
 
@@ -16,17 +18,23 @@ def split_settings(text: Column) -> Column:
     the text's length.  One empty item at either end is dropped, inner ones stay.
     """
     safe = F.replace(text, F.lit(_MARK), F.lit(_MARK + "A"))
-    pieces = F.split(safe, '"', -1)
-    cut = F.transform(
-        pieces,
-        lambda piece, i: F.when(
-            (F.size(pieces) - 1 - i) % 2 == 0, F.replace(piece, F.lit(","), F.lit(_MARK + "B"))
-        ).otherwise(piece),
-    )
+    cut = bind(F.split(safe, '"', -1), _mark_separators)
     items = F.transform(
         F.split(F.array_join(cut, '"'), _MARK + "B", -1),
         lambda item: F.replace(item, F.lit(_MARK + "A"), F.lit(_MARK)),
     )
+    return bind(items, _drop_empty_ends)
+
+
+def _mark_separators(pieces: Column) -> Column:
+    marked = lambda piece: F.replace(piece, F.lit(","), F.lit(_MARK + "B"))
+    return F.transform(
+        pieces,
+        lambda piece, i: F.when((F.size(pieces) - 1 - i) % 2 == 0, marked(piece)).otherwise(piece),
+    )
+
+
+def _drop_empty_ends(items: Column) -> Column:
     first = F.when(F.get(items, F.lit(0)) == "", 2).otherwise(1)
     trailing = (F.size(items) > 1) & (F.element_at(items, -1) == "")
     count = F.size(items) - F.when(trailing, 1).otherwise(0) - first + 1

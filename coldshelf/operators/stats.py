@@ -132,6 +132,16 @@ def below_latest(df: DataFrame, autoinc_col: str) -> Column:
     return F.col(autoinc_col) < largest
 
 
+def _micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970; a time without zone is taken as it is, not by session zone."""
+    if not isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return F.unix_micros(F.col(ts).cast("timestamp"))
+    since = F.col(ts) - F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    part = lambda unit: F.extract(F.lit(unit), since)
+    minutes = (part("DAY").cast("long") * 24 + part("HOUR")) * 60 + part("MINUTE")
+    return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("long")
+
+
 def counter_deltas(
     df: DataFrame,
     by: Sequence[str],
@@ -145,8 +155,7 @@ def counter_deltas(
     Samples of one device are cut into time spans, so a device with very many samples is
     spread over tasks; the last sample of each span is carried to the first of the next.
     """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    spans = df.withColumn("_us", micros).withColumn("_span", F.expr(f"_us DIV {span_seconds * 1000000}"))
+    spans = df.withColumn("_us", _micros(df, ts)).withColumn("_span", F.expr(f"_us DIV {span_seconds * 1000000}"))
     sample = F.struct("_us", *counters)
 
     tails = spans.groupBy(*by, "_span").agg(F.max(sample).alias("_tail"))

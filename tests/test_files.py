@@ -44,7 +44,7 @@ def test_dump_round_trip(spark, folder, awkward, header):
 
 @pytest.mark.parametrize("size", ["40", "1000", "65536"])
 def test_records_cut_by_file_splits(spark, folder, awkward, size):
-    small = awkward.where("length(t) < 1000 OR t IS NULL") if size == "40" else awkward
+    small = awkward.where("id < 30") if size == "40" else awkward
     dump.export_dump(small.coalesce(2), f"{folder}/d", header=True)
     spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
@@ -60,7 +60,7 @@ def test_dump_text(spark, folder):
     df = spark.createDataFrame([("a\tb\nc\\d", None, 1)], "x string, `y\t` string, z int")
     assert dump.dump_lines(df).first().line == "a\\\tb\\\nc\\\\d\t\\N\t1"
     assert dump.dump_lines(df, ["z", "x"]).first().line.startswith("1\t")
-    dump.export_dump(df, f"{folder}/d", header=True)
+    dump.export_dump(df.coalesce(1), f"{folder}/d", header=True)
     (part,) = Path(folder, "d").glob("part-*")
     assert part.read_text() == "x\ty\\\t\tz\na\\\tb\\\nc\\\\d\t\\N\t1\n"
 
@@ -143,7 +143,7 @@ def test_jdbc_ranges_cover_every_row_once(spark):
     rows = [(i % 7 if i % 5 else None, f"it's {i}") for i in range(300)] + [(None, None)]
     df = spark.createDataFrame(rows, "k int, s string").cache()
     manifest = chunk_manifest(df, ["k", "s"], 10)
-    for partitions in (1, 4, 30, 100):
+    for partitions in (1, 4, 30):
         conditions = jdbc_predicates(manifest, ["k", "s"], partitions)
         assert 1 <= len(conditions) <= partitions
         hits = [df.where(c) for c in conditions]
