@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from coldshelf.operators.compare import row_hash
+from coldshelf.plans.staging import stage
 
 
 def _stored_length(field: T.StructField) -> Column:
@@ -147,30 +148,28 @@ def counter_deltas(
     by: Sequence[str],
     ts: str,
     counters: Sequence[str],
-    span_seconds: int = 86400,
+    max_group: int = 1_000_000,
 ) -> DataFrame:
     """Difference and rate per second of counters against the device's previous sample.
 
     The first sample of a device and a counter that went backwards (a reset) give NULL.
-    Samples of one device are cut into time spans, so a device with very many samples is
-    spread over tasks; the last sample of each span is carried to the first of the next.
+    A device with more than ``max_group`` samples is cut into time spans of about that
+    many, and the last sample of each span is carried to the first of the next.
     """
-    spans = df.withColumn("_us", _micros(df, ts)).withColumn("_span", F.expr(f"_us DIV {span_seconds * 1000000}"))
+    timed = df.withColumn("_us", _micros(df, ts))
     sample = F.struct("_us", *counters)
-
-    tails = spans.groupBy(*by, "_span").agg(F.max(sample).alias("_tail"))
-    carried = tails.select(
-        *by,
-        "_span",
-        F.lag("_tail").over(W.partitionBy(*by).orderBy("_span")).alias("_carried"),
+    hot = stage(
+        timed.groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_from"), F.max("_us").alias("_to"))
+        .where(F.col("_n") > max_group),
+        "hot",
     )
-    within = W.partitionBy(*by, "_span").orderBy("_us", *counters)
-    joined = spans.withColumn("_prev", F.lag(sample).over(within)).alias("s").join(
-        carried.alias("c"),
-        [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*by, "_span"]],
-        "left",
-    )
-    rows = joined.select("s.*", "c._carried").withColumn("_prev", F.coalesce("_prev", "_carried"))
+    if hot.isEmpty():
+        window = W.partitionBy(*by).orderBy("_us", *counters)
+        rows = timed.withColumn("_prev", F.lag(sample).over(window))
+    else:
+        rows = _carried_samples(timed, hot, by, counters, max_group)
+
     seconds = (F.col("_us") - F.col("_prev._us")) / F.lit(1e6)
     out = [F.col(c) for c in df.columns]
     for c in counters:
@@ -181,3 +180,37 @@ def counter_deltas(
             F.when(seconds > 0, delta / seconds).alias(f"{c}_rate"),
         ]
     return rows.select(*out)
+
+
+def _carried_samples(
+    timed: DataFrame, hot: DataFrame, by: Sequence[str], counters: Sequence[str], max_group: int
+) -> DataFrame:
+    """``timed`` with the previous sample as ``_prev``, hot devices cut into spans."""
+    sample = F.struct("_us", *counters)
+    names = [f"_d{i}" for i in range(len(by))]
+    width = F.greatest(F.expr(f"(_to - _from) DIV greatest(1, _n DIV {int(max_group)})"), F.lit(1))
+    devices = hot.select(
+        *[F.col(c).alias(n) for c, n in zip(by, names)], "_from", width.alias("_width")
+    )
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)])
+    # at most one row per max_group samples; broadcast only while that is few
+    few = hot.count() <= 100_000
+    spans = (
+        timed.join(F.broadcast(devices) if few else devices, same, "left")
+        .withColumn("_span", F.expr("(_us - _from) DIV _width"))
+        .drop(*names, "_from", "_width")
+    )
+    window = W.partitionBy(*by, "_span").orderBy("_us", *counters)
+    rows = spans.withColumn("_prev", F.lag(sample).over(window))
+
+    tails = spans.where("_span IS NOT NULL").groupBy(*by, "_span").agg(F.max(sample).alias("_tail"))
+    carried = tails.select(
+        *[F.col(c).alias(n) for c, n in zip(by, names)],
+        F.col("_span").alias("_for"),
+        F.lag("_tail").over(W.partitionBy(*by).orderBy("_span")).alias("_carried"),
+    )
+    return (
+        rows.join(carried, same & (F.col("_span") == F.col("_for")), "left")
+        .withColumn("_prev", F.coalesce("_prev", "_carried"))
+        .drop(*names, "_for", "_carried", "_span")
+    )

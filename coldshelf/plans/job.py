@@ -26,7 +26,7 @@ from coldshelf.operators.merge import common_columns, delete_rows_exact, new_row
 from coldshelf.operators.predicates import archive_select, is_match
 from coldshelf.operators.stats import analyze_columns, analyze_table, below_latest
 from coldshelf.plans.spec import ArchiveSpec
-from coldshelf.plans.staging import drop_path, new_path, stage
+from coldshelf.plans.staging import Scratch, drop_path, new_path
 from coldshelf.sources.dump import csv_line, dump_line, export_csv, export_dump, import_dump
 from coldshelf.sources.endpoints import SourceSpec, jdbc_options, read_source
 from coldshelf.sources.templates import archive_name, render_name
@@ -104,7 +104,15 @@ def planned_steps(spec: ArchiveSpec) -> list[str]:
 
 
 def run_archive(spark: SparkSession, spec: ArchiveSpec) -> ArchiveResult:
-    spec = spec.validated()
+    """Run a job, or with ``dry_run`` say what it would do."""
+    scratch = Scratch(spark)
+    try:
+        return _run(spark, spec.validated(), scratch)
+    finally:
+        scratch.clear()
+
+
+def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveResult:
     source = read_source(spark, spec.source)
     result = ArchiveResult(planned_steps(spec))
     match = archive_match(source, spec)
@@ -118,7 +126,7 @@ def run_archive(spark: SparkSession, spec: ArchiveSpec) -> ArchiveResult:
 
     counters = Counters()
     with counters.timed("select"):
-        archived, root = _split(source, match, spec, counters)
+        archived, root = _split(source, match, spec, counters, scratch)
     if archived is not None:
         if spec.keys:
             result.manifest = chunk_manifest(
@@ -126,15 +134,15 @@ def run_archive(spark: SparkSession, spec: ArchiveSpec) -> ArchiveResult:
             )
         rows = _outgoing(archived, spec)
         if spec.hooks.before_insert:
-            rows = stage(rows.transform(spec.hooks.before_insert), "hooked")
+            rows = scratch.stage(rows.transform(spec.hooks.before_insert), "hooked")
         if spec.dest:
             with counters.timed("insert"):
-                result.dest_path = _insert(spark, rows, dest, spec, counters)
+                result.dest_path = _insert(rows, dest, spec, counters, scratch)
         if spec.file:
             with counters.timed("file"):
                 result.files_path = _write_files(rows, spec)
             counters.add_rows("file", rows.count())
-        _return_spared(archived, root, spec, counters)
+        _return_spared(archived, root, spec, counters, scratch)
     if not spec.no_delete:
         result.kept_path = f"{root}/{SIDE}=keep"
         if archived is not None:
@@ -180,74 +188,80 @@ def _require_same_columns(spark: SparkSession, a: DataFrame, b: DataFrame) -> No
         raise ValueError(f"source and destination columns differ: {listed}")
 
 
+def _figures(name: str) -> list[Column]:
+    """Number of rows and checksums of one side, as columns ``<figure>_<name>``."""
+    here = F.col(SIDE) == name
+    return [
+        F.count_if(here).alias(f"n_rows_{name}"),
+        F.sum(F.when(here, F.col("_h1"))).alias(f"checksum_{name}"),
+        F.sum(F.when(here, F.col("_h2"))).alias(f"checksum2_{name}"),
+    ]
+
+
 def _split(
-    source: DataFrame, match: Column, spec: ArchiveSpec, counters: Counters
+    source: DataFrame, match: Column, spec: ArchiveSpec, counters: Counters, scratch: Scratch
 ) -> tuple[DataFrame | None, str]:
-    """Write both sides in one pass and check them against what was read."""
+    """Write the sides that are needed in one pass, and check the files against the rows
+    that were read.  Returns the archived rows, if kept at all, and the folder."""
     spark = source.sparkSession
     columns = source.columns
+    wanted = ["keep"] if spec.purge else ["archive"] if spec.no_delete else ["archive", "keep"]
+    root = scratch.path("archive") if spec.no_delete else spec.kept_path.rstrip("/")
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"_h1": row_hash(columns, 1), "_h2": row_hash(columns, 2)})
+
     seen = Observation()
-    sums = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(row_hash(columns, 1)).alias("checksum"),
-        F.sum(row_hash(columns, 2)).alias("checksum2"),
-    ]
-    side = F.when(match, "archive").otherwise("keep")
-    tagged = source.observe(seen, *sums).withColumn(SIDE, side)
-    root = spec.kept_path.rstrip("/") if spec.kept_path and not spec.no_delete else new_path(spark, "archive")
-    if spec.purge or spec.no_delete:
-        # only one side is needed
-        wanted = "keep" if spec.purge else "archive"
-        path = f"{root}/{SIDE}={wanted}"
-        tagged.where(F.col(SIDE) == wanted).drop(SIDE).write.parquet(path)
-        rows = spark.read.schema(source.schema).parquet(path)
-        count = rows.count()
-        total = seen.get["n_rows"]
-        counters.add_rows("select", total)
-        if spec.purge:
-            counters.add_rows("delete", total - count, calls=1)
-        return (None if spec.purge else rows), root
-
-    tagged.write.partitionBy(SIDE).parquet(root)
-    both = spark.read.schema(tagged.schema).parquet(root)
-    written = {row[SIDE]: row for row in both.groupBy(SIDE).agg(*sums).collect()}
-    for figure in ("n_rows", "checksum", "checksum2"):
-        if sum(w[figure] for w in written.values()) != (seen.get[figure] or 0):
-            raise RuntimeError(f"archived and kept rows do not add up to the source ({figure})")
-    for side in ("archive", "keep"):
-        if side not in written:  # a side without rows still gets its folder
-            empty = spark.createDataFrame([], source.schema)
-            empty.write.parquet(f"{root}/{SIDE}={side}")
-    deleted = written["archive"]["n_rows"] if "archive" in written else 0
-    counters.add_rows("select", seen.get["n_rows"])
-    counters.add_rows("delete", deleted, calls=1)
+    tagged = source.withColumn(SIDE, F.when(match, "archive").otherwise("keep"))
+    observed = hashed(tagged).observe(seen, *_figures("archive"), *_figures("keep")).drop("_h1", "_h2")
+    if len(wanted) == 1:
+        observed = observed.where(F.col(SIDE) == wanted[0])
+    observed.write.partitionBy(SIDE).parquet(root)
+
+    both = hashed(spark.read.schema(tagged.schema).parquet(root))
+    written = both.agg(*_figures("archive"), *_figures("keep")).first()
+    for name in wanted:
+        for figure in (f"n_rows_{name}", f"checksum_{name}", f"checksum2_{name}"):
+            if written[figure] != seen.get[figure]:
+                raise RuntimeError(f"the files written do not hold the rows read ({figure})")
+        if not written[f"n_rows_{name}"]:  # a side without rows still gets its folder
+            spark.createDataFrame([], source.schema).write.parquet(f"{root}/{SIDE}={name}")
+
+    archived = seen.get["n_rows_archive"]
+    counters.add_rows("select", archived + seen.get["n_rows_keep"])
+    if not spec.no_delete:
+        counters.add_rows("delete", archived, calls=1)
+    if spec.purge:
+        return None, root
     return spark.read.schema(source.schema).parquet(f"{root}/{SIDE}=archive"), root
 
 
-def _return_spared(archived: DataFrame, root: str, spec: ArchiveSpec, counters: Counters) -> None:
+def _return_spared(
+    archived: DataFrame, root: str, spec: ArchiveSpec, counters: Counters, scratch: Scratch
+) -> None:
     """Put back the rows that a before_delete hook took out of the set to delete."""
     hook = spec.hooks.before_delete
     if hook is None or spec.no_delete:
         return
-    chosen = stage(archived.transform(hook).select(*archived.columns), "chosen")
+    chosen = scratch.stage(archived.transform(hook).select(*archived.columns), "chosen")
     if not delete_rows_exact(chosen, archived).isEmpty():
         raise ValueError("a before_delete hook may only remove rows from the set")
-    spared = stage(delete_rows_exact(archived, chosen), "spared")
+    spared = scratch.stage(delete_rows_exact(archived, chosen), "spared")
     spared.write.mode("append").parquet(f"{root}/{SIDE}=keep")
     counters.add_rows("delete", -spared.count())
 
 
 def _insert(
-    spark: SparkSession,
     rows: DataFrame,
     dest: DataFrame | None,
     spec: ArchiveSpec,
     counters: Counters,
+    scratch: Scratch,
 ) -> str | None:
     if spec.bulk_insert:
-        path = new_path(spark, "bulk")
+        path = scratch.path("bulk")
         export_dump(rows, path)
-        rows = stage(import_dump(spark, path, rows.schema), "bulk")
+        rows = scratch.stage(import_dump(scratch.spark, path, rows.schema), "loaded")
     target = spec.dest
     if dest is not None:
         rows = rows.select(*common_columns(dest, rows.columns))
@@ -260,12 +274,12 @@ def _insert(
         if not target.path:
             raise ValueError("replace rewrites the destination and needs one given by path")
         merged = replace_into(dest, rows, list(spec.keys))
-        path = f"{target.path.rstrip('/')}.{new_path(spark, 'v').rsplit('-', 1)[-1]}"
+        path = f"{target.path.rstrip('/')}.{new_path(scratch.spark, "v").rsplit('-', 1)[-1]}"
         merged.write.format(target.format).save(path)
         counters.add_rows("insert", rows.count())
         return path
     if spec.keys and spec.unique_keys and dest is not None:
-        fresh = stage(new_rows(dest, rows, list(spec.keys)), "fresh")
+        fresh = scratch.stage(new_rows(dest, rows, list(spec.keys)), "fresh")
         if not spec.ignore and fresh.count() != rows.count():
             raise ValueError("rows conflict with the destination's keys; use ignore or replace")
         rows = fresh

@@ -39,6 +39,27 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Staged tables of one job, removed together when it is over."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def path(self, label: str) -> str:
+        self.paths.append(new_path(self.spark, label))
+        return self.paths[-1]
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        path = self.path(label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this job wrote, on whatever file system it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

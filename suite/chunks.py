@@ -27,7 +27,7 @@ def archive_manifest(spark, sf):
     """The flagship: old orders, cut into chunks of 100 rows."""
     source = SourceSpec(database="shop", table="orders", path=f"{sf}/orders.parquet")
     old = archive_select(
-        read_source(spark, source), "o_orderdate < TIMESTAMP_NTZ '1997-01-01 00:00:00'"
+        read_source(spark, source), "o_orderdate < DATE '1997-01-01'"
     )
     return chunks.chunk_manifest(old, ["o_orderkey"], 100, unique=True).select(
         "chunk_id",
@@ -253,6 +253,21 @@ def counter_deltas(spark, sf):
     return stats.counter_deltas(samples, ["user_id", "event_type"], "ts", ["value"])
 
 
+@suite.add(
+    "counter_deltas_hot",
+    """WITH p AS (SELECT event_id, event_type, event_id * 7 % 1000 AS hits,
+                    lag(event_id * 7 % 1000) OVER w AS ph
+                  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts))
+       SELECT event_id, event_type, hits, CASE WHEN hits >= ph THEN hits - ph END AS hits_delta FROM p""",
+)
+def counter_deltas_hot(spark, sf):
+    """Few devices with many samples each, cut into spans."""
+    samples = table(spark, sf, "events").selectExpr(
+        "event_id", "event_type", "ts", "event_id * 7 % 1000 AS hits"
+    )
+    return stats.counter_deltas(samples, ["event_type"], "ts", ["hits"], max_group=300).drop("ts", "hits_rate")
+
+
 _FKS = [
     ForeignKey("customer_nation", "customer", ("c_nationkey",), "nation", ("n_nationkey",)),
     ForeignKey("supplier_nation", "supplier", ("s_nationkey",), "nation", ("n_nationkey",)),

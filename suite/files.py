@@ -109,7 +109,7 @@ def render_inserts(spark, sf):
     return statements.render_inserts(rows, ["shop", "cust`omer"], mode="REPLACE")
 
 
-_OLD = "o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00'"
+_OLD = "o_orderdate < DATE '1998-01-01'"
 
 
 def _orders_spec(spark, sf, **options) -> ArchiveSpec:
