@@ -25,7 +25,7 @@ def column_widths(lines: DataFrame, words: str = "_words") -> DataFrame:
 
 def _in_order(frame: DataFrame, value: str) -> Column:
     """The per-position values as one array, a scalar for the lines' plan."""
-    pairs = F.array_sort(F.collect_list(F.struct("pos", value)))
+    pairs = F.sort_array(F.collect_list(F.struct("pos", value)))
     return frame.agg(pairs.alias("p")).select(F.col("p")[value].alias("a")).scalar()
 
 

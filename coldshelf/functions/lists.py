@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldshelf.operators.chunks import multiply, stage_in_order
+from coldshelf.plans.staging import broadcast_if_few, stage
 
 
 
@@ -63,11 +64,11 @@ def group_serialize(
         *by, value.alias("_value"), F.struct(*[F.col(c) for c in order], value).alias("_order")
     )
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.where(F.col("_size") > max_items)
+    large = stage(sizes.where(F.col("_size") > max_items), "large")
     if large.isEmpty():
         return _collect(rows.withColumn("part", F.lit(0).cast("long")), by)
 
-    names = large.select(*[F.col(c).alias(f"_l{i}") for i, c in enumerate(by)])
+    names = broadcast_if_few(large.select(*[F.col(c).alias(f"_l{i}") for i, c in enumerate(by)]))
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_l{i}")) for i, c in enumerate(by)])
     small = rows.join(names, same, "left_anti").withColumn("part", F.lit(0).cast("long"))
 
@@ -77,18 +78,21 @@ def group_serialize(
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
     staged, _ = stage_in_order(folded, [*by, "_order"], "_copies")
-    begins = staged.groupBy(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)]).agg(
-        F.min("_start").alias("_begin")
+    begins = stage(
+        staged.groupBy(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)]).agg(
+            F.min("_start").alias("_begin")
+        ),
+        "begins",
     )
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(by)])
-    placed = staged.join(begins, same).withColumn("_at", F.col("_start") - F.col("_begin"))
+    placed = staged.join(broadcast_if_few(begins), same).withColumn("_at", F.col("_start") - F.col("_begin"))
     size = F.lit(max_items)
     spread = _split_copies(placed, size)
     parts = (
         spread.groupBy(*by, "part")
         .agg(
             F.sum("_n").alias("n_items"),
-            F.array_sort(F.collect_list(F.struct("_at", "_value", "_n"))).alias("_runs"),
+            F.sort_array(F.collect_list(F.struct("_at", "_value", "_n"))).alias("_runs"),
         )
         .withColumn(
             "_items",
@@ -110,7 +114,7 @@ def _split_copies(placed: DataFrame, size: Column) -> DataFrame:
 
 def _collect(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     collected = rows.groupBy(*by, "part").agg(
-        F.array_sort(F.collect_list(F.struct("_order", "_value"))).alias("_rows")
+        F.sort_array(F.collect_list(F.struct("_order", "_value"))).alias("_rows")
     )
     return collected.select(
         *by,

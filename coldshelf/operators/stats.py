@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from coldshelf.operators.compare import row_hash
-from coldshelf.plans.staging import stage
+from coldshelf.plans.staging import broadcast_if_few, stage
 
 
 def _stored_length(field: T.StructField) -> Column:
@@ -193,10 +193,8 @@ def _carried_samples(
         *[F.col(c).alias(n) for c, n in zip(by, names)], "_from", width.alias("_width")
     )
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)])
-    # at most one row per max_group samples; broadcast only while that is few
-    few = hot.count() <= 100_000
     spans = (
-        timed.join(F.broadcast(devices) if few else devices, same, "left")
+        timed.join(broadcast_if_few(devices), same, "left")
         .withColumn("_span", F.expr("(_us - _from) DIV _width"))
         .drop(*names, "_from", "_width")
     )

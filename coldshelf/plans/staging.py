@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -39,6 +40,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_FEW_ROWS = 100_000
+
+
+def broadcast_if_few(staged: DataFrame) -> DataFrame:
+    """Hint a broadcast of a staged table only if it holds few rows.
+
+    Used where the other side has hot keys, which a shuffle would bring together.
+    """
+    return F.broadcast(staged) if staged.count() <= _FEW_ROWS else staged
+
+
 class Scratch:
     """Staged tables of one job, removed together when it is over."""
 

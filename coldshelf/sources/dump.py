@@ -209,7 +209,7 @@ def read_records(spark: SparkSession, path: str, header: bool = False) -> DataFr
     joined = (
         fragments.withColumn("_record", F.sum("_new").over(in_file))
         .groupBy("file", "_record")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "place", "value"))).alias("_parts"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "place", "value"))).alias("_parts"))
         .withColumn("value", F.array_join("_parts.value", "\n"))
     )
     if header:
