@@ -1,8 +1,11 @@
 """Comparing two tables by key and chunk.
 
 Both sides are reduced to key, count and checksum before the one shuffle they share; the
-wide columns never leave their map task.  A row's checksum is a pair of 64-bit hashes,
-summed so that the order of rows does not matter and repeated rows count.
+wide columns never leave their map task.
+
+A row's checksum is a 64-bit hash, cut into three pieces of 21 bits that are summed as
+plain integers: the order of rows does not matter, repeated rows count, and up to 2^41
+rows add up without overflow.  Verdicts rest on two such hashes.
 """
 
 from __future__ import annotations
@@ -14,40 +17,48 @@ from pyspark.sql import functions as F
 
 from coldshelf.operators.chunks import stage_in_order
 
+_BITS = 21
+PIECES = range(3)
+
 
-def row_hash(columns: Sequence[str], seed: int) -> Column:
-    """64-bit hash of a row; a NULL hashes differently at each position."""
+def row_pieces(columns: Sequence[str], seed: int = 1) -> list[Column]:
+    """The pieces of a row's hash; a NULL hashes differently at each position."""
     parts = [part for c in columns for part in (F.col(c).isNull(), F.col(c))]
-    return F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)")
+    hashed = F.xxhash64(F.lit(seed), *parts)
+    mask = F.lit((1 << _BITS) - 1)
+    return [F.shiftrightunsigned(hashed, _BITS * i).bitwiseAND(mask) for i in PIECES]
+
+
+def joined_pieces(sums: Sequence[Column]) -> Column:
+    """One number from the sums of the pieces."""
+    wide = [s.cast("decimal(20,0)") * F.lit(1 << (_BITS * i)) for i, s in enumerate(sums)]
+    return sum(wide[1:], wide[0]).cast("decimal(38,0)")
 
 
 def _by_key(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key and side the rows (``rows_*``) and sums of the first hash (``_a*``,
+    ``_b*``), and the difference between the sides' sums of the second one (``_d*``)."""
     columns = a.columns
     if set(columns) != set(b.columns):
         raise ValueError("both sides need the same columns")
 
     def reduced(df: DataFrame, in_a: int) -> DataFrame:
+        first, second = row_pieces(columns, 1), row_pieces(columns, 2)
         return df.select(
             *keys,
-            F.lit(in_a).cast("long").alias("_in_a"),
-            row_hash(columns, 1).alias("_h1"),
-            row_hash(columns, 2).alias("_h2"),
+            F.lit(in_a).cast("long").alias("rows_a"),
+            F.lit(1 - in_a).cast("long").alias("rows_b"),
+            *[(p * in_a).alias(f"_a{i}") for i, p in enumerate(first)],
+            *[(p * (1 - in_a)).alias(f"_b{i}") for i, p in enumerate(first)],
+            *[(p * (2 * in_a - 1)).alias(f"_d{i}") for i, p in enumerate(second)],
         )
 
     both = reduced(a, 1).unionByName(reduced(b, 0))
-    in_a = F.col("_in_a") == 1
-    zero = F.lit(0).cast("decimal(30,0)")
-    sums = [
-        F.coalesce(F.sum(F.when(side, F.col(h))), zero).alias(f"{h}{name}")
-        for h in ("_h1", "_h2")
-        for side, name in ((in_a, "a"), (~in_a, "b"))
-    ]
-    return both.groupBy(*keys).agg(
-        F.sum("_in_a").alias("rows_a"), F.sum(1 - F.col("_in_a")).alias("rows_b"), *sums
-    )
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
-_EQUAL = "rows_a = rows_b AND _h1a = _h1b AND _h2a = _h2b"
+_SUMS = ["rows_a", "rows_b", *(f"_{side}{i}" for side in "abd" for i in PIECES)]
+_EQUAL = " AND ".join(["rows_a = rows_b", *(f"_a{i} = _b{i} AND _d{i} = 0" for i in PIECES)])
 
 
 def compare_rows(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,19 +86,18 @@ def compare_chunks(
     """
     staged, total = stage_in_order(_by_key(a, b, keys), keys, "rows_a", partitions)
     chunk = F.expr(f"greatest(least(_start, {total - 1}L), 0L) DIV {int(chunk_rows)}")
-    sums = ["rows_a", "rows_b", "_h1a", "_h1b", "_h2a", "_h2b"]
     return (
         staged.groupBy(chunk.alias("chunk_id"))
         .agg(
-            *[F.sum(c).alias(c) for c in sums],
+            *[F.sum(c).alias(c) for c in _SUMS],
             F.sum(F.when(F.expr(_EQUAL), 0).otherwise(1)).alias("differing_keys"),
         )
         .select(
             "chunk_id",
             "rows_a",
             "rows_b",
-            F.col("_h1a").alias("checksum_a"),
-            F.col("_h1b").alias("checksum_b"),
+            joined_pieces([F.col(f"_a{i}") for i in PIECES]).alias("checksum_a"),
+            joined_pieces([F.col(f"_b{i}") for i in PIECES]).alias("checksum_b"),
             F.expr(f"CASE WHEN {_EQUAL} THEN 'same' ELSE 'different' END").alias("verdict"),
             "differing_keys",
         )
@@ -95,10 +105,13 @@ def compare_chunks(
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: number of rows and order-free checksums of a whole table."""
-    names = list(columns or df.columns)
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(row_hash(names, 1)), F.lit(0).cast("decimal(30,0)")).alias("checksum"),
-        F.coalesce(F.sum(row_hash(names, 2)), F.lit(0).cast("decimal(30,0)")).alias("checksum2"),
-    )
+    """One row: number of rows and order-free checksum of a whole table.
+
+    The checksums of a table's parts add up to that of the table.
+    """
+    pieces = row_pieces(list(columns or df.columns))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), checksum(pieces).alias("checksum"))
+
+
+def checksum(pieces: Sequence[Column]) -> Column:
+    return joined_pieces([F.coalesce(F.sum(p), F.lit(0).cast("long")) for p in pieces])

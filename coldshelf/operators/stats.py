@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from coldshelf.operators.compare import row_hash
+from coldshelf.operators.compare import checksum as checksum_of
+from coldshelf.operators.compare import row_pieces
 from coldshelf.plans.staging import broadcast_if_few, stage
 
 
@@ -49,7 +50,7 @@ def table_status(
         ((F.max(autoinc_col) + 1) if autoinc_col else none).cast("long").alias("auto_increment"),
         (F.min(update_col) if update_col else none.cast("timestamp_ntz")).alias("first_update"),
         (F.max(update_col) if update_col else none.cast("timestamp_ntz")).alias("last_update"),
-        (F.sum(row_hash(df.columns, 1)) if checksum else none.cast("decimal(30,0)")).alias("checksum"),
+        (checksum_of(row_pieces(df.columns)) if checksum else none.cast("decimal(38,0)")).alias("checksum"),
     )
     return totals.select(
         F.lit(name).alias("name"),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from coldshelf.operators.chunks import chunk_manifest
 from coldshelf.operators.compact import compact
-from coldshelf.operators.compare import row_hash
+from coldshelf.operators.compare import PIECES, row_pieces
 from coldshelf.operators.integrity import check_columns, schema_catalog
 from coldshelf.operators.merge import common_columns, delete_rows_exact, new_rows, replace_into
 from coldshelf.operators.predicates import archive_select, is_match
@@ -189,13 +189,10 @@ def _require_same_columns(spark: SparkSession, a: DataFrame, b: DataFrame) -> No
 
 
 def _figures(name: str) -> list[Column]:
-    """Number of rows and checksums of one side, as columns ``<figure>_<name>``."""
+    """Number of rows and checksum sums of one side, as columns ``<figure>_<name>``."""
     here = F.col(SIDE) == name
-    return [
-        F.count_if(here).alias(f"n_rows_{name}"),
-        F.sum(F.when(here, F.col("_h1"))).alias(f"checksum_{name}"),
-        F.sum(F.when(here, F.col("_h2"))).alias(f"checksum2_{name}"),
-    ]
+    sums = [F.sum(F.when(here, F.col(f"_p{i}"))).alias(f"sum{i}_{name}") for i in PIECES]
+    return [F.count_if(here).alias(f"n_rows_{name}"), *sums]
 
 
 def _split(
@@ -209,11 +206,11 @@ def _split(
     root = scratch.path("archive") if spec.no_delete else spec.kept_path.rstrip("/")
 
     def hashed(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({"_h1": row_hash(columns, 1), "_h2": row_hash(columns, 2)})
+        return rows.withColumns({f"_p{i}": p for i, p in enumerate(row_pieces(columns))})
 
     seen = Observation()
     tagged = source.withColumn(SIDE, F.when(match, "archive").otherwise("keep"))
-    observed = hashed(tagged).observe(seen, *_figures("archive"), *_figures("keep")).drop("_h1", "_h2")
+    observed = hashed(tagged).observe(seen, *_figures("archive"), *_figures("keep")).select(*tagged.columns)
     if len(wanted) == 1:
         observed = observed.where(F.col(SIDE) == wanted[0])
     observed.write.partitionBy(SIDE).parquet(root)
@@ -221,7 +218,7 @@ def _split(
     both = hashed(spark.read.schema(tagged.schema).parquet(root))
     written = both.agg(*_figures("archive"), *_figures("keep")).first()
     for name in wanted:
-        for figure in (f"n_rows_{name}", f"checksum_{name}", f"checksum2_{name}"):
+        for figure in (f"n_rows_{name}", *(f"sum{i}_{name}" for i in PIECES)):
             if written[figure] != seen.get[figure]:
                 raise RuntimeError(f"the files written do not hold the rows read ({figure})")
         if not written[f"n_rows_{name}"]:  # a side without rows still gets its folder
