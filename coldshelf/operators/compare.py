@@ -84,23 +84,28 @@ def compare_chunks(
     the chunk their key falls into.  All rows of one key count towards the chunk in which
     its first row lies.
     """
-    staged, total = stage_in_order(_by_key(a, b, keys), keys, "rows_a", partitions)
+    def short(side: str) -> Column:
+        """32 bits for a key's sums on one side, 0 where it has no rows."""
+        hashed = F.xxhash64(*[F.col(f"_{side}{i}") for i in PIECES])
+        bits = hashed.bitwiseAND(F.lit((1 << 32) - 1))
+        return F.when(F.col(f"rows_{side}") > 0, bits).otherwise(0).alias(f"checksum_{side}")
+
+    # per key only what the chunks need, as every column passes through the numbering
+    reduced = _by_key(a, b, keys).select(
+        *keys,
+        "rows_a",
+        "rows_b",
+        short("a"),
+        short("b"),
+        (~F.expr(_EQUAL)).cast("long").alias("differing_keys"),
+    )
+    staged, total = stage_in_order(reduced, keys, "rows_a", partitions)
     chunk = F.expr(f"greatest(least(_start, {total - 1}L), 0L) DIV {int(chunk_rows)}")
+    figures = ["rows_a", "rows_b", "checksum_a", "checksum_b", "differing_keys"]
     return (
         staged.groupBy(chunk.alias("chunk_id"))
-        .agg(
-            *[F.sum(c).alias(c) for c in _SUMS],
-            F.sum(F.when(F.expr(_EQUAL), 0).otherwise(1)).alias("differing_keys"),
-        )
-        .select(
-            "chunk_id",
-            "rows_a",
-            "rows_b",
-            joined_pieces([F.col(f"_a{i}") for i in PIECES]).alias("checksum_a"),
-            joined_pieces([F.col(f"_b{i}") for i in PIECES]).alias("checksum_b"),
-            F.expr(f"CASE WHEN {_EQUAL} THEN 'same' ELSE 'different' END").alias("verdict"),
-            "differing_keys",
-        )
+        .agg(*[F.sum(f).alias(f) for f in figures])
+        .withColumn("verdict", F.when(F.col("differing_keys") == 0, "same").otherwise("different"))
     )
 
 

@@ -157,7 +157,7 @@ def keyset_filter(
 
 
 def escape_like(text: str, escape: str = "\\") -> str:
-    """Text as a LIKE pattern that matches exactly this text."""
+    """Text as a LIKE pattern that matches exactly this text, for use in SQL."""
     for special in (escape, "%", "_"):
         text = text.replace(special, escape + special)
     return text
@@ -166,7 +166,14 @@ def escape_like(text: str, escape: str = "\\") -> str:
 def filter_literal(df: DataFrame, col: str, text: str, how: str = "equals") -> DataFrame:
     """Match text literally even where it holds ``%`` or ``_``.
 
-    ``how``: ``equals``, ``prefix``, ``suffix`` or ``contains``.
+    ``how``: ``equals``, ``prefix``, ``suffix`` or ``contains``.  These need no pattern,
+    so they reach the scan where a LIKE with escapes would not.
     """
-    pattern = {"equals": "{}", "prefix": "{}%", "suffix": "%{}", "contains": "%{}%"}[how]
-    return df.where(F.like(F.col(col), F.lit(pattern.format(escape_like(text))), F.lit("\\")))
+    column, value = F.col(col), F.lit(text)
+    tests = {
+        "equals": column == value,
+        "prefix": column.startswith(value),
+        "suffix": column.endswith(value),
+        "contains": column.contains(value),
+    }
+    return df.where(tests[how])

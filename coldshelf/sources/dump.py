@@ -249,4 +249,7 @@ def import_dump(
     """Read dump files back into typed rows."""
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    raw = [f.name for f in schema.fields if isinstance(f.dataType, T.BinaryType)]
+    if raw:
+        raise ValueError(f"fields are read as text, which cannot hold any bytes: {raw}")
     return parse_records(read_records(spark, path, header), schema)

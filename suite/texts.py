@@ -360,6 +360,22 @@ def align_table(spark, sf):
     return align.align_table(_report(spark, sf), "event_id").select("event_id", "aligned")
 
 
+@suite.add(
+    "typed_columns",
+    f"""WITH {_REPORT_WORDS}
+        SELECT event_id, i AS pos, words[i] AS word,
+          CASE WHEN regexp_full_match(words[i], '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?')
+               THEN CAST(words[i] AS DOUBLE) END AS number
+        FROM l, range(1, (SELECT n + 1 FROM c)) r(i)
+        WHERE event_id > (SELECT min(event_id) FROM l)""",
+)
+def typed_columns(spark, sf):
+    typed = align.typed_columns(_report(spark, sf), "event_id")
+    return typed.select("event_id", F.posexplode(F.arrays_zip("words", "numbers")).alias("i", "w")).selectExpr(
+        "event_id", "CAST(i + 1 AS BIGINT) AS pos", "w.words AS word", "w.numbers AS number"
+    )
+
+
 _ITEMS = "CASE WHEN turn % 5 = 4 THEN NULL ELSE concat(role, ',\\N\\', substr(text, 1, turn * 9)) END"
 _ESCAPED = "coalesce(replace(replace(v, '\\', '\\\\'), ',', '\\,'), '\\N')"
 

@@ -56,6 +56,12 @@ def test_records_cut_by_file_splits(spark, folder, awkward, size):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_bytes_are_not_read_as_text(spark, folder):
+    dump.export_dump(spark.createDataFrame([(bytearray(b"a\xff"),)], "b binary"), f"{folder}/d")
+    with pytest.raises(ValueError):
+        dump.import_dump(spark, f"{folder}/d", "b binary")
+
+
 def test_dump_text(spark, folder):
     df = spark.createDataFrame([("a\tb\nc\\d", None, 1)], "x string, `y\t` string, z int")
     assert dump.dump_lines(df).first().line == "a\\\tb\\\nc\\\\d\t\\N\t1"

@@ -128,5 +128,15 @@ def test_literal_text_matches_itself_only(spark):
             ("suffix", lambda t: t.endswith(wanted)),
             ("contains", lambda t: wanted in t),
         ]:
+            expected = {t for t in texts if test(t)}
             found = {r[0] for r in p.filter_literal(df, "t", wanted, how).collect()}
-            assert found == {t for t in texts if test(t)}
+            assert found == expected
+            pattern = {"equals": "{}", "prefix": "{}%", "suffix": "%{}", "contains": "%{}%"}[how]
+            like = F.like("t", F.lit(pattern.format(p.escape_like(wanted, "!"))), F.lit("!"))
+            assert {r[0] for r in df.where(like).collect()} == expected
+
+
+def test_literal_prefix_reaches_the_scan(spark, folder, capsys):
+    spark.createDataFrame([("a_b",), ("axb",)], "t string").write.parquet(f"{folder}/t")
+    p.filter_literal(spark.read.parquet(f"{folder}/t"), "t", "a_", "prefix").explain("formatted")
+    assert "StringStartsWith(t,a_)" in capsys.readouterr().out

@@ -16,12 +16,18 @@ def duck():
 
 
 @pytest.mark.parametrize("name", list(registry.queries()))
-def test_agrees_with_sql(spark, duck, name):
-    found, columns = spark_rows(registry.queries()[name](spark, SF))
+def test_agrees_with_sql(spark, duck, name, capsys):
+    result = registry.queries()[name](spark, SF)
+    found, columns = spark_rows(result)
     expected, expected_columns = sql_rows(duck, registry.oracle_sql()[name])
     assert columns == expected_columns
     assert found == expected
     assert found, "a query without rows checks nothing"
+    capsys.readouterr()
+    result.explain("formatted")
+    plan = capsys.readouterr().out
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert unwanted not in plan
 
 
 def test_entry(spark):
