@@ -77,17 +77,17 @@ def group_serialize(
         .groupBy(*by, "_order", "_value")
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    staged, _ = stage_in_order(folded, [*by, "_order"], "_copies")
+    placed = stage_in_order(folded, [*by, "_order"], "_copies").rows
     begins = stage(
-        staged.groupBy(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)]).agg(
+        placed.groupBy(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)]).agg(
             F.min("_start").alias("_begin")
         ),
         "begins",
     )
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_b{i}")) for i, c in enumerate(by)])
-    placed = staged.join(broadcast_if_few(begins), same).withColumn("_at", F.col("_start") - F.col("_begin"))
-    size = F.lit(max_items)
-    spread = _split_copies(placed, size)
+    placed = placed.join(broadcast_if_few(begins), same)
+    placed = placed.withColumn("_at", F.col("_start") - F.col("_begin"))
+    spread = _split_copies(placed, F.lit(max_items))
     parts = (
         spread.groupBy(*by, "part")
         .agg(

@@ -12,21 +12,21 @@ multiplied again afterwards, in blocks spread over the cluster.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from itertools import accumulate
-from typing import Any
+from typing import Any, NamedTuple
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from coldshelf.operators.predicates import keyset_predicate
 from coldshelf.plans.staging import stage
 
 # monotonically_increasing_id: partition number in the upper bits, row in the lower 33
 _ROW_BITS = 33
+# neighbouring rows whose weights are summed together
+_RUN_BITS = 16
 _BLOCK = 1 << 16
 
 
@@ -34,52 +34,64 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _running_sum(weight: str):
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            through = pc.cumulative_sum(batch.column(weight), start=total)
-            total = through[-1].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pc.subtract(through, batch.column(weight))],
-                names=[*batch.schema.names, "_before"],
-            )
+class Ordered(NamedTuple):
+    """``rows`` with ``_start``, the weight before each row; the whole weight; and whether
+    every row weighs one."""
 
-    return add
+    rows: DataFrame
+    total: int
+    single: bool
 
 
 def stage_in_order(
     df: DataFrame, order: Sequence[str], weight: str | None = None, partitions: int | None = None
-) -> tuple[DataFrame, int]:
-    """``df`` plus ``_start``: how many rows (or how much weight) precede each row.
+) -> Ordered:
+    """Number rows, or sum up their weights, in a global order.
 
-    Returns the staged table and the total.  ``order`` must tell all rows apart.  Unless
-    ``partitions`` is given, adaptive execution joins neighbouring small ranges.
+    ``order`` must tell all rows apart.  Unless ``partitions`` is given, adaptive
+    execution joins neighbouring small ranges.
     """
     ranged = df.repartitionByRange(*([partitions] if partitions else []), *order)
-    ordered = (
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
+    staged = stage(
+        ranged.sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id()),
+        "ordered",
     )
-    if weight is not None:
-        schema = T.StructType([*ordered.schema.fields, T.StructField("_before", T.LongType())])
-        ordered = ordered.mapInArrow(_running_sum(weight), schema)
-    staged = stage(ordered, "ordered")
-
+    # other weights than one show in the files' statistics, mostly without reading rows
+    if weight is not None and not staged.where(F.col(weight) != 1).isEmpty():
+        return _weighted(staged, weight)
+    row = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     part = F.shiftright("_slot", _ROW_BITS).cast("int")
-    if weight is None:
-        before = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-        size = F.max(before) + 1
-    else:
-        before = F.col("_before")
-        size = F.max(before + F.col(weight))
-    # one row per range partition
-    sizes = {r[0]: r[1] for r in staged.groupBy(part.alias("p")).agg(size).collect()}
-    starts = [0, *accumulate(sizes.get(p, 0) for p in range(max(sizes, default=0) + 1))]
-    numbered = staged.withColumn("_start", before + F.get(F.lit(starts), part))
-    return numbered.drop("_slot", "_before"), starts[-1]
+    starts = _starts(staged.groupBy(part.alias("part")).agg((F.max(row) + 1).alias("size")))
+    return Ordered(staged.withColumn("_start", row + F.get(F.lit(starts), part)).drop("_slot"), starts[-1], True)
+
+
+def _starts(sizes: DataFrame) -> list[int]:
+    """What precedes each range partition, and the total, from one number per partition."""
+    found = {row["part"]: row["size"] for row in sizes.collect()}
+    return [0, *accumulate(found.get(p, 0) for p in range(max(found, default=-1) + 1))]
+
+
+def _weighted(staged: DataFrame, weight: str) -> Ordered:
+    """Running sums of weights over the staged order.
+
+    Rows are summed in runs of neighbours, so no task holds more than some runs however
+    large a range is; the sums of whole runs are a small table of their own.
+    """
+    runs = staged.withColumn("_run", F.shiftright("_slot", _RUN_BITS))
+    part = F.shiftright("_run", _ROW_BITS - _RUN_BITS).cast("int")
+    sums = stage(runs.groupBy("_run").agg(F.sum(weight).alias("_sum")), "runs")
+    starts = _starts(sums.groupBy(part.alias("part")).agg(F.sum("_sum").alias("size")))
+
+    in_part = W.partitionBy(part).orderBy("_run")
+    before_run = F.sum("_sum").over(in_part) - F.col("_sum") + F.get(F.lit(starts), part)
+    in_run = W.partitionBy("_run").orderBy("_slot")
+    rows = (
+        runs.withColumn("_within", F.sum(weight).over(in_run) - F.col(weight))
+        .join(sums.select("_run", before_run.alias("_before")), "_run")
+        .withColumn("_start", F.col("_before") + F.col("_within"))
+        .drop("_run", "_slot", "_within", "_before")
+    )
+    return Ordered(rows, starts[-1], False)
 
 
 def multiply(df: DataFrame, first: Column, last: Column, out: str, block: int = _BLOCK) -> DataFrame:
@@ -117,15 +129,15 @@ def assign_chunks(
     """
     _check_size(chunk_rows)
     if unique:
-        numbered, _ = stage_in_order(df, keys, partitions=partitions)
-        numbered = numbered.withColumn("row_no", F.col("_start") + 1)
+        ordered = stage_in_order(df, keys, partitions=partitions)
     else:
-        order = [*keys, *(c for c in df.columns if c not in keys)]
         folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-        staged, _ = stage_in_order(folded, order, "_copies", partitions)
-        numbered = multiply(
-            staged, F.col("_start") + 1, F.col("_start") + F.col("_copies"), "row_no"
-        )
+        ordered = stage_in_order(folded, page_order(df, keys), "_copies", partitions)
+    first = F.col("_start") + 1
+    if ordered.single:
+        numbered = ordered.rows.withColumn("row_no", first)
+    else:
+        numbered = multiply(ordered.rows, first, F.col("_start") + F.col("_copies"), "row_no")
     chunk = F.expr(f"(row_no - 1) DIV {int(chunk_rows)}")
     return numbered.select(*df.columns, "row_no", chunk.alias("chunk_id"))
 
@@ -145,11 +157,11 @@ def chunk_manifest(
     _check_size(chunk_rows)
     size = int(chunk_rows)
     if unique:
-        weighted = df.select(*keys).withColumn("_copies", F.lit(1).cast("long"))
-        staged, total = stage_in_order(weighted, keys, partitions=partitions)
+        keyed = df.select(*keys).withColumn("_copies", F.lit(1).cast("long"))
     else:
-        weighted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-        staged, total = stage_in_order(weighted, keys, "_copies", partitions)
+        keyed = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    ordered = stage_in_order(keyed, keys, None if unique else "_copies", partitions)
+    total = ordered.total
 
     end = F.col("_start") + F.col("_copies")
     first_chunk = F.expr(f"_start DIV {size}")
@@ -160,7 +172,11 @@ def chunk_manifest(
         | (end == total)
         | (first_chunk != last_chunk)
     )
-    edges = multiply(staged.where(at_edge), first_chunk, last_chunk, "chunk_id")
+    edges = ordered.rows.where(at_edge)
+    if ordered.single:
+        edges = edges.withColumn("chunk_id", first_chunk)
+    else:
+        edges = multiply(stage(edges, "edges"), first_chunk, last_chunk, "chunk_id")
     begin_row = F.col("chunk_id") * size
     end_row = F.least(begin_row + size, F.lit(total))
     key = F.struct(*[F.col(k) for k in keys])

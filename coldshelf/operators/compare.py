@@ -99,11 +99,11 @@ def compare_chunks(
         short("b"),
         (~F.expr(_EQUAL)).cast("long").alias("differing_keys"),
     )
-    staged, total = stage_in_order(reduced, keys, "rows_a", partitions)
-    chunk = F.expr(f"greatest(least(_start, {total - 1}L), 0L) DIV {int(chunk_rows)}")
+    ordered = stage_in_order(reduced, keys, "rows_a", partitions)
+    chunk = F.expr(f"greatest(least(_start, {ordered.total - 1}L), 0L) DIV {int(chunk_rows)}")
     figures = ["rows_a", "rows_b", "checksum_a", "checksum_b", "differing_keys"]
     return (
-        staged.groupBy(chunk.alias("chunk_id"))
+        ordered.rows.groupBy(chunk.alias("chunk_id"))
         .agg(*[F.sum(f).alias(f) for f in figures])
         .withColumn("verdict", F.when(F.col("differing_keys") == 0, "same").otherwise("different"))
     )
