@@ -93,6 +93,7 @@ def typed_columns(df: DataFrame, order_col: str, line_col: str = "line") -> Data
     """Data lines as an array of words and, next to it, of numbers (NULL for text)."""
     lines = conforming_lines(df, line_col)
     header = lines.agg(F.min(order_col).alias("m")).scalar()
+    number = F.transform("_words", lambda w: F.when(w.rlike(_NUMBER), w.cast("double")))
     return lines.where(F.col(order_col) > header).select(
-        order_col, F.col("_words").alias("words"), F.transform("_words", lambda w: F.when(w.rlike(_NUMBER), w.cast("double"))).alias("numbers")
+        order_col, F.col("_words").alias("words"), number.alias("numbers")
     )

@@ -207,6 +207,24 @@ def rank_indexes(key_catalog: DataFrame) -> DataFrame:
     )
 
 
+def locator_columns(
+    key_catalog: DataFrame, column_catalog: DataFrame, preferred: str | None = None
+) -> DataFrame:
+    """The columns that name single rows of a table: ``(src_id, pos, name)``.
+
+    Those of the key to use if that key is unique, else all columns.
+    """
+    best = best_index(key_catalog, preferred=preferred).where("error IS NULL")
+    unique = (
+        key_catalog.where("is_unique")
+        .join(best.select("src_id", "key_name"), ["src_id", "key_name"])
+        .select("src_id", "pos", F.col("col_name").alias("name"))
+    )
+    keyed = unique.select("src_id").distinct()
+    others = column_catalog.join(keyed, "src_id", "left_anti").select("src_id", "pos", "name")
+    return unique.unionByName(others)
+
+
 def best_index(
     key_catalog: DataFrame, tables: DataFrame | None = None, preferred: str | None = None
 ) -> DataFrame:

@@ -6,8 +6,6 @@ configuration on it.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -20,7 +18,6 @@ def build_session(app: str = "coldshelf", master: str = "local[8]", **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="coldshelf-"))
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -194,10 +194,13 @@ def read_records(spark: SparkSession, path: str, header: bool = False) -> DataFr
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     slashes = F.length("value") - F.length(F.rtrim("value", F.lit("\\")))
+    is_open = slashes % 2 == 1
+    if not header and lines.where(is_open).isEmpty():
+        return lines  # every line is a record
     pieces = lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
-        (slashes % 2 == 1).alias("open"),
+        is_open.alias("open"),
         "value",
     ).mapInArrow(_join_continued(), "file string, start bigint, place int, open boolean, value string")
     pieces = stage(pieces, "records")

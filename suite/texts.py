@@ -165,6 +165,20 @@ def best_index(spark, sf):
     return ddl.best_index(ddl.ddl_keys(texts), texts)
 
 
+@suite.add(
+    "locator_columns",
+    f"""WITH b AS (SELECT src_id, key_name FROM {_RANKED} WHERE rank = 1 AND is_unique)
+        SELECT k.src_id, k.pos, k.col_name AS name FROM {_KEY_ROWS} k JOIN b
+          ON k.src_id = b.src_id AND k.key_name = b.key_name
+        UNION ALL
+        SELECT src_id, pos, replace(regexp_extract(line, '^  `((?:[^`]|``)*)`', 1), '``', '`')
+        FROM {_COLUMN_LINES} c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.src_id = c.src_id)""",
+)
+def locator_columns(spark, sf):
+    texts = _ddl_texts(spark, sf)
+    return ddl.locator_columns(ddl.ddl_keys(texts), ddl.ddl_columns(texts))
+
+
 @suite.add(
     "best_index_preferred",
     f"""SELECT src_id, CASE WHEN contains(ddl, 'u_kind') THEN 'u_kind' END AS key_name,

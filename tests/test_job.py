@@ -2,6 +2,7 @@ import random
 from collections import Counter
 from dataclasses import replace
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,4 +212,20 @@ def test_counter_deltas_across_spans(spark, max_group):
 
 
 def test_workspace_is_the_clusters_folder(spark):
-    assert workspace(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    def session(folder, master):
+        return SimpleNamespace(
+            conf={"spark.checkpoint.dir": folder} if folder else {},
+            sparkContext=SimpleNamespace(master=master, applicationId="app"),
+        )
+
+    assert workspace(session("hdfs://shared/ck/", "yarn")) == "hdfs://shared/ck"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace(session(None, "yarn"))
+    assert workspace(spark) == workspace(spark)
+
+
+def test_a_job_clears_its_scratch(spark, job):
+    before = set(Path(workspace(spark)).glob("*"))
+    run_archive(spark, replace(job, keys=(), unique_keys=False, bulk_insert=True))
+    left = {p.name.split("-")[0] for p in set(Path(workspace(spark)).glob("*")) - before}
+    assert left <= {"records"}  # the staged records of the import
