@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldshelf.operators.chunks import multiply
+from coldshelf.plans.staging import is_few, stage
 
 JoinKeys = Sequence[str] | Mapping[str, str]
 
@@ -60,12 +61,26 @@ def delete_rows_exact(df: DataFrame, archived: DataFrame) -> DataFrame:
 
     The multiset difference is counted per distinct row with map-side combining, and the
     remaining copies are written out again in blocks, so many copies of one row neither
-    travel nor end up in a single task.
+    travel nor end up in a single task.  If few distinct rows were archived, all other
+    rows pass by a broadcast of these without a shuffle.
     """
     columns = df.columns
-    signed = df.withColumn("_n", F.lit(1).cast("long")).unionByName(
-        archived.select(*columns).withColumn("_n", F.lit(-1).cast("long"))
+    gone = stage(
+        archived.select(*columns).groupBy(*columns).agg((-F.count(F.lit(1))).alias("_n")), "gone"
     )
+    if not is_few(gone):
+        return _subtract(df, gone)
+    names = [f"_k{i}" for i in range(len(columns))]
+    known = F.broadcast(gone.select(*[F.col(c).alias(n) for c, n in zip(columns, names)]))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(columns, names)])
+    others = df.join(known, same, "left_anti")
+    return others.unionByName(_subtract(df.join(known, same, "left_semi"), gone))
+
+
+def _subtract(df: DataFrame, gone: DataFrame) -> DataFrame:
+    """``df`` without as many copies of each row as ``gone`` counts, below zero, in ``_n``."""
+    columns = df.columns
+    signed = df.withColumn("_n", F.lit(1).cast("long")).unionByName(gone)
     left = signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n > 0")
     one = F.lit(1).cast("long")
     return multiply(left, one, F.col("_n"), "_copy").select(*columns)
@@ -130,10 +145,21 @@ def new_rows(
     unique_keys = _key_lists(keys)
     rows = incoming.select(*dest.columns)
     for key in unique_keys:
-        rows = _without(rows, dest, key)
+        rows = _without(rows, _present(dest, rows, key), key)
     return _settle(rows, unique_keys, order_by, last=False)
 
 
+def _present(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``table`` that occur in ``rows``.
+
+    A table is mostly much larger than what is added to it; this way round, a batch with
+    few keys is broadcast and the table's keys are not shuffled.
+    """
+    named, names = _renamed_keys(rows.where(~_null_in(keys)), keys)
+    match = reduce(Column.__and__, [F.col(c) == F.col(n) for c, n in zip(keys, names)])
+    return table.select(*keys).join(named, match, "left_semi")
+
+
 def insert_ignore(
     dest: DataFrame,
     incoming: DataFrame,

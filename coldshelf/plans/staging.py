@@ -43,12 +43,17 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 _FEW_ROWS = 100_000
 
 
+def is_few(staged: DataFrame) -> bool:
+    """Is a staged table small enough for every task to hold it?"""
+    return staged.count() <= _FEW_ROWS
+
+
 def broadcast_if_few(staged: DataFrame) -> DataFrame:
     """Hint a broadcast of a staged table only if it holds few rows.
 
     Used where the other side has hot keys, which a shuffle would bring together.
     """
-    return F.broadcast(staged) if staged.count() <= _FEW_ROWS else staged
+    return F.broadcast(staged) if is_few(staged) else staged
 
 
 class Scratch:

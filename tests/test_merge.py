@@ -4,6 +4,7 @@ import pytest
 
 from coldshelf.operators import integrity, merge
 from coldshelf.operators.compare import compare_chunks, compare_rows, fingerprint
+from coldshelf.plans import staging
 
 
 def bag(df):
@@ -26,7 +27,9 @@ def test_delete_rows_matches_null_with_null(spark):
     assert {r.z for r in merge.delete_rows(df, whole).collect()} == {"a", "b"}
 
 
-def test_delete_exact_keeps_the_other_copies(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_delete_exact_keeps_the_other_copies(spark, few, monkeypatch):
+    monkeypatch.setattr(staging, "_FEW_ROWS", few)
     rows = [(None, 1)] * 5 + [(2, 1)] * 3 + [(3, 3)]
     df = spark.createDataFrame(rows, "a int, b int")
     gone = spark.createDataFrame([(None, 1)] * 2 + [(2, 1)] * 3 + [(9, 9)], "a int, b int")

@@ -4,6 +4,7 @@ import pytest
 
 from coldshelf.operators import chunks, merge, predicates, stats
 from coldshelf.operators.compare import compare_rows
+from coldshelf.plans import staging
 from suite import rows
 
 
@@ -48,7 +49,13 @@ def test_null_safe_delete_is_a_hash_or_merge_join(orders, plan_of):
     assert "LeftAnti" in plan and "NestedLoop" not in plan
 
 
-def test_exact_deletion_and_comparison_combine_before_the_shuffle(orders, plan_of):
+def test_deleting_few_rows_shuffles_none_of_the_others(orders, plan_of):
+    plan = plan_of(merge.delete_rows_exact(orders, orders.limit(5)))
+    assert "BroadcastHashJoin LeftAnti" in plan and "BroadcastHashJoin LeftSemi" in plan
+
+
+def test_exact_deletion_and_comparison_combine_before_the_shuffle(orders, plan_of, monkeypatch):
+    monkeypatch.setattr(staging, "_FEW_ROWS", 0)
     for df in (
         merge.delete_rows_exact(orders, orders.limit(5)),
         compare_rows(orders, orders.where("o_orderkey > 5"), ["o_orderkey"]),
