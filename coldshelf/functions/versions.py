@@ -58,9 +58,10 @@ def latest_version(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     """The newest valid version per group; between releases of one version the last in
     text order."""
     text = F.col(col)
+    # few distinct versions remain of many rows, combined by hash before the shuffle
+    found = df.where(is_version(text)).select(*by, col).distinct()
     return (
-        df.where(is_version(text))
-        .groupBy(*by)
+        found.groupBy(*by)
         .agg(F.max(F.struct(normalized_version(text).alias("n"), text.alias("v"))).alias("_m"))
         .select(*by, F.col("_m.v").alias("latest"), F.col("_m.n").alias("normalized"))
     )

@@ -68,6 +68,7 @@ class ArchiveResult:
     dest_path: str | None = None
     files_path: str | None = None
     manifest: DataFrame | None = None
+    progress: DataFrame | None = None
     statistics: DataFrame | None = None
     analysis: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -113,7 +114,8 @@ def run_archive(spark: SparkSession, spec: ArchiveSpec) -> ArchiveResult:
 
 
 def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveResult:
-    source = read_source(spark, spec.source)
+    # under its name, so that a subquery in the predicate can refer to the table
+    source = read_source(spark, spec.source).alias(spec.source.table)
     result = ArchiveResult(planned_steps(spec))
     match = archive_match(source, spec)
     if spec.dry_run:
@@ -132,6 +134,9 @@ def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveRes
             result.manifest = chunk_manifest(
                 archived, spec.keys, spec.chunk_rows, unique=spec.unique_keys
             )
+            if spec.progress:
+                marks = chunk_manifest(archived, spec.keys, spec.progress, unique=spec.unique_keys)
+                result.progress = marks.select("rows_done", "hi")
         rows = _outgoing(archived, spec)
         if spec.hooks.before_insert:
             rows = scratch.stage(rows.transform(spec.hooks.before_insert), "hooked")

@@ -49,7 +49,7 @@ class ArchiveSpec:
     autoinc_col: str | None = None  # spare the row with its largest value
     analyze: str | None = None
     optimize: str | None = None
-    progress: int = 0
+    progress: int = 0  # rows between progress marks
     dry_run: bool = False
     hooks: Hooks = field(default_factory=Hooks)
 

@@ -151,6 +151,20 @@ def job_purged(spark, sf):
     return spark.read.parquet(result.kept_path)
 
 
+@suite.add(
+    "job_orphans_purged",
+    """SELECT * FROM orders WHERE EXISTS (
+         SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'F')""",
+)
+def job_orphans_purged(spark, sf):
+    """A job whose predicate looks into another table."""
+    shipped = table(spark, sf, "lineitem").where("l_linestatus = 'F'")
+    shipped.createOrReplaceTempView("shipped_lines")
+    missing = "NOT EXISTS (SELECT * FROM shipped_lines WHERE l_orderkey = orders.o_orderkey)"
+    result = run_archive(spark, _orders_spec(spark, sf, where=missing, dest=None, purge=True))
+    return spark.read.parquet(result.kept_path)
+
+
 @suite.add(
     "job_replaced",
     """SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders

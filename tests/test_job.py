@@ -51,7 +51,10 @@ def test_bad_jobs_are_refused(job, change):
 
 def test_archive_moves_rows(spark, job):
     source = spark.read.parquet(job.source.path)
-    result = run_archive(spark, job)
+    result = run_archive(spark, replace(job, progress=20))
+    assert [(r.rows_done, r.hi.id) for r in result.progress.orderBy("rows_done").collect()] == [
+        (20, 37), (40, 77), (50, 97),
+    ]
     dest, kept = spark.read.parquet(result.dest_path), spark.read.parquet(result.kept_path)
     assert bag(dest) + bag(kept) == bag(source)
     assert bag(dest) == bag(source.where("v < 2"))
@@ -92,6 +95,14 @@ def test_one_side_may_be_empty(spark, job, where, archived):
     assert spark.read.parquet(result.dest_path).count() == archived
 
 
+def test_predicate_may_look_into_another_table(spark, job):
+    spark.createDataFrame([(1,), (2,), (None,)], "k bigint").createOrReplaceTempView("parents")
+    orphans = "NOT EXISTS (SELECT * FROM parents WHERE parents.k = t.v)"
+    result = run_archive(spark, replace(job, where=orphans))
+    assert {r.v for r in spark.read.parquet(result.kept_path).collect()} == {1, 2}
+    assert {r.v for r in spark.read.parquet(result.dest_path).collect()} == {0, None}
+
+
 def test_dry_run_writes_nothing(spark, job):
     result = run_archive(spark, replace(job, dry_run=True))
     assert "== Physical Plan ==" in result.plan and "split by: v < 2" in result.steps
