@@ -46,6 +46,7 @@ class ArchiveSpec:
     replace: bool = False
     bulk_insert: bool = False  # load the destination from dump files
     check_columns: bool = True
+    verify: bool = True  # compare checksums of the files written, not only row counts
     autoinc_col: str | None = None  # spare the row with its largest value
     analyze: str | None = None
     optimize: str | None = None

@@ -88,9 +88,9 @@ def test_changing_predicate_loses_no_row(spark, job):
     assert bag(both) == bag(spark.read.parquet(job.source.path))
 
 
-@pytest.mark.parametrize("where, archived", [("true", 100), ("false", 0)])
-def test_one_side_may_be_empty(spark, job, where, archived):
-    result = run_archive(spark, replace(job, where=where))
+@pytest.mark.parametrize("where, archived, verify", [("true", 100, True), ("false", 0, False)])
+def test_one_side_may_be_empty(spark, job, where, archived, verify):
+    result = run_archive(spark, replace(job, where=where, verify=verify))
     assert spark.read.parquet(result.kept_path).count() == 100 - archived
     assert spark.read.parquet(result.dest_path).count() == archived
 
@@ -120,6 +120,12 @@ def test_columns_must_agree_with_the_destination(spark, job):
     assert rows.where("extra IS NULL").count() == 50
 
 
+def test_columns_of_the_destination_may_be_in_another_order(spark, job):
+    spark.createDataFrame([("x", 7, 999)], "s string, v bigint, id bigint").write.parquet(job.dest.path)
+    rows = spark.read.parquet(run_archive(spark, job).dest_path)
+    assert rows.columns == ["s", "v", "id"] and rows.where("s = id").count() == 50
+
+
 def test_replace_writes_a_new_destination(spark, job):
     spark.createDataFrame([(1, 9, "old"), (999, 9, "old")], "id bigint, v bigint, s string").write.parquet(job.dest.path)
     result = run_archive(spark, replace(job, replace=True))
