@@ -41,15 +41,19 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 _FEW_ROWS = 100_000
+_FEW_BYTES = 64 << 20
 
 
 def is_few(staged: DataFrame) -> bool:
-    """Is a staged table small enough for every task to hold it?"""
-    return staged.count() <= _FEW_ROWS
+    """Is a staged table small enough, in rows and bytes, for every task to hold it?"""
+    if staged.count() > _FEW_ROWS:
+        return False
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    return (staged.agg(size.alias("size")).first()["size"] or 0) <= _FEW_BYTES
 
 
 def broadcast_if_few(staged: DataFrame) -> DataFrame:
-    """Hint a broadcast of a staged table only if it holds few rows.
+    """Hint a broadcast of a staged table only if it is small.
 
     Used where the other side has hot keys, which a shuffle would bring together.
     """

@@ -42,6 +42,15 @@ def dest(spark):
     return spark.createDataFrame([(1, "old"), (2, "old"), (None, "old")], "k int, v string")
 
 
+def test_broadcasts_need_few_rows_and_bytes(spark, monkeypatch):
+    df = staging.stage(spark.range(10).selectExpr("id", "repeat('x', 100) AS t"))
+    assert staging.is_few(df) and staging.is_few(df.limit(0))
+    monkeypatch.setattr(staging, "_FEW_BYTES", 500)
+    assert not staging.is_few(df)
+    monkeypatch.setattr(staging, "_FEW_ROWS", 9)
+    assert not staging.is_few(df)
+
+
 def test_insert_ignore_keeps_old_and_first(spark, dest):
     incoming = spark.createDataFrame(
         [("c", 3), ("a", 3), ("new", 1), ("n1", None), ("n2", None)], "v string, k int"
