@@ -34,3 +34,31 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path(PIECE_MODEL),
         outputs=("n_tokens", "ids_sha256", "decoded_sha256"),
     )
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the groups of those within four bits."""
+    from coldshelf.llm.simhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, bits=4)
+
+
+@query
+def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality counts of all documents, and which are left after common lines are removed."""
+    from coldshelf.llm.lines import line_frequency
+
+    return line_frequency(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents, told apart by the sources that hold them."""
+    from pyspark.sql import functions as F
+
+    from coldshelf.llm.ownership import secret_scan
+
+    return secret_scan(
+        _table(spark, sf_dir, "documents"), owner=F.col("source"), repository=F.concat_ws("/", "source", "lang")
+    )
