@@ -288,7 +288,7 @@ def encode_texts(
                 decoded_of: dict[str, str] = {}
                 for words in vocab.encode(texts(batch, "text"), check):
                     # a word starts with a space, so no run of bytes goes on in the next one
-                    for ids in set(words) - decoded_of.keys():
+                    for ids in [ids for ids in set(words) if ids not in decoded_of]:
                         decoded_of[ids] = " " + vocab.decode([int(i) for i in ids.split(",")])
                     joined = ",".join(words)
                     decoded = "".join([decoded_of[ids] for ids in words])[1:]
