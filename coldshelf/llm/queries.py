@@ -62,3 +62,11 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(
         _table(spark, sf_dir, "documents"), owner=F.col("source"), repository=F.concat_ws("/", "source", "lang")
     )
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    from coldshelf.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
