@@ -88,11 +88,11 @@ def train(
     unlabelled: list[np.ndarray],
     prior: float,
     *,
-    epochs: int = 300,
+    epochs: int = 1500,
     rate: float = 0.05,
-    decay: float = 1e-4,
+    decay: float = 1e-5,
     most_words: int = 4096,
-    least_texts: int = 5,
+    least_texts: int = 4,
 ) -> Classifier:
     """A linear classifier by the non-negative risk with the sigmoid loss and Adam steps."""
     none = np.zeros(0, dtype=np.int64)
