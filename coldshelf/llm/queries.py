@@ -70,3 +70,19 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from coldshelf.llm.toxicity import toxicity_scores
 
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the alignment's score and place."""
+    from coldshelf.llm.decontamination import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from seekable archives."""
+    from coldshelf.llm.archives import archive_round_trip
+
+    return archive_round_trip(_table(spark, sf_dir, "pages"))
