@@ -86,3 +86,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from coldshelf.llm.archives import archive_round_trip
 
     return archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
+PSEUDONYM_KEY = "corpus-2024"  # a deployment passes a secret of its own
+
+
+@query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal numbers, dates and addresses replaced by pseudonyms."""
+    from coldshelf.llm.pseudonyms import pseudonymize
+
+    return pseudonymize(_table(spark, sf_dir, "documents"), key=PSEUDONYM_KEY)
