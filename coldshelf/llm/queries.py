@@ -97,3 +97,15 @@ def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from coldshelf.llm.pseudonyms import pseudonymize
 
     return pseudonymize(_table(spark, sf_dir, "documents"), key=PSEUDONYM_KEY)
+
+
+@query
+def op3_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, which is encoded whole."""
+    import public_tokenizers
+
+    from coldshelf.llm.attribution import count_section_tokens
+
+    return count_section_tokens(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
