@@ -109,3 +109,11 @@ def op3_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_section_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@query
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents share with earlier ones, edited ones included."""
+    from coldshelf.llm.passages import shared_passages
+
+    return shared_passages(_table(spark, sf_dir, "documents"))
