@@ -190,10 +190,11 @@ def toxicity_scores(
     max_positive: int = 6_000,
     max_unlabelled: int = 18_000,
     classifiers: int = 3,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Score every row: the id, ``held_out``, ``score`` (0 to 1) and ``predicted``.
 
-    At most ``max_positive`` toxic and ``max_unlabelled`` unlabelled texts are learnt from.
+    Columns named in ``carry`` are handed on between the id and the others.  At most ``max_positive`` toxic and ``max_unlabelled`` unlabelled texts are learnt from.
     """
     positive, unlabelled, share = sample_words(
         docs, labels, id_col=id_col, text_col=text_col, label_col=label_col,
@@ -212,14 +213,19 @@ def toxicity_scores(
             for batch in slices(whole, "text"):
                 hashes = [word_hashes(text) for text in texts(batch, "text")]
                 score = np.mean([model.scores(hashes) for model in models], axis=0)
+                own = [batch.column(c) for c in ("id", *kept, "held_out")]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
-                    [id_col, "held_out", "score", "predicted"],
+                    [*own, pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
+                    [id_col, *carry, "held_out", "score", "predicted"],
                 )
 
+    # carried columns travel under names that can't clash with the operator's own
+    kept = [f"carried_{i}" for i in range(len(carry))]
     chosen = docs.select(
         F.col(id_col).alias("id"),
+        *(F.col(c).alias(k) for c, k in zip(carry, kept, strict=True)),
         F.coalesce(~training_rows(docs, id_col), F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"),
     )
-    return chosen.mapInArrow(run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+    types = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
+    return chosen.mapInArrow(run, f"`{id_col}` {kind}, {types}held_out boolean, score double, predicted int")
