@@ -167,14 +167,12 @@ def rare_seeds(docs: DataFrame, items: Items, n: int, share: float, least: int)
         own.join(stage(gram_frequency(docs, items, n), "grams"), "gram", "left")
         .select("gram", "item", "place", F.row_number().over(rank).alias("r"), F.count("*").over(total).alias("all"))
         .where((F.col("r") <= F.ceil(share * F.col("all"))) | (F.col("r") <= least))
-        .orderBy("gram", "item", "place")
         .toArrow()
     )
-    return (
-        seeds.column("gram").to_numpy().view(np.uint64),
-        seeds.column("item").to_numpy(),
-        seeds.column("place").to_numpy(),
-    )
+    gram, item, place = (seeds.column(c).to_numpy() for c in ("gram", "item", "place"))
+    gram = gram.view(np.uint64)  # its order as unsigned is not that of Spark's numbers
+    order = np.lexsort((place, item, gram))
+    return gram[order], item[order], place[order]
 
 
 def _leaks_of(numbers: np.ndarray, places: np.ndarray, seeds: np.ndarray, of: tuple, items: Items, least: float):
