@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coldshelf.operators.chunks import multiply
+
 _SPACE = r"\p{IsWhite_Space}+"
 _NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 
@@ -90,10 +92,16 @@ def align_table(df: DataFrame, order_col: str, line_col: str = "line", out: str
 
 
 def typed_columns(df: DataFrame, order_col: str, line_col: str = "line") -> DataFrame:
-    """Data lines as an array of words and, next to it, of numbers (NULL for text)."""
-    lines = conforming_lines(df, line_col)
-    header = lines.agg(F.min(order_col).alias("m")).scalar()
+    """Data lines as an array of words and, next to it, of numbers (NULL for text).
+
+    The header is one line: of lines that tie for the first place, the least by its text.
+    """
+    lines = conforming_lines(df, line_col).select(order_col, F.col(line_col).alias("_line"), "_words")
+    place = F.struct(F.col(order_col), F.col("_line"))
+    header = lines.agg(F.min(place).alias("m")).scalar()
     number = F.transform("_words", lambda w: F.when(w.rlike(_NUMBER), w.cast("double")))
-    return lines.where(F.col(order_col) > header).select(
-        order_col, F.col("_words").alias("words"), number.alias("numbers")
-    )
+    # further copies of the header line are data
+    copies = lines.where(place == header).groupBy(order_col, "_line", "_words").agg(F.count(F.lit(1)).alias("_n"))
+    again = multiply(copies.where("_n > 1"), F.lit(2).cast("long"), F.col("_n"), "_copy")
+    data = lines.where(place > header).select(order_col, "_words").unionByName(again.select(order_col, "_words"))
+    return data.select(order_col, F.col("_words").alias("words"), number.alias("numbers"))

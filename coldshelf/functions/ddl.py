@@ -72,7 +72,10 @@ def ddl_tables(df: DataFrame) -> DataFrame:
 
 
 def _spark_type(base: Column, args: Column, unsigned: Column) -> Column:
-    """The Spark type able to hold a column's values."""
+    """The Spark type able to hold a column's values.
+
+    A decimal of more than 38 digits, Spark's most, is a string.
+    """
     precision = F.when(args == "", F.lit("10,0")).otherwise(
         F.when(F.instr(args, ",") > 0, F.replace(args, F.lit(" "), F.lit(""))).otherwise(F.concat(args, F.lit(",0")))
     )
@@ -82,6 +85,7 @@ def _spark_type(base: Column, args: Column, unsigned: Column) -> Column:
         .when(base == "mediumint", "int")
         .when(base.isin("int", "integer"), F.when(unsigned, "bigint").otherwise("int"))
         .when(base == "bigint", F.when(unsigned, "decimal(20,0)").otherwise("bigint"))
+        .when(base.isin("decimal", "numeric") & (F.substring_index(precision, ",", 1).try_cast("int") > 38), "string")
         .when(base.isin("decimal", "numeric"), F.concat(F.lit("decimal("), precision, F.lit(")")))
         .when(base == "float", "float")
         .when(base.isin("double", "real"), "double")

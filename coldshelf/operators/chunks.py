@@ -56,6 +56,7 @@ def stage_in_order(
         ranged.sortWithinPartitions(*order).withColumn("_slot", F.monotonically_increasing_id()),
         "ordered",
     )
+    _check_places(staged)
     # other weights than one show in the files' statistics, mostly without reading rows
     if weight is not None and not staged.where(F.col(weight) != 1).isEmpty():
         return _weighted(staged, weight)
@@ -65,6 +66,15 @@ def stage_in_order(
     return Ordered(staged.withColumn("_start", row + F.get(F.lit(starts), part)).drop("_slot"), starts[-1], True)
 
 
+def _check_places(staged: DataFrame) -> None:
+    """A range with more rows than the lower bits can count would run into the next one."""
+    row = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    part = F.shiftright("_slot", _ROW_BITS)
+    sizes = staged.groupBy(part.alias("part")).agg((F.max(row) + 1).alias("size"))
+    if (sizes.agg(F.sum("size").alias("n")).first()["n"] or 0) != staged.count():
+        raise ValueError(f"a range holds more than 2^{_ROW_BITS} rows: ask for more partitions")
+
+
 def _starts(sizes: DataFrame) -> list[int]:
     """What precedes each range partition, and the total, from one number per partition."""
     found = {row["part"]: row["size"] for row in sizes.collect()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,18 +15,21 @@ def compact(
     new_path: str,
     target_rows: int = 10_000_000,
     keys: Sequence[str] = (),
+    format: str = "parquet",
+    target_bytes: int = 512 << 20,
 ) -> DataFrame:
-    """Write the Parquet table at ``path`` to ``new_path`` in files of ``target_rows`` rows.
+    """Write the table at ``path`` to ``new_path`` in files of ``target_rows`` rows, and of
+    about ``target_bytes`` bytes if that is less.
 
     With ``keys`` the files hold disjoint key ranges and are sorted, so later seeks skip
     row groups.  Equal keys are spread by the rows' place in the old files.
     """
     if target_rows < 1:
         raise ValueError("a file needs at least one row")
-    table = spark.read.parquet(path)
-    files = max(1, math.ceil(table.count() / target_rows))
+    table = spark.read.format(format).load(path)
+    files = max(1, math.ceil(table.count() / target_rows), math.ceil(_size(spark, path) / target_bytes))
     if keys:
-        place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+        place = [F.col("_metadata.file_path"), _place_in_file(format)]
         placed = table.select("*", *[c.alias(f"_at{i}") for i, c in enumerate(place)])
         rows = (
             placed.repartitionByRange(files, *keys, "_at0", "_at1")
@@ -35,5 +38,16 @@ def compact(
         )
     else:
         rows = table.repartition(files)
-    rows.write.option("maxRecordsPerFile", target_rows).parquet(new_path)
-    return spark.read.schema(table.schema).parquet(new_path)
+    rows.write.option("maxRecordsPerFile", target_rows).format(format).save(new_path)
+    return spark.read.format(format).schema(table.schema).load(new_path)
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def _place_in_file(format: str) -> Column:
+    """Something that tells rows of a file apart: only Parquet numbers them."""
+    return F.col("_metadata.row_index") if format == "parquet" else F.monotonically_increasing_id()

@@ -116,7 +116,7 @@ def _without(
     return unmatched.union(df.where(_null_in(keys)))
 
 
-def _settle(
+def settle(
     incoming: DataFrame, unique_keys: list[list[str]], order_by: Sequence[str], last: bool
 ) -> DataFrame:
     """Incoming rows after conflicts among themselves are resolved."""
@@ -146,7 +146,7 @@ def new_rows(
     rows = incoming.select(*dest.columns)
     for key in unique_keys:
         rows = _without(rows, _present(dest, rows, key), key)
-    return _settle(rows, unique_keys, order_by, last=False)
+    return settle(rows, unique_keys, order_by, last=False)
 
 
 def _present(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -181,7 +181,7 @@ def replace_into(
 ) -> DataFrame:
     """``dest`` with conflicting rows replaced; the last in ``order_by`` wins."""
     unique_keys = _key_lists(keys)
-    rows = _settle(incoming.select(*dest.columns), unique_keys, order_by, last=True)
+    rows = settle(incoming.select(*dest.columns), unique_keys, order_by, last=True)
     kept = dest
     for key in unique_keys:
         kept = _without(kept, rows, key)

@@ -5,6 +5,7 @@ Orders are ascending with NULLS FIRST throughout, which is also Spark's default.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -54,21 +55,41 @@ def archive_select(
 
 
 def archive_split(
-    df: DataFrame, where: Predicate, deterministic: bool = True
+    df: DataFrame, where: Predicate, deterministic: bool | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``(archived, kept)``: rows where the predicate is TRUE, and all the others.
 
     Together the two hold every input row once.  The archived side filters by the bare
     predicate, which reaches the Parquet scan.  A predicate that may change between
-    evaluations (``rand()``, ``current_timestamp()``) needs ``deterministic=False``: it
-    is then evaluated once and the tagged rows are staged.
+    evaluations (``rand()``, ``current_timestamp()``, a look into another table) is
+    evaluated once and the tagged rows are staged; ``deterministic`` overrules what the
+    analysed predicate says of itself.
     """
+    if deterministic is None:
+        deterministic = is_stable(df, where)
     if deterministic:
         return df.where(as_column(where)), df.where(~is_match(where))
     tagged = stage(df.withColumn("_tag", is_match(where)), "split")
     return tagged.where("_tag").drop("_tag"), tagged.where("NOT _tag").drop("_tag")
 
 
+_BY_CLOCK = re.compile(r"\b(current_(timestamp|date|time)|now|localtimestamp|curdate|unix_timestamp)\(\)")
+
+
+def is_stable(df: DataFrame, where: Predicate) -> bool:
+    """Does the predicate give the same answer whenever it is evaluated?"""
+    plan = df.where(as_column(where))._jdf.queryExecution().analyzed()
+    found = plan.expressions()
+    subquery = df.sparkSession._jvm.org.apache.spark.sql.catalyst.expressions.SubqueryExpression
+    for i in range(found.size()):
+        expression = found.apply(i)
+        if not expression.deterministic() or subquery.hasSubquery(expression):
+            return False
+        if _BY_CLOCK.search(expression.toString().lower()):
+            return False
+    return True
+
+
 def purge(df: DataFrame, where: Predicate) -> DataFrame:
     """What remains after deleting the matching rows without copying them."""
     return df.where(~is_match(where))

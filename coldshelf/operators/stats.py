@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from coldshelf.operators.chunks import multiply, stage_in_order
 from coldshelf.operators.compare import checksum as checksum_of
 from coldshelf.operators.compare import row_pieces
 from coldshelf.plans.staging import broadcast_if_few, stage
@@ -153,23 +154,25 @@ def counter_deltas(
 ) -> DataFrame:
     """Difference and rate per second of counters against the device's previous sample.
 
-    The first sample of a device and a counter that went backwards (a reset) give NULL.
-    A device with more than ``max_group`` samples is cut into time spans of about that
-    many, and the last sample of each span is carried to the first of the next.
+    The first sample of a device and a counter that went backwards (a reset) give NULL;
+    samples without a time come first.  Devices with more than ``max_group`` samples are
+    cut into spans of that many, and the last sample of each span is carried to the first
+    of the next, which gives the same result for every ``max_group``.
     """
     timed = df.withColumn("_us", _micros(df, ts))
     sample = F.struct("_us", *counters)
-    hot = stage(
-        timed.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_from"), F.max("_us").alias("_to"))
-        .where(F.col("_n") > max_group),
-        "hot",
-    )
+    sizes = timed.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    hot = stage(sizes.where(F.col("_n") > max_group).drop("_n"), "hot")
+    window = W.partitionBy(*by).orderBy("_us", *counters)
     if hot.isEmpty():
-        window = W.partitionBy(*by).orderBy("_us", *counters)
         rows = timed.withColumn("_prev", F.lag(sample).over(window))
     else:
-        rows = _carried_samples(timed, hot, by, counters, max_group)
+        names = [f"_d{i}" for i in range(len(by))]
+        devices = broadcast_if_few(hot.select(*[F.col(c).alias(n) for c, n in zip(by, names)]))
+        same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)])
+        others = timed.join(devices, same, "left_anti").withColumn("_prev", F.lag(sample).over(window))
+        spans = _carried_samples(timed.join(devices, same, "left_semi"), by, counters, max_group)
+        rows = others.unionByName(spans)
 
     seconds = (F.col("_us") - F.col("_prev._us")) / F.lit(1e6)
     out = [F.col(c) for c in df.columns]
@@ -184,32 +187,37 @@ def counter_deltas(
 
 
 def _carried_samples(
-    timed: DataFrame, hot: DataFrame, by: Sequence[str], counters: Sequence[str], max_group: int
+    timed: DataFrame, by: Sequence[str], counters: Sequence[str], max_group: int
 ) -> DataFrame:
-    """``timed`` with the previous sample as ``_prev``, hot devices cut into spans."""
+    """Samples of hot devices with the previous one as ``_prev``.
+
+    All samples are put in order over the cluster, and each device's are cut by their
+    place, so a span has ``max_group`` samples however they lie in time.
+    """
     sample = F.struct("_us", *counters)
-    names = [f"_d{i}" for i in range(len(by))]
-    width = F.greatest(F.expr(f"(_to - _from) DIV greatest(1, _n DIV {int(max_group)})"), F.lit(1))
-    devices = hot.select(
-        *[F.col(c).alias(n) for c, n in zip(by, names)], "_from", width.alias("_width")
+    rest = [c for c in timed.columns if c not in {*by, "_us", *counters}]
+    order = [*by, "_us", *counters, *rest]
+    folded = timed.groupBy(*order).agg(F.count(F.lit(1)).alias("_copies"))
+    placed = stage_in_order(folded, order, "_copies")
+    numbered = placed.rows.withColumn("_place", F.col("_start"))
+    if not placed.single:
+        numbered = multiply(placed.rows, F.col("_start"), F.col("_start") + F.col("_copies") - 1, "_place")
+    numbered = stage(numbered.withColumn("_span", F.expr(f"_place DIV {int(max_group)}")), "spans")
+
+    in_span = W.partitionBy(*by, "_span").orderBy("_place")
+    rows = numbered.withColumn("_prev", F.lag(sample).over(in_span)).withColumn(
+        "_head", F.row_number().over(in_span) == 1
     )
-    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)])
-    spans = (
-        timed.join(broadcast_if_few(devices), same, "left")
-        .withColumn("_span", F.expr("(_us - _from) DIV _width"))
-        .drop(*names, "_from", "_width")
-    )
-    window = W.partitionBy(*by, "_span").orderBy("_us", *counters)
-    rows = spans.withColumn("_prev", F.lag(sample).over(window))
-
-    tails = spans.where("_span IS NOT NULL").groupBy(*by, "_span").agg(F.max(sample).alias("_tail"))
+    names = [f"_d{i}" for i in range(len(by))]
+    tails = numbered.groupBy(*by, "_span").agg(F.max_by(sample, "_place").alias("_tail"))
     carried = tails.select(
         *[F.col(c).alias(n) for c, n in zip(by, names)],
         F.col("_span").alias("_for"),
         F.lag("_tail").over(W.partitionBy(*by).orderBy("_span")).alias("_carried"),
     )
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)])
     return (
         rows.join(carried, same & (F.col("_span") == F.col("_for")), "left")
-        .withColumn("_prev", F.coalesce("_prev", "_carried"))
-        .drop(*names, "_for", "_carried", "_span")
+        .withColumn("_prev", F.when(F.col("_head"), F.col("_carried")).otherwise(F.col("_prev")))
+        .select(*timed.columns, "_prev")
     )

@@ -1,9 +1,11 @@
 """The archive job: split, copy, verify, publish.
 
-The source is read once.  Each row's side is decided in that pass and written below
+The source is read once.  Each row's side is decided in that pass and written beside
 ``kept_path``, archived and kept rows in folders of their own, so the two sides cannot
 disagree about a row.  Everything later works from those files, and the source's files
-are never touched: the caller switches to the kept rows once the job has succeeded.
+are never touched.  What was written to the destination and to files is looked at before
+the kept rows appear, as the last step and as plain files, in ``kept_path`` itself: that
+folder exists if, and only if, the job has succeeded, and the caller then switches to it.
 """
 
 from __future__ import annotations
@@ -12,24 +14,26 @@ import contextlib
 import datetime as dt
 import io
 import time
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from coldshelf.operators.chunks import chunk_manifest
+from coldshelf.operators.chunks import chunk_manifest, multiply
 from coldshelf.operators.compact import compact
 from coldshelf.operators.compare import PIECES, row_pieces
 from coldshelf.operators.integrity import check_columns, schema_catalog
-from coldshelf.operators.merge import common_columns, delete_rows_exact, new_rows, replace_into
-from coldshelf.operators.predicates import archive_select, is_match
+from coldshelf.operators.merge import common_columns, new_rows, replace_into, settle
+from coldshelf.operators.predicates import archive_select, as_column, is_match
 from coldshelf.operators.stats import analyze_columns, analyze_table, below_latest
 from coldshelf.plans.spec import ArchiveSpec
-from coldshelf.plans.staging import Scratch, drop_path, new_path
-from coldshelf.sources.dump import csv_line, dump_line, export_csv, export_dump, import_dump
-from coldshelf.sources.endpoints import SourceSpec, jdbc_options, read_source
-from coldshelf.sources.templates import archive_name, render_name
+from coldshelf.plans.staging import Scratch, move_path, path_exists
+from coldshelf.sources.dump import csv_line, dump_line, export_dump, header_line, import_dump, write_lines
+from coldshelf.sources.endpoints import SourceSpec, jdbc_options, qualified, read_source
+from coldshelf.sources.templates import archive_name, fixed_folder, render_name
 
 SIDE = "_shelf"
 
@@ -73,12 +77,15 @@ class ArchiveResult:
     analysis: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def archive_condition(source: DataFrame, spec: ArchiveSpec) -> Column:
+    """The rows to archive, as a filter that a scan understands."""
+    condition = as_column(spec.where)
+    return condition & below_latest(source, spec.autoinc_col) if spec.autoinc_col else condition
+
+
 def archive_match(source: DataFrame, spec: ArchiveSpec) -> Column:
     """Is the row to be archived?  Never NULL."""
-    match = is_match(spec.where)
-    if spec.autoinc_col:
-        match = match & F.coalesce(below_latest(source, spec.autoinc_col), F.lit(False))
-    return match
+    return is_match(archive_condition(source, spec))
 
 
 def planned_steps(spec: ArchiveSpec) -> list[str]:
@@ -114,21 +121,26 @@ def run_archive(spark: SparkSession, spec: ArchiveSpec) -> ArchiveResult:
 
 
 def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveResult:
+    spec._require_apart(spec.dest, lambda path: qualified(spark, path))
     # under its name, so that a subquery in the predicate can refer to the table
     source = read_source(spark, spec.source).alias(spec.source.table)
     result = ArchiveResult(planned_steps(spec))
-    match = archive_match(source, spec)
     if spec.dry_run:
-        result.plan = _explained(source.where(match))
+        result.plan = _explained(_chosen(source, spec))
         return result
 
+    if spec.kept_path and not spec.no_delete and path_exists(spark, spec.kept_path):
+        raise ValueError(f"{spec.kept_path} already exists")
     dest = _existing(spark, spec.dest)
     if dest is not None and spec.check_columns:
         _require_same_columns(spark, _outgoing(source, spec), dest)
 
     counters = Counters()
     with counters.timed("select"):
-        archived, root = _split(source, match, spec, counters, scratch)
+        if spec.no_delete:
+            archived, keep = _copy(source, spec, counters, scratch), None
+        else:
+            archived, keep = _split(source, archive_match(source, spec), spec, counters, scratch)
     if archived is not None:
         if spec.keys:
             result.manifest = chunk_manifest(
@@ -147,13 +159,14 @@ def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveRes
             with counters.timed("file"):
                 result.files_path = _write_files(rows, spec)
             counters.add_rows("file", rows.count())
-        _return_spared(archived, root, spec, counters, scratch)
-    if not spec.no_delete:
-        result.kept_path = f"{root}/{SIDE}=keep"
-        if archived is not None:
-            drop_path(spark, f"{root}/{SIDE}=archive")
-
-    _upkeep(spark, spec, result, counters)
+        if keep is not None:
+            _return_spared(archived, keep, spec, counters, scratch)
+
+    # everything else is done and checked: only now the kept rows appear
+    _optimize_dest(spark, spec, result, counters)
+    if keep is not None:
+        result.kept_path = _publish(spark, keep, spec, counters)
+    _analyze(spark, spec, result)
     result.statistics = counters.frame(spark)
     if spec.hooks.after_finish:
         spec.hooks.after_finish(result.statistics)
@@ -178,8 +191,7 @@ def _existing(spark: SparkSession, dest: SourceSpec | None) -> DataFrame | None:
     if dest is None:
         return None
     if dest.path:
-        target = spark._jvm.org.apache.hadoop.fs.Path(dest.path)
-        if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        if not path_exists(spark, dest.path):
             return None
     elif not dest.url and not spark.catalog.tableExists(f"{dest.database}.{dest.table}"):
         return None
@@ -206,15 +218,42 @@ def _figures(verify: bool) -> list[Column]:
     return figures
 
 
+def _chosen(source: DataFrame, spec: ArchiveSpec) -> DataFrame:
+    """The rows to archive with the columns that later steps use.
+
+    Filter and columns stand directly above the scan, which decides and reads no more than
+    it must.
+    """
+    chosen = source.where(archive_condition(source, spec))
+    if spec.hooks.before_insert is not None:
+        return chosen
+    needed = [*_outgoing(source, spec).columns, *spec.keys, *([spec.file_ts] if spec.file_ts else [])]
+    return chosen.select(*dict.fromkeys(needed))
+
+
+def _copy(source: DataFrame, spec: ArchiveSpec, counters: Counters, scratch: Scratch) -> DataFrame:
+    """The rows to archive of a job that deletes nothing, written once, so that every later
+    step sees the same."""
+    seen = Observation()
+    chosen = _chosen(source, spec)
+    archived = scratch.stage(chosen.observe(seen, F.count(F.lit(1)).alias("n_rows")), "copied")
+    if archived.count() != seen.get["n_rows"]:
+        raise RuntimeError("the files written do not hold the rows read")
+    counters.add_rows("select", seen.get["n_rows"])
+    return archived
+
+
 def _split(
     source: DataFrame, match: Column, spec: ArchiveSpec, counters: Counters, scratch: Scratch
 ) -> tuple[DataFrame | None, str]:
-    """Write the sides that are needed in one pass, and check the files against the rows
-    that were read.  Returns the archived rows, if kept at all, and the folder."""
+    """Write both sides (or the kept one) in one pass, beside ``kept_path``, and check the
+    files against the rows that were read.  Returns the archived rows, if kept at all, and
+    the folder of the kept ones."""
     spark = source.sparkSession
     columns = source.columns
-    wanted = ["keep"] if spec.purge else ["archive"] if spec.no_delete else ["archive", "keep"]
-    root = scratch.path("archive") if spec.no_delete else spec.kept_path.rstrip("/")
+    wanted = ["keep"] if spec.purge else ["archive", "keep"]
+    root = f"{spec.kept_path.rstrip('/')}.job-{uuid.uuid4().hex}"
+    scratch.paths.append(root)
 
     def hashed(rows: DataFrame) -> DataFrame:
         if not spec.verify:
@@ -240,26 +279,45 @@ def _split(
 
     archived = seen.get["n_rows_archive"]
     counters.add_rows("select", archived + seen.get["n_rows_keep"])
-    if not spec.no_delete:
-        counters.add_rows("delete", archived, calls=1)
+    counters.add_rows("delete", archived, calls=1)
+    keep = f"{root}/{SIDE}=keep"
     if spec.purge:
-        return None, root
-    return spark.read.schema(source.schema).parquet(f"{root}/{SIDE}=archive"), root
+        return None, keep
+    return spark.read.schema(source.schema).parquet(f"{root}/{SIDE}=archive"), keep
 
 
 def _return_spared(
-    archived: DataFrame, root: str, spec: ArchiveSpec, counters: Counters, scratch: Scratch
+    archived: DataFrame, keep: str, spec: ArchiveSpec, counters: Counters, scratch: Scratch
 ) -> None:
-    """Put back the rows that a before_delete hook took out of the set to delete."""
+    """Put back the rows that a before_delete hook took out of the set to delete.
+
+    One count per distinct row tells both: below zero, the hook added the row; above zero,
+    it spared that many copies.
+    """
     hook = spec.hooks.before_delete
-    if hook is None or spec.no_delete:
+    if hook is None:
         return
-    chosen = scratch.stage(archived.transform(hook).select(*archived.columns), "chosen")
-    if not delete_rows_exact(chosen, archived).isEmpty():
+    columns = archived.columns
+    chosen = archived.transform(hook).select(*columns).withColumn("_n", F.lit(-1).cast("long"))
+    signed = archived.withColumn("_n", F.lit(1).cast("long")).unionByName(chosen)
+    counts = scratch.stage(signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0"), "spared")
+    if not counts.where("_n < 0").isEmpty():
         raise ValueError("a before_delete hook may only remove rows from the set")
-    spared = scratch.stage(delete_rows_exact(archived, chosen), "spared")
-    spared.write.mode("append").parquet(f"{root}/{SIDE}=keep")
-    counters.add_rows("delete", -spared.count())
+    one = F.lit(1).cast("long")
+    spared = multiply(counts, one, F.col("_n"), "_copy").select(*columns)
+    spared.write.mode("append").parquet(keep)
+    counters.add_rows("delete", -(counts.agg(F.sum("_n").alias("n")).first()["n"] or 0))
+
+
+def _publish(spark: SparkSession, keep: str, spec: ArchiveSpec, counters: Counters) -> str:
+    """The kept rows as plain files in exactly ``kept_path``."""
+    path = spec.kept_path.rstrip("/")
+    if "s" in (spec.optimize or ""):
+        with counters.timed("optimize"):
+            compact(spark, keep, path, keys=spec.keys)
+    else:
+        move_path(spark, keep, path)
+    return path
 
 
 def _insert(
@@ -281,62 +339,137 @@ def _insert(
             "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]
         ).select(*dest.columns)
 
+    if spec.replace:
+        rows = scratch.stage(settle(rows, [list(spec.keys)], (), last=True), "settled")
     if spec.replace and dest is not None:
         if not target.path:
             raise ValueError("replace rewrites the destination and needs one given by path")
-        merged = replace_into(dest, rows, list(spec.keys))
-        path = f"{target.path.rstrip('/')}.{new_path(scratch.spark, "v").rsplit('-', 1)[-1]}"
-        merged.write.format(target.format).save(path)
+        path = f"{target.path.rstrip('/')}.v-{uuid.uuid4().hex}"
+        seen = Observation()
+        merged = replace_into(dest, rows, list(spec.keys)).observe(seen, *_sums(dest.columns, spec.verify))
+        merged.write.format(target.format).options(**target.options).save(path)
+        _require_arrived(read_source(rows.sparkSession, replace(target, path=path)), seen.get, spec.verify)
         counters.add_rows("insert", rows.count())
         return path
-    if spec.keys and spec.unique_keys and dest is not None:
-        fresh = scratch.stage(new_rows(dest, rows, list(spec.keys)), "fresh")
-        if not spec.ignore and fresh.count() != rows.count():
+    if spec.keys and spec.unique_keys and (dest is not None or spec.ignore):
+        fresh = scratch.stage(new_rows(rows.limit(0) if dest is None else dest, rows, list(spec.keys)), "fresh")
+        left_out = rows.count() - fresh.count()
+        if not spec.ignore and left_out:
             raise ValueError("rows conflict with the destination's keys; use ignore or replace")
+        if spec.ignore:
+            counters.add_rows("ignored", left_out)
         rows = fresh
-    elif spec.ignore:
-        rows = new_rows(rows.limit(0), rows, list(spec.keys))
+    _append(rows, dest, target, spec.verify)
+    counters.add_rows("insert", rows.count())
+    return target.path
+
+
+def _sums(columns: Sequence[str], verify: bool) -> list[Column]:
+    """The number of rows and, to verify, the sums of checksum pieces."""
+    pieces = row_pieces(list(columns)) if verify else ()
+    return [F.count(F.lit(1)).alias("n_rows"), *(F.sum(p).alias(f"sum{i}") for i, p in enumerate(pieces))]
 
+
+def _require_arrived(there: DataFrame, sent: Mapping[str, object], verify: bool) -> None:
+    found = there.agg(*_sums(there.columns, verify)).first().asDict()
+    if found != dict(sent):
+        raise RuntimeError(f"the destination does not hold the rows sent: {found} instead of {dict(sent)}")
+
+
+def _append(rows: DataFrame, dest: DataFrame | None, target: SourceSpec, verify: bool) -> None:
+    """Add rows to the destination, then look there for them.
+
+    Of a folder only the new files are read; a table's rows are counted before and after.
+    """
+    spark = rows.sparkSession
+    seen = Observation()
+    sent = rows.observe(seen, *_sums(rows.columns, verify))
+    if target.path:
+        before = set(dest.inputFiles()) if dest is not None else set()
+        _write(sent, target)
+        reader = spark.read.format(target.format).options(**target.options)
+        added = [f for f in reader.load(target.path).inputFiles() if f not in before]
+        there = reader.schema(rows.schema).load(added) if added else rows.limit(0)
+        _require_arrived(there, seen.get, verify)
+        return
+    had = dest.count() if dest is not None else 0
+    _write(sent, target)
+    has = read_source(spark, target).count()
+    if has - had != seen.get["n_rows"]:
+        raise RuntimeError(f"the destination got {has - had} rows instead of {seen.get['n_rows']}")
+
+
+def _write(rows: DataFrame, target: SourceSpec) -> None:
     if target.url:
         rows.write.mode("append").format("jdbc").options(**jdbc_options(target)).save()
     elif target.path:
         rows.write.mode("append").format(target.format).options(**target.options).save(target.path)
     else:
         rows.write.mode("append").saveAsTable(f"{target.database}.{target.table}")
-    counters.add_rows("insert", rows.count())
-    return target.path
 
 
 def _write_files(rows: DataFrame, spec: ArchiveSpec) -> str:
+    """Archive files by the template, checked by their number of lines."""
     names = (spec.source.database, spec.source.table)
+    csv = spec.output_format == "csv"
+    line = csv_line if csv else dump_line
+    # a record has as many lines as its text has line feeds, and one
+    breaks = F.length("line") - F.length(F.replace("line", F.lit("\n"), F.lit(""))) + 1
+    seen = Observation()
     if spec.file_ts is None:
         path = render_name(spec.file, dt.datetime.now(dt.timezone.utc), *names)
-        export = export_dump if spec.output_format == "dump" else export_csv
-        export(rows, path, header=spec.header)
+        lines = rows.select(line(rows.schema).alias("line")).observe(seen, F.sum(breaks).alias("n"))
+        write_lines(lines, path, header_line(rows.columns, csv) if spec.header else None)
+        _require_lines(rows.sparkSession, path, seen, spec.header)
         return path
-    folder, _, template = spec.file.rpartition("/")
-    line = dump_line if spec.output_format == "dump" else csv_line
+    # a column per folder level of the template, from the first one with a code
+    folder = fixed_folder(spec.file)
+    levels = spec.file[len(folder) :].strip("/").split("/")
+    columns = [f"archive_{i}" for i in range(len(levels) - 1)] + ["archive_file"]
     routed = rows.select(
         line(rows.schema).alias("line"),
-        archive_name(F.col(spec.file_ts), template, *names).alias("archive_file"),
-    )
-    routed.hint("rebalance", F.col("archive_file")).write.partitionBy("archive_file").text(folder)
+        *(archive_name(F.col(spec.file_ts), t, *names).alias(c) for t, c in zip(levels, columns)),
+    ).observe(seen, F.sum(breaks).alias("n"))
+    routed = routed.hint("rebalance", *[F.col(c) for c in columns])
+    if spec.header:
+        # a file begins where a task's rows, sorted by file, come to another one
+        header = header_line(rows.columns, csv)
+        placed = routed.sortWithinPartitions(*columns).withColumn("_at", F.monotonically_increasing_id())
+        same_file = W.partitionBy(F.shiftright("_at", 33), *columns).orderBy("_at")
+        first = F.row_number().over(same_file) == 1
+        text = F.when(first, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
+        routed = placed.withColumn("line", text).drop("_at")
+    routed.write.partitionBy(*columns).option("maxRecordsPerFile", 0).text(folder)
+    _require_lines(rows.sparkSession, folder, seen, spec.header)
     return folder
 
 
-def _upkeep(
+def _require_lines(spark: SparkSession, path: str, seen: Observation, header: bool) -> None:
+    read = spark.read.option("lineSep", "\n").text(path).select(F.input_file_name().alias("file"))
+    found = read.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file").alias("files")).first()
+    expected = (seen.get["n"] or 0) + (found["files"] if header else 0)
+    if found["n"] != expected:
+        raise RuntimeError(f"the files hold {found['n']} lines instead of {expected}")
+
+
+def _optimize_dest(
     spark: SparkSession, spec: ArchiveSpec, result: ArchiveResult, counters: Counters
 ) -> None:
-    paths = {"s": result.kept_path, "d": result.dest_path}
-    for place in spec.optimize or "":
-        if paths[place]:
-            with counters.timed("optimize"):
-                tidy = f"{paths[place]}.compact"
-                compact(spark, paths[place], tidy, keys=spec.keys)
-            paths[place] = tidy
-    result.kept_path, result.dest_path = paths["s"], paths["d"]
+    """Compact the destination into a folder of its own, which the result names."""
+    if "d" not in (spec.optimize or "") or not result.dest_path:
+        return
+    with counters.timed("optimize"):
+        tidy = f"{spec.dest.path.rstrip('/')}.compact-{uuid.uuid4().hex}"
+        compact(spark, result.dest_path, tidy, keys=spec.keys, format=spec.dest.format)
+    result.dest_path = tidy
+
+
+def _analyze(spark: SparkSession, spec: ArchiveSpec, result: ArchiveResult) -> None:
     for place in spec.analyze or "":
-        if paths[place]:
-            result.analysis[place] = analyze_columns(spark.read.parquet(paths[place]))
+        if place == "s" and result.kept_path:
+            result.analysis[place] = analyze_columns(spark.read.parquet(result.kept_path), exact_distinct=False)
+        elif place == "d" and result.dest_path:
+            table = read_source(spark, replace(spec.dest, path=result.dest_path))
+            result.analysis[place] = analyze_columns(table, exact_distinct=False)
         elif place == "d" and spec.dest and not spec.dest.url:
             analyze_table(read_source(spark, spec.dest), f"{spec.dest.database}.{spec.dest.table}")

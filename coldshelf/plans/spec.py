@@ -7,7 +7,8 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 
-from coldshelf.sources.endpoints import SourceSpec, check_endpoints
+from coldshelf.sources.endpoints import SourceSpec, check_endpoints, inside
+from coldshelf.sources.templates import fixed_folder
 
 Hook = Callable[[DataFrame], DataFrame]
 
@@ -79,6 +80,10 @@ class ArchiveSpec:
                 (self.ignore or self.replace) and not self.keys,
                 "ignore and replace need keys",
             ),
+            (
+                (self.ignore or self.replace) and not self.unique_keys,
+                "ignore and replace need unique keys",
+            ),
             (self.primary_key_only and not self.keys, "primary_key_only needs keys"),
             (
                 not self.no_delete and not self.kept_path,
@@ -88,4 +93,20 @@ class ArchiveSpec:
         for broken, message in rules:
             if broken:
                 raise ValueError(message)
+        self._require_apart(dest)
         return replace(self, dest=dest)
+
+    def _require_apart(self, dest: SourceSpec | None, form=str) -> None:
+        """No folder that the job writes may hold, or lie in, the source's folder.
+
+        ``form`` brings paths into one form; a session's file systems know more than the
+        text does.
+        """
+        if not self.source.path:
+            return
+        written = {"dest": dest and dest.path, "file": self.file and fixed_folder(self.file), "kept_path": self.kept_path}
+        for name, path in written.items():
+            if path and (
+                inside(form(path), form(self.source.path)) or name != "file" and inside(form(self.source.path), form(path))
+            ):
+                raise ValueError(f"{name} must not be a folder of the source: {path}")

@@ -7,8 +7,10 @@ read it, and as Parquet so that later passes read only the columns they need.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +32,10 @@ def workspace(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].paths.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -68,8 +73,10 @@ class Scratch:
         self.paths: list[str] = []
 
     def path(self, label: str) -> str:
-        self.paths.append(new_path(self.spark, label))
-        return self.paths[-1]
+        path = new_path(self.spark, label)
+        if path not in self.paths:
+            self.paths.append(path)
+        return path
 
     def stage(self, df: DataFrame, label: str) -> DataFrame:
         path = self.path(label)
@@ -81,7 +88,39 @@ class Scratch:
             drop_path(self.spark, path)
 
 
+_scopes: list[Scratch] = []
+
+
+@contextlib.contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """Own every table staged inside the block, and remove them when it is left.
+
+    A DataFrame returned by an operator may read such tables: write or collect it inside
+    the block.  Without a block, tables stay until the folder is cleared by its owner.
+    """
+    scope = Scratch(spark)
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        scope.clear()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder this job wrote, on whatever file system it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def move_path(spark: SparkSession, path: str, new: str) -> None:
+    """Give a folder this job wrote its final name, on the same file system."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, new))
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(target) or not system.rename(source, target):
+        raise RuntimeError(f"{path} could not become {new}")

@@ -31,8 +31,19 @@ def _escaped(column: Column, specials: Sequence[str]) -> Column:
     return out
 
 
+def _is_nested(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
 def _is_text(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.StringType, T.BinaryType))
+    return isinstance(kind, (T.StringType, T.BinaryType)) or _is_nested(kind)
+
+
+def _text(field: T.StructField) -> Column:
+    """A field as text; arrays, maps and structs are JSON."""
+    if _is_nested(field.dataType):
+        return F.to_json(F.col(field.name), {"ignoreNullFields": "false"})
+    return F.col(field.name).cast("string")
 
 
 def dump_line(schema: T.StructType) -> Column:
@@ -41,9 +52,7 @@ def dump_line(schema: T.StructType) -> Column:
         "\t",
         *[
             F.coalesce(
-                _escaped(F.col(f.name).cast("string"), ["\t", "\n"])
-                if _is_text(f.dataType)
-                else F.col(f.name).cast("string"),
+                _escaped(_text(f), ["\t", "\n"]) if _is_text(f.dataType) else _text(f),
                 F.lit(_NULL),
             )
             for f in schema.fields
@@ -58,9 +67,7 @@ def csv_line(schema: T.StructType) -> Column:
         ",",
         *[
             F.coalesce(
-                F.concat(quote, _escaped(F.col(f.name).cast("string"), ['"']), quote)
-                if _is_text(f.dataType)
-                else F.col(f.name).cast("string"),
+                F.concat(quote, _escaped(_text(f), ['"']), quote) if _is_text(f.dataType) else _text(f),
                 F.lit(_NULL),
             )
             for f in schema.fields
@@ -80,19 +87,31 @@ def csv_lines(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return rows.select(csv_line(rows.schema).alias("line"))
 
 
-def _with_header(lines: DataFrame, header: str) -> DataFrame:
-    """Put the header before the first row of every partition, hence of every file."""
+def _with_header(lines: DataFrame, header: str, rows_per_file: int) -> DataFrame:
+    """Put the header before the first row of every file.
+
+    A task begins a new file after each ``rows_per_file`` rows.
+    """
     row_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     first = F.concat(F.lit(header + "\n"), F.col("line"))
-    return lines.select(F.when(row_in_partition == 0, first).otherwise(F.col("line")).alias("line"))
+    begins = row_in_partition % rows_per_file == 0 if rows_per_file > 0 else row_in_partition == 0
+    return lines.select(F.when(begins, first).otherwise(F.col("line")).alias("line"))
 
 
-def _write(lines: DataFrame, path: str, header: str | None, mode: str, rows_per_file: int) -> None:
-    if header is None:
-        lines.write.mode(mode).option("maxRecordsPerFile", rows_per_file).text(path)
-    else:
-        # one file per partition, so that each file has exactly one header
-        _with_header(lines, header).write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+def write_lines(
+    lines: DataFrame, path: str, header: str | None, mode: str = "errorifexists", rows_per_file: int = 1_000_000
+) -> None:
+    """Write finished lines as text files, each with the header if there is one."""
+    if header is not None:
+        lines = _with_header(lines, header, rows_per_file)
+    lines.write.mode(mode).option("maxRecordsPerFile", rows_per_file).text(path)
+
+
+def header_line(columns: Sequence[str], csv: bool = False) -> str:
+    """The line that names the fields."""
+    if csv:
+        return ",".join('"' + n.replace("\\", "\\\\").replace('"', '\\"') + '"' for n in columns)
+    return "\t".join(n.replace("\\", "\\\\").replace("\t", "\\\t").replace("\n", "\\\n") for n in columns)
 
 
 def export_dump(
@@ -103,10 +122,9 @@ def export_dump(
     mode: str = "errorifexists",
     rows_per_file: int = 1_000_000,
 ) -> None:
-    """Write rows in dump format, at most ``rows_per_file`` in one file (without header)."""
-    names = list(cols or df.columns)
-    line = "\t".join(n.replace("\\", "\\\\").replace("\t", "\\\t").replace("\n", "\\\n") for n in names)
-    _write(dump_lines(df, cols), path, line if header else None, mode, rows_per_file)
+    """Write rows in dump format, at most ``rows_per_file`` in one file."""
+    line = header_line(cols or df.columns) if header else None
+    write_lines(dump_lines(df, cols), path, line, mode, rows_per_file)
 
 
 def export_csv(
@@ -118,9 +136,8 @@ def export_csv(
     rows_per_file: int = 1_000_000,
 ) -> None:
     """Write rows as CSV with optionally enclosed fields."""
-    names = list(cols or df.columns)
-    line = ",".join('"' + n.replace("\\", "\\\\").replace('"', '\\"') + '"' for n in names)
-    _write(csv_lines(df, cols), path, line if header else None, mode, rows_per_file)
+    line = header_line(cols or df.columns, csv=True) if header else None
+    write_lines(csv_lines(df, cols), path, line, mode, rows_per_file)
 
 
 def _join_continued():
@@ -236,14 +253,11 @@ def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
         return column
 
     fields = records.select(F.split(marked, "\t", -1).alias("_f"))
-    return fields.select(
-        *[
-            F.when(F.get("_f", F.lit(i)) != _NULL, restore(F.get("_f", F.lit(i))))
-            .cast(f.dataType)
-            .alias(f.name)
-            for i, f in enumerate(schema.fields)
-        ]
-    )
+    def typed(i: int, kind: T.DataType) -> Column:
+        text = F.when(F.get("_f", F.lit(i)) != _NULL, restore(F.get("_f", F.lit(i))))
+        return F.from_json(text, kind) if _is_nested(kind) else text.cast(kind)
+
+    return fields.select(*[typed(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 
 
 def import_dump(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -38,11 +40,32 @@ class SourceSpec:
 
     def same_place(self, other: SourceSpec) -> bool:
         def place(s: SourceSpec):
-            return (s.path.rstrip("/"),) if s.path else (s.url, s.database, s.table)
+            return (plain_path(s.path),) if s.path else (s.url, s.database, s.table)
 
         return place(self) == place(other)
 
 
+def plain_path(path: str) -> str:
+    """A path without the forms in which it can be written: ``file:``, double and last slashes."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        scheme, rest = "", path
+    authority = re.match(r"//[^/]+", rest)
+    named = f"{scheme}:{authority[0]}" if authority else "" if scheme in ("", "file") else f"{scheme}:"
+    return named + posixpath.normpath("/" + rest.removeprefix(authority[0] if authority else "").lstrip("/"))
+
+
+def inside(path: str, folder: str) -> bool:
+    """Is ``path`` the folder itself or below it?"""
+    return f"{plain_path(path)}/".startswith(f"{plain_path(folder)}/")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as its file system writes it, with scheme and host."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def check_endpoints(source: SourceSpec, dest: SourceSpec | None = None) -> SourceSpec | None:
     """Validate a pair of endpoints and return the completed destination."""
     if not source.table:
@@ -80,14 +103,19 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     return spark.table(f"{spec.database}.{spec.table}" if spec.database else spec.table)
 
 
-def jdbc_predicates(manifest: DataFrame, keys: Sequence[str], partitions: int = 200) -> list[str]:
+def jdbc_predicates(
+    manifest: DataFrame, keys: Sequence[str], partitions: int | None = None, range_rows: int = 1_000_000
+) -> list[str]:
     """WHERE conditions that cut a table into at most ``partitions`` key ranges.
 
-    Neighbouring chunks of the manifest share a range.  The first range is open below
+    Unless given, there are as many as make ranges of ``range_rows`` rows.  Neighbouring chunks of the manifest share a range.  The first range is open below
     and the last one above, so rows that arrived since the manifest was made are read.
     Only the lower edges of the ranges, ``partitions`` rows, come to the driver.
     """
     count = manifest.agg(F.count(F.lit(1)).alias("n")).scalar()
+    if partitions is None:
+        rows = manifest.agg(F.sum("n_rows").alias("n")).first()["n"] or 0
+        partitions = max(1, -(-int(rows) // range_rows))
     edges = (
         manifest.withColumn("_n", count)
         .withColumn("_range", F.expr(f"chunk_id * {int(partitions)} DIV _n"))

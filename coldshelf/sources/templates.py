@@ -44,6 +44,12 @@ def archive_by_template(
     return df.withColumn(name_col, archive_name(ts, template, db, table))
 
 
+def fixed_folder(template: str) -> str:
+    """The folders of a path template that come before its first code."""
+    code = re.search(r"%[dHimsYDt]", template)
+    return template if code is None else template[: code.start()].rpartition("/")[0]
+
+
 def write_by_template(
     routed: DataFrame, path: str, format: str = "parquet", name_col: str = "archive_file"
 ) -> None:

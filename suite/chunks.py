@@ -253,19 +253,26 @@ def counter_deltas(spark, sf):
     return stats.counter_deltas(samples, ["user_id", "event_type"], "ts", ["value"])
 
 
+_ODD_TIME = """CASE WHEN event_id % 997 = 0 THEN NULL
+    WHEN event_id % 991 = 1 THEN ts - INTERVAL '400' DAY ELSE ts END"""
+
+
 @suite.add(
     "counter_deltas_hot",
-    """WITH p AS (SELECT event_id, event_type, event_id * 7 % 1000 AS hits,
-                    lag(event_id * 7 % 1000) OVER w AS ph
-                  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts))
-       SELECT event_id, event_type, hits, CASE WHEN hits >= ph THEN hits - ph END AS hits_delta FROM p""",
+    f"""WITH e AS (SELECT event_id, event_type, {_ODD_TIME} AS ts, event_id * 7 % 1000 AS hits FROM events),
+             p AS (SELECT *, lag(hits) OVER w AS ph, lag(ts) OVER w AS pt
+                   FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts NULLS FIRST, hits))
+       SELECT event_id, event_type, ts, hits, CASE WHEN hits >= ph THEN hits - ph END AS hits_delta,
+              CASE WHEN hits >= ph AND ts > pt THEN
+                (hits - ph) / ((epoch_us(ts) - epoch_us(pt)) / 1e6::DOUBLE) END AS hits_rate
+       FROM p""",
 )
 def counter_deltas_hot(spark, sf):
-    """Few devices with many samples each, cut into spans."""
+    """Few devices with many samples each, cut into spans; some without a time, some long ago."""
     samples = table(spark, sf, "events").selectExpr(
-        "event_id", "event_type", "ts", "event_id * 7 % 1000 AS hits"
+        "event_id", "event_type", f"{_ODD_TIME} AS ts", "event_id * 7 % 1000 AS hits"
     )
-    return stats.counter_deltas(samples, ["event_type"], "ts", ["hits"], max_group=300).drop("ts", "hits_rate")
+    return stats.counter_deltas(samples, ["event_type"], "ts", ["hits"], max_group=300)
 
 
 _FKS = [

@@ -390,7 +390,7 @@ def typed_columns(spark, sf):
     )
 
 
-_ITEMS = "CASE WHEN turn % 5 = 4 THEN NULL ELSE concat(role, ',\\N\\', substr(text, 1, turn * 9)) END"
+_ITEMS = "CASE WHEN turn % 5 = 4 THEN NULL ELSE concat(role, ',\\N\\', text) END"
 _ESCAPED = "coalesce(replace(replace(v, '\\', '\\\\'), ',', '\\,'), '\\N')"
 
 
@@ -402,7 +402,7 @@ def _items(spark, sf):
 
 @suite.add(
     "group_serialize",
-    f"""SELECT conv_id, 0 AS part, count(*) AS n_items, string_agg({_ESCAPED}, ',' ORDER BY turn) AS items
+    f"""SELECT conv_id, 0 AS part, 1 AS first_pos, count(*) AS n_items, string_agg({_ESCAPED}, ',' ORDER BY turn) AS items
         FROM (SELECT conv_id, turn, {_ITEMS} AS v FROM conversations) GROUP BY conv_id""",
 )
 def group_serialize(spark, sf):
@@ -413,7 +413,7 @@ def group_serialize(spark, sf):
     "group_serialize_parts",
     """WITH n AS (SELECT event_type, user_id, event_id,
                     row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS i FROM events)
-       SELECT event_type, i // 1000 AS part, count(*) AS n_items,
+       SELECT event_type, i // 1000 AS part, min(i) + 1 AS first_pos, count(*) AS n_items,
               string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY i) AS items
        FROM n GROUP BY 1, 2""",
 )
@@ -430,7 +430,21 @@ def group_serialize_parts(spark, sf):
 )
 def explode_serialized(spark, sf):
     packed = lists.group_serialize(_items(spark, sf), ["conv_id"], "v", ["turn"])
-    return lists.explode_serialized(packed.select("conv_id", "items"), "items")
+    return lists.explode_serialized(packed.drop("part", "n_items"), "items", first_pos="first_pos")
+
+
+@suite.add(
+    "explode_serialized_parts",
+    """SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS pos,
+              CAST(user_id AS VARCHAR) AS item
+       FROM events""",
+)
+def explode_serialized_parts(spark, sf):
+    """Lists in several parts, cut by items and by bytes."""
+    packed = lists.group_serialize(
+        table(spark, sf, "events"), ["event_type"], "user_id", ["event_id"], max_items=700, max_bytes=3000
+    )
+    return lists.explode_serialized(packed.drop("part", "n_items"), "items", first_pos="first_pos")
 
 
 _QUALIFIED = """CASE s_suppkey % 4 WHEN 0 THEN s_name WHEN 1 THEN concat('db', s_nationkey, '.', s_name)
