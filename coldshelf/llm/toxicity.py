@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coldshelf.llm.batches import slices, texts
+from coldshelf.plans.staging import stage
 
 _PUNCTUATION = bytes(b for b in range(128) if not chr(b).isalnum())
 _TABLE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
@@ -60,20 +61,6 @@ class Classifier:
 # -- training -----------------------------------------------------------------------
 
 
-def _chosen_words(positive: list[np.ndarray], unlabelled: list[np.ndarray], most: int, least_texts: int) -> np.ndarray:
-    """Words whose share of the toxic texts stands out from that of the unlabelled ones."""
-    words, counts = np.unique(np.concatenate(positive), return_counts=True)
-    words, counts = words[counts >= least_texts], counts[counts >= least_texts]
-    other, other_counts = np.unique(np.concatenate(unlabelled), return_counts=True)
-    at = np.minimum(np.searchsorted(other, words), len(other) - 1)
-    there = np.where(other[at] == words, other_counts[at], 0)
-    n, m = len(positive), len(unlabelled)
-    p, u = counts / n, there / m
-    middle = (counts + there) / (n + m)
-    z = (p - u) / np.sqrt(middle * (1 - middle) * (1 / n + 1 / m) + 1e-12)
-    return np.sort(words[np.argsort(-z, kind="stable")[:most]][np.sort(-z)[:most] < -4])
-
-
 def _matrix(words: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the known words of each row."""
     flat = np.concatenate(rows)
@@ -87,21 +74,19 @@ def train(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
     prior: float,
+    words: np.ndarray,
     *,
     epochs: int = 1500,
     rate: float = 0.05,
     decay: float = 1e-5,
-    most_words: int = 4096,
-    least_texts: int = 4,
 ) -> Classifier:
-    """A linear classifier by the non-negative risk with the sigmoid loss and Adam steps."""
-    none = np.zeros(0, dtype=np.int64)
+    """A linear classifier over ``words`` (sorted hashes) by the non-negative risk.
+
+    The loss is the sigmoid loss, the steps are Adam's.
+    """
     start = float(np.log(prior / (1 - prior)))
-    if not positive or not unlabelled:
-        return Classifier(none, np.zeros(0), start)
-    words = _chosen_words(positive, unlabelled, most_words, least_texts)
-    if not len(words):
-        return Classifier(none, np.zeros(0), start)
+    if not positive or not unlabelled or not len(words):
+        return Classifier(np.zeros(0, dtype=np.int64), np.zeros(0), start)
     (pr, pc), (ur, uc) = _matrix(words, positive), _matrix(words, unlabelled)
     n, m, k = len(positive), len(unlabelled), len(words)
     w = np.zeros(k + 1)
@@ -125,6 +110,7 @@ def train(
         gradient[:k] += decay * w[:k]
         mean, square = 0.9 * mean + 0.1 * gradient, 0.999 * square + 0.001 * gradient**2
         w -= rate * (mean / (1 - 0.9**epoch)) / (np.sqrt(square / (1 - 0.999**epoch)) + 1e-8)
+        w[:k] = np.maximum(w[:k], 0)  # a word may speak for toxicity only
     return Classifier(words, w[:k], float(w[k]))
 
 
@@ -133,7 +119,7 @@ def training_rows(docs: DataFrame, id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
 
 
-def sample_words(
+def sample_texts(
     docs: DataFrame,
     labels: DataFrame,
     *,
@@ -142,42 +128,81 @@ def sample_words(
     label_col: str,
     max_positive: int,
     max_unlabelled: int,
-) -> tuple[list[np.ndarray], list[np.ndarray], float]:
-    """Word hashes of sampled toxic and unlabelled texts, and the share of toxic labels.
+) -> tuple[DataFrame, float]:
+    """Words of sampled toxic and unlabelled texts, and the share of toxic labels.
 
-    The sample is by hash of the id, as large as the two bounds at most; it is all that
-    the driver gets.  The share is counted over all labels that may be learnt.
+    Rows are (id, toxic, words), written once.  The sample is by hash of the id and no
+    larger than the two bounds, so its ids can go to every task and texts are not shuffled.
+    The share is counted over all labels that may be learnt.
     """
-    marks = labels.select(F.col(id_col).alias("mark_id"), F.col(label_col).alias("mark")).where(
-        training_rows(labels.select(F.col(id_col).alias("mark_id")), "mark_id")
-    )
-    marks = marks.where("mark IS NOT NULL").groupBy("mark_id").agg(F.max("mark").alias("mark"))
-    share = marks.agg(F.avg("mark").alias("share"), F.sum("mark").alias("toxic")).first()
-    usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
-        F.col("id").isNotNull() & training_rows(docs, "id")
-    )
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("mark"))
+    marks = marks.where(training_rows(marks, "id") & F.col("mark").isNotNull())
+    marks = marks.groupBy("id").agg(F.max("mark").alias("mark"))
+    share = marks.agg(F.avg("mark").alias("share")).first()["share"] or 0.0
+    ids = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
+    ids = ids.where(training_rows(ids, "id")).join(marks, "id", "left")
+    toxic, unknown = ids.where("mark = 1"), ids.where("mark IS NULL")
     place = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30))
-    unmarked = usable.count() - marks.count()
 
-    def bound(most: int, there: int) -> int:
-        return min(1 << 30, int((1 << 30) * most / max(1, there)) + 1)
+    def bounded(rows: DataFrame, most: int) -> DataFrame:
+        # a little more than the bound by hash, then the bound
+        limit = min(1 << 30, int((1 << 30) * 1.2 * most / max(1, rows.count())) + 1)
+        return rows.where(place < limit).orderBy(place, "id").limit(most).select("id")
 
-    def words(rows: DataFrame, most: int, there: int) -> list[np.ndarray]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for batch in slices(whole, "text"):
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").cast(pa.string()), pa.array([word_hashes(t).tobytes() for t in texts(batch, "text")], pa.binary())], ["id", "words"]
-                    )
+    chosen = stage(
+        bounded(toxic, max_positive).withColumn("toxic", F.lit(1))
+        .unionByName(bounded(unknown, max_unlabelled).withColumn("toxic", F.lit(0))),
+        "sample",
+    )
+    texts_in = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
 
-        few = rows.where(place < bound(most, there)).select("id", "text").limit(most)
-        found = few.mapInArrow(run, "id string, words binary").orderBy("id", "words").collect()
-        return [np.frombuffer(r["words"], dtype=np.int64) for r in found]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                words = pa.array([word_hashes(t) for t in texts(batch, "text")], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("toxic"), words], ["id", "toxic", "words"])
+
+    sampled = texts_in.join(F.broadcast(chosen), "id").select("id", "toxic", "text")
+    return stage(sampled.mapInArrow(run, f"id {kind}, toxic int, words array<bigint>"), "words"), float(share)
+
+
+def choose_words(sample: DataFrame, most: int = 4096, least_texts: int = 4, least_z: float = 4.0) -> np.ndarray:
+    """Hashes, sorted, of the ``most`` words that stand out in toxic texts from unlabelled ones.
+
+    ``least_z`` is the least distance of the two shares in standard deviations.
+    """
+    sizes = sample.agg(F.sum("toxic").alias("n"), F.sum(1 - F.col("toxic")).alias("m")).first()
+    n, m = sizes["n"] or 0, sizes["m"] or 0
+    if not n or not m:
+        return np.zeros(0, dtype=np.int64)
+    counts = (
+        sample.select("toxic", F.explode("words").alias("word"))
+        .groupBy("word")
+        .agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("u"))
+        .where(F.col("p") >= least_texts)
+    )
+    middle = (F.col("p") + F.col("u")) / F.lit(float(n + m))
+    spread = F.sqrt(middle * (1 - middle) * F.lit(1 / n + 1 / m) + F.lit(1e-12))
+    z = (F.col("p") / F.lit(float(n)) - F.col("u") / F.lit(float(m))) / spread
+    found = counts.select("word", z.alias("z")).where(F.col("z") > least_z).orderBy(F.desc("z"), "word").limit(most)
+    return np.sort(np.array([r["word"] for r in found.collect()], dtype=np.int64))
+
+
+def _known_words(sample: DataFrame, words: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of every sampled toxic and unlabelled text the chosen words; all that the driver gets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column("words")
+            known = [w[np.isin(w, words)] for w in (own[i].values.to_numpy() for i in range(len(own)))]
+            known = pa.array(known, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("toxic"), known], ["id", "toxic", "words"])
 
-    marked = usable.join(marks, usable["id"] == marks["mark_id"], "left")
-    positive = words(marked.where("mark = 1"), max_positive, share["toxic"] or 0)
-    unlabelled = words(marked.where("mark_id IS NULL"), max_unlabelled, unmarked)
-    return positive, unlabelled, float(share["share"] or 0.0)
+    rows = sample.mapInArrow(run, sample.schema).collect()
+    rows.sort(key=lambda r: (str(r["id"]), len(r["words"])))  # the same order in every run
+    positive, unlabelled = ([np.array(r["words"], dtype=np.int64) for r in rows if r["toxic"] == t] for t in (1, 0))
+    return positive, unlabelled
 
 
 def toxicity_scores(
@@ -196,14 +221,16 @@ def toxicity_scores(
 
     Columns named in ``carry`` are handed on between the id and the others.  At most ``max_positive`` toxic and ``max_unlabelled`` unlabelled texts are learnt from.
     """
-    positive, unlabelled, share = sample_words(
+    sample, share = sample_texts(
         docs, labels, id_col=id_col, text_col=text_col, label_col=label_col,
         max_positive=max_positive, max_unlabelled=max_unlabelled,
     )
+    words = choose_words(sample)
+    positive, unlabelled = _known_words(sample, words)
     prior = min(0.9, max(0.001, share))
     # each classifier leaves out another share of the unlabelled texts
     models = [
-        train(positive, [u for i, u in enumerate(unlabelled) if classifiers == 1 or i % classifiers != c], prior)
+        train(positive, [u for i, u in enumerate(unlabelled) if classifiers == 1 or i % classifiers != c], prior, words)
         for c in range(classifiers)
     ]
     kind = docs.schema[id_col].dataType.simpleString()

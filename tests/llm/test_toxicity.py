@@ -64,7 +64,8 @@ def test_clean_marks_are_not_needed(spark):
     rows, toxic = corpus(800)
     positive = [t.word_hashes(x) for i, x in rows if toxic[i]][:60]
     unlabelled = [t.word_hashes(x) for i, x in rows][300:]
-    model = t.train(positive, unlabelled, 0.15)
+    words = np.unique(np.concatenate(positive))
+    model = t.train(positive, unlabelled, 0.15, words)
     scores = model.scores([t.word_hashes(x) for _, x in rows])
     assert np.mean((scores >= 0.5) == np.array([toxic[i] for i, _ in rows], dtype=bool)) > 0.95
 
