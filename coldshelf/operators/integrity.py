@@ -19,6 +19,29 @@ class ForeignKey:
     parent_cols: tuple[str, ...]
 
 
+def foreign_keys_of(catalog: DataFrame, child_names: DataFrame) -> list[ForeignKey]:
+    """The foreign keys that a catalog of column pairs describes.
+
+    ``catalog`` is what ``ddl_foreign_keys`` gives, ``child_names`` what ``ddl_tables`` gives
+    for the same texts (``src_id`` and the table's ``name``).  A key of several columns is one
+    key, its pairs in their order.  The catalog is as small as the schema it describes.
+    """
+    pair = F.struct("pos", "child_col", "parent_col")
+    keys = (
+        catalog.join(child_names.select("src_id", F.col("name").alias("child")), "src_id")
+        .groupBy("src_id", "child", "fk_name", "parent_table")
+        .agg(F.sort_array(F.collect_list(pair)).alias("pairs"))
+        .orderBy("src_id", "fk_name")
+    )
+    return [
+        ForeignKey(
+            r["fk_name"], r["child"], tuple(p["child_col"] for p in r["pairs"]),
+            r["parent_table"], tuple(p["parent_col"] for p in r["pairs"]),
+        )
+        for r in keys.collect()
+    ]
+
+
 def fk_integrity(tables: Mapping[str, DataFrame], foreign_keys: Sequence[ForeignKey]) -> DataFrame:
     """Per foreign key: child rows, rows with a NULL in the key, rows without a parent.
 

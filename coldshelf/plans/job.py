@@ -157,7 +157,10 @@ def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveRes
                 result.dest_path = _insert(rows, dest, spec, counters, scratch)
         if spec.file:
             with counters.timed("file"):
-                result.files_path = _write_files(rows, spec)
+                ts = spec.file_ts
+                # the time that routes rows need not be among the columns written
+                routed = archived.select(*rows.columns, ts) if ts and ts not in rows.columns else rows
+                result.files_path = _write_files(routed, rows.columns, spec)
             counters.add_rows("file", rows.count())
         if keep is not None:
             _return_spared(archived, keep, spec, counters, scratch)
@@ -408,8 +411,9 @@ def _write(rows: DataFrame, target: SourceSpec) -> None:
         rows.write.mode("append").saveAsTable(f"{target.database}.{target.table}")
 
 
-def _write_files(rows: DataFrame, spec: ArchiveSpec) -> str:
-    """Archive files by the template, checked by their number of lines."""
+def _write_files(rows: DataFrame, columns: Sequence[str], spec: ArchiveSpec) -> str:
+    """Archive files of some columns by the template, checked by their number of lines."""
+    schema = rows.select(*columns).schema
     names = (spec.source.database, spec.source.table)
     csv = spec.output_format == "csv"
     line = csv_line if csv else dump_line
@@ -418,28 +422,28 @@ def _write_files(rows: DataFrame, spec: ArchiveSpec) -> str:
     seen = Observation()
     if spec.file_ts is None:
         path = render_name(spec.file, dt.datetime.now(dt.timezone.utc), *names)
-        lines = rows.select(line(rows.schema).alias("line")).observe(seen, F.sum(breaks).alias("n"))
-        write_lines(lines, path, header_line(rows.columns, csv) if spec.header else None)
+        lines = rows.select(line(schema).alias("line")).observe(seen, F.sum(breaks).alias("n"))
+        write_lines(lines, path, header_line(schema.names, csv) if spec.header else None)
         _require_lines(rows.sparkSession, path, seen, spec.header)
         return path
     # a column per folder level of the template, from the first one with a code
     folder = fixed_folder(spec.file)
     levels = spec.file[len(folder) :].strip("/").split("/")
-    columns = [f"archive_{i}" for i in range(len(levels) - 1)] + ["archive_file"]
+    folders = [f"archive_{i}" for i in range(len(levels) - 1)] + ["archive_file"]
     routed = rows.select(
-        line(rows.schema).alias("line"),
-        *(archive_name(F.col(spec.file_ts), t, *names).alias(c) for t, c in zip(levels, columns)),
+        line(schema).alias("line"),
+        *(archive_name(F.col(spec.file_ts), t, *names).alias(c) for t, c in zip(levels, folders)),
     ).observe(seen, F.sum(breaks).alias("n"))
-    routed = routed.hint("rebalance", *[F.col(c) for c in columns])
+    routed = routed.hint("rebalance", *[F.col(c) for c in folders])
     if spec.header:
         # a file begins where a task's rows, sorted by file, come to another one
-        header = header_line(rows.columns, csv)
-        placed = routed.sortWithinPartitions(*columns).withColumn("_at", F.monotonically_increasing_id())
-        same_file = W.partitionBy(F.shiftright("_at", 33), *columns).orderBy("_at")
+        header = header_line(schema.names, csv)
+        placed = routed.sortWithinPartitions(*folders).withColumn("_at", F.monotonically_increasing_id())
+        same_file = W.partitionBy(F.shiftright("_at", 33), *folders).orderBy("_at")
         first = F.row_number().over(same_file) == 1
         text = F.when(first, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
         routed = placed.withColumn("line", text).drop("_at")
-    routed.write.partitionBy(*columns).option("maxRecordsPerFile", 0).text(folder)
+    routed.write.partitionBy(*folders).option("maxRecordsPerFile", 0).text(folder)
     _require_lines(rows.sparkSession, folder, seen, spec.header)
     return folder
 

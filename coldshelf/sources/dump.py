@@ -31,6 +31,13 @@ def _escaped(column: Column, specials: Sequence[str]) -> Column:
     return out
 
 
+# times inside of JSON keep their microseconds
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _is_nested(kind: T.DataType) -> bool:
     return isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
 
@@ -42,7 +49,7 @@ def _is_text(kind: T.DataType) -> bool:
 def _text(field: T.StructField) -> Column:
     """A field as text; arrays, maps and structs are JSON."""
     if _is_nested(field.dataType):
-        return F.to_json(F.col(field.name), {"ignoreNullFields": "false"})
+        return F.to_json(F.col(field.name), {"ignoreNullFields": "false", **_JSON})
     return F.col(field.name).cast("string")
 
 
@@ -255,7 +262,7 @@ def parse_records(records: DataFrame, schema: T.StructType) -> DataFrame:
     fields = records.select(F.split(marked, "\t", -1).alias("_f"))
     def typed(i: int, kind: T.DataType) -> Column:
         text = F.when(F.get("_f", F.lit(i)) != _NULL, restore(F.get("_f", F.lit(i))))
-        return F.from_json(text, kind) if _is_nested(kind) else text.cast(kind)
+        return F.from_json(text, kind, _JSON) if _is_nested(kind) else text.cast(kind)
 
     return fields.select(*[typed(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
 

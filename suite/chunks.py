@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from coldshelf.functions import ddl
 from coldshelf.operators import chunks, compare, integrity, stats
-from coldshelf.operators.integrity import ForeignKey
+from coldshelf.operators.integrity import ForeignKey, foreign_keys_of
 from coldshelf.operators.predicates import archive_select
 from coldshelf.sources.endpoints import SourceSpec, jdbc_predicates, read_source
 from suite.common import Suite, table
@@ -327,3 +328,36 @@ def tables_present(spark, sf):
     wanted = part.selectExpr("p_partkey AS id", "p_brand AS db", "p_type AS tbl")
     catalog = part.where("p_size < 25").selectExpr("upper(p_brand) AS db", "lower(p_type) AS tbl")
     return integrity.tables_present(wanted, catalog, lower_case_names=True)
+
+
+_FK_DDL = [
+    (
+        "lineitem",
+        "CONSTRAINT `line_order` FOREIGN KEY (`l_orderkey`) REFERENCES `orders` (`o_orderkey`)",
+        "CONSTRAINT `line_shipped` FOREIGN KEY (`l_partkey`,`l_suppkey`) REFERENCES `shipped` (`p`,`s`)",
+    ),
+    ("orders", "CONSTRAINT `order_line` FOREIGN KEY (`o_orderkey`) REFERENCES `lineitem` (`l_orderkey`)"),
+]
+
+
+@suite.add(
+    "fk_integrity_from_ddl",
+    """WITH shipped AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS s FROM lineitem WHERE l_linestatus = 'F')
+       SELECT 'line_order' AS fk, count(*) AS child_rows, 0 AS null_rows, count(*) FILTER (
+         NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey)) AS orphan_rows FROM lineitem
+       UNION ALL SELECT 'line_shipped', count(*), 0, count(*) FILTER (
+         NOT EXISTS (SELECT 1 FROM shipped WHERE p = l_partkey AND s = l_suppkey)) FROM lineitem
+       UNION ALL SELECT 'order_line', count(*), 0, count(*) FILTER (
+         NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)) FROM orders""",
+)
+def fk_integrity_from_ddl(spark, sf):
+    """From DDL texts to orphans."""
+    texts = [
+        (i, f"CREATE TABLE `{name}` (\n  `x` int,\n  " + ",\n  ".join(keys) + "\n) ENGINE=InnoDB DEFAULT CHARSET=utf8")
+        for i, (name, *keys) in enumerate(_FK_DDL)
+    ]
+    ddl_texts = spark.createDataFrame(texts, "src_id bigint, ddl string")
+    keys = foreign_keys_of(ddl.ddl_foreign_keys(ddl_texts), ddl.ddl_tables(ddl_texts))
+    lines = table(spark, sf, "lineitem")
+    shipped = lines.where("l_linestatus = 'F'").selectExpr("l_partkey AS p", "l_suppkey AS s")
+    return integrity.fk_integrity({"lineitem": lines, "orders": table(spark, sf, "orders"), "shipped": shipped}, keys)

@@ -167,3 +167,30 @@ def test_compaction_spreads_equal_keys(spark, folder):
         keys = [r.k for r in spark.read.parquet(str(part)).select("k").collect()]
         assert keys == sorted(keys)
     assert bag(compact(spark, f"{folder}/old", f"{folder}/plain", target_rows=600)) == bag(df)
+
+
+def test_headers_in_files_of_bounded_size(spark, folder):
+    rows = spark.range(25).selectExpr("id", "'x' AS t").coalesce(1)
+    dump.export_csv(rows, f"{folder}/csv", header=True, rows_per_file=10)
+    files = sorted(Path(f"{folder}/csv").glob("part-*"))
+    assert len(files) == 3
+    assert all(f.read_text().startswith('"id","t"\n') for f in files)
+    assert sum(len(f.read_text().splitlines()) - 1 for f in files) == 25
+
+
+def test_nested_values_in_lines(spark, folder):
+    frame = spark.createDataFrame(
+        [(1, ["a\tb", None, 'c"d,', "\\"], {"k\n": 2}, (7, None)), (2, None, None, None), (3, [], {}, (None, "x"))],
+        "id int, l array<string>, m map<string,int>, s struct<a:int,b:string>",
+    )
+    dump.export_dump(frame, f"{folder}/dump")
+    back = dump.import_dump(spark, f"{folder}/dump", frame.schema)
+    assert sorted(back.collect()) == sorted(frame.collect())
+    line = dump.csv_lines(frame.where("id = 1").select("id", "l")).first().line
+    assert line == '1,"[\\"a\\\\tb\\",null,\\"c\\\\\\"d,\\",\\"\\\\\\\\\\"]"'
+
+
+def test_ranges_follow_the_number_of_rows(spark):
+    manifest = spark.createDataFrame([(i, 100, {"id": i * 100}) for i in range(50)], "chunk_id bigint, n_rows bigint, lo struct<id:bigint>")
+    assert len(jdbc_predicates(manifest, ["id"], range_rows=1000)) == 5
+    assert len(jdbc_predicates(manifest, ["id"])) == 1

@@ -246,3 +246,167 @@ def test_a_job_clears_its_scratch(spark, job):
     run_archive(spark, replace(job, keys=(), unique_keys=False, bulk_insert=True))
     left = {p.name.split("-")[0] for p in set(Path(workspace(spark)).glob("*")) - before}
     assert left <= {"records"}  # the staged records of the import
+
+
+# -- a job that is run again, goes wrong or is given odd places -----------------------
+
+
+def test_ignore_and_replace_need_unique_keys(job):
+    for change in ({"ignore": True}, {"replace": True}):
+        with pytest.raises(ValueError, match="unique"):
+            replace(job, unique_keys=False, **change).validated()
+
+
+def test_kept_path_holds_the_kept_rows_and_nothing_else(spark, job, folder):
+    source = spark.read.parquet(job.source.path)
+    for optimize in (None, "s", "ds"):
+        spec = replace(job, optimize=optimize, kept_path=f"{folder}/kept-{optimize}", dest=SourceSpec(path=f"{folder}/d-{optimize}"))
+        result = run_archive(spark, spec)
+        assert result.kept_path == spec.kept_path
+        kept = spark.read.parquet(spec.kept_path)
+        assert kept.columns == source.columns
+        assert bag(kept) == bag(source.where("NOT v < 2 OR v IS NULL"))
+        assert bag(spark.read.parquet(result.dest_path)) == bag(source.where("v < 2"))
+    assert not list(Path(folder).glob("*.job-*"))
+
+
+def test_second_job_on_one_destination(spark, job, folder):
+    first = replace(job, optimize="d", ignore=True)
+    one = run_archive(spark, first)
+    two = run_archive(spark, replace(first, kept_path=f"{folder}/kept2"))
+    assert one.dest_path != two.dest_path
+    assert spark.read.parquet(two.dest_path).count() == 50
+    figures = {r.action: r.n_rows for r in two.statistics.collect()}
+    assert figures["ignored"] == 50 and figures["insert"] == 0
+
+
+@pytest.mark.parametrize("form", ["file:{0}/src", "file://{0}/src/", "{0}//src", "{0}/src/below", "{0}"])
+def test_nothing_is_written_into_the_source(spark, job, folder, form):
+    place = form.format(folder)
+    with pytest.raises(ValueError):
+        run_archive(spark, replace(job, dest=SourceSpec(path=place)))
+    with pytest.raises(ValueError):
+        run_archive(spark, replace(job, kept_path=place))
+    assert spark.read.parquet(job.source.path).count() == 100
+
+
+def test_other_formats(spark, job, folder):
+    spec = replace(job, dest=SourceSpec(path=f"{folder}/orc", format="orc"), optimize="ds", analyze="d")
+    result = run_archive(spark, spec)
+    assert spark.read.orc(result.dest_path).count() == 50
+    assert {r["column"]: r.n_rows for r in result.analysis["d"].collect()} == {"id": 50, "v": 50, "s": 50}
+
+
+def test_failed_job_leaves_no_kept_rows_and_can_be_run_again(spark, job, folder):
+    spark.range(5).selectExpr("id", "id AS v", "CAST(id AS string) AS s").write.parquet(f"{folder}/dest")
+    with pytest.raises(ValueError, match="conflict"):
+        run_archive(spark, job)
+    assert not Path(job.kept_path).exists() and not list(Path(folder).glob("*.job-*"))
+    run_archive(spark, replace(job, ignore=True))
+    assert spark.read.parquet(job.kept_path).count() == 50
+
+
+def test_replace_settles_rows_of_a_new_destination(spark, job, folder):
+    spec = replace(job, keys=("v",), replace=True, check_columns=False)
+    assert spark.read.parquet(run_archive(spark, spec).dest_path).count() == 2
+
+
+@pytest.mark.parametrize("change", [{}, {"verify": False}, {"replace": True}])
+def test_a_row_lost_on_its_way_fails_the_job(spark, job, folder, monkeypatch, change):
+    from coldshelf.plans import job as module
+
+    if "replace" in change:
+        spark.range(3).selectExpr("id", "id AS v", "CAST(id AS string) AS s").write.parquet(f"{folder}/dest")
+        read = module.read_source
+        monkeypatch.setattr(
+            module, "read_source",
+            lambda s, spec: read(s, spec).where("id <> 4") if spec.path and ".v-" in spec.path else read(s, spec),
+        )
+    else:
+        write = module._write
+        monkeypatch.setattr(module, "_write", lambda rows, target: write(rows.where("id <> 4"), target))
+    with pytest.raises(RuntimeError, match="destination"):
+        run_archive(spark, replace(job, **change))
+    assert not Path(job.kept_path).exists()
+
+
+def test_a_line_lost_on_its_way_fails_the_job(spark, job, folder, monkeypatch):
+    from coldshelf.plans import job as module
+
+    write = module.write_lines
+    monkeypatch.setattr(module, "write_lines", lambda lines, *a: write(lines.where("line NOT LIKE '4%'"), *a))
+    with pytest.raises(RuntimeError, match="lines"):
+        run_archive(spark, replace(job, dest=None, file=f"{folder}/files/x"))
+
+
+def test_copy_job_reads_only_what_it_needs(spark, job, folder):
+    spec = replace(job, no_delete=True, kept_path=None, columns=("id", "v"), dry_run=True)
+    plan = run_archive(spark, spec).plan
+    assert "LessThan(v,2)" in plan.split("PushedFilters")[1].split("\n")[0]
+    assert "ReadSchema: struct<id:bigint,v:bigint>" in plan
+    result = run_archive(spark, replace(spec, dry_run=False))
+    assert spark.read.parquet(result.dest_path).columns == ["id", "v"]
+
+
+def test_headers_and_folders_by_row_time(spark, folder):
+    rows = spark.range(60).selectExpr("id", "CAST(DATE '2020-01-01' + CAST(id * 20 AS int) AS timestamp_ntz) AS at")
+    rows.write.parquet(f"{folder}/src")
+    spec = ArchiveSpec(
+        source=SourceSpec("db", "t", path=f"{folder}/src"), where="id >= 0", no_delete=True,
+        file=f"{folder}/out/%Y/%t-%m", file_ts="at", header=True,
+    )
+    run_archive(spark, spec)
+    files = list(Path(f"{folder}/out").rglob("part-*"))
+    assert files and all(f.read_text().startswith("id\tat\n") for f in files)
+    assert {f.parent.parent.name.split("=")[-1] for f in files} == {"2020", "2021", "2022", "2023"}
+    assert sum(len(f.read_text().splitlines()) - 1 for f in files) == 60
+
+
+# -- results that do not hang on sizes ------------------------------------------------
+
+
+@pytest.mark.parametrize("max_group", [1, 2, 7, 1000])
+def test_counter_deltas_for_every_group_size(spark, max_group):
+    r = random.Random(3)
+    rows = [("a", None, 5), ("a", "2020-01-01 00:00:00", 10), ("a", "2020-01-01 00:00:10", 30), ("b", None, 1)]
+    rows += [("c", f"2020-01-02 00:{m:02d}:00", r.randrange(100)) for m in range(40)] + [("c", "1990-01-01 00:00:00", 7)] * 3
+    frame = spark.createDataFrame(rows, "dev string, at string, hits bigint").selectExpr("dev", "CAST(at AS timestamp_ntz) AS at", "hits")
+    expected = bag(counter_deltas(frame, ["dev"], "at", ["hits"]))
+    assert bag(counter_deltas(frame, ["dev"], "at", ["hits"], max_group=max_group)) == expected
+    first = [r for r in expected if r[0] == "a" and r[2] == 10]
+    assert first[0][3] == 5 and first[0][4] is None
+
+
+def test_lists_in_parts_explode_to_the_whole_list(spark):
+    from coldshelf.functions.lists import explode_serialized, group_serialize
+
+    rows = [("g", i, "x" * (i % 50) + ",\\") for i in range(200)] + [("h", 1, ""), ("n", 1, None)]
+    frame = spark.createDataFrame(rows, "g string, i bigint, t string")
+    whole = bag(explode_serialized(group_serialize(frame, ["g"], "t", ["i"]).drop("part", "n_items"), "items", first_pos="first_pos"))
+    assert len(whole) == 202
+    for limits in ({"max_items": 7}, {"max_bytes": 300}, {"max_items": 3, "max_bytes": 1}):
+        parts = group_serialize(frame, ["g"], "t", ["i"], **limits)
+        assert parts.count() > 3
+        assert parts.where(F.octet_length("items") > limits.get("max_bytes", 10**9)).where("n_items > 1").isEmpty()
+        assert bag(explode_serialized(parts.drop("part", "n_items"), "items", first_pos="first_pos")) == whole
+
+
+def test_scope_removes_staged_tables(spark, folder):
+    from coldshelf.functions.lists import group_serialize
+    from coldshelf.operators.chunks import assign_chunks
+    from coldshelf.operators.merge import delete_rows_exact
+    from coldshelf.plans.staging import staging_scope
+    from coldshelf.sources.dump import export_dump, import_dump
+
+    frame = spark.range(50).selectExpr("id", "id % 3 AS g", "'a\\nb' AS t", "CAST('2020-01-01' AS timestamp_ntz) AS at")
+    root = workspace(spark).removeprefix("file:")
+    before = set(Path(root).iterdir())
+    with staging_scope(spark):
+        assign_chunks(frame, ["g"], 7).collect()
+        group_serialize(frame, ["g"], "t", ["id"], max_items=5).collect()
+        counter_deltas(frame, ["g"], "at", ["id"], max_group=5).collect()
+        delete_rows_exact(frame, frame.limit(3)).collect()
+        export_dump(frame.select("id", "t"), f"{folder}/dump")
+        import_dump(spark, f"{folder}/dump", "id bigint, t string").collect()
+        assert set(Path(root).iterdir()) != before
+    assert set(Path(root).iterdir()) == before

@@ -140,3 +140,16 @@ def test_literal_prefix_reaches_the_scan(spark, folder, capsys):
     spark.createDataFrame([("a_b",), ("axb",)], "t string").write.parquet(f"{folder}/t")
     p.filter_literal(spark.read.parquet(f"{folder}/t"), "t", "a_", "prefix").explain("formatted")
     assert "StringStartsWith(t,a_)" in capsys.readouterr().out
+
+
+def test_split_finds_out_whether_a_predicate_is_stable(spark):
+    from coldshelf.operators.predicates import archive_split, is_stable
+
+    frame = spark.range(10_000)
+    frame.createOrReplaceTempView("stable_ids")
+    assert is_stable(frame, "id % 3 = 1") and is_stable(frame, F.col("id") > 5)
+    for where in ("rand() < 0.5", "current_timestamp() > TIMESTAMP '2020-01-01'", "id IN (SELECT id FROM stable_ids)"):
+        assert not is_stable(frame, where)
+    archived, kept = archive_split(frame, "rand() < 0.5")
+    ids = sorted(r.id for side in (archived, kept) for r in side.collect())
+    assert ids == list(range(10_000))
