@@ -127,7 +127,7 @@ def write_bundles(
     chosen = pages.select(
         F.col(id_col).alias("id"),
         F.col(url_col).cast("string").alias("url"),
-        F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"),
+        F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("digest", F.sha1("payload"))
     equal = (
         chosen.where(F.octet_length("payload") >= least_bytes)
@@ -143,9 +143,9 @@ def write_bundles(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
         for whole in batches:
-            for batch in slices(whole.append_column("size", whole.column("payload").cast(pa.string())), "size"):
+            for batch in slices(whole, "payload"):
                 rows = []
-                for row in batch.drop_columns("size").to_pylist():
+                for row in batch.to_pylist():
                     if writer and writer.written >= BUNDLE_BYTES:
                         writer.close()
                         writer = None

@@ -11,8 +11,13 @@ SLICE_CHARS = 4_000_000
 
 
 def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows with at most ``chars`` characters each, one row at least."""
-    lengths = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    """Cut a batch into runs of rows with at most ``chars`` characters each, one row at least.
+
+    For a binary column these are bytes.
+    """
+    values = batch.column(column)
+    length = pc.utf8_length if pa.types.is_string(values.type) or pa.types.is_large_string(values.type) else pc.binary_length
+    lengths = pc.fill_null(length(values), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for row, length in enumerate(lengths):
         if row > start and total + length > chars:
