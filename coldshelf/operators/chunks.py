@@ -165,12 +165,27 @@ def chunk_manifest(
     read, and only the rows at chunk edges reach the final aggregation.
     """
     _check_size(chunk_rows)
-    size = int(chunk_rows)
+    return manifest_of(key_order(df, keys, unique, partitions), keys, chunk_rows)
+
+
+def key_order(
+    df: DataFrame, keys: Sequence[str], unique: bool = False, partitions: int | None = None
+) -> Ordered:
+    """The keys of a table in order, each with its number of rows in ``_copies``.
+
+    Several manifests can be cut from one such order.
+    """
     if unique:
         keyed = df.select(*keys).withColumn("_copies", F.lit(1).cast("long"))
     else:
         keyed = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    ordered = stage_in_order(keyed, keys, None if unique else "_copies", partitions)
+    return stage_in_order(keyed, keys, None if unique else "_copies", partitions)
+
+
+def manifest_of(ordered: Ordered, keys: Sequence[str], chunk_rows: int) -> DataFrame:
+    """The chunks of ``chunk_rows`` rows of an order of keys."""
+    _check_size(chunk_rows)
+    size = int(chunk_rows)
     total = ordered.total
 
     end = F.col("_start") + F.col("_copies")

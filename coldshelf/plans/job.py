@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from coldshelf.operators.chunks import chunk_manifest, multiply
+from coldshelf.operators.chunks import key_order, manifest_of, multiply
 from coldshelf.operators.compact import compact
 from coldshelf.operators.compare import PIECES, row_pieces
 from coldshelf.operators.integrity import check_columns, schema_catalog
@@ -143,11 +143,10 @@ def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveRes
             archived, keep = _split(source, archive_match(source, spec), spec, counters, scratch)
     if archived is not None:
         if spec.keys:
-            result.manifest = chunk_manifest(
-                archived, spec.keys, spec.chunk_rows, unique=spec.unique_keys
-            )
+            ordered = key_order(archived, spec.keys, unique=spec.unique_keys)
+            result.manifest = manifest_of(ordered, spec.keys, spec.chunk_rows)
             if spec.progress:
-                marks = chunk_manifest(archived, spec.keys, spec.progress, unique=spec.unique_keys)
+                marks = manifest_of(ordered, spec.keys, spec.progress)
                 result.progress = marks.select("rows_done", "hi")
         rows = _outgoing(archived, spec)
         if spec.hooks.before_insert:
