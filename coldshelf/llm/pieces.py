@@ -30,7 +30,9 @@ SPACE = "▁"
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _NONE = np.int64(1) << 62
 _LONG = 64
-_MEMO_WORDS = 600_000
+_MEMO_WORDS = 300_000  # words that a worker remembers
+_AT_ONCE = 32_000  # words that are merged side by side
+_SLICE_CHARS = 2_000_000
 _SLOT_BITS = 20
 
 
@@ -192,14 +194,18 @@ class Vocabulary:
 
     def learn(self, new: list[str], check: bool) -> None:
         """Encode words that are not known yet; with ``check`` hold them against the library."""
+        if len(self.memo) > _MEMO_WORDS:
+            self.memo.clear()
+        for start in range(0, len(new), _AT_ONCE):
+            self._learn(new[start : start + _AT_ONCE], check)
+
+    def _learn(self, new: list[str], check: bool) -> None:
         ids = self.merge_many(new)
         if check:
             theirs = self.library.encode([w[1:].replace(SPACE, " ") for w in new], num_threads=1)
             for word, own, other in zip(new, ids, theirs, strict=True):
                 if own != other and word != SPACE:  # a lone mark is the library's empty text
                     raise ValueError(f"the library encodes {word!r} as {other}, not {own}")
-        if len(self.memo) > _MEMO_WORDS:
-            self.memo.clear()
         text = self.id_text
         for word, own in zip(new, ids, strict=True):
             self.memo[word] = ",".join([text[i] for i in own])
@@ -283,7 +289,7 @@ def encode_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", _SLICE_CHARS):
                 columns: dict[str, list] = {o: [] for o in outputs}
                 decoded_of: dict[str, str] = {}
                 for words in vocab.encode(texts(batch, "text"), check):
