@@ -1,13 +1,14 @@
-"""Passages of test items in training texts, found by rare n-grams and scored by alignment.
+"""Passages of test items in training texts, found by n-grams and scored by alignment.
 
-An item's n-grams are counted over all texts; the rarest half of them are its seeds.  Where
-a text holds a seed, the stretch around it is aligned with the item by Smith and Waterman's
-local alignment of words.  A text is a leak if its alignment reaches a share of the item's
-own score, so edited and partly rewritten copies are found too.
+Every n-gram of an item is a seed, however many texts hold it: an edit breaks the grams
+around it, and any one that is left may be all that an edited copy has.  Where a text holds
+a seed, the stretch around it is aligned with the item by Smith and Waterman's local
+alignment of words, unless it holds too few of the item's words to reach the least score in
+any order.  A text is a leak if its alignment reaches a share of the item's own score, so
+edited and partly rewritten copies are found too.
 
-The rarest half is taken by rank, so an item that leaked into a third of all texts keeps
-its seeds.  Items are held by every task in blocks of bounded size; each block is one pass
-over the texts, and the blocks together are all items.
+Items are held by every task in blocks of bounded size; each block is one pass over the
+texts, and the blocks together are all items.
 
 Nulls and empty texts match nothing, nor do items of fewer than ``n`` words.  Repeated rows
 and equal items each give rows of their own.  Other columns of the input are ignored,
@@ -21,11 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coldshelf.llm.batches import slices, texts
-from coldshelf.plans.staging import stage
 
 _PUNCTUATION = bytes(b for b in range(128) if not chr(b).isalnum())
 _TABLE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
@@ -134,48 +134,26 @@ def _crossing(places: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarra
     return text, places + n <= starts[text + 1]
 
 
-def gram_frequency(docs: DataFrame, items: Items, n: int) -> DataFrame:
-    """``gram`` and ``n_texts``: how many texts hold each n-gram of the items."""
-    wanted = np.unique(items.grams(n)[0])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(wanted), dtype=np.int64)
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                numbers, starts = items.numbers(texts(batch, "text"))
-                places, found = _hits(grams(numbers, n), wanted)
-                text, inside = _crossing(places, starts, n)
-                seen = np.unique(text[inside] * len(wanted) + found[inside])
-                counts += np.bincount(seen % len(wanted), minlength=len(wanted))
-        there = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[there].view(np.int64)), pa.array(counts[there])], ["gram", "n"])
-
-    partial = docs.select("text").mapInArrow(run, "gram bigint, n bigint")
-    return partial.groupBy("gram").agg(F.sum("n").alias("n_texts"))
-
-
-def rare_seeds(docs: DataFrame, items: Items, n: int, share: float, least: int) -> tuple[np.ndarray, ...]:
-    """(gram, item, place) of the rarest n-grams of each item, sorted by gram."""
-    spark = docs.sparkSession
+def seeds_of(items: Items, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gram, item, place) of every n-gram of each item, sorted by gram."""
     gram, item, place = items.grams(n)
-    own = spark.createDataFrame(
-        pa.table({"gram": gram.view(np.int64), "item": item.astype(np.int64), "place": place.astype(np.int64)})
-    )
-    rank = Window.partitionBy("item").orderBy(F.coalesce("n_texts", F.lit(0)), "gram", "place")
-    total = Window.partitionBy("item")
-    seeds = (
-        own.join(stage(gram_frequency(docs, items, n), "grams"), "gram", "left")
-        .select("gram", "item", "place", F.row_number().over(rank).alias("r"), F.count("*").over(total).alias("all"))
-        .where((F.col("r") <= F.ceil(share * F.col("all"))) | (F.col("r") <= least))
-        .toArrow()
-    )
-    gram, item, place = (seeds.column(c).to_numpy() for c in ("gram", "item", "place"))
-    gram = gram.view(np.uint64)  # its order as unsigned is not that of Spark's numbers
     order = np.lexsort((place, item, gram))
     return gram[order], item[order], place[order]
 
 
-def _leaks_of(numbers: np.ndarray, places: np.ndarray, seeds: np.ndarray, of: tuple, items: Items, least: float):
+def _may_reach(window: np.ndarray, item: np.ndarray, flags: np.ndarray, least: float) -> bool:
+    """Whether enough of the item's words are in the window at all; ``flags`` is all false, and is so again."""
+    there = window[window >= 0]
+    flags[there] = True
+    found = int(flags[item].sum())
+    flags[there] = False
+    # a score is at most that of its matches
+    return found >= max(least * len(item), min(LEAST_MATCHES, len(item)))
+
+
+def _leaks_of(
+    numbers: np.ndarray, places: np.ndarray, seeds: np.ndarray, of: tuple, items: Items, flags: np.ndarray, least: float
+):
     """Leaks in one text: (item, score, matched, start, end, seeds) of the best stretch for each item."""
     gram, item, offset = of
     first, last = np.searchsorted(gram, seeds, "left"), np.searchsorted(gram, seeds, "right")
@@ -192,6 +170,8 @@ def _leaks_of(numbers: np.ndarray, places: np.ndarray, seeds: np.ndarray, of: tu
         own, length, room = int(found[a]), int(lengths[a]), int(slack[a])
         start = max(0, int(diagonal[a]) - room)
         window = numbers[start : int(diagonal[b - 1]) + length + room]
+        if not _may_reach(window, items.words[own], flags, least):
+            continue
         score, matched, i, j = align(window, items.words[own])
         share = score / (MATCH * length)
         if share >= least and matched >= min(LEAST_MATCHES, length) and share > best.get(own, (0,))[0]:
@@ -205,6 +185,7 @@ def _scan(docs: DataFrame, id_type: str, item_type: str, id_col: str, items: Ite
     schema = f"`{id_col}` {id_type}, item_id {item_type}, score double, matched bigint, start_word bigint, end_word bigint, n_seeds bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(len(items.vocabulary), dtype=bool)
         for whole in batches:
             for batch in slices(whole, "text"):
                 numbers, starts = items.numbers(texts(batch, "text"))
@@ -215,7 +196,7 @@ def _scan(docs: DataFrame, id_type: str, item_type: str, id_col: str, items: Ite
                 for t in np.unique(text).tolist():
                     a, b = np.searchsorted(text, [t, t + 1])
                     own = _leaks_of(
-                        numbers[starts[t] : starts[t + 1]], places[a:b] - starts[t], wanted[found[a:b]], of, items, least
+                        numbers[starts[t] : starts[t + 1]], places[a:b] - starts[t], wanted[found[a:b]], of, items, flags, least
                     )
                     rows += [t] * len(own)
                     leaks += own
@@ -243,8 +224,6 @@ def find_leaks(
     item_col: str = "item_id",
     item_text_col: str = "text",
     n: int = 3,
-    seed_share: float = 0.5,
-    least_seeds: int = 4,
     least_score: float = 0.5,
 ) -> DataFrame:
     """Every text and test item that align well enough.
@@ -267,7 +246,7 @@ def find_leaks(
         own = Items.of(sorted(((r["item"], r["text"]) for r in part.collect()), key=str))
         if all(len(w) < n for w in own.words):
             continue
-        of = rare_seeds(texts_in, own, n, seed_share, least_seeds)
+        of = seeds_of(own, n)
         leaks = _scan(texts_in, id_type, item_type, id_col, own, n, of, least_score)
         found = leaks if found is None else found.unionByName(leaks)
     if found is None:

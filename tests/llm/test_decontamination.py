@@ -67,6 +67,36 @@ def test_item_in_most_texts_keeps_its_seeds(spark):
     assert {(x.doc_id, x.item_id) for x in leaks(spark, rows, items)} == {(i, 1) for i in range(40)}
 
 
+def every_fifth(text):
+    return " ".join("edited" if i % 5 == 4 else w for i, w in enumerate(text.split()))
+
+
+def test_edits_in_every_fifth_word(spark):
+    r = random.Random(7)
+    items = [(i, prose(r, 40)) for i in range(3)]
+    clean = [(i, prose(r, 90)) for i in range(30)]
+    alone = [(100, prose(r, 20) + " " + every_fifth(items[0][1]) + " " + prose(r, 20))]
+    beside = [(200, items[1][1]), (201, prose(r, 20) + " " + every_fifth(items[1][1]))]
+    third = [(300 + i, prose(r, 20) + " " + every_fifth(items[2][1])) for i in range(17)]
+    pairs = {(x.doc_id, x.item_id) for x in leaks(spark, clean + alone + beside + third, items)}
+    assert pairs == {(100, 0), (200, 1), (201, 1)} | {(300 + i, 2) for i in range(17)}
+
+
+def test_random_edits_against_alignment_of_all(spark):
+    r = random.Random(8)
+    items, rows = [(i, prose(r, 40)) for i in range(40)], []
+    for i, text in items:
+        rate = (0.15, 0.2, 0.25)[i % 3]
+        rows.append((i, " ".join(f"edit{j}" if r.random() < rate else w for j, w in enumerate(text.split()))))
+    numbers = d.Items.of(items)
+    expected = set()
+    for i, text in rows:
+        window = np.array([numbers.vocabulary.get(w, -1) for w in d.words_of(text)])
+        expected |= {(i, k) for k, own in enumerate(numbers.words) if d.align(window, own)[0] >= 0.5 * d.MATCH * 40}
+    assert len(expected) > 30
+    assert {(x.doc_id, x.item_id) for x in leaks(spark, rows, items)} == expected
+
+
 def test_blocks_of_items_are_all_items(spark, monkeypatch):
     r = random.Random(4)
     items = [(i, prose(r, 30)) for i in range(12)]
