@@ -10,7 +10,8 @@ bound, which is a permutation for any a and b.
 Kinds: e-mail (its local part), IBAN, IPv4 address, calendar date, North American and other
 international telephone numbers, US social security number, payment card number.  Numbers
 that fail their check are left as they are, and so are leading digits that only name a
-country or issuer.  Case in e-mail names is not kept, as it makes no difference there.
+country or issuer.  A card beside other numbers is found by trying the shorter runs.  Letters
+in an IBAN's account stay.  A date with the month in front stays one.  Case in e-mail names is not kept, as it makes no difference there.
 
 Everything is a DataFrame expression over the row's own text, without shuffles or Python.
 Nulls stay null, empty texts empty; repeated rows get equal results.  Other columns are
@@ -19,6 +20,7 @@ handed on as they are; an empty table stays empty.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -26,10 +28,34 @@ from pyspark.sql import functions as F
 
 KINDS = ["email", "iban", "ip", "date", "phone", "intl", "ssn", "card"]
 ROUNDS = 8
+TURNS = 64  # two dates in five have a day up to 12, so that 64 in a row don't come up
 
 # one pattern for all candidates; what a match is, is decided by the tests below
 _EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z]{4})?(?: ?[0-9]){10,28}"
+# the form of the account behind the check digits: n digits, a capitals, c either
+_ACCOUNTS = {
+    "AD": "8n12c", "AE": "19n", "AL": "8n16c", "AT": "16n", "AZ": "4a20c", "BA": "16n", "BE": "12n", "BG": "4a6n8c", "BH": "4a14c",
+    "BR": "23n1a1c", "BY": "4c4n16c", "CH": "5n12c", "CR": "18n", "CY": "8n16c", "CZ": "20n", "DE": "18n", "DK": "14n", "DO": "4c20n",
+    "EE": "16n", "EG": "25n", "ES": "20n", "FI": "14n", "FO": "14n", "FR": "10n11c2n", "GB": "4a14n", "GE": "2a16n", "GI": "4a15c",
+    "GL": "14n", "GR": "7n16c", "GT": "4c20c", "HR": "17n", "HU": "24n", "IE": "4a14n", "IL": "19n", "IQ": "4a15n", "IS": "22n",
+    "IT": "1a10n12c", "JO": "4a4n18c", "KW": "4a22c", "KZ": "3n13c", "LB": "4n20c", "LC": "4a24c", "LI": "5n12c", "LT": "16n",
+    "LU": "3n13c", "LV": "4a13c", "LY": "21n", "MC": "10n11c2n", "MD": "20c", "ME": "18n", "MK": "3n10c2n", "MR": "23n",
+    "MT": "4a5n18c", "MU": "4a19n3a", "NL": "4a10n", "NO": "11n", "PK": "4a16c", "PL": "24n", "PS": "4a21c", "PT": "21n",
+    "QA": "4a21c", "RO": "4a16c", "RS": "18n", "SA": "2n18c", "SC": "4a20n3a", "SD": "14n", "SE": "20n", "SI": "15n", "SK": "20n",
+    "SM": "1a10n12c", "ST": "21n", "SV": "4a20n", "TL": "19n", "TN": "20n", "TR": "6n16c", "UA": "6n19c", "VA": "18n", "VG": "4a16n",
+    "XK": "16n",
+}
+_ALPHABETS = {"n": "[0-9]", "a": "[A-Z]", "c": "[A-Z0-9]"}
+
+
+def _account(form: str) -> str:
+    return "".join(f"(?: ?{_ALPHABETS[kind]}){{{n}}}" for n, kind in re.findall("([0-9]+)([nac])", form))
+
+
+# by country, and for countries that aren't listed by digits alone
+_IBAN = "|".join(f"{country}[0-9]{{2}}{_account(form)}" for country, form in _ACCOUNTS.items()) + (
+    "|[A-Z]{2}[0-9]{2}(?: ?[A-Z]{4})?(?: ?[0-9]){10,28}"
+)
 _IP = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
 _DATE = r"[0-9]{4}[-/][0-9]{2}[-/][0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4}"
 _PHONE = r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
@@ -38,7 +64,16 @@ _SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 _CARD = r"[0-9](?:[ -]?[0-9]){11,17}[ -]?[0-9]"
 _BEFORE, _AFTER = r"(?<![A-Za-z0-9_@+.-])", r"(?![A-Za-z0-9_@]|[.-][0-9A-Za-z])"
 _FORMS = {"email": _EMAIL, "iban": _IBAN, "ip": _IP, "date": _DATE, "phone": _PHONE, "intl": _INTL, "ssn": _SSN, "card": _CARD}
-PATTERN = _BEFORE + "(?:" + "|".join(_FORMS[k] for k in KINDS) + ")" + _AFTER
+# a date may end before a time of day
+PATTERN = f"{_BEFORE}(?:(?:{_DATE})(?=[Tt][0-9]{{2}})|(?:" + "|".join(_FORMS[k] for k in KINDS) + f"){_AFTER})"
+# how cards are written
+_GROUPED = "^(?:[0-9]{13,19}|" + "|".join(
+    f"[0-9]{{{sizes[0]}}}" + "".join(f"{by}[0-9]{{{n}}}" for n in sizes[1:])
+    for sizes in ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
+    for by in " -"
+) + ")$"
+# characters that no text should hold mark where a card begins and ends among other numbers
+_MARKS = [chr(c) for c in range(0xFDD0, 0xFDF0)]
 
 # dates are permuted within windows of this many days, counted from 1900-01-01
 _WINDOW_A, _WINDOW_B = 250, 292
@@ -97,11 +132,19 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), lambda rest, c: F.when(c == "", rest).otherwise(step(rest, c)))
 
 
+def _month_first(text: Column) -> Column:
+    """Whether a text is no date with the day in front, but one with the month there."""
+    d = _digits(text)
+    return ~text.rlike("^[0-9]{4}") & (F.substring(d, 3, 2) > "12")
+
+
 def _date_of(text: Column) -> Column:
-    """The date a text of either form names, null if the calendar has none."""
+    """The date a text of any form names, null if the calendar has none."""
     d = _digits(text)
     year_first = text.rlike("^[0-9]{4}")
-    iso = F.when(year_first, F.concat_ws("-", F.substring(d, 1, 4), F.substring(d, 5, 2), F.substring(d, 7, 2))).otherwise(
+    iso = F.when(year_first, F.concat_ws("-", F.substring(d, 1, 4), F.substring(d, 5, 2), F.substring(d, 7, 2))).when(
+        _month_first(text), F.concat_ws("-", F.substring(d, 5, 4), F.substring(d, 1, 2), F.substring(d, 3, 2))
+    ).otherwise(
         F.concat_ws("-", F.substring(d, 5, 4), F.substring(d, 3, 2), F.substring(d, 1, 2))
     )
     return F.try_to_date(iso, "yyyy-MM-dd")
@@ -120,7 +163,7 @@ def _kind(m: Column) -> Column:
     day = F.datediff(date, _day_zero())
     tests = {
         "email": F.lit(True),
-        "iban": _mod97(F.concat(F.substr(compact, F.lit(5)), F.substring(compact, 1, 4))) == 1,
+        "iban": (_mod97(F.concat(F.substr(compact, F.lit(5)), F.substring(compact, 1, 4))) == 1) & (F.length(d) > 2),
         "ip": F.forall(octets, lambda o: o.try_cast("int") <= 255),
         # windows that lie within years of four digits
         "date": date.isNotNull() & day.between(-4 * _WINDOW, 40 * _WINDOW - 1),
@@ -208,6 +251,24 @@ def _refill(m: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), at), "")
 
 
+def _new_date(m: Column, out: Column) -> Column:
+    day = F.floor(F.datediff(_date_of(m), _day_zero()) / _WINDOW) * _WINDOW + out["l"] * _WINDOW_B + out["r"]
+    # a date's window of days starts where its own does; both halves number the days in it
+    return F.date_add(_day_zero(), day.try_cast("int"))
+
+
+def _walked(key: str, s: Column) -> Column:
+    """The permuted pair; of a date with the month in front one whose day can't be a month.
+
+    The permutation is applied until it gives such a date, which permutes those dates.
+    """
+    p = s["p"]
+    again = F.sequence(F.lit(1), F.lit(TURNS))
+    unfit = lambda out: F.dayofmonth(_new_date(s["m"], out)) <= 12
+    walk = lambda out, _: F.when(unfit(out), _feistel(key, s["kind"], out["l"], out["r"], p["a"], p["b"])).otherwise(out)
+    return F.when((s["kind"] == "date") & _month_first(s["m"]), F.aggregate(again, s["out"], walk)).otherwise(s["out"])
+
+
 def _written(kind: Column, m: Column, d: Column, out: Column, pair: Column) -> Column:
     """The value of kind ``kind`` that the permuted pair stands for, in the form of ``m``."""
     l, r = out["l"], out["r"]  # noqa: E741
@@ -217,20 +278,18 @@ def _written(kind: Column, m: Column, d: Column, out: Column, pair: Column) -> C
     card = F.concat(F.substring(d, 1, 1), run)
     check = F.get(F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda c: c.cast("string")), lambda c: _luhn(F.concat(card, c))), F.lit(0))
     compact = F.regexp_replace(m, " ", "")
-    letters = F.regexp_extract(compact, "^....([A-Z]*)", 1)
-    rest = 98 - _mod97(F.concat(letters, run, F.substring(compact, 1, 2), F.lit("00")))
+    account = _refill(F.substr(compact, F.lit(5)), run)
+    rest = 98 - _mod97(F.concat(account, F.substring(compact, 1, 2), F.lit("00")))
     area = F.floor(l / 99) + 1
     exchange = l % 100 * 8 + F.floor(r / 10_000) + 200
-    day = F.floor(F.datediff(_date_of(m), _day_zero()) / _WINDOW) * _WINDOW + l * _WINDOW_B + r
-    # a date's window of days starts where its own does; both halves number the days in it
-    date = F.date_add(_day_zero(), day.try_cast("int"))
+    date = _new_date(m, out)
     digits = (
         F.when(kind == "card", F.concat(card, check))
         .when(kind == "iban", F.concat(_pad(rest, 2), run))
         .when(kind == "intl", F.concat(F.substring(d, 1, 2), run))
         .when(kind == "phone", F.concat(F.substr(d, F.lit(1), F.length(d) - 10), _pad(F.floor(l / 100) + 200, 3), _pad(exchange, 3), _pad(r % 10_000, 4)))
         .when(kind == "ssn", F.concat(_pad(area + F.when(area >= 666, 1).otherwise(0), 3), _pad(l % 99 + 1, 2), _pad(r + 1, 4)))
-        .when(kind == "date", F.when(m.rlike("^[0-9]{4}"), F.date_format(date, "yyyyMMdd")).otherwise(F.date_format(date, "ddMMyyyy")))
+        .when(kind == "date", F.when(m.rlike("^[0-9]{4}"), F.date_format(date, "yyyyMMdd")).when(_month_first(m), F.date_format(date, "MMddyyyy")).otherwise(F.date_format(date, "ddMMyyyy")))
     )
     ip = F.concat_ws(".", F.floor(l / 256).cast("string"), (l % 256).cast("string"), F.floor(r / 256).cast("string"), (r % 256).cast("string"))
     return F.when(kind == "ip", ip).otherwise(_refill(m, digits))
@@ -275,6 +334,9 @@ def _replaced(key: str) -> Callable[[Column], Column]:
                 ).alias("out"),
             ),
         )
+        drawn = F.transform(
+            drawn, lambda s: F.struct(s["m"], s["kind"], s["d"], s["p"], _walked(key, s).alias("out"))
+        )
         return F.transform(
             drawn,
             lambda s: F.struct(
@@ -289,6 +351,42 @@ def _replaced(key: str) -> Callable[[Column], Column]:
     return run
 
 
+def _card_in(m: Column) -> Column:
+    """(begin, size) of the card in a run of numbers that isn't written as one; null if there is none.
+
+    A card begins and ends where the run does or at a blank.  Of several the one written as
+    cards are comes first, then the one further in front, then the longer one.
+    """
+    size = F.length(m)
+    blank = lambda i: F.substr(m, i, F.lit(1)) == " "
+    begins = F.filter(F.sequence(F.lit(1), size), lambda i: (i == 1) | blank(i - 1))
+    ends = F.filter(F.sequence(F.lit(1), size), lambda i: (i == size) | blank(i + 1))
+    runs = F.flatten(F.transform(begins, lambda b: F.transform(ends, lambda e: F.struct(b.alias("b"), (e - b + 1).alias("n")))))
+    text = lambda r: F.substr(m, r["b"], r["n"])
+    cards = F.filter(
+        F.filter(runs, lambda r: r["n"] >= 13),
+        lambda r: F.length(_digits(text(r))).between(13, 19) & _luhn(_digits(text(r))) & text(r).rlike(f"^(?:{_CARD})$"),
+    )
+    ranked = F.transform(cards, lambda r: F.struct((~text(r).rlike(_GROUPED)).alias("odd"), r["b"].alias("b"), (-r["n"]).alias("n")))
+    best = F.array_min(ranked)
+    return F.when(m.rlike(f"^(?:{_CARD})$") & m.contains(" "), best)
+
+
+def _marked(found: Column, text: Column, mark: Column) -> Column:
+    """The text with a mark before and after each card that has other numbers beside it."""
+
+    def value(m: Column) -> Column:
+        bound = F.transform(F.array(_card_in(m)), lambda c: F.when(
+            c.isNotNull() & (-c["n"] < F.length(m)),
+            F.concat(F.substr(m, F.lit(1), c["b"] - 1), mark, F.substr(m, c["b"], -c["n"]), mark, F.substr(m, c["b"] - c["n"])),
+        ).otherwise(m))
+        return F.get(bound, F.lit(0))
+
+    gaps = F.split(text, PATTERN, -1)
+    values = F.transform(found, value)
+    return F.array_join(F.flatten(F.zip_with(gaps, values, lambda gap, v: F.array(gap, F.coalesce(v, F.lit(""))))), "")
+
+
 def pseudonymize(docs: DataFrame, *, key: str, text_col: str = "text", count_prefix: str = "n_") -> DataFrame:
     """Replace personal values in whole texts; adds a count per kind, ``n_email`` and so on.
 
@@ -298,16 +396,23 @@ def pseudonymize(docs: DataFrame, *, key: str, text_col: str = "text", count_pre
     text = F.col(text_col)
     # most texts hold no digit and no address: they skip the search
     some = text.rlike("[0-9@]")
-    names = [f"__{n}__" for n in ("found", "new")]
-    matches = F.when(some, F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)))
-    out = docs.withColumn(names[0], matches).withColumn(
-        names[1], F.when(F.size(names[0]) > 0, _replaced(key)(F.col(names[0])))
-    )
+    names = [f"__{n}__" for n in ("found", "new", "mark", "marked")]
+    search = lambda t: F.regexp_extract_all(t, F.lit(f"({PATTERN})"), F.lit(1))
+    free = F.get(F.filter(F.array(*map(F.lit, _MARKS)), lambda c: ~F.contains(text, c)), F.lit(0))
+    out = docs.withColumn(names[0], F.when(some, search(text)))
+    # what stands beside a card is searched on its own
+    beside = F.exists(names[0], lambda m: F.coalesce(-_card_in(m)["n"] < F.length(m), F.lit(False)))
+    out = out.withColumn(names[2], F.when(beside, free))
+    out = out.withColumn(names[3], F.when(F.col(names[2]).isNotNull(), _marked(F.col(names[0]), text, F.col(names[2]))))
+    marked = F.coalesce(F.col(names[3]), text)
+    out = out.withColumn(names[0], F.when(F.col(names[3]).isNotNull(), search(F.col(names[3]))).otherwise(F.col(names[0])))
+    out = out.withColumn(names[1], F.when(F.size(names[0]) > 0, _replaced(key)(F.col(names[0]))))
     new = F.col(names[1])
-    gaps = F.split(text, PATTERN, -1)
+    gaps = F.split(marked, PATTERN, -1)
     joined = F.array_join(
         F.flatten(F.zip_with(gaps, new, lambda gap, value: F.array(gap, F.coalesce(value["text"], F.lit(""))))), ""
     )
+    joined = F.when(F.col(names[2]).isNotNull(), F.replace(joined, F.col(names[2]), F.lit(""))).otherwise(joined)
     changed = new.isNotNull()
 
     def count(kind: str) -> Column:

@@ -127,6 +127,31 @@ def test_accounts_addresses_and_others(spark):
     assert one(spark, mails, "email") == expected
 
 
+def test_values_beside_other_numbers(spark):
+    card = one(spark, ["4111 1111 1111 1111"], "card")[0]
+    iban = one(spark, ["DE89370400440532013000"], "iban")[0]
+    spaced = " ".join(iban[i : i + 4] for i in range(0, 22, 4))
+    texts = ["4111 1111 1111 1111 05/26", "4111 1111 1111 1111 123", "12 4111 1111 1111 1111", "4111 1111 1111 1111 7 (x)"]
+    expected = [t.replace("4111 1111 1111 1111", card) for t in texts]
+    assert one(spark, texts, "card") == expected
+    assert one(spark, ["DE89 3704 0044 0532 0130 00 12"], "iban") == [f"{spaced} 12"]
+
+
+def test_accounts_with_letters_inside(spark):
+    plain = ["FR1420041010050500013M02606", "IT60X0542811101000000123456", "MT84MALT011000012345MTLCAST001S", "SM86U0322509800000000270100"]
+    for old, new in zip(plain, one(spark, plain, "iban"), strict=True):
+        assert new != old and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", old) and mod97(new[4:] + new[:4]) == 1
+
+
+def test_dates_with_times_and_months_first(spark):
+    day = one(spark, ["2024-01-15"], "date")[0]
+    assert one(spark, ["2024-01-15T10:00", "at 2024-01-15T10:00:00Z"], "date") == [f"{day}T10:00", f"at {day}T10:00:00Z"]
+    days = [dt.date(2020, 1, 1) + dt.timedelta(i) for i in range(366)]
+    days = [d for d in days if d.day > 12]
+    new = [dt.datetime.strptime(t, "%m/%d/%Y").date() for t in one(spark, [d.strftime("%m/%d/%Y") for d in days], "date")]
+    assert len(set(new)) == len(days) and all(d.day > 12 for d in new) and new != days
+
+
 @pytest.mark.parametrize(
     "text",
     ["4111 1111 1111 1112", "000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "2021-02-29", "31.04.2020", "300.1.1.1",
