@@ -117,3 +117,42 @@ def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from coldshelf.llm.passages import shared_passages
 
     return shared_passages(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over all documents, aligned where both end."""
+    import public_tokenizers
+
+    from coldshelf.llm.crosswise import align_tokenizers
+
+    return align_tokenizers(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+        public_tokenizers.path(PIECE_MODEL),
+    )
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with equal texts."""
+    from coldshelf.llm.exact import exact_duplicates
+
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+SQL["op12_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened by their four leading components."""
+    from coldshelf.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
