@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import bisect
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coldshelf.operators.swap import Swap, finish_swap, flat_files, swap_files
+
 
 def compact(
     spark: SparkSession,
@@ -51,3 +54,52 @@ def _size(spark: SparkSession, path: str) -> int:
 def _place_in_file(format: str) -> Column:
     """Something that tells rows of a file apart: only Parquet numbers them."""
     return F.col("_metadata.row_index") if format == "parquet" else F.monotonically_increasing_id()
+
+
+def pack(sizes: Mapping[str, int], target: int) -> list[list[str]]:
+    """Names in bins of at most ``target`` bytes: the largest first, each into the fullest
+    bin that still takes it; bins of one name are left out.
+
+    A name that is larger than the target goes into no bin.
+    """
+    rooms: list[tuple[int, int]] = []  # room left and bin, least room first
+    bins: list[list[str]] = []
+    for name, size in sorted(sizes.items(), key=lambda item: (-item[1], item[0])):
+        if size > target:
+            continue
+        at = bisect.bisect_left(rooms, (size, -1))
+        if at < len(rooms):
+            room, number = rooms.pop(at)
+        else:
+            room, number = target, len(bins)
+            bins.append([])
+        bins[number].append(name)
+        bisect.insort(rooms, (room - size, number))
+    return [sorted(b) for b in bins if len(b) > 1]
+
+
+def compact_small(
+    spark: SparkSession, path: str, small_bytes: int = 32 << 20, target_bytes: int = 512 << 20, keys: Sequence[str] = ()
+) -> Swap:
+    """Join the small files of the table at ``path`` in place; larger files stay as they are.
+
+    Files of less than ``small_bytes`` are packed into bins of at most ``target_bytes``, and
+    each bin becomes one file, sorted by ``keys`` if given.  Only their rows are read.
+    """
+    if not 0 < small_bytes <= target_bytes:
+        raise ValueError("small files must be smaller than what they are joined to")
+    finish_swap(spark, path)
+    small = {n: size for n, size in flat_files(spark, path).items() if size < small_bytes}
+    bins = pack(small, target_bytes)
+    names = [n for b in bins for n in b]
+    if not names:
+        return Swap((), 0, 0)
+    bin_of = spark.createDataFrame([(n, i) for i, b in enumerate(bins) for n in b], "_file string, _bin int")
+
+    def joined(rows: DataFrame) -> DataFrame:
+        columns = rows.columns
+        binned = rows.select("*", F.col("_metadata.file_name").alias("_file")).join(F.broadcast(bin_of), "_file")
+        placed = binned.repartitionById(len(bins), F.col("_bin")).select(*columns)
+        return placed.sortWithinPartitions(*keys) if keys else placed
+
+    return swap_files(spark, path, names, joined)

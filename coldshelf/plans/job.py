@@ -2,10 +2,16 @@
 
 The source is read once.  Each row's side is decided in that pass and written beside
 ``kept_path``, archived and kept rows in folders of their own, so the two sides cannot
-disagree about a row.  Everything later works from those files, and the source's files
-are never touched.  What was written to the destination and to files is looked at before
-the kept rows appear, as the last step and as plain files, in ``kept_path`` itself: that
-folder exists if, and only if, the job has succeeded, and the caller then switches to it.
+disagree about a row.  Rows that a hook spares change sides before anything is copied.
+Everything later works from those files, and the source's files are never touched.  What
+was written to the destination and to files is looked at before the kept rows appear, as
+the last step and as plain files, in ``kept_path`` itself: that folder exists if, and only
+if, the job has succeeded, and the caller then switches to it.
+
+Finished steps are noted in a journal.  A job that fails before it has changed anything
+outside its own folders leaves nothing behind; one that fails later, or whose driver is
+lost, goes on behind its last finished step when it is run again.  Files reach a
+destination by renaming, so those that have arrived are not written a second time.
 """
 
 from __future__ import annotations
@@ -15,7 +21,7 @@ import datetime as dt
 import io
 import time
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -29,8 +35,9 @@ from coldshelf.operators.integrity import check_columns, schema_catalog
 from coldshelf.operators.merge import common_columns, new_rows, replace_into, settle
 from coldshelf.operators.predicates import archive_select, as_column, is_match
 from coldshelf.operators.stats import analyze_columns, analyze_table, below_latest
+from coldshelf.plans.journal import Journal, move_files
 from coldshelf.plans.spec import ArchiveSpec
-from coldshelf.plans.staging import Scratch, move_path, path_exists
+from coldshelf.plans.staging import Scratch, drop_path, move_path, new_path, path_exists
 from coldshelf.sources.dump import csv_line, dump_line, export_dump, header_line, import_dump, write_lines
 from coldshelf.sources.endpoints import SourceSpec, jdbc_options, qualified, read_source
 from coldshelf.sources.templates import archive_name, fixed_folder, render_name
@@ -59,6 +66,11 @@ class Counters:
         entry[0] += calls
         entry[1] += rows
 
+    def add(self, entries: Mapping[str, Sequence[int]]) -> None:
+        for action, (calls, rows, ms) in entries.items():
+            self.add_rows(action, rows, calls)
+            self.entries[action][2] += ms
+
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [(name, *entry) for name, entry in self.entries.items()]
         return spark.createDataFrame(rows, "action string, calls bigint, n_rows bigint, ms bigint")
@@ -112,36 +124,98 @@ def planned_steps(spec: ArchiveSpec) -> list[str]:
 
 
 def run_archive(spark: SparkSession, spec: ArchiveSpec) -> ArchiveResult:
-    """Run a job, or with ``dry_run`` say what it would do."""
+    """Run a job, or go on with it where an earlier run of it broke off.
+
+    With ``dry_run`` only say what it would do.
+    """
+    spec = spec.validated()
+    spec._require_apart(spec.dest, lambda path: qualified(spark, path))
     scratch = Scratch(spark)
+    if spec.dry_run:
+        source = read_source(spark, spec.source).alias(spec.source.table)
+        return ArchiveResult(planned_steps(spec), plan=_explained(_chosen(source, spec)))
+    lasting = spec.journal_path()
+    journal = Journal(spark, lasting or new_path(spark, "job"))
+    _open(journal, spec)
     try:
-        return _run(spark, spec.validated(), scratch)
+        if not spec.no_delete and path_exists(spark, spec.kept_path) and journal.facts(_PUBLISHING) is None:
+            raise ValueError(f"{spec.kept_path} already exists")
+        result = _run(spark, spec, journal, scratch)
+    except BaseException:
+        if not lasting or journal.facts(_TOUCHED) is None:
+            _discard(journal)
+        raise
     finally:
         scratch.clear()
+    journal.clear()
+    if spec.hooks.after_finish:
+        spec.hooks.after_finish(result.statistics)
+    return result
 
 
-def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveResult:
-    spec._require_apart(spec.dest, lambda path: qualified(spark, path))
-    # under its name, so that a subquery in the predicate can refer to the table
-    source = read_source(spark, spec.source).alias(spec.source.table)
+_TOUCHED = "touched"  # noted before the first change outside the job's own folders
+_PUBLISHING = "publishing"  # noted before the kept rows get their name
+
+
+def _open(journal: Journal, spec: ArchiveSpec) -> None:
+    """Begin the journal, or check that the one that is there is this job's."""
+    begun = journal.facts("begun")
+    if begun is not None and begun["job"] != spec.fingerprint():
+        if journal.facts(_TOUCHED) is not None:
+            raise ValueError(f"another job broke off at {journal.path}; run it again or drop_job it")
+        _discard(journal)
+    id, at = uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).isoformat()
+    dest = spec.dest.path.rstrip("/") if spec.dest and spec.dest.path else None
+    beside = {name: f"{dest}.{name}-{id}" for name in ("incoming", "replaced", "compact")} if dest else {}
+    journal.once("begun", lambda: {"job": spec.fingerprint(), "id": id, "at": at, "beside": beside})
+
+
+def _beside(journal: Journal, name: str) -> str:
+    """A folder beside the destination that only this job knows."""
+    return journal.facts("begun")["beside"][name]
+
+
+def _discard(journal: Journal) -> None:
+    for path in (journal.facts("begun") or {}).get("beside", {}).values():
+        drop_path(journal.spark, path)
+    journal.clear()
+
+
+def drop_job(spark: SparkSession, journal: str) -> None:
+    """Give up a job that broke off: remove what it noted and made on its way.
+
+    What has reached the destination or files by then stays there.
+    """
+    _discard(Journal(spark, journal))
+
+
+def _run(spark: SparkSession, spec: ArchiveSpec, journal: Journal, scratch: Scratch) -> ArchiveResult:
     result = ArchiveResult(planned_steps(spec))
-    if spec.dry_run:
-        result.plan = _explained(_chosen(source, spec))
-        return result
+    counters = Counters()
+
+    def step(name: str, work: Callable[[], dict | None]) -> dict:
+        """Do a step once; a later run takes its facts and counts from the journal."""
+        own = Counters()
+        facts = journal.once(name, lambda: {"facts": work(own) or {}, "counts": own.entries})
+        counters.add(facts["counts"])
+        return facts["facts"]
 
-    if spec.kept_path and not spec.no_delete and path_exists(spark, spec.kept_path):
-        raise ValueError(f"{spec.kept_path} already exists")
+    # under its name, so that a subquery in the predicate can refer to the table
+    source = read_source(spark, spec.source).alias(spec.source.table)
     dest = _existing(spark, spec.dest)
     if dest is not None and spec.check_columns:
         _require_same_columns(spark, _outgoing(source, spec), dest)
 
-    counters = Counters()
-    with counters.timed("select"):
-        if spec.no_delete:
-            archived, keep = _copy(source, spec, counters, scratch), None
-        else:
-            archived, keep = _split(source, archive_match(source, spec), spec, counters, scratch)
-    if archived is not None:
+    if spec.no_delete:
+        step("select", lambda own: _copy(source, spec, own, journal))
+    else:
+        step("select", lambda own: _split(source, archive_match(source, spec), spec, own, journal))
+    archived = _archived(spark, source, spec, journal)
+    if archived is not None and spec.hooks.before_delete and not spec.no_delete:
+        step("spare", lambda own: _spare(archived, spec, own, journal, scratch))
+        archived = spark.read.schema(source.schema).parquet(journal.folder("chosen"))
+
+    if archived is not None and not spec.purge:
         if spec.keys:
             ordered = key_order(archived, spec.keys, unique=spec.unique_keys)
             result.manifest = manifest_of(ordered, spec.keys, spec.chunk_rows)
@@ -150,28 +224,28 @@ def _run(spark: SparkSession, spec: ArchiveSpec, scratch: Scratch) -> ArchiveRes
                 result.progress = marks.select("rows_done", "hi")
         rows = _outgoing(archived, spec)
         if spec.hooks.before_insert:
-            rows = scratch.stage(rows.transform(spec.hooks.before_insert), "hooked")
+            step("hook", lambda own: rows.transform(spec.hooks.before_insert).write.parquet(journal.fresh("hooked")))
+            rows = spark.read.parquet(journal.folder("hooked"))
         if spec.dest:
-            with counters.timed("insert"):
-                result.dest_path = _insert(rows, dest, spec, counters, scratch)
+            sent = step("send", lambda own: _prepare(rows, dest, spec, own, journal, scratch))
+            journal.once(_TOUCHED, dict)
+            step("insert", lambda own: _insert(sent, spec, own, journal))
+            result.dest_path = sent["dest_path"]
         if spec.file:
-            with counters.timed("file"):
-                ts = spec.file_ts
-                # the time that routes rows need not be among the columns written
-                routed = archived.select(*rows.columns, ts) if ts and ts not in rows.columns else rows
-                result.files_path = _write_files(routed, rows.columns, spec)
-            counters.add_rows("file", rows.count())
-        if keep is not None:
-            _return_spared(archived, keep, spec, counters, scratch)
+            journal.once(_TOUCHED, dict)
+            ts = spec.file_ts
+            # the time that routes rows need not be among the columns written
+            routed = archived.select(*rows.columns, ts) if ts and ts not in rows.columns else rows
+            result.files_path = step("file", lambda own: _write_files(routed, rows.columns, spec, own, journal))["path"]
 
     # everything else is done and checked: only now the kept rows appear
-    _optimize_dest(spark, spec, result, counters)
-    if keep is not None:
-        result.kept_path = _publish(spark, keep, spec, counters)
+    if "d" in (spec.optimize or "") and result.dest_path:
+        result.dest_path = step("tidy", lambda own: _optimize_dest(spark, spec, result.dest_path, own, journal))["path"]
+    if not spec.no_delete:
+        journal.once(_TOUCHED, dict)
+        result.kept_path = _publish(spark, spec, counters, journal)
     _analyze(spark, spec, result)
     result.statistics = counters.frame(spark)
-    if spec.hooks.after_finish:
-        spec.hooks.after_finish(result.statistics)
     return result
 
 
@@ -233,137 +307,189 @@ def _chosen(source: DataFrame, spec: ArchiveSpec) -> DataFrame:
     return chosen.select(*dict.fromkeys(needed))
 
 
-def _copy(source: DataFrame, spec: ArchiveSpec, counters: Counters, scratch: Scratch) -> DataFrame:
+def _copy(source: DataFrame, spec: ArchiveSpec, counters: Counters, journal: Journal) -> None:
     """The rows to archive of a job that deletes nothing, written once, so that every later
     step sees the same."""
     seen = Observation()
-    chosen = _chosen(source, spec)
-    archived = scratch.stage(chosen.observe(seen, F.count(F.lit(1)).alias("n_rows")), "copied")
-    if archived.count() != seen.get["n_rows"]:
-        raise RuntimeError("the files written do not hold the rows read")
+    with counters.timed("select"):
+        chosen = _chosen(source, spec)
+        path = journal.fresh("copied")
+        chosen.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.parquet(path)
+        if source.sparkSession.read.schema(chosen.schema).parquet(path).count() != seen.get["n_rows"]:
+            raise RuntimeError("the files written do not hold the rows read")
     counters.add_rows("select", seen.get["n_rows"])
-    return archived
 
 
-def _split(
-    source: DataFrame, match: Column, spec: ArchiveSpec, counters: Counters, scratch: Scratch
-) -> tuple[DataFrame | None, str]:
-    """Write both sides (or the kept one) in one pass, beside ``kept_path``, and check the
-    files against the rows that were read.  Returns the archived rows, if kept at all, and
-    the folder of the kept ones."""
+def _split(source: DataFrame, match: Column, spec: ArchiveSpec, counters: Counters, journal: Journal) -> None:
+    """Write both sides (or the kept one) in one pass, and check the files against the rows
+    that were read."""
     spark = source.sparkSession
     columns = source.columns
-    wanted = ["keep"] if spec.purge else ["archive", "keep"]
-    root = f"{spec.kept_path.rstrip('/')}.job-{uuid.uuid4().hex}"
-    scratch.paths.append(root)
+    wanted = ["keep"] if _keeps_only(spec) else ["archive", "keep"]
+    root = journal.fresh("split")
 
     def hashed(rows: DataFrame) -> DataFrame:
         if not spec.verify:
             return rows
         return rows.withColumns({f"_p{i}": p for i, p in enumerate(row_pieces(columns))})
 
-    seen = Observation()
-    figures = _figures(spec.verify)
-    tagged = source.withColumn(SIDE, F.when(match, "archive").otherwise("keep"))
-    observed = hashed(tagged).observe(seen, *figures).select(*tagged.columns)
-    if len(wanted) == 1:
-        observed = observed.where(F.col(SIDE) == wanted[0])
-    observed.write.partitionBy(SIDE).parquet(root)
-
-    both = hashed(spark.read.schema(tagged.schema).parquet(root))
-    written = both.agg(*figures).first().asDict()
-    for name in wanted:
-        for figure in [f for f in written if f.endswith(f"_{name}")]:
-            if written[figure] != seen.get[figure]:
-                raise RuntimeError(f"the files written do not hold the rows read ({figure})")
-        if not written[f"n_rows_{name}"]:  # a side without rows still gets its folder
-            spark.createDataFrame([], source.schema).write.parquet(f"{root}/{SIDE}={name}")
+    with counters.timed("select"):
+        seen = Observation()
+        figures = _figures(spec.verify)
+        tagged = source.withColumn(SIDE, F.when(match, "archive").otherwise("keep"))
+        observed = hashed(tagged).observe(seen, *figures).select(*tagged.columns)
+        if len(wanted) == 1:
+            observed = observed.where(F.col(SIDE) == wanted[0])
+        observed.write.partitionBy(SIDE).parquet(root)
+
+        both = hashed(spark.read.schema(tagged.schema).parquet(root))
+        written = both.agg(*figures).first().asDict()
+        for name in wanted:
+            for figure in [f for f in written if f.endswith(f"_{name}")]:
+                if written[figure] != seen.get[figure]:
+                    raise RuntimeError(f"the files written do not hold the rows read ({figure})")
+            if not written[f"n_rows_{name}"]:  # a side without rows still gets its folder
+                spark.createDataFrame([], source.schema).write.parquet(f"{root}/{SIDE}={name}")
 
     archived = seen.get["n_rows_archive"]
     counters.add_rows("select", archived + seen.get["n_rows_keep"])
     counters.add_rows("delete", archived, calls=1)
-    keep = f"{root}/{SIDE}=keep"
-    if spec.purge:
-        return None, keep
-    return spark.read.schema(source.schema).parquet(f"{root}/{SIDE}=archive"), keep
 
 
-def _return_spared(
-    archived: DataFrame, keep: str, spec: ArchiveSpec, counters: Counters, scratch: Scratch
-) -> None:
-    """Put back the rows that a before_delete hook took out of the set to delete.
+def _keeps_only(spec: ArchiveSpec) -> bool:
+    """Does nobody ask for the archived rows themselves?"""
+    return spec.purge and spec.hooks.before_delete is None
+
+
+def _archived(spark: SparkSession, source: DataFrame, spec: ArchiveSpec, journal: Journal) -> DataFrame | None:
+    if spec.no_delete:
+        return spark.read.schema(_chosen(source, spec).schema).parquet(journal.folder("copied"))
+    if _keeps_only(spec):
+        return None
+    return spark.read.schema(source.schema).parquet(f"{journal.folder('split')}/{SIDE}=archive")
+
+
+def _spare(archived: DataFrame, spec: ArchiveSpec, counters: Counters, journal: Journal, scratch: Scratch) -> None:
+    """Ask the before_delete hook which rows to delete; write these, and those it spares.
 
     One count per distinct row tells both: below zero, the hook added the row; above zero,
     it spared that many copies.
     """
-    hook = spec.hooks.before_delete
-    if hook is None:
-        return
     columns = archived.columns
-    chosen = archived.transform(hook).select(*columns).withColumn("_n", F.lit(-1).cast("long"))
-    signed = archived.withColumn("_n", F.lit(1).cast("long")).unionByName(chosen)
+    chosen = journal.fresh("chosen")
+    archived.transform(spec.hooks.before_delete).select(*columns).write.parquet(chosen)
+    chosen = archived.sparkSession.read.schema(archived.schema).parquet(chosen)
+    signed = archived.withColumn("_n", F.lit(1).cast("long")).unionByName(
+        chosen.withColumn("_n", F.lit(-1).cast("long"))
+    )
     counts = scratch.stage(signed.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0"), "spared")
     if not counts.where("_n < 0").isEmpty():
         raise ValueError("a before_delete hook may only remove rows from the set")
     one = F.lit(1).cast("long")
-    spared = multiply(counts, one, F.col("_n"), "_copy").select(*columns)
-    spared.write.mode("append").parquet(keep)
+    multiply(counts, one, F.col("_n"), "_copy").select(*columns).write.parquet(journal.fresh("spared"))
     counters.add_rows("delete", -(counts.agg(F.sum("_n").alias("n")).first()["n"] or 0))
 
 
-def _publish(spark: SparkSession, keep: str, spec: ArchiveSpec, counters: Counters) -> str:
+def _publish(spark: SparkSession, spec: ArchiveSpec, counters: Counters, journal: Journal) -> str:
     """The kept rows as plain files in exactly ``kept_path``."""
     path = spec.kept_path.rstrip("/")
+    keep = f"{journal.folder('split')}/{SIDE}=keep"
+    if journal.facts(_PUBLISHING) is not None and path_exists(spark, path):
+        return path  # an earlier run came as far as this
+    move_files(spark, journal.folder("spared"), keep, "spared-")
     if "s" in (spec.optimize or ""):
         with counters.timed("optimize"):
-            compact(spark, keep, path, keys=spec.keys)
-    else:
-        move_path(spark, keep, path)
+            tidy = journal.fresh("tidy")
+            compact(spark, keep, tidy, keys=spec.keys)
+            keep = tidy
+    journal.once(_PUBLISHING, dict)
+    move_path(spark, keep, path)
     return path
 
 
-def _insert(
-    rows: DataFrame,
-    dest: DataFrame | None,
-    spec: ArchiveSpec,
-    counters: Counters,
-    scratch: Scratch,
-) -> str | None:
-    if spec.bulk_insert:
-        path = scratch.path("bulk")
-        export_dump(rows, path)
-        rows = scratch.stage(import_dump(scratch.spark, path, rows.schema), "loaded")
-    target = spec.dest
-    if dest is not None:
-        rows = rows.select(*common_columns(dest, rows.columns))
-        missing = [f for f in dest.schema.fields if f.name not in rows.columns]
-        rows = rows.select(
-            "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]
-        ).select(*dest.columns)
-
-    if spec.replace:
-        rows = scratch.stage(settle(rows, [list(spec.keys)], (), last=True), "settled")
-    if spec.replace and dest is not None:
-        if not target.path:
-            raise ValueError("replace rewrites the destination and needs one given by path")
-        path = f"{target.path.rstrip('/')}.v-{uuid.uuid4().hex}"
-        seen = Observation()
-        merged = replace_into(dest, rows, list(spec.keys)).observe(seen, *_sums(dest.columns, spec.verify))
-        merged.write.format(target.format).options(**target.options).save(path)
-        _require_arrived(read_source(rows.sparkSession, replace(target, path=path)), seen.get, spec.verify)
-        counters.add_rows("insert", rows.count())
-        return path
-    if spec.keys and spec.unique_keys and (dest is not None or spec.ignore):
-        fresh = scratch.stage(new_rows(rows.limit(0) if dest is None else dest, rows, list(spec.keys)), "fresh")
-        left_out = rows.count() - fresh.count()
-        if not spec.ignore and left_out:
-            raise ValueError("rows conflict with the destination's keys; use ignore or replace")
-        if spec.ignore:
+# formats whose tables are no more than their files
+_FILES = ("parquet", "orc", "json", "csv", "avro", "text")
+
+
+def _prepare(
+    rows: DataFrame, dest: DataFrame | None, spec: ArchiveSpec, counters: Counters, journal: Journal, scratch: Scratch
+) -> dict:
+    """Settle which rows the destination gets, and write them down, checked, beside it."""
+    spark, target = rows.sparkSession, spec.dest
+    with counters.timed("insert"):
+        if spec.bulk_insert:
+            path = scratch.path("bulk")
+            export_dump(rows, path)
+            rows = scratch.stage(import_dump(spark, path, rows.schema), "loaded")
+        if dest is not None:
+            rows = rows.select(*common_columns(dest, rows.columns))
+            missing = [f for f in dest.schema.fields if f.name not in rows.columns]
+            rows = rows.select(
+                "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing]
+            ).select(*dest.columns)
+
+        if spec.replace:
+            rows = scratch.stage(settle(rows, [list(spec.keys)], (), last=True), "settled")
+        if spec.replace and dest is not None:
+            if not target.path:
+                raise ValueError("replace rewrites the destination and needs one given by path")
+            path = _beside(journal, "replaced")
+            drop_path(spark, path)
+            _write_checked(replace_into(dest, rows, list(spec.keys)), replace(target, path=path), spec.verify)
+            return {"dest_path": path, "n_rows": rows.count(), "how": "replaced"}
+        left_out = None
+        if spec.keys and spec.unique_keys and (dest is not None or spec.ignore):
+            fresh = scratch.stage(new_rows(rows.limit(0) if dest is None else dest, rows, list(spec.keys)), "fresh")
+            left_out = rows.count() - fresh.count()
+            if not spec.ignore and left_out:
+                raise ValueError("rows conflict with the destination's keys; use ignore or replace")
+            rows = fresh
+        if spec.ignore and left_out is not None:
             counters.add_rows("ignored", left_out)
-        rows = fresh
-    _append(rows, dest, target, spec.verify)
-    counters.add_rows("insert", rows.count())
-    return target.path
+        if target.path and target.format in _FILES:
+            incoming = _beside(journal, "incoming")
+            drop_path(spark, incoming)
+            sent = _write_checked(rows, replace(target, path=incoming), spec.verify)
+            return {"dest_path": target.path, "n_rows": sent, "how": "files"}
+        rows.write.parquet(journal.fresh("outgoing"))
+        had = dest.count() if dest is not None else 0
+        return {"dest_path": target.path, "n_rows": _read_outgoing(spark, journal).count(), "how": "rows", "had": had}
+
+
+def _read_outgoing(spark: SparkSession, journal: Journal) -> DataFrame:
+    return spark.read.parquet(journal.folder("outgoing"))
+
+
+def _insert(sent: Mapping, spec: ArchiveSpec, counters: Counters, journal: Journal) -> None:
+    """Bring the prepared rows to the destination; run again, it brings what is not there yet."""
+    spark, target = journal.spark, spec.dest
+    with counters.timed("insert"):
+        if sent["how"] == "files":
+            incoming = _beside(journal, "incoming")
+            move_files(spark, incoming, target.path, f"{journal.facts('begun')['id']}-")
+            drop_path(spark, incoming)
+        elif sent["how"] == "rows":
+            _insert_rows(_read_outgoing(spark, journal), sent["had"], sent["n_rows"], target, journal)
+    counters.entries["insert"][0] -= 1  # counted when the rows were prepared
+    counters.add_rows("insert", sent["n_rows"])
+
+
+def _insert_rows(rows: DataFrame, had: int, n_rows: int, target: SourceSpec, journal: Journal) -> None:
+    """Add rows to a table that only takes rows, which tells by its size what it has got.
+
+    Nobody else may write to it meanwhile.
+    """
+    spark = journal.spark
+
+    def size() -> int:
+        table = _existing(spark, target)
+        return table.count() if table is not None else 0
+
+    if journal.facts("inserting") is None or size() == had:
+        journal.once("inserting", dict)
+        _write(rows, target)
+    if (has := size()) - had != n_rows:
+        raise RuntimeError(f"the destination got {has - had} rows instead of {n_rows}")
 
 
 def _sums(columns: Sequence[str], verify: bool) -> list[Column]:
@@ -378,27 +504,15 @@ def _require_arrived(there: DataFrame, sent: Mapping[str, object], verify: bool)
         raise RuntimeError(f"the destination does not hold the rows sent: {found} instead of {dict(sent)}")
 
 
-def _append(rows: DataFrame, dest: DataFrame | None, target: SourceSpec, verify: bool) -> None:
-    """Add rows to the destination, then look there for them.
-
-    Of a folder only the new files are read; a table's rows are counted before and after.
-    """
-    spark = rows.sparkSession
+def _write_checked(rows: DataFrame, target: SourceSpec, verify: bool) -> int:
+    """Write a folder of its own and look there for the rows; their number."""
     seen = Observation()
-    sent = rows.observe(seen, *_sums(rows.columns, verify))
-    if target.path:
-        before = set(dest.inputFiles()) if dest is not None else set()
-        _write(sent, target)
-        reader = spark.read.format(target.format).options(**target.options)
-        added = [f for f in reader.load(target.path).inputFiles() if f not in before]
-        there = reader.schema(rows.schema).load(added) if added else rows.limit(0)
-        _require_arrived(there, seen.get, verify)
-        return
-    had = dest.count() if dest is not None else 0
-    _write(sent, target)
-    has = read_source(spark, target).count()
-    if has - had != seen.get["n_rows"]:
-        raise RuntimeError(f"the destination got {has - had} rows instead of {seen.get['n_rows']}")
+    _write(rows.observe(seen, *_sums(rows.columns, verify)), target)
+    there = read_source(rows.sparkSession, target)
+    if target.format not in ("parquet", "orc", "avro"):  # texts, which name no types
+        there = rows.sparkSession.read.format(target.format).options(**target.options).schema(rows.schema).load(target.path)
+    _require_arrived(there.select(*rows.columns), seen.get, verify)
+    return seen.get["n_rows"]
 
 
 def _write(rows: DataFrame, target: SourceSpec) -> None:
@@ -410,8 +524,28 @@ def _write(rows: DataFrame, target: SourceSpec) -> None:
         rows.write.mode("append").saveAsTable(f"{target.database}.{target.table}")
 
 
-def _write_files(rows: DataFrame, columns: Sequence[str], spec: ArchiveSpec) -> str:
-    """Archive files of some columns by the template, checked by their number of lines."""
+def _write_files(
+    rows: DataFrame, columns: Sequence[str], spec: ArchiveSpec, counters: Counters, journal: Journal
+) -> dict:
+    """Archive files of some columns by the template, checked by their number of lines.
+
+    The place must be free; what an unfinished run of this job wrote there is replaced.
+    """
+    at = dt.datetime.fromisoformat(journal.facts("begun")["at"])
+    names = (spec.source.database, spec.source.table)
+    path = render_name(spec.file, at, *names) if spec.file_ts is None else fixed_folder(spec.file)
+    if journal.facts("filing") is not None:
+        drop_path(rows.sparkSession, path)
+    elif path_exists(rows.sparkSession, path):
+        raise ValueError(f"{path} already exists")
+    journal.once("filing", dict)
+    with counters.timed("file"):
+        _lines_to_files(rows, columns, spec, path)
+    counters.add_rows("file", rows.count())
+    return {"path": path}
+
+
+def _lines_to_files(rows: DataFrame, columns: Sequence[str], spec: ArchiveSpec, path: str) -> None:
     schema = rows.select(*columns).schema
     names = (spec.source.database, spec.source.table)
     csv = spec.output_format == "csv"
@@ -420,14 +554,12 @@ def _write_files(rows: DataFrame, columns: Sequence[str], spec: ArchiveSpec) ->
     breaks = F.length("line") - F.length(F.replace("line", F.lit("\n"), F.lit(""))) + 1
     seen = Observation()
     if spec.file_ts is None:
-        path = render_name(spec.file, dt.datetime.now(dt.timezone.utc), *names)
         lines = rows.select(line(schema).alias("line")).observe(seen, F.sum(breaks).alias("n"))
         write_lines(lines, path, header_line(schema.names, csv) if spec.header else None)
         _require_lines(rows.sparkSession, path, seen, spec.header)
-        return path
+        return
     # a column per folder level of the template, from the first one with a code
-    folder = fixed_folder(spec.file)
-    levels = spec.file[len(folder) :].strip("/").split("/")
+    levels = spec.file[len(path) :].strip("/").split("/")
     folders = [f"archive_{i}" for i in range(len(levels) - 1)] + ["archive_file"]
     routed = rows.select(
         line(schema).alias("line"),
@@ -442,9 +574,8 @@ def _write_files(rows: DataFrame, columns: Sequence[str], spec: ArchiveSpec) ->
         first = F.row_number().over(same_file) == 1
         text = F.when(first, F.concat(F.lit(header + "\n"), F.col("line"))).otherwise(F.col("line"))
         routed = placed.withColumn("line", text).drop("_at")
-    routed.write.partitionBy(*folders).option("maxRecordsPerFile", 0).text(folder)
-    _require_lines(rows.sparkSession, folder, seen, spec.header)
-    return folder
+    routed.write.partitionBy(*folders).option("maxRecordsPerFile", 0).text(path)
+    _require_lines(rows.sparkSession, path, seen, spec.header)
 
 
 def _require_lines(spark: SparkSession, path: str, seen: Observation, header: bool) -> None:
@@ -455,16 +586,16 @@ def _require_lines(spark: SparkSession, path: str, seen: Observation, header: bo
         raise RuntimeError(f"the files hold {found['n']} lines instead of {expected}")
 
 
-def _optimize_dest(
-    spark: SparkSession, spec: ArchiveSpec, result: ArchiveResult, counters: Counters
-) -> None:
-    """Compact the destination into a folder of its own, which the result names."""
-    if "d" not in (spec.optimize or "") or not result.dest_path:
-        return
+def _optimize_dest(spark: SparkSession, spec: ArchiveSpec, path: str, counters: Counters, journal: Journal) -> dict:
+    """Compact the destination into a folder of its own, which the result names.
+
+    The folder it had before stays as it is, for readers that still use it.
+    """
     with counters.timed("optimize"):
-        tidy = f"{spec.dest.path.rstrip('/')}.compact-{uuid.uuid4().hex}"
-        compact(spark, result.dest_path, tidy, keys=spec.keys, format=spec.dest.format)
-    result.dest_path = tidy
+        tidy = _beside(journal, "compact")
+        drop_path(spark, tidy)
+        compact(spark, path, tidy, keys=spec.keys, format=spec.dest.format)
+    return {"path": tidy}
 
 
 def _analyze(spark: SparkSession, spec: ArchiveSpec, result: ArchiveResult) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
@@ -17,9 +18,9 @@ _WHERE_TO = (None, "", "d", "s", "ds")
 
 @dataclass(frozen=True)
 class Hooks:
-    """User steps.  ``before_insert`` may change the rows on their way to the
-    destination; ``before_delete`` may only take rows out of the set to delete;
-    ``after_finish`` sees the job's counters."""
+    """User steps.  ``before_delete`` comes first and may only take rows out of the set to
+    delete; these are kept, and not copied either.  ``before_insert`` may change the rows on
+    their way to the destination; ``after_finish`` sees the job's counters."""
 
     before_insert: Hook | None = None
     before_delete: Hook | None = None
@@ -52,6 +53,7 @@ class ArchiveSpec:
     analyze: str | None = None
     optimize: str | None = None
     progress: int = 0  # rows between progress marks
+    journal: str | None = None  # folder for finished steps; beside kept_path if there is one
     dry_run: bool = False
     hooks: Hooks = field(default_factory=Hooks)
 
@@ -104,9 +106,24 @@ class ArchiveSpec:
         """
         if not self.source.path:
             return
-        written = {"dest": dest and dest.path, "file": self.file and fixed_folder(self.file), "kept_path": self.kept_path}
+        written = {
+            "dest": dest and dest.path,
+            "file": self.file and fixed_folder(self.file),
+            "kept_path": self.kept_path,
+            "journal": self.journal,
+        }
         for name, path in written.items():
             if path and (
                 inside(form(path), form(self.source.path)) or name != "file" and inside(form(self.source.path), form(path))
             ):
                 raise ValueError(f"{name} must not be a folder of the source: {path}")
+
+    def journal_path(self) -> str | None:
+        """Where the job's finished steps are noted, if anywhere."""
+        if self.journal:
+            return self.journal.rstrip("/")
+        return f"{self.kept_path.rstrip('/')}.journal" if self.kept_path and not self.no_delete else None
+
+    def fingerprint(self) -> str:
+        """Tells a job from other ones; its hooks, which are code, do not count."""
+        return hashlib.sha256(repr(replace(self, hooks=Hooks())).encode()).hexdigest()

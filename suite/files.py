@@ -6,13 +6,13 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from coldshelf.operators.compact import compact
+from coldshelf.operators.compact import compact, compact_small
 from coldshelf.plans.job import run_archive
 from coldshelf.plans.spec import ArchiveSpec, Hooks
-from coldshelf.plans.staging import new_path
+from coldshelf.plans.staging import drop_path, new_path
 from coldshelf.sources import dump, statements, templates
 from coldshelf.sources.endpoints import SourceSpec
-from coldshelf.streaming.archive_stream import archive_stream
+from coldshelf.streaming.archive_stream import archive_stream, start_keyed_stream
 from suite.common import Suite, table
 
 suite = Suite()
@@ -269,6 +269,44 @@ def job_run_twice(spark, sf):
     return spark.read.parquet(run_archive(spark, again).dest_path)
 
 
+@suite.add(
+    "job_resumed",
+    """SELECT *, 'archived' AS side FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
+       UNION ALL
+       SELECT *, 'kept' FROM orders WHERE NOT o_orderdate < TIMESTAMP '1998-01-01 00:00:00'""",
+)
+def job_resumed(spark, sf):
+    """A job without keys that fails behind its insert, and is run again."""
+    spec = _orders_spec(spark, sf, keys=(), unique_keys=False)
+    spec = replace(spec, file=f"{spec.kept_path}-files")
+    spark.range(1).write.parquet(spec.file)  # the place of the files is taken
+    try:
+        run_archive(spark, spec)
+    except ValueError:
+        drop_path(spark, spec.file)
+        run_archive(spark, spec)
+    archived, kept = (spark.read.parquet(p) for p in (spec.dest.path, spec.kept_path))
+    return archived.withColumn("side", F.lit("archived")).unionByName(kept.withColumn("side", F.lit("kept")))
+
+
+@suite.add(
+    "hooks_spared_not_copied",
+    "SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_nationkey <> 3",
+)
+def hooks_spared_not_copied(spark, sf):
+    """The destination of a job whose hook spares rows."""
+    base = new_path(spark, "hooks")
+    spec = ArchiveSpec(
+        source=SourceSpec("shop", "customer", path=f"{sf}/customer.parquet"),
+        where="c_mktsegment <> 'BUILDING'",
+        dest=SourceSpec(path=f"{base}/dest"),
+        kept_path=f"{base}/rest",
+        hooks=Hooks(before_delete=lambda df: df.where("c_nationkey <> 3")),
+    )
+    run_archive(spark, spec)
+    return spark.read.parquet(spec.dest.path)
+
+
 @suite.add(
     "dump_round_trip_nested",
     """SELECT event_id, list_value(event_type, NULL, 'tab' || chr(9) || 'line' || chr(10), chr(92) || ',"') AS words,
@@ -361,3 +399,47 @@ def compacted(spark, sf):
     path = new_path(spark, "purged")
     scattered.where("l_linenumber <= 3").repartition(16, "l_partkey").write.parquet(path)
     return compact(spark, path, f"{path}-tidy", target_rows=10_000, keys=["l_orderkey"])
+
+
+@suite.add("compacted_small", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_linenumber <= 3")
+def compacted_small(spark, sf):
+    """Many small files beside a large one, joined in place."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").where("l_linenumber <= 3")
+    path = new_path(spark, "small")
+    lines.where("l_linenumber <= 2").coalesce(1).write.parquet(path)
+    lines.where("l_linenumber = 3").repartition(20, "l_partkey").write.mode("append").parquet(path)
+    compact_small(spark, path, small_bytes=64 << 10, target_bytes=256 << 10, keys=["l_orderkey"])
+    return spark.read.parquet(path)
+
+
+# orders in batches by date: a customer's orders have one key
+_FIRST_LAST = """WITH r AS (SELECT o_custkey, o_orderkey, o_orderstatus, year(o_orderdate) AS y FROM orders
+        WHERE o_orderstatus <> 'P'),
+    n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY y {0}, o_orderkey {0}) AS i FROM r)
+    SELECT o_custkey, o_orderkey, o_orderstatus FROM n WHERE i = 1"""
+
+
+@suite.add("stream_keyed", _FIRST_LAST.format("ASC"))
+def stream_keyed(spark, sf):
+    """The first order of each customer, as files arrive year by year."""
+    return _keyed(spark, sf, replace=False)
+
+
+@suite.add("stream_keyed_replaced", _FIRST_LAST.format("DESC"))
+def stream_keyed_replaced(spark, sf):
+    """The last order of each customer."""
+    return _keyed(spark, sf, replace=True)
+
+
+def _keyed(spark, sf, replace):
+    base = new_path(spark, "keyed")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
+    schema = orders.drop("y").schema
+    years = [r["y"] for r in orders.select("y").distinct().orderBy("y").collect()]
+    for year in years:  # one batch a year, as files would arrive
+        orders.where(F.col("y") == year).drop("y").coalesce(1).write.mode("append").parquet(f"{base}/in")
+        start_keyed_stream(
+            spark, f"{base}/in", schema, "o_orderstatus <> 'P'", f"{base}/dest", f"{base}/kept", ["o_custkey"],
+            f"{base}/state", replace=replace, order_by=["o_orderkey"],
+        ).awaitTermination()
+    return spark.read.parquet(f"{base}/dest")

@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from coldshelf.operators.stats import analyze_columns, counter_deltas, keep_latest_autoinc, table_status
-from coldshelf.plans.job import run_archive
+from coldshelf.plans.job import drop_job, run_archive
 from coldshelf.plans.spec import ArchiveSpec, Hooks
 from coldshelf.plans.staging import workspace
 from coldshelf.sources.endpoints import SourceSpec
-from coldshelf.streaming.archive_stream import archive_stream
+from coldshelf.streaming.archive_stream import archive_stream, keyed_batch
 
 
 def bag(df):
@@ -194,6 +194,47 @@ def test_stream_equals_batch(spark, folder):
         archive_stream(*args, sleep="1 second")
 
 
+def keyed(spark, folder, rows, number, replace=False, order_by=("n",)):
+    """Batch ``number`` of a keyed stream, by hand."""
+    run = keyed_batch("n >= 0", f"{folder}/dest", f"{folder}/kept", ["k"], f"{folder}/notes", replace, list(order_by))
+    run(spark.createDataFrame(rows, "k int, n int, s string"), number)
+    return Counter(tuple(r) for r in spark.read.parquet(f"{folder}/dest").collect())
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_a_batch_that_is_run_again_adds_nothing(spark, folder, replace):
+    first = [(1, 5, "a"), (1, 3, "b"), (None, 1, "null"), (2, -1, "kept")]
+    second = [(1, 9, "c"), (3, 1, "d"), (None, 2, "null too"), (4, -7, "kept too")]
+    for _ in range(2):
+        one = keyed(spark, folder, first, 0, replace)
+    assert one == Counter([(1, 5, "a") if replace else (1, 3, "b"), (None, 1, "null")])
+    for _ in range(2):
+        two = keyed(spark, folder, second, 1, replace)
+    mine = (1, 9, "c") if replace else (1, 3, "b")
+    assert two == Counter([mine, (None, 1, "null"), (3, 1, "d"), (None, 2, "null too")])
+    assert sorted(r.s for r in spark.read.parquet(f"{folder}/kept").collect()) == ["kept", "kept too"]
+
+
+@pytest.mark.parametrize("step", ["delete_rows_in_files", "move_files"])
+def test_a_batch_may_break_off(spark, folder, monkeypatch, step):
+    from coldshelf.streaming import archive_stream as module
+
+    keyed(spark, folder, [(1, 1, "old"), (2, 1, "old")], 0, True)
+    work = getattr(module, step)
+
+    def broken(*args):
+        work(*args)
+        raise OSError("the driver is lost")
+
+    monkeypatch.setattr(module, step, broken)
+    rows = [(2, 2, "new"), (3, 2, "new"), (9, -1, "kept")]
+    with pytest.raises(OSError):
+        keyed(spark, folder, rows, 1, True)
+    monkeypatch.undo()
+    assert keyed(spark, folder, rows, 1, True) == Counter([(1, 1, "old"), (2, 2, "new"), (3, 2, "new")])
+    assert spark.read.parquet(f"{folder}/kept").count() == 1
+
+
 def test_table_status_and_columns(spark):
     df = spark.createDataFrame([(1, "ab", None), (2, None, 1.5), (3, "é", 2.5)], "id bigint, t string, d double")
     row = table_status(df, "x", autoinc_col="id", checksum=True).first()
@@ -320,7 +361,7 @@ def test_a_row_lost_on_its_way_fails_the_job(spark, job, folder, monkeypatch, ch
         read = module.read_source
         monkeypatch.setattr(
             module, "read_source",
-            lambda s, spec: read(s, spec).where("id <> 4") if spec.path and ".v-" in spec.path else read(s, spec),
+            lambda s, spec: read(s, spec).where("id <> 4") if spec.path and ".replaced-" in spec.path else read(s, spec),
         )
     else:
         write = module._write
@@ -362,6 +403,159 @@ def test_headers_and_folders_by_row_time(spark, folder):
     assert sum(len(f.read_text().splitlines()) - 1 for f in files) == 60
 
 
+# -- jobs that break off and are run again --------------------------------------------
+
+
+@pytest.fixture
+def plain(job):
+    """Without keys nothing but the journal keeps rows from being inserted twice."""
+    return replace(job, keys=(), unique_keys=False)
+
+
+def test_a_job_that_fails_after_the_insert_goes_on_behind_it(spark, plain, folder):
+    spec = replace(plain, file=f"{folder}/files")
+    Path(f"{folder}/files").mkdir()
+    with pytest.raises(ValueError, match="exists"):
+        run_archive(spark, spec)
+    assert spark.read.parquet(spec.dest.path).count() == 50 and not Path(spec.kept_path).exists()
+    spark.range(3).selectExpr("id", "0L AS v", "'late' AS s").write.mode("append").parquet(spec.source.path)
+    Path(f"{folder}/files").rmdir()
+    result = run_archive(spark, spec)
+    source = spark.read.parquet(spec.source.path).where("s <> 'late'")
+    assert bag(spark.read.parquet(spec.dest.path)) + bag(spark.read.parquet(spec.kept_path)) == bag(source)
+    figures = {r.action: (r.calls, r.n_rows) for r in result.statistics.collect()}
+    assert figures == {"select": (1, 100), "delete": (1, 50), "insert": (1, 50), "file": (1, 50)}
+    assert not Path(f"{spec.kept_path}.journal").exists() and not list(Path(folder).glob("dest.*"))
+
+
+@pytest.mark.parametrize("moved", [0, 1, 2])
+def test_files_that_have_arrived_do_not_arrive_again(spark, plain, folder, monkeypatch, moved):
+    from coldshelf.plans import job as module
+
+    move = module.move_files
+
+    def broken(spark, source, into, prefix):
+        for name in sorted(p.name for p in Path(source).glob("part-*"))[:moved]:
+            Path(into).mkdir(exist_ok=True)
+            (Path(source) / name).rename(Path(into) / (prefix + name))
+        raise OSError("the driver is lost")
+
+    monkeypatch.setattr(module, "move_files", broken)
+    with pytest.raises(OSError):
+        run_archive(spark, plain)
+    monkeypatch.setattr(module, "move_files", move)
+    run_archive(spark, plain)
+    assert bag(spark.read.parquet(plain.dest.path)) == bag(spark.read.parquet(plain.source.path).where("v < 2"))
+
+
+@pytest.mark.parametrize(
+    "step, when",
+    [(s, "after") for s in ("_split", "_spare", "_prepare", "_insert", "_write_files", "_optimize_dest", "_publish")]
+    + [(s, "before") for s in ("_prepare", "_insert", "_publish")],
+)
+def test_a_job_may_break_off_anywhere(spark, plain, folder, monkeypatch, step, when):
+    from coldshelf.plans import job as module
+
+    spec = replace(plain, file=f"{folder}/files", optimize="d", hooks=Hooks(before_delete=lambda df: df.where("id > 9")))
+    work = getattr(module, step)
+
+    def broken(*args):
+        if when == "after":
+            work(*args)
+        raise OSError("the driver is lost")
+
+    # a lost driver clears nothing away
+    monkeypatch.setattr(module, step, broken)
+    monkeypatch.setattr(module, "_discard", lambda journal: None)
+    with pytest.raises(OSError):
+        run_archive(spark, spec)
+    monkeypatch.undo()
+    result = run_archive(spark, spec)
+    source = spark.read.parquet(spec.source.path)
+    gone = bag(source.where("v < 2 AND id > 9"))
+    assert bag(spark.read.parquet(spec.dest.path)) == gone and bag(spark.read.parquet(result.dest_path)) == gone
+    assert gone + bag(spark.read.parquet(spec.kept_path)) == bag(source)
+    assert spark.read.text(f"{folder}/files").count() == sum(gone.values())
+    assert not Path(f"{spec.kept_path}.journal").exists()
+
+
+def test_a_hook_that_fails_once_costs_nothing(spark, plain):
+    failing = replace(plain, hooks=Hooks(before_delete=lambda df: df.where("no_such_column > 1")))
+    with pytest.raises(Exception, match="no_such_column"):
+        run_archive(spark, failing)
+    assert not Path(plain.dest.path).exists() and not Path(f"{plain.kept_path}.journal").exists()
+    run_archive(spark, plain)
+    assert spark.read.parquet(plain.dest.path).count() == 50
+
+
+def test_spared_rows_are_kept_and_not_copied(spark, plain):
+    source = spark.read.parquet(plain.source.path)
+    hooks = Hooks(before_delete=lambda df: df.where("id >= 10"))
+    for spec in (replace(plain, hooks=hooks), replace(plain, dest=None, purge=True, kept_path=f"{plain.kept_path}2", hooks=hooks)):
+        result = run_archive(spark, spec)
+        assert bag(spark.read.parquet(spec.kept_path)) == bag(source.where("NOT v < 2 OR v IS NULL OR id < 10"))
+        assert {r.action: r.n_rows for r in result.statistics.collect()}["delete"] == 44
+    assert bag(spark.read.parquet(plain.dest.path)) == bag(source.where("v < 2 AND id >= 10"))
+
+
+def test_another_job_may_not_take_over_a_journal(spark, plain, folder):
+    spec = replace(plain, file=f"{folder}/files")
+    Path(f"{folder}/files").mkdir()
+    with pytest.raises(ValueError, match="exists"):
+        run_archive(spark, spec)
+    with pytest.raises(ValueError, match="broke off"):
+        run_archive(spark, plain)
+    drop_job(spark, f"{plain.kept_path}.journal")
+    assert not list(Path(folder).glob("*.journal")) and not list(Path(folder).glob("dest.*"))
+
+
+def test_a_table_that_only_takes_rows_gets_them_once(spark, plain, folder):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shelf_db")
+    spark.sql("DROP TABLE IF EXISTS shelf_db.rows_once")
+    spec = replace(plain, dest=SourceSpec("shelf_db", "rows_once"), file=f"{folder}/files")
+    Path(f"{folder}/files").mkdir()
+    with pytest.raises(ValueError, match="exists"):
+        run_archive(spark, spec)
+    Path(f"{folder}/files").rmdir()
+    run_archive(spark, spec)
+    assert spark.table("shelf_db.rows_once").count() == 50
+    spark.sql("DROP DATABASE shelf_db CASCADE")
+
+
+@pytest.mark.parametrize("wrote", [False, True])
+def test_a_table_whose_insert_broke_off(spark, plain, folder, monkeypatch, wrote):
+    from coldshelf.plans import job as module
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS shelf_db")
+    spark.sql("DROP TABLE IF EXISTS shelf_db.rows_once")
+    spark.sql("CREATE TABLE shelf_db.rows_once AS SELECT 999L AS id, 0L AS v, 'x' AS s")
+    write = module._write
+
+    def broken(rows, target):
+        if wrote:
+            write(rows, target)
+        raise OSError("the driver is lost")
+
+    monkeypatch.setattr(module, "_write", broken)
+    spec = replace(plain, dest=SourceSpec("shelf_db", "rows_once"))
+    with pytest.raises(OSError):
+        run_archive(spark, spec)
+    monkeypatch.undo()
+    run_archive(spark, spec)
+    assert spark.table("shelf_db.rows_once").count() == 51
+    spark.sql("DROP DATABASE shelf_db CASCADE")
+
+
+def test_a_copy_job_may_have_a_journal(spark, plain, folder):
+    spec = replace(plain, no_delete=True, kept_path=None, journal=f"{folder}/notes", file=f"{folder}/files")
+    Path(f"{folder}/files").mkdir()
+    with pytest.raises(ValueError, match="exists"):
+        run_archive(spark, spec)
+    Path(f"{folder}/files").rmdir()
+    run_archive(spark, spec)
+    assert spark.read.parquet(spec.dest.path).count() == 50 and not Path(f"{folder}/notes").exists()
+
+
 # -- results that do not hang on sizes ------------------------------------------------
 
 
