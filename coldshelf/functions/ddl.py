@@ -3,6 +3,9 @@
 The input has one text per row, ``(src_id, ddl)``, as printed by the server: one column
 or key per line, indented by two blanks.  Each catalog is a narrow transformation of
 that row, so no shuffle is involved before keys are ranked.
+
+Parentheses nest, so they are not left to patterns: a line is cut into quoted texts,
+names, parentheses, commas and what is between, and one pass over these counts the depth.
 """
 
 from __future__ import annotations
@@ -19,13 +22,18 @@ _LINE = r"(?:\A|\n)"
 # type word, then an optional parenthesis that may hold quoted text
 _COLUMN = rf"^\s\s{_NAME}\s+([A-Za-z]+(?:\((?:[^')]++|'[^']*+')*+\))?)(.*)"
 _KEY_COLUMNS = r"((?:[^()`]++|`(?:[^`]++|``)*+`|\([0-9]+\))*+)"
-_KEY = rf"^\s\s(PRIMARY|(?:FULLTEXT |SPATIAL |UNIQUE )?)\s*KEY (?:{_NAME} )?\({_KEY_COLUMNS}\)"
-_KEY_COLUMN = rf"{_NAME}(?:\(([0-9]+)\))?"
+_KEY = rf"^\s\s(PRIMARY|(?:FULLTEXT |SPATIAL |UNIQUE )?)\s*KEY (?:{_NAME} )?(?=\()"
+_KEY_COLUMN = rf"^\s*{_NAME}(?:\(([0-9]+)\))?(?:\s+(?:ASC|DESC))?\s*$"
+_CHECK = rf"^\s\s(?:CONSTRAINT {_NAME} )?CHECK\s*(?=\()"
 _FOREIGN = (
     rf"^\s\sCONSTRAINT {_NAME} FOREIGN KEY \({_KEY_COLUMNS}\) "
     rf"REFERENCES (?:{_NAME}\.)?{_NAME} \({_KEY_COLUMNS}\)"
 )
 
+# a quoted text, a name, a parenthesis, a comma, or a stretch of anything else
+_TOKEN = r"""(?s)`(?:[^`]++|``)*+`?|'(?:[^'\\]++|''|\\.)*+'?|"(?:[^"\\]++|""|\\.)*+"?|[(),]|[^`'"(),]++"""
+_SCANNED = "struct<at:int,depth:int,open:int,groups:array<struct<open:int,close:int>>,cuts:array<int>>"
+
 # fixed values: the types that count as numbers
 _NUMERIC = [
     "tinyint", "smallint", "mediumint", "int", "integer", "bigint",
@@ -41,6 +49,65 @@ def _lines(pattern: str) -> Column:
     return F.filter(F.split("ddl", "\r?\n", -1), lambda line: line.rlike(pattern))
 
 
+def _scan(text: Column) -> Column:
+    """The outermost parentheses of a text, and the commas in the first pair of them.
+
+    ``groups`` holds the places of each pair, from 1, ``cuts`` those of the commas.  Only
+    tokens at depth 0 or 1 add to a list, so the pass is linear in the text.
+    """
+    start = F.from_json(F.lit('{"at":0,"depth":0,"open":0,"groups":[],"cuts":[]}'), _SCANNED)
+
+    def step(seen: Column, token: Column) -> Column:
+        here, depth = seen["at"] + 1, seen["depth"]
+        opens, closes = token == "(", (token == ")") & (depth > 0)
+        pair = F.struct(seen["open"].alias("open"), here.alias("close"))
+        cut = (token == ",") & (depth == 1) & (F.size(seen["groups"]) == 0)
+        return F.struct(
+            (seen["at"] + F.length(token)).alias("at"),
+            F.when(opens, depth + 1).when(closes, depth - 1).otherwise(depth).alias("depth"),
+            F.when(opens & (depth == 0), here).otherwise(seen["open"]).alias("open"),
+            F.when(closes & (depth == 1), F.array_append(seen["groups"], pair)).otherwise(seen["groups"]).alias("groups"),
+            F.when(cut, F.array_append(seen["cuts"], here)).otherwise(seen["cuts"]).alias("cuts"),
+        )
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), start, step)
+
+
+def _between(text: Column, after: Column, before: Column) -> Column:
+    """What lies between two places of a text, without them."""
+    return F.substring(text, after + 1, before - after - 1)
+
+
+def _parts(text: Column, scanned: Column) -> Column:
+    """The parts of the first parenthesis, cut at its own commas; none if it never closes."""
+    first = F.get(scanned["groups"], F.lit(0))
+    edges = F.concat(F.array(first["open"]), scanned["cuts"], F.array(first["close"]))
+    parts = F.transform(F.sequence(F.lit(0), F.size(edges) - 2), lambda i: _between(text, F.get(edges, i), F.get(edges, i + 1)))
+    return F.when(F.size(scanned["groups"]) > 0, parts)
+
+
+def _with_groups(text: Column, scanned: Column) -> Column:
+    """Each outermost parenthesis: the words ``before`` it and what it holds (``inside``)."""
+    groups = scanned["groups"]
+
+    def cut(group: Column, i: Column) -> Column:
+        end = F.when(i > 0, F.get(groups, i - 1)["close"]).otherwise(F.lit(0))
+        return F.struct(
+            _between(text, end, group["open"]).alias("before"),
+            _between(text, group["open"], group["close"]).alias("inside"),
+        )
+
+    return F.transform(groups, cut)
+
+
+def _outside(text: Column, scanned: Column) -> Column:
+    """A text without what its parentheses hold."""
+    last = F.get(scanned["groups"], F.size(scanned["groups"]) - 1)["close"]
+    heads = F.transform(_with_groups(text, scanned), lambda g: F.concat(g["before"], F.lit("()")))
+    tail = F.substring(text, last + 1, F.length(text))
+    return F.when(F.size(scanned["groups"]) > 0, F.concat(F.array_join(heads, ""), tail)).otherwise(text)
+
+
 def ddl_tables(df: DataFrame) -> DataFrame:
     """``(src_id, name, engine, charset, error)``, one row per text.
 
@@ -109,9 +176,9 @@ def ddl_columns(df: DataFrame) -> DataFrame:
         F.regexp_extract("line", _COLUMN, 2).alias("raw_type"),
         F.regexp_extract("line", _COLUMN, 3).alias("rest"),
     )
-    # attributes without quoted texts and generation expressions
-    bare = F.regexp_replace("rest", r"'[^']*+'", "''")
-    bare = F.regexp_replace(bare, r"(?i)(GENERATED ALWAYS AS) \(.*\) (VIRTUAL|STORED)", "$1 $2")
+    # attributes without quoted texts and without what parentheses hold
+    bare = F.when(F.col("rest").contains("("), _outside(F.col("rest"), _scan(F.col("rest")))).otherwise(F.col("rest"))
+    bare = F.regexp_replace(bare, r"'(?:[^'\\]++|''|\\.)*+'", "''")
     typed = parts.withColumns(
         {
             "attrs": bare,
@@ -138,23 +205,26 @@ def ddl_columns(df: DataFrame) -> DataFrame:
 
 
 def ddl_keys(df: DataFrame) -> DataFrame:
-    """One row per key column: key, type, primary, unique, position, column, prefix length."""
+    """One row per key part: key, type, primary, unique, position, column, prefix length,
+    expression.
+
+    A part that is an expression has no column; a key whose parenthesis never closes has
+    one part with neither.
+    """
     lines = df.select("src_id", F.explode(_lines(_KEY)).alias("line"))
     kind = F.trim(F.regexp_extract("line", _KEY, 1))
-    columns = F.regexp_extract("line", _KEY, 3)
-    keys = lines.select(
+    heads = lines.select(
         "src_id",
         F.when(kind == "PRIMARY", "PRIMARY").otherwise(_unescape(F.regexp_extract("line", _KEY, 2))).alias("key_name"),
         F.when(kind == "SPATIAL", "RTREE").when(kind == "FULLTEXT", "TEXT").otherwise("BTREE").alias("key_type"),
         (kind == "PRIMARY").alias("is_primary"),
         kind.isin("PRIMARY", "UNIQUE").alias("is_unique"),
-        F.posexplode(
-            F.arrays_zip(
-                F.regexp_extract_all(columns, F.lit(_KEY_COLUMN), F.lit(1)).alias("name"),
-                F.regexp_extract_all(columns, F.lit(_KEY_COLUMN), F.lit(2)).alias("prefix"),
-            )
-        ).alias("i", "c"),
+        F.regexp_replace("line", _KEY, "").alias("body"),
     )
+    parts = F.coalesce(_parts(F.col("body"), _scan(F.col("body"))), F.array(F.lit(None).cast("string")))
+    keys = heads.select("*", F.posexplode(parts).alias("i", "part"))
+    prefix = F.regexp_extract("part", _KEY_COLUMN, 2)
+    column = F.regexp_extract("part", _KEY_COLUMN, 1)
     return keys.select(
         "src_id",
         "key_name",
@@ -162,9 +232,52 @@ def ddl_keys(df: DataFrame) -> DataFrame:
         "is_primary",
         "is_unique",
         (F.col("i") + 1).cast("long").alias("pos"),
-        _unescape(F.col("c.name")).alias("col_name"),
-        F.when(F.col("c.prefix") != "", F.col("c.prefix").cast("long")).otherwise(0).alias("prefix_length"),
+        F.when(column != "", _unescape(column)).alias("col_name"),
+        F.when(prefix != "", prefix.cast("long")).otherwise(0).alias("prefix_length"),
+        F.when(column == "", F.regexp_extract("part", r"(?s)^\s*\(?(.*?)\)?(?:\s+(?:ASC|DESC))?\s*$", 1)).alias("expression"),
+    )
+
+
+def ddl_expressions(df: DataFrame) -> DataFrame:
+    """Every expression in a text: ``(src_id, kind, name, pos, expression)``.
+
+    ``kind`` is ``generated`` or ``default`` (of a column, with its position), ``check``
+    (of a table or column, numbered within a column), or ``key`` (a part of a key).
+    """
+    lines = df.select("src_id", F.posexplode(_lines(r"^\s\s`")).alias("i", "line"))
+    rest = F.regexp_extract("line", _COLUMN, 3)
+    columns = lines.select(
+        "src_id", "i", _unescape(F.regexp_extract("line", _COLUMN, 1)).alias("name"), rest.alias("rest")
+    ).where(F.col("rest").contains("("))
+    groups = columns.select(
+        "src_id", "i", "name", F.explode(_with_groups(F.col("rest"), _scan(F.col("rest")))).alias("group")
+    )
+    word = F.lower(F.regexp_extract("group.before", r"(?i)\b(GENERATED\s+ALWAYS\s+AS|DEFAULT|CHECK)\s*$", 1))
+    of_columns = groups.select(
+        "src_id",
+        F.when(word.startswith("generated"), "generated").when(word != "", word).alias("kind"),
+        "name",
+        (F.col("i") + 1).cast("long").alias("pos"),
+        F.col("group.inside").alias("expression"),
+    ).where("kind IS NOT NULL")
+    checks = df.select("src_id", F.explode(_lines(_CHECK)).alias("line")).select(
+        "src_id",
+        F.regexp_extract("line", _CHECK, 1).alias("name"),
+        F.regexp_replace("line", _CHECK, "").alias("body"),
+    )
+    of_tables = checks.select(
+        "src_id",
+        F.lit("check").alias("kind"),
+        F.when(F.col("name") != "", _unescape(F.col("name"))).alias("name"),
+        F.lit(1).cast("long").alias("pos"),
+        F.get(_with_groups(F.col("body"), _scan(F.col("body"))), F.lit(0))["inside"].alias("expression"),
+    )
+    of_keys = (
+        ddl_keys(df)
+        .where("col_name IS NULL")
+        .select("src_id", F.lit("key").alias("kind"), F.col("key_name").alias("name"), "pos", "expression")
     )
+    return of_columns.unionByName(of_tables).unionByName(of_keys)
 
 
 def ddl_foreign_keys(df: DataFrame) -> DataFrame:
@@ -216,12 +329,14 @@ def locator_columns(
 ) -> DataFrame:
     """The columns that name single rows of a table: ``(src_id, pos, name)``.
 
-    Those of the key to use if that key is unique, else all columns.
+    Those of the key to use if that key is unique and has no expressions, else all columns.
     """
     best = best_index(key_catalog, preferred=preferred).where("error IS NULL")
+    computed = key_catalog.where("col_name IS NULL").select("src_id", "key_name").distinct()
     unique = (
         key_catalog.where("is_unique")
         .join(best.select("src_id", "key_name"), ["src_id", "key_name"])
+        .join(computed, ["src_id", "key_name"], "left_anti")
         .select("src_id", "pos", F.col("col_name").alias("name"))
     )
     keyed = unique.select("src_id").distinct()

@@ -129,7 +129,53 @@ _KEY_ROWS = f"""(
 
 @suite.add("ddl_keys", f"SELECT * FROM {_KEY_ROWS}")
 def ddl_keys(spark, sf):
-    return ddl.ddl_keys(_ddl_texts(spark, sf))
+    return ddl.ddl_keys(_ddl_texts(spark, sf)).drop("expression")
+
+
+# texts whose parentheses nest, one per part
+_NESTED_PIECES = [
+    "'CREATE TABLE `t_'", "p_partkey", "'` (\\n'",
+    "'  `a` int NOT NULL DEFAULT (abs((1) - '", "p_size", "')),\\n'",
+    "'  `b` varchar(20) GENERATED ALWAYS AS (concat(`a`, \"(\")) VIRTUAL COMMENT \"not NOT NULL (ever\",\\n'",
+    "'  UNIQUE KEY `u` (`a`,(lower(substr(`b`,1,'", "p_size", "'))) DESC),\\n'",
+    "'  KEY `p` (`b`('", "p_size % 9 + 1", "'),`a` DESC),\\n'",
+    "'  CONSTRAINT `low_'", "p_partkey", "'` CHECK ((`a` > (0 + '", "p_size", "')))\\n'",
+    "') ENGINE=InnoDB DEFAULT CHARSET=utf8mb4'",
+]
+
+
+def _nested_texts(spark, sf):
+    return table(spark, sf, "part").selectExpr("p_partkey AS src_id", f"concat({', '.join(_NESTED_PIECES)}) AS ddl")
+
+
+@suite.add(
+    "ddl_expressions",
+    """SELECT p_partkey AS src_id, e.kind AS kind, e.name AS name, e.pos AS pos, e.expression AS expression FROM (
+         SELECT p_partkey, unnest([
+           {'kind': 'default', 'name': 'a', 'pos': 1, 'expression': 'abs((1) - ' || p_size || ')'},
+           {'kind': 'generated', 'name': 'b', 'pos': 2, 'expression': 'concat(`a`, "(")'},
+           {'kind': 'key', 'name': 'u', 'pos': 2, 'expression': 'lower(substr(`b`,1,' || p_size || '))'},
+           {'kind': 'check', 'name': 'low_' || p_partkey, 'pos': 1, 'expression': '(`a` > (0 + ' || p_size || '))'}]) AS e
+         FROM part)""",
+)
+def ddl_expressions(spark, sf):
+    return ddl.ddl_expressions(_nested_texts(spark, sf))
+
+
+@suite.add(
+    "ddl_expression_keys",
+    """SELECT p_partkey AS src_id, k.key_name AS key_name, k.is_unique AS is_unique, k.pos AS pos, k.col_name AS col_name,
+              k.prefix_length AS prefix_length, k.expression AS expression FROM (
+         SELECT p_partkey, unnest([
+           {'key_name': 'u', 'is_unique': true, 'pos': 1, 'col_name': 'a', 'prefix_length': 0, 'expression': NULL},
+           {'key_name': 'u', 'is_unique': true, 'pos': 2, 'col_name': NULL, 'prefix_length': 0,
+            'expression': 'lower(substr(`b`,1,' || p_size || '))'},
+           {'key_name': 'p', 'is_unique': false, 'pos': 1, 'col_name': 'b', 'prefix_length': p_size % 9 + 1, 'expression': NULL},
+           {'key_name': 'p', 'is_unique': false, 'pos': 2, 'col_name': 'a', 'prefix_length': 0, 'expression': NULL}]) AS k
+         FROM part)""",
+)
+def ddl_expression_keys(spark, sf):
+    return ddl.ddl_keys(_nested_texts(spark, sf)).drop("key_type", "is_primary")
 
 
 @suite.add(
