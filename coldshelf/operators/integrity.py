@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -45,41 +46,57 @@ def foreign_keys_of(catalog: DataFrame, child_names: DataFrame) -> list[ForeignK
 def fk_integrity(tables: Mapping[str, DataFrame], foreign_keys: Sequence[ForeignKey]) -> DataFrame:
     """Per foreign key: child rows, rows with a NULL in the key, rows without a parent.
 
-    Child rows are counted per key tuple before any join, so the join sees each key once
-    however many rows carry it.
+    Each table is read once, whatever number of keys it has a part in: a row gives one key
+    tuple for every key of which its table is the child or the parent.  Tuples are counted
+    before they are shuffled, and child and parent meet in the count, not in a join.
     """
-    return reduce(DataFrame.unionByName, [_check_fk(tables, fk) for fk in foreign_keys])
-
-
-def _check_fk(tables: Mapping[str, DataFrame], fk: ForeignKey) -> DataFrame:
-    names = [f"_k{i}" for i in range(len(fk.child_cols))]
-    child = (
-        tables[fk.child]
-        .groupBy(*[F.col(c).alias(n) for c, n in zip(fk.child_cols, names)])
-        .agg(F.count(F.lit(1)).alias("_n"))
+    numbered = list(enumerate(foreign_keys))
+    kinds = [_common_types(tables, fk) for fk in foreign_keys]
+    scans = []
+    for name in dict.fromkeys(t for fk in foreign_keys for t in (fk.child, fk.parent)):
+        table = tables[name]
+        roles = [_role(i, table, fk.child_cols, kinds[i], 1) for i, fk in numbered if fk.child == name]
+        roles += [_role(i, table, fk.parent_cols, kinds[i], 0) for i, fk in numbered if fk.parent == name]
+        scans.append(table.select(F.explode(F.array(*roles)).alias("r")).select("r.*"))
+    tuples = (
+        reduce(DataFrame.unionByName, scans)
+        .groupBy("fk_no", "key")
+        .agg(F.sum("in_child").alias("n"), F.min("in_child").alias("least"))
     )
-    parent = (
-        tables[fk.parent]
-        .select(*[F.col(c).alias(f"_p{n}") for c, n in zip(fk.parent_cols, names)])
-        .distinct()
-        .withColumn("_found", F.lit(True))
+    # a key that contains a NULL is none; one that only children have has no parent
+    figures = tuples.groupBy("fk_no").agg(
+        F.sum("n").alias("child_rows"),
+        F.sum(F.when(F.col("key").isNull(), F.col("n")).otherwise(0)).alias("null_rows"),
+        F.sum(F.when(F.col("key").isNotNull() & (F.col("least") == 1), F.col("n")).otherwise(0)).alias("orphan_rows"),
     )
-    match = reduce(Column.__and__, [F.col(n) == F.col(f"_p{n}") for n in names])
-    has_null = reduce(Column.__or__, [F.col(n).isNull() for n in names])
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.createDataFrame([(i, fk.name) for i, fk in numbered], "fk_no int, fk string")
     zero = F.lit(0).cast("long")
-    return (
-        child.join(parent, match, "left")
-        .agg(
-            F.coalesce(F.sum("_n"), zero).alias("child_rows"),
-            F.coalesce(F.sum(F.when(has_null, F.col("_n"))), zero).alias("null_rows"),
-            F.coalesce(
-                F.sum(F.when(~has_null & F.col("_found").isNull(), F.col("_n"))), zero
-            ).alias("orphan_rows"),
-        )
-        .select(F.lit(fk.name).alias("fk"), "child_rows", "null_rows", "orphan_rows")
+    return names.join(figures, "fk_no", "left").select(
+        "fk", *[F.coalesce(c, zero).alias(c) for c in ("child_rows", "null_rows", "orphan_rows")]
     )
 
 
+def _common_types(tables: Mapping[str, DataFrame], fk: ForeignKey) -> list[T.DataType]:
+    """Per column the type in which child and parent are compared."""
+    child, parent = tables[fk.child], tables[fk.parent]
+    pairs = [(child.schema[c].dataType, parent.schema[p].dataType) for c, p in zip(fk.child_cols, fk.parent_cols, strict=True)]
+    both = [F.coalesce(F.lit(None).cast(x), F.lit(None).cast(y)).alias(f"c{i}") for i, (x, y) in enumerate(pairs)]
+    return [f.dataType for f in child.sparkSession.range(0).select(*both).schema.fields]
+
+
+def _role(number: int, table: DataFrame, columns: Sequence[str], kinds: Sequence[T.DataType], in_child: int) -> Column:
+    """A row's key tuple in one foreign key, as texts so that all keys have one type."""
+
+    def text(column: str, kind: T.DataType) -> Column:
+        value = F.col(column).cast(kind)
+        return F.hex(value) if isinstance(kind, T.BinaryType) else value.cast("string")
+
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+    key = F.when(whole, F.array(*[text(c, k) for c, k in zip(columns, kinds)]))
+    return F.struct(F.lit(number).alias("fk_no"), key.alias("key"), F.lit(in_child).cast("long").alias("in_child"))
+
+
 def tables_present(
     wanted: DataFrame, catalog: DataFrame, lower_case_names: bool = False
 ) -> DataFrame:

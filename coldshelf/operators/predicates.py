@@ -117,6 +117,23 @@ def _same(column: Column, value: Any) -> Column:
     return column.isNull() if value is None else column.eqNullSafe(F.lit(value))
 
 
+def _beside_member(column: Column, value: str | None, members: list[str], down: bool) -> tuple[Column, Column]:
+    """Values before or after a member, and those equal to it, as sets that a scan knows.
+
+    Values that are no members come before all members and are equal to each other.
+    """
+    at = members.index(value) + 1 if value in members else 0
+    undeclared = column.isNotNull() & ~column.isin(members) if members else column.isNotNull()
+    if value is None:
+        return F.lit(False) if down else column.isNotNull(), column.isNull()
+    same = column == value if at else undeclared
+    if not down:
+        return column.isin(members[at:]) if members[at:] else F.lit(False), same
+    if not at:
+        return column.isNull(), same
+    return column.isNull() | ~column.isin(members[at - 1 :]), same
+
+
 def keyset_predicate(
     keys: Sequence[str],
     boundary: Sequence[Any] | Mapping[str, Any],
@@ -139,22 +156,17 @@ def keyset_predicate(
     if len(values) < count:
         raise ValueError(f"boundary has {len(values)} values for {count} keys")
 
-    pairs = []
-    for key, value in list(zip(keys, values))[:count]:
-        column = F.col(key)
-        members = (enums or {}).get(key)
-        if members is not None:
-            column = enum_ordinal(column, members)
-            if value is not None:
-                value = list(members).index(value) + 1 if value in members else 0
-        pairs.append((column, value))
-
-    beyond = _before if op.startswith("<") else _after
+    down = op.startswith("<")
     branches = []
     equal: list[Column] = []
-    for column, value in pairs:
-        branches.append(reduce(Column.__and__, [*equal, beyond(column, value)]))
-        equal.append(_same(column, value))
+    for key, value in list(zip(keys, values))[:count]:
+        column, members = F.col(key), (enums or {}).get(key)
+        if members is None:
+            beyond, same = (_before if down else _after)(column, value), _same(column, value)
+        else:
+            beyond, same = _beside_member(column, value, list(members), down)
+        branches.append(reduce(Column.__and__, [*equal, beyond]))
+        equal.append(same)
     if op.endswith("=") and not strict:
         branches.append(reduce(Column.__and__, equal))
     return reduce(Column.__or__, branches)

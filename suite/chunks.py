@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from coldshelf.functions import ddl
-from coldshelf.operators import chunks, compare, integrity, stats
+from coldshelf.operators import chunks, compare, drilldown, integrity, sketches, stats
 from coldshelf.operators.integrity import ForeignKey, foreign_keys_of
 from coldshelf.operators.predicates import archive_select
+from coldshelf.plans.staging import new_path
 from coldshelf.sources.endpoints import SourceSpec, jdbc_predicates, read_source
 from suite.common import Suite, table
 
@@ -158,9 +159,7 @@ def _copies(spark, sf):
     )
 
 
-@suite.add(
-    "compare_rows",
-    f"""WITH {_COPY}
+_UNEQUAL = f"""WITH {_COPY}
         SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
                CASE WHEN a.o_orderkey IS NULL THEN 0 ELSE 1 END AS rows_a,
                CASE WHEN b.o_orderkey IS NULL THEN 0 ELSE 1 END AS rows_b,
@@ -168,12 +167,20 @@ def _copies(spark, sf):
                     WHEN b.o_orderkey IS NULL THEN 'missing_in_b' ELSE 'changed' END AS verdict
         FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey
         WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL
-           OR a.o_custkey IS DISTINCT FROM b.o_custkey""",
-)
+           OR a.o_custkey IS DISTINCT FROM b.o_custkey"""
+
+
+@suite.add("compare_rows", _UNEQUAL)
 def compare_rows(spark, sf):
     return compare.compare_rows(*_copies(spark, sf), ["o_orderkey"])
 
 
+@suite.add("compare_drilldown", _UNEQUAL)
+def compare_drilldown(spark, sf):
+    """The same rows, found through a tree of range checksums."""
+    return drilldown.drill_down(*_copies(spark, sf), ["o_orderkey"], leaf_rows=300, fanout=8).rows
+
+
 @suite.add(
     "compare_chunks",
     f"""WITH {_COPY},
@@ -361,3 +368,44 @@ def fk_integrity_from_ddl(spark, sf):
     lines = table(spark, sf, "lineitem")
     shipped = lines.where("l_linestatus = 'F'").selectExpr("l_partkey AS p", "l_suppkey AS s")
     return integrity.fk_integrity({"lineitem": lines, "orders": table(spark, sf, "orders"), "shipped": shipped}, keys)
+
+
+_RANGES = """SELECT count(*) AS n_rows, min(user_id) AS lo, max(user_id) AS hi, count(*) AS rows_done
+    FROM (SELECT nullif(user_id, 3) AS user_id FROM events)"""
+
+
+@suite.add("range_manifest", _RANGES)
+def range_manifest(spark, sf):
+    """Exact counts of sketched ranges add up to the table."""
+    events = table(spark, sf, "events").selectExpr("nullif(user_id, 3) AS user_id")
+    return _ranges_of(sketches.range_manifest(events, "user_id", 500))
+
+
+@suite.add("range_manifest_extended", _RANGES)
+def range_manifest_extended(spark, sf):
+    events = table(spark, sf, "events").selectExpr("event_id", "nullif(user_id, 3) AS user_id")
+    old = sketches.range_manifest(events.where("event_id % 4 <> 0"), "user_id", 500)
+    return _ranges_of(sketches.extend_manifest(old, events.where("event_id % 4 = 0"), "user_id"))
+
+
+def _ranges_of(manifest):
+    return manifest.ranges.agg(
+        F.sum("n_rows").alias("n_rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.max("rows_done").alias("rows_done"),
+    )
+
+
+@suite.add(
+    "table_statistics",
+    "WITH l AS (SELECT *, nullif(l_linenumber, 3) AS line_no FROM lineitem) SELECT * EXCLUDE n_distinct FROM ("
+    + " UNION ALL ".join(_STATS.format(c) for c in ("l_orderkey", "line_no", "l_returnflag"))
+    + ")",
+)
+def table_statistics(spark, sf):
+    """Stored statistics, brought up to date after an append."""
+    lines = table(spark, sf, "lineitem").selectExpr("l_orderkey", "nullif(l_linenumber, 3) AS line_no", "l_returnflag")
+    path = new_path(spark, "grown")
+    lines.where("l_orderkey % 3 > 0").write.parquet(path)
+    sketches.refresh_statistics(spark, path, f"{path}-stats")
+    lines.where("l_orderkey % 3 = 0").write.mode("append").parquet(path)
+    return sketches.table_statistics(spark, path, f"{path}-stats").drop("n_distinct")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from coldshelf.operators import merge, predicates
+from coldshelf.operators import file_deletes, merge, predicates
+from coldshelf.plans.staging import new_path
 from suite.common import Suite, table
 
 suite = Suite()
@@ -194,6 +195,39 @@ def delete_exact_copies(spark, sf):
     return merge.delete_rows_exact(events.select(*pair), events.where("event_id % 3 = 0").select(*pair))
 
 
+@suite.add(
+    "delete_by_key_in_files",
+    """SELECT o_orderkey, o_custkey, nullif(o_custkey % 50, 7) AS c FROM orders o
+       WHERE NOT (o_orderkey BETWEEN 2000 AND 2600 AND o_orderkey % 3 = 0 OR o_orderkey > 4000
+                  AND nullif(o_custkey % 50, 7) IS NULL AND o_orderkey < 4100)""",
+)
+def delete_by_key_in_files(spark, sf):
+    """A table in files of key ranges, of which few are rewritten."""
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey", "o_custkey", "nullif(o_custkey % 50, 7) AS c")
+    path = new_path(spark, "by-key")
+    orders.repartitionByRange(12, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    gone = orders.where(
+        "o_orderkey BETWEEN 2000 AND 2600 AND o_orderkey % 3 = 0 OR o_orderkey > 4000 AND o_orderkey < 4100 AND c IS NULL"
+    )
+    file_deletes.delete_rows_in_files(spark, path, gone, ["o_orderkey", "c"])
+    return spark.read.parquet(path)
+
+
+@suite.add(
+    "delete_copies_in_files",
+    """SELECT user_id, event_type FROM events EXCEPT ALL
+       SELECT user_id, event_type FROM events WHERE event_id % 5 = 0 AND user_id < 40""",
+)
+def delete_copies_in_files(spark, sf):
+    events = table(spark, sf, "events")
+    pair = events.select("user_id", "event_type")
+    path = new_path(spark, "copies")
+    pair.repartitionByRange(8, "user_id").write.parquet(path)
+    gone = events.where("event_id % 5 = 0 AND user_id < 40").select("user_id", "event_type")
+    file_deletes.delete_copies_in_files(spark, path, gone)
+    return spark.read.parquet(path)
+
+
 _HALVES = """
     d AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS s FROM orders WHERE o_orderkey % 3 <> 0),
     i AS (SELECT nullif(o_orderkey % 2000, 7) AS k, o_custkey AS c, 'X' AS s, o_orderkey AS seq FROM orders

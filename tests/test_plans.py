@@ -39,6 +39,16 @@ def test_seek_is_pushed(orders, plan_of):
     assert "PushedFilters: [Or(GreaterThan(o_orderkey,100),And(EqualNullSafe(o_orderkey,100)" in plan
 
 
+def test_seek_by_enum_members_is_pushed(orders, plan_of):
+    members = {"o_orderstatus": ["O", "P", "F"]}
+    after = predicates.keyset_filter(orders, ["o_orderstatus", "o_orderkey"], ("P", 1000), ">=", enums=members)
+    plan = plan_of(after.select("o_orderkey"))
+    pushed = next(line for line in plan.split("\n") if line.startswith("PushedFilters"))
+    assert "EqualTo(o_orderstatus,F)" in pushed and "GreaterThan(o_orderkey,1000)" in pushed
+    plan = plan_of(predicates.keyset_filter(orders, ["o_orderstatus"], ("O",), ">", enums=members).select("o_orderkey"))
+    assert "In(o_orderstatus, [F,P])" in plan
+
+
 def test_autoinc_guard_is_a_scalar_not_a_join(orders, plan_of):
     plan = plan_of(stats.keep_latest_autoinc(orders, "o_orderkey", orders))
     assert "Subquery" in plan and "Join" not in plan
