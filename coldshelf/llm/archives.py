@@ -10,9 +10,11 @@ as revisits that refer to it.  Bundles get a name of their own for each attempt
 the index, written once, names the bundles of the attempts that counted, so a lost
 executor leaves at most a file that nothing names.
 
-A null payload is empty, a null address is left out, a null id is greater than all others.
-Rows repeated in whole are one page: each is a response if one is.  Other columns of the
-input are ignored, whatever their names; an empty table gives no bundle and no rows.
+Defined results: a null payload is empty, a null address is left out, a null id is greater
+than all others.  Ids enter headers percent-encoded, so any text may be one; rows that
+share an id are told apart by nothing and each is a response if one is.  A payload of any
+length is one record, cut into frames by whole records.  Other columns of the input are
+ignored, whatever their names; an empty table gives no bundle and no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import re
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
@@ -40,7 +43,12 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 FRAME_BYTES = 256 << 10
 BUNDLE_BYTES = 256 << 20
 _INDEX = "record_id string, bundle string, frame int, start bigint, length bigint"
-_ID = "urn:x-page:"
+_ID, _NO_ID = "urn:x-page:", "urn:x-page-without-id"
+
+
+def page_urn(page_id) -> str:
+    """The record identifier of a page; percent-encoded, as it stands in a header."""
+    return _NO_ID if page_id is None else _ID + quote(str(page_id), safe="")
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -65,9 +73,9 @@ def page_record(page_id, url: str | None, payload: bytes, digest: str, refers_to
         "Content-Type": "application/http; msgtype=response",
     }
     if refers_to is None:
-        return record("response", f"{_ID}{page_id}", headers, http + payload)
-    headers |= {"WARC-Refers-To": f"<{_ID}{refers_to[0]}>", "WARC-Profile": REVISIT_PROFILE}
-    return record("revisit", f"{_ID}{page_id}", headers, http)
+        return record("response", page_urn(page_id), headers, http + payload)
+    headers |= {"WARC-Refers-To": f"<{page_urn(refers_to[0])}>", "WARC-Profile": REVISIT_PROFILE}
+    return record("revisit", page_urn(page_id), headers, http)
 
 
 class BundleWriter:
@@ -153,7 +161,7 @@ def write_bundles(
                     digest = base64.b32encode(bytes.fromhex(row["digest"])).decode()
                     refers_to = (row["first"],) if row["revisit"] else None
                     data = page_record(row["id"], row["url"], row["payload"], digest, refers_to, date)
-                    rows.append((f"{_ID}{row['id']}", writer.name, *writer.add(data)))
+                    rows.append((page_urn(row["id"]), writer.name, *writer.add(data)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c) for c in zip(*rows, strict=True)], ["record_id", "bundle", "frame", "start", "length"]
                 )
@@ -230,7 +238,11 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
-    """All records of the bundles that an index names, frame by frame."""
+    """All records of the bundles that an index names, frame by frame.
+
+    Bundles are dealt out over as many tasks as there are bundles, which adaptive execution
+    does not join again, however little of the index each of them gets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _open(folder)
@@ -243,7 +255,8 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
                         if rows:
                             yield _batch(rows)
 
-    return index.select("bundle").distinct().mapInArrow(run, _RECORDS)
+    bundles = stage(index.select("bundle").distinct(), "bundles")
+    return bundles.repartition(max(1, bundles.count()), "bundle").mapInArrow(run, _RECORDS)
 
 
 def fetch_records(index: DataFrame, folder: str) -> DataFrame:
@@ -272,8 +285,7 @@ def archive_round_trip(pages: DataFrame, *, id_col: str = "page_id", folder: str
     kind = pages.schema[id_col].dataType
 
     def page(column: str) -> Column:
-        text = F.regexp_replace(column, f"^{_ID}", "")
-        return F.when(text != "None", text).cast(kind)
+        return F.when(F.col(column).startswith(_ID), F.url_decode(F.substr(column, F.lit(len(_ID) + 1)))).cast(kind)
 
     return read_bundles(index, folder).select(
         page("record_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")

@@ -30,7 +30,7 @@ def test_round_trip(spark, folder):
     assert len(read) == len(PAGES) == index.count()
     for page_id, url, html in PAGES:
         clean = None if url is None else url.replace(" ", "%20").replace("\r\n", "%0D%0A")
-        row = read[f"urn:x-page:{page_id}", clean]
+        row = read[archives.page_urn(page_id), clean]
         assert row.payload_digest == digest(html)
         assert row.payload_bytes == len((html or "").encode())
         first = {"<p>one</p>": 2, None: 1, "": 1}.get(html)
@@ -80,6 +80,37 @@ def test_query_columns_small_payloads_and_repeats(spark, folder):
     assert kinds["urn:x-page:3"] == "response" and kinds["urn:x-page:5"] == "revisit"
 
 
+def test_any_text_may_be_an_id(spark, folder):
+    ids = ["None", "a b", "x\r\nWARC-Type: response", "%41", "+", "é日", "", "urn:x-page:7", None]
+    rows = [(i, "http://a", f"<p>{n}</p>" if n % 2 else "same") for n, i in enumerate(ids)]
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string")
+    found = {r.page_id: r for r in archives.archive_round_trip(frame, folder=folder).collect()}
+    assert found.keys() == set(ids)
+    first = min(i for i, _, html in rows if html == "same" and i is not None)
+    for page_id, _, html in rows:
+        assert found[page_id].payload_digest == digest(html)
+        assert found[page_id].refers_to == (first if html == "same" and page_id != first else None)
+
+
+def test_whole_number_ids_of_any_size(spark, folder):
+    for kind in ("int", "smallint", "decimal(20,0)"):
+        frame = spark.createDataFrame([(1, "u", "a"), (2, "u", "a"), (None, "u", "b")], f"page_id int, url string, html string")
+        frame = frame.withColumn("page_id", F.col("page_id").cast(kind))
+        result = archives.archive_round_trip(frame, folder=f"{folder}/{kind[:3]}")
+        assert result.schema["page_id"].dataType.simpleString() == kind
+        assert {(r.page_id, r.refers_to) for r in result.collect()} == {(1, None), (2, 1), (None, None)}
+
+
+def test_bundles_are_read_by_many_tasks(spark, folder):
+    index = archives.write_bundles(pages(spark).repartition(6), folder)
+    bundles = index.select("bundle").distinct().count()
+    read = archives.read_bundles(index, folder)
+    assert bundles > 2
+    counted = read.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    assert len(counted) > 1 and sum(r.n for r in counted) == len(PAGES)
+    assert "REPARTITION_BY_NUM" in read._jdf.queryExecution().toString()
+
+
 def test_empty_table_and_no_table(spark, folder, tmp_path):
     assert archives.archive_round_trip(pages(spark, []), folder=folder).collect() == []
     (tmp_path / "plain").write_bytes(b"no seek table in this file")
