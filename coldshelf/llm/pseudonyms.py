@@ -14,14 +14,19 @@ country or issuer.  A card beside other numbers is found by trying the shorter r
 in an IBAN's account stay.  A date with the month in front stays one.  Case in e-mail names is not kept, as it makes no difference there.
 
 Everything is a DataFrame expression over the row's own text, without shuffles or Python.
-Nulls stay null, empty texts empty; repeated rows get equal results.  Other columns are
-handed on as they are; an empty table stays empty.
+
+Defined results: nulls stay null, empty texts empty; repeated rows get equal results, and
+ids, null ones too, are not looked at.  Long texts are searched whole.  Where two kinds fit
+one candidate the first of ``KINDS`` decides.  Other columns are handed on as they are,
+whatever their names, but for those that have the name of a count; an empty table stays
+empty.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import count as count_from
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +35,14 @@ KINDS = ["email", "iban", "ip", "date", "phone", "intl", "ssn", "card"]
 ROUNDS = 8
 TURNS = 64  # two dates in five have a day up to 12, so that 64 in a row don't come up
 
-# one pattern for all candidates; what a match is, is decided by the tests below
-_EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
-# the form of the account behind the check digits: n digits, a capitals, c either
+# one pattern for all candidates; what a match is, is decided by the tests below.  Groups
+# that may repeat without bound are possessive: these are matched in a loop, others by a
+# call each, for which a long text has too many
+_EMAIL = (
+    r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@"
+    r"[A-Za-z0-9][A-Za-z0-9-]*+(?:\.[A-Za-z0-9-]++(?=\.[A-Za-z0-9]))*+\.[A-Za-z]{2,}+"
+)
+# fixed values: the public register's form of the account behind the check digits: n digits, a capitals, c either
 _ACCOUNTS = {
     "AD": "8n12c", "AE": "19n", "AL": "8n16c", "AT": "16n", "AZ": "4a20c", "BA": "16n", "BE": "12n", "BG": "4a6n8c", "BH": "4a14c",
     "BR": "23n1a1c", "BY": "4c4n16c", "CH": "5n12c", "CR": "18n", "CY": "8n16c", "CZ": "20n", "DE": "18n", "DK": "14n", "DO": "4c20n",
@@ -72,8 +82,8 @@ _GROUPED = "^(?:[0-9]{13,19}|" + "|".join(
     for sizes in ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3))
     for by in " -"
 ) + ")$"
-# characters that no text should hold mark where a card begins and ends among other numbers
-_MARKS = [chr(c) for c in range(0xFDD0, 0xFDF0)]
+# marks where a card begins and ends among other numbers, in a run longer than any in the text
+_MARK = chr(0xFDD0)
 
 # dates are permuted within windows of this many days, counted from 1900-01-01
 _WINDOW_A, _WINDOW_B = 250, 292
@@ -387,6 +397,9 @@ def _marked(found: Column, text: Column, mark: Column) -> Column:
     return F.array_join(F.flatten(F.zip_with(gaps, values, lambda gap, v: F.array(gap, F.coalesce(v, F.lit(""))))), "")
 
 
+_STEPS = ("found", "new", "mark", "marked")
+
+
 def pseudonymize(docs: DataFrame, *, key: str, text_col: str = "text", count_prefix: str = "n_") -> DataFrame:
     """Replace personal values in whole texts; adds a count per kind, ``n_email`` and so on.
 
@@ -396,9 +409,11 @@ def pseudonymize(docs: DataFrame, *, key: str, text_col: str = "text", count_pre
     text = F.col(text_col)
     # most texts hold no digit and no address: they skip the search
     some = text.rlike("[0-9@]")
-    names = [f"__{n}__" for n in ("found", "new", "mark", "marked")]
+    taken = {c.lower() for c in docs.columns}
+    names = [next(n for n in (f"__{word}{i or ''}__" for i in count_from(0)) if n not in taken) for word in _STEPS]
     search = lambda t: F.regexp_extract_all(t, F.lit(f"({PATTERN})"), F.lit(1))
-    free = F.get(F.filter(F.array(*map(F.lit, _MARKS)), lambda c: ~F.contains(text, c)), F.lit(0))
+    runs = F.transform(F.regexp_extract_all(text, F.lit(f"({_MARK}+)"), F.lit(1)), F.length)
+    free = F.repeat(F.lit(_MARK), F.coalesce(F.array_max(runs), F.lit(0)) + 1)
     out = docs.withColumn(names[0], F.when(some, search(text)))
     # what stands beside a card is searched on its own
     beside = F.exists(names[0], lambda m: F.coalesce(-_card_in(m)["n"] < F.length(m), F.lit(False)))

@@ -188,3 +188,41 @@ def test_stays_in_the_jvm(spark, capsys):
     pseudonymize(docs(spark, [(1, "a")]), key=KEY).explain()
     plan = capsys.readouterr().out
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "x@a" + ".a1" * 50_000 + ".com", "x@" + "a-" * 50_000 + "a.com", "x" * 100_000 + "@a.com", "x@a" + "." * 100_000,
+        "1" * 100_000, "1-" * 50_000, "1 2 " * 25_000, "." * 100_000, "1." * 50_000, "+1 (" * 25_000, "DE44 " * 20_000,
+        "2020-01-01" * 10_000, "a@b." * 25_000, "﷐" * 50_000,
+    ],
+)
+def test_no_text_is_too_long_or_too_odd(spark, text):
+    out = replaced(spark, [text + " mail joe@example.org now"])[0]
+    assert out.n_email >= 1 and "joe@example.org" not in out.text and out.text.endswith("@example.org now")
+
+
+def test_addresses_of_every_form(spark):
+    found = ["a@b.co", "a.b+c@d-e.f.museum", "x@a.com-", "x@a.com.", "x@a.com.-", "x@a.b-.com", "X@A1.B2.ORG"]
+    none = ["a@b", "a@b.c", "a@b.com.x1", "a@b.co-m", "a@.com", "a@b..com", "@b.com"]
+    out = replaced(spark, found + none)
+    assert [out[i].n_email for i in out] == [1] * len(found) + [0] * len(none)
+    for i, text in enumerate(found):
+        assert out[i].text.split("@")[1] == text.split("@")[1]
+    for i, text in enumerate(none, len(found)):
+        assert out[i].text == text
+
+
+def test_columns_that_have_the_names_of_steps(spark):
+    frame = spark.createDataFrame([(1, "mail joe@example.org", "f", "n", "M", "m", 7)], "doc_id int, text string, __found__ string, __new__ string, __MARK__ string, __marked__ string, n_card int")
+    row = pseudonymize(frame, key=KEY).first()
+    assert (row["__found__"], row["__new__"], row["__MARK__"], row["__marked__"]) == ("f", "n", "M", "m")
+    assert row.n_email == 1 and row.n_card == 0
+
+
+def test_texts_that_hold_the_marks(spark):
+    card = luhn("411111111111111")
+    marks = "﷐﷐ " + "".join(chr(c) for c in range(0xFDD0, 0xFDF0))
+    row = replaced(spark, [f"{marks}{card} 05/26 123﷐ 4 {card}"])[0]
+    assert row.n_card == 2 and card not in row.text and row.text.startswith(marks) and row.text.count("﷐") == 4
