@@ -6,8 +6,10 @@ piece of such a vocabulary has a word start after another character, so the agen
 word never meets that of the next, and equal words of a batch are encoded once.  Short
 words are merged side by side in numpy, one agenda step per round; long ones by a heap.
 
-Empty texts and nulls have no ids and decode to the empty text.  Repeated rows are encoded
-like any other; other columns of the input are ignored, whatever their names.
+Defined results: empty texts and nulls have no ids and decode to the empty text.  Long
+texts are encoded whole, and so are words of any length.  Of pairs with equal scores the
+leftmost goes first.  Repeated rows are encoded like any other and null ids stay null; an
+empty table gives no rows, and other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ SPACE = "▁"
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _NONE = np.int64(1) << 62
 _LONG = 64
-_MEMO_WORDS = 300_000  # words that a worker remembers
+_MEMO_WORDS = 300_000  # a worker remembers the words of so many at least, and of twice as many at most
 _AT_ONCE = 32_000  # words that are merged side by side
 _SLICE_CHARS = 2_000_000
 _SLOT_BITS = 20
@@ -72,8 +75,15 @@ class Vocabulary:
         self.crowded[self._slot(self.pair_keys[self.slots[self._slot(self.pair_keys)] != np.arange(len(self.pair_keys))])] = True
         if any(c not in self.ids for p in self.ids for c in p):
             raise ValueError("a piece has a character that is no piece")
-        self.id_text = [str(i) for i in range(size)]
-        self.memo: dict[str, str] = {}
+        # from this id on a token is its piece's characters
+        self.plain_from = 1 + max((i for i in range(size) if special[i]), default=-1)
+        # every id as text, followed by a comma, or by the mark that ends a word; its characters likewise
+        self.mark = next(c for c in map(chr, range(0xE000, 0xF8FF)) if not any(c in p for p in self.pieces))
+        self.id_signs = np.array([f"{i}{end}" for end in (",", self.mark) for i in range(size)], dtype=object)
+        self.surface_signs = np.array([f"{t}{end}" for end in ("", self.mark) for t in self.surface], dtype=object)
+        # ids of a word, joined by commas, and what they decode to; words of late, and of before
+        self.memo: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
 
     # -- one word ---------------------------------------------------------------
 
@@ -192,39 +202,48 @@ class Vocabulary:
     def words(self, text: str) -> list[str]:
         return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def learn(self, new: list[str], check: bool) -> None:
-        """Encode words that are not known yet; with ``check`` hold them against the library."""
+    def know(self, words: set[str], check: bool) -> dict[str, tuple[str, str]]:
+        """A table that has all these words; new ones are encoded, and with ``check`` held
+        against the library."""
         if len(self.memo) > _MEMO_WORDS:
-            self.memo.clear()
+            self.memo, self.older = {}, self.memo
+        missing = words.difference(self.memo)
+        new = list(missing.difference(self.older))
+        again = missing.difference(new)
+        self.memo.update(zip(again, map(self.older.__getitem__, again)))
         for start in range(0, len(new), _AT_ONCE):
             self._learn(new[start : start + _AT_ONCE], check)
+        return self.memo
 
     def _learn(self, new: list[str], check: bool) -> None:
         ids = self.merge_many(new)
         if check:
             theirs = self.library.encode([w[1:].replace(SPACE, " ") for w in new], num_threads=1)
-            for word, own, other in zip(new, ids, theirs, strict=True):
-                if own != other and word != SPACE:  # a lone mark is the library's empty text
-                    raise ValueError(f"the library encodes {word!r} as {other}, not {own}")
-        text = self.id_text
-        for word, own in zip(new, ids, strict=True):
-            self.memo[word] = ",".join([text[i] for i in own])
-
-    def encode(self, texts: list[str], check: bool = False) -> list[list[str]]:
-        """For each text the ids of its words, as decimals joined by commas."""
+            if SPACE in new:  # a lone mark is the library's empty text
+                theirs[new.index(SPACE)] = ids[new.index(SPACE)]
+            if ids != theirs:
+                word, own, other = next(x for x in zip(new, ids, theirs, strict=True) if x[1] != x[2])
+                raise ValueError(f"the library encodes {word!r} as {other}, not {own}")
+        lengths = np.array(list(map(len, ids)), dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(lengths.sum()))
+        ends = np.cumsum(lengths)
+        special = np.flatnonzero(np.minimum.reduceat(flat, ends - lengths) < self.plain_from)
+        flat[ends - 1] += self.size
+        joined = "".join(self.id_signs[flat].tolist()).split(self.mark)
+        spelt = "".join(self.surface_signs[flat].tolist()).split(self.mark)
+        for i in special.tolist():
+            # a word starts with a space, so no run of bytes goes on in the next one
+            spelt[i] = " " + self.decode(ids[i])
+        self.memo.update(zip(new, zip(joined, spelt)))
+
+    def encode(self, texts: list[str], check: bool = False) -> list[tuple[str, str]]:
+        """For each text its ids, as decimals joined by commas, and what they decode to."""
         split = [self.words(text) for text in texts]
-        known, memo = {}, self.memo
-        distinct = set().union(*split)
-        new = []
-        for word in distinct:
-            if (ids := memo.get(word)) is None:
-                new.append(word)
-            else:
-                known[word] = ids
-        if new:
-            self.learn(new, check)
-            known.update((word, memo[word]) for word in new)
-        return [[known[word] for word in words] for words in split]
+        known, out = self.know(set().union(*split), check), []
+        for words in split:
+            ids, spelt = zip(*map(known.__getitem__, words)) if words else ((), ())
+            out.append((",".join(ids), "".join(spelt)[1:]))
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of any ids; bytes that are no UTF-8 become U+FFFD one by one."""
@@ -291,13 +310,7 @@ def encode_texts(
         for whole in batches:
             for batch in slices(whole, "text", _SLICE_CHARS):
                 columns: dict[str, list] = {o: [] for o in outputs}
-                decoded_of: dict[str, str] = {}
-                for words in vocab.encode(texts(batch, "text"), check):
-                    # a word starts with a space, so no run of bytes goes on in the next one
-                    for ids in [ids for ids in set(words) if ids not in decoded_of]:
-                        decoded_of[ids] = " " + vocab.decode([int(i) for i in ids.split(",")])
-                    joined = ",".join(words)
-                    decoded = "".join([decoded_of[ids] for ids in words])[1:]
+                for joined, decoded in vocab.encode(texts(batch, "text"), check):
                     if "n_tokens" in columns:
                         columns["n_tokens"].append(joined.count(",") + 1 if joined else 0)
                     if "ids" in columns:
