@@ -2,12 +2,14 @@
 
 Words are runs of characters other than ASCII white space.  A line is compared by the hash
 of its words in lower case with digits made equal; for each host the distinct documents
-that hold a line are counted.  Lines above the limit are boilerplate; a document of which
-too little is left without them is rejected.
-
-A null text has no words and fails the base rules.  A null host is a host of its own.
-Repeated rows of one document count once for a line and give repeated results.  Other
-columns of the input are ignored, whatever their names; an empty table gives no rows.
+that hold a line are counted.  Lines above a limit are boilerplate; a document of which too
+little is left without them is rejected.
+
+Defined results: a null text has no words and fails the base rules.  A null host is a host
+of its own.  Rows with one id are one document: they count once for a line and for their
+host, and give repeated results; rows without an id count as one document together.  Long
+texts and lines are read whole.  A line exactly at a limit is not above it.  Other columns
+of the input are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -101,15 +103,18 @@ def line_frequency(
     text_col: str = "text",
     host_col: str = "source",
     max_documents: int = 100,
-    max_share: float = 0.005,
+    max_share: float = 0.02,
+    min_documents: int = 10,
     least_left: float = 0.3,
 ) -> DataFrame:
     """Base rules and the verdict on each row.
 
-    A line is removed if more distinct documents of its host hold it than
-    ``max_documents`` and than ``max_share`` of the host's documents.  A row is kept if it
-    passes the base rules and at least ``least_left`` of its words are left.  Returns the
-    id, the counts, ``base_failed``, ``kept`` and ``n_common_words`` (words removed).
+    A line is removed if more than ``max_documents`` distinct documents of its host hold it,
+    or more than ``max_share`` of them and than ``min_documents``: the first limit decides in
+    large hosts, the second in small ones, where few documents are many of all.  A row is
+    kept if it passes the base rules and at least ``least_left`` of its words are left.
+    Returns the id, the counts, ``base_failed``, ``kept`` and ``n_common_words`` (words
+    removed).
     """
     found = stage(
         measure_lines(docs, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()), "lines"
@@ -118,12 +123,13 @@ def line_frequency(
     lines = found.select(
         host, F.col(id_col).alias("doc"), "row", F.explode(F.arrays_zip("lines", "sizes")).alias("line")
     ).select("host", "doc", "row", F.col("line.lines").alias("line"), F.col("line.sizes").alias("size"))
-    hosts = found.groupBy(host).agg(F.count("*").alias("n_host"))
+    hosts = found.select(host, F.col(id_col).alias("doc")).distinct().groupBy("host").agg(F.count("*").alias("n_host"))
+    few = F.greatest(F.lit(float(min_documents)), max_share * F.col("n_host"))
     common = stage(
         lines.groupBy("host", "line", "doc").agg(F.lit(1).alias("one"))
         .groupBy("host", "line").agg(F.count("*").alias("n"))
-        .where(F.col("n") > max_documents)
-        .join(hosts, "host").where(F.col("n") > max_share * F.col("n_host"))
+        .where(F.col("n") > min(min_documents, max_documents))
+        .join(hosts, "host").where((F.col("n") > max_documents) | (F.col("n") > few))
         .select("host", "line"),
         "common",
     )

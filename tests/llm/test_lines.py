@@ -1,7 +1,9 @@
+import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 from coldshelf.llm.lines import line_frequency
+from coldshelf.llm.queries import QUERIES
 from llm.cases import ODD, docs
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -52,11 +54,54 @@ def test_repeated_rows_count_once(spark):
     assert all(r.kept for r in line_frequency(docs(spark, rows), max_documents=20).collect())
 
 
-def test_share_of_a_large_host(spark):
-    common = body("c")
-    rows = [(i, common, "a") for i in range(30)] + [(100 + i, body(i), "a") for i in range(70)]
-    assert all(r.kept for r in line_frequency(docs(spark, rows), max_documents=20, max_share=0.5).collect())
-    assert not all(r.kept for r in line_frequency(docs(spark, rows), max_documents=20, max_share=0.1).collect())
+def verdicts(rows, max_documents=100, max_share=0.02, min_documents=10, least_left=0.3):
+    """Which rows are kept, line by line and document by document."""
+    holders, hosts = defaultdict(set), defaultdict(set)
+    digits = str.maketrans("0123456789", "0" * 10)
+
+    def lines_of(text):
+        return [tuple(w.lower().translate(digits) for w in WORD.findall(x)) for x in (text or "").split("\n") if WORD.search(x)]
+
+    for doc, text, host in rows:
+        hosts[host].add(doc)
+        for line in lines_of(text):
+            holders[host, line].add(doc)
+    kept = []
+    for doc, text, host in rows:
+        n_words, *_, n_repeat = brute(text)
+        common = 0
+        for line in lines_of(text):
+            n = len(holders[host, line])
+            if n > max_documents or n > min_documents and n > max_share * len(hosts[host]):
+                common += len(line)
+        ok = n_words >= 50 and 100 * n_repeat <= 50 * n_words
+        kept.append((doc, ok and n_words - common >= least_left * n_words, common))
+    return sorted(kept, key=str)
+
+
+def test_verdicts_by_brute_force_in_hosts_of_all_sizes(spark):
+    r = random.Random(4)
+    pool = [body(f"p{i}", 9) for i in range(40)]
+    rows = []
+    for host, size in (("small", 30), ("middle", 300), (None, 60), ("large", 900)):
+        for i in range(size):
+            shared = [pool[min(int(r.expovariate(0.15)), 39)] for _ in range(r.randrange(9))]
+            own = [body(f"{host}{i}x{j}", 9) for j in range(r.randrange(8))]
+            rows.append((len(rows), "\n".join(r.sample(shared + own, len(shared + own))), host))
+    rows += rows[:40] + [(None, pool[0] + "\n" + body("n", 60), "middle")] * 3
+    for options in ({}, {"max_documents": 40, "max_share": 0.1}, {"max_share": 0.5, "min_documents": 3}):
+        found = line_frequency(docs(spark, rows), **options).select("doc_id", "kept", "n_common_words").collect()
+        expected = verdicts(rows, **options)
+        assert sorted(map(tuple, found), key=str) == expected
+        assert any(common and not ok for _, ok, common in expected)
+
+
+def test_the_query_rejects_depleted_documents(spark):
+    """On a whole table, at the production limits."""
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    found = QUERIES["op7_line_frequency"](spark, sf).select("doc_id", "kept", "n_common_words").collect()
+    assert sorted(map(tuple, found), key=str) == verdicts(rows)
 
 
 def test_empty_table(spark):
