@@ -10,9 +10,11 @@ edited and partly rewritten copies are found too.
 Items are held by every task in blocks of bounded size; each block is one pass over the
 texts, and the blocks together are all items.
 
-Nulls and empty texts match nothing, nor do items of fewer than ``n`` words.  Repeated rows
-and equal items each give rows of their own.  Other columns of the input are ignored,
-whatever their names; an empty table on either side gives no rows.
+Defined results: nulls and empty texts match nothing, nor do items of fewer than ``n`` words.
+Repeated rows and equal items each give rows of their own, and null ids stay null.  Long
+texts are searched whole.  Of equally good stretches of a text the first one counts.  Other
+columns of the input are ignored, whatever their names; an empty table on either side gives
+no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from coldshelf.llm.batches import slices, texts
 
@@ -179,8 +183,10 @@ def _leaks_of(
     return [(own, *rest) for own, rest in best.items()]
 
 
-def _scan(docs: DataFrame, id_type: str, item_type: str, id_col: str, items: Items, n: int, of: tuple, least: float) -> DataFrame:
+def _scan(docs: DataFrame, item_kind: DataType, id_col: str, items: Items, n: int, of: tuple, least: float) -> DataFrame:
+    id_type, item_type = docs.schema["id"].dataType.simpleString(), item_kind.simpleString()
     wanted = np.unique(of[0])
+    item_ids = pa.array(items.ids, to_arrow_type(item_kind))
     names = [id_col, "item_id", "score", "matched", "start_word", "end_word", "n_seeds"]
     schema = f"`{id_col}` {id_type}, item_id {item_type}, score double, matched bigint, start_word bigint, end_word bigint, n_seeds bigint"
 
@@ -206,7 +212,7 @@ def _scan(docs: DataFrame, id_type: str, item_type: str, id_col: str, items: Ite
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(pa.array(rows)),
-                        pa.array([items.ids[i] for i in columns[0]]),
+                        item_ids.take(pa.array(columns[0])),
                         *(pa.array(c, pa.float64() if k == 0 else pa.int64()) for k, c in enumerate(columns[1:])),
                     ],
                     names,
@@ -247,7 +253,7 @@ def find_leaks(
         if all(len(w) < n for w in own.words):
             continue
         of = seeds_of(own, n)
-        leaks = _scan(texts_in, id_type, item_type, id_col, own, n, of, least_score)
+        leaks = _scan(texts_in, items.schema[item_col].dataType, id_col, own, n, of, least_score)
         found = leaks if found is None else found.unionByName(leaks)
     if found is None:
         schema = f"`{id_col}` {id_type}, item_id {item_type}, score double, matched bigint, start_word bigint, end_word bigint, n_seeds bigint"

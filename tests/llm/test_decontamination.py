@@ -105,6 +105,18 @@ def test_blocks_of_items_are_all_items(spark, monkeypatch):
     assert {(x.doc_id, x.item_id) for x in leaks(spark, rows, items)} == {(i, i) for i in range(12)}
 
 
+def test_ids_of_any_type(spark):
+    r = random.Random(9)
+    text = prose(r, 30)
+    for kind in ("int", "string", "smallint", "decimal(12,0)"):
+        items = spark.createDataFrame([(7, text), (None, prose(r, 30))], "item_id int, text string")
+        items = items.withColumn("item_id", items.item_id.cast(kind))
+        rows = docs(spark, [(1, "x " + text), (None, text)])
+        found = d.find_leaks(rows.withColumn("doc_id", rows.doc_id.cast(kind)), items)
+        assert found.schema["item_id"].dataType.simpleString() == found.schema["doc_id"].dataType.simpleString() == kind
+        assert {(x.doc_id and int(x.doc_id), int(x.item_id)) for x in found.collect()} == {(1, 7), (None, 7)}
+
+
 def test_empty_tables(spark):
     assert leaks(spark, [], [(1, "a b c d e f g h")]) == []
     assert leaks(spark, [(1, "a b c d e f g h")], []) == []
