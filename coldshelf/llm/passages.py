@@ -14,13 +14,16 @@ The matches of a document with one leader are chained: of two matches in the sam
 both, the later one extends the earlier one's chain at the cost of the words between them.
 The best earlier chain is found in a Fenwick tree over the leader's places.  Chains are then
 aligned word by word between their matches and beyond both ends, and kept if they are long
-and alike enough.  A chain that bridges unrelated text is cut where its two sides differ
-most until its parts are alike, so several passages in one order are found one by one.
-
-Nulls, empty texts and texts of fewer than ``k`` words share nothing.  A document with a
-null id is left out, as no row could name it.  Rows repeated with one id are one document,
-whose copies in itself don't count.  Other columns of the input are ignored, whatever their
-names; an empty table gives no rows.
+and alike enough.  Where an alignment runs on over other text, the widest stretch between two
+places where equal words end is taken that is alike enough; a chain that bridges unrelated
+text is cut where its two sides differ most until its parts are alike, so several passages
+in one order are found one by one.
+
+Defined results: nulls, empty texts and texts of fewer than ``k`` words share nothing.  A
+document with a null id is left out, as no row could name it.  Rows repeated with one id are
+one document, whose copies in itself don't count.  Long texts are read whole, and gaps of
+any size are aligned.  Of equally good ends of a passage the first one counts.  Other
+columns of the input are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,7 +51,6 @@ IDLE_ROUNDS = 2  # rounds in succession that find nothing, after which no furthe
 GAP_COST = 0.05
 REACH = 64  # words that an alignment looks ahead at a time
 MARGIN = 240  # words beyond the outermost matches that are tried first; where they end too early, whole texts are taken
-GRID = 1 << 24  # cells of the largest table of an alignment between two matches
 MATCH, MISMATCH, GAP = 1, -1, -1
 
 
@@ -217,30 +219,42 @@ def _chains(matches: DataFrame, kind: str, k: int) -> DataFrame:
 # -- alignment ----------------------------------------------------------------------
 
 
-def _grid(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Global alignment scores of all prefixes of a and b."""
-    slope = -GAP * np.arange(len(b) + 1)
-    table = np.empty((len(a) + 1, len(b) + 1), dtype=np.int64)
-    table[0] = GAP * np.arange(len(b) + 1)
-    for i in range(1, len(a) + 1):
-        row = table[i - 1] + GAP
-        row[1:] = np.maximum(row[1:], table[i - 1, :-1] + np.where(b == a[i - 1], MATCH, MISMATCH))
-        table[i] = np.maximum.accumulate(row + slope) - slope
-    return table
-
-
-def _matches_on_path(table: np.ndarray, a: np.ndarray, b: np.ndarray, i: int, j: int) -> int:
-    found = 0
-    while i and j:
-        same = bool(a[i - 1] == b[j - 1])
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            found += same
-            i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return found
+# a score and, below it, the number of matches that reach it: the greater one is the better
+_UNIT = np.int64(1) << 32
+_MATCHED = _UNIT - 1
+
+
+def _rows(a: np.ndarray, b: np.ndarray) -> Iterator[np.ndarray]:
+    """Global alignments of each prefix of a, from none to all, with all prefixes of b."""
+    slope = -GAP * _UNIT * np.arange(len(b) + 1)
+    row = -slope
+    yield row
+    for word in a:
+        above, row = row, row + GAP * _UNIT
+        row[1:] = np.maximum(row[1:], above[:-1] + np.where(b == word, MATCH * _UNIT + 1, MISMATCH * _UNIT))
+        row = np.maximum.accumulate(row + slope) - slope
+        yield row
+
+
+def align_whole(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """Score and matches of the best global alignment, row by row, so that any size will do."""
+    if len(b) > len(a):
+        a, b = b, a
+    for row in _rows(a, b):
+        pass
+    return int(row[-1] >> 32), int(row[-1] & _MATCHED)
+
+
+def _may_gain(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether any alignment of prefixes could score above zero.
+
+    One of prefixes of at most n words has n columns at least, so it needs more than n / 2
+    matches, and no more words of a than have an equal one among n words of b can match.
+    """
+    same = a[:, None] == b[None, :]
+    first = np.where(same.any(axis=1), same.argmax(axis=1), REACH)
+    known = np.bincount(np.maximum(first, np.arange(len(a))), minlength=REACH + 1)[:REACH].cumsum()
+    return bool((2 * known > np.arange(1, REACH + 1)).any())
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -250,21 +264,25 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(differ[0]) if len(differ) else n
 
 
-def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """How far a and b can be aligned from their starts: words of a, of b, and matches."""
+def extend(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+    """How far a and b can be aligned from their starts: words of a, of b, and matches.
+
+    The last entry is the furthest; those before it are where stretches of equal words end.
+    """
     x = y = matched = 0
+    ends = []
     while True:
         run = _common(a[x:], b[y:])
         x, y, matched = x + run, y + run, matched + run
+        ends.append((x, y, matched))
         part, other = a[x : x + REACH], b[y : y + REACH]
-        if not len(part) or not len(other):
-            return x, y, matched
-        table = _grid(part, other)
-        i, j = divmod(int(table.argmax()), table.shape[1])
-        if table[i, j] <= 0:
-            return x, y, matched
-        matched += _matches_on_path(table, part, other, i, j)
-        x, y = x + i, y + j
+        if not len(part) or not len(other) or not _may_gain(part, other):
+            return ends
+        table = np.stack(list(_rows(part, other)))
+        i, j = divmod(int((table >> 32).argmax()), table.shape[1])
+        if table[i, j] >> 32 <= 0:
+            return ends
+        x, y, matched = x + i, y + j, matched + int(table[i, j] & _MATCHED)
 
 
 def gaps_of(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> list[tuple[int, int]]:
@@ -277,10 +295,9 @@ def gaps_of(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> list[
         tail = _common(part[::-1], other[::-1])
         part, other = part[: len(part) - tail], other[: len(other) - tail]
         score, matched = GAP * max(len(part), len(other)), run + tail
-        if len(part) and len(other) and len(part) * len(other) <= GRID:
-            table = _grid(part, other)
-            score = int(table[-1, -1])
-            matched += _matches_on_path(table, part, other, len(part), len(other))
+        if len(part) and len(other):
+            score, inner = align_whole(part, other)
+            matched += inner
         out.append((score, matched))
     return out
 
@@ -310,18 +327,25 @@ def passages_of(
                 back[p] = extend(a[: x[p]][::-1], b[: y[p]][::-1])
             if q not in on:
                 on[q] = extend(a[x[q - 1] :], b[y[q - 1] :])
-            start, start2 = x[p] - back[p][0], y[p] - back[p][1]
-            end, end2 = x[q - 1] + on[q][0], y[q - 1] + on[q][1]
+            start, start2 = x[p] - back[p][-1][0], y[p] - back[p][-1][1]
+            end, end2 = x[q - 1] + on[q][-1][0], y[q - 1] + on[q][-1][1]
             near = (start < REACH, end > len(a) - REACH, start2 < REACH, end2 > len(b) - REACH)
             if any(n and m for n, m in zip(near, more, strict=True)):
                 return None
-            matched = back[p][2] + sum(m for _, m in gaps[p : q - 1]) + on[q][2]
-            length, shorter = max(end - start, end2 - start2), min(end - start, end2 - start2)
-            if shorter < least_words and q - p == len(x):
+            if min(end - start, end2 - start2) < least_words and q - p == len(x):
                 continue
-            if shorter >= least_words and matched >= least_share * length:
+            best, inner = None, sum(m for _, m in gaps[p : q - 1])
+            # an alignment may run on over other text; of all places where equal words end the widest will do
+            for x_back, y_back, m_back in back[p]:
+                for x_on, y_on, m_on in on[q]:
+                    span = (x[p] - x_back, x[q - 1] + x_on, y[p] - y_back, y[q - 1] + y_on, m_back + inner + m_on)
+                    sizes = span[1] - span[0], span[3] - span[2]
+                    if min(sizes) >= least_words and span[4] >= least_share * max(sizes):
+                        best = max(best or (0,), (max(sizes), span))
+            if best is not None:
+                start, end = best[1][:2]
                 out = [o for o in out if not (start <= o[0] and o[1] <= end)]
-                out.append((start, end, start2, end2, matched))
+                out.append(best[1])
             elif q - p > 1:
                 cut = min(range(p, q - 1), key=lambda i: gaps[i][0]) + 1
                 parts += [(cut, q), (p, cut)]
@@ -335,11 +359,10 @@ def _words(docs: DataFrame, kind: str, wanted: Broadcast) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 own = batch.filter(pa.array(bitfilter.has(wanted.value, batch.column("hash").to_numpy())))
-                # a part of the hash tells words well enough for an alignment
-                words = [(word_numbers(t) >> np.uint64(48)).astype(np.uint16).view(np.int16) for t in texts(own, "text")]
-                yield pa.RecordBatch.from_arrays([own.column("id"), pa.array(words, pa.list_(pa.int16()))], ["id", "words"])
+                words = [(word_numbers(t) >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in texts(own, "text")]
+                yield pa.RecordBatch.from_arrays([own.column("id"), pa.array(words, pa.list_(pa.int32()))], ["id", "words"])
 
-    return docs.withColumn("hash", F.xxhash64("id")).mapInArrow(run, f"id {kind}, words array<smallint>")
+    return docs.withColumn("hash", F.xxhash64("id")).mapInArrow(run, f"id {kind}, words array<int>")
 
 
 def _window(words: str, places: str, k: int, margin: int | None) -> tuple[Column, Column]:
@@ -416,10 +439,10 @@ def shared_passages(
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    k: int = 6,
-    window: int = 20,
+    k: int = 5,
+    window: int = 16,
     least_words: int = 40,
-    least_share: float = 0.7,
+    least_share: float = 0.8,
 ) -> DataFrame:
     """Passages of at least ``least_words`` words that repeat across documents.
 
@@ -456,4 +479,13 @@ def shared_passages(
         matches = stage(_led(left, _leaders(left)), "matches")
         if matches.isEmpty():
             break
-    return found.distinct()
+    return _without_implied(stage(found.distinct(), "found"), id_col)
+
+
+def _without_implied(found: DataFrame, id_col: str) -> DataFrame:
+    """Without rows that two others tell: a stretch of a document that has a passage with an
+    earlier leader as well, which that of the row has a passage with itself."""
+    other, span = f"match_{id_col}", [id_col, "start_word", "end_word"]
+    first = found.groupBy(*span).agg(F.min(other).alias("first_leader"))
+    linked = found.select(F.col(id_col).alias(other), F.col(other).alias("first_leader")).distinct()
+    return found.join(first, span).join(linked, [other, "first_leader"], "left_anti").select(*found.columns)

@@ -55,6 +55,38 @@ def test_every_long_stretch_has_a_seed():
     assert all(runs[i] == s for i, s in zip(places.tolist(), seeds, strict=True))
 
 
+def slow_grid(a, b):
+    table = -np.add.outer(np.arange(len(a) + 1), np.zeros(len(b) + 1, dtype=int)) - np.arange(len(b) + 1)
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            step = p.MATCH if a[i - 1] == b[j - 1] else p.MISMATCH
+            table[i, j] = max(table[i - 1, j - 1] + step, table[i - 1, j] + p.GAP, table[i, j - 1] + p.GAP)
+    table[0] = -np.arange(len(b) + 1)
+    return table
+
+
+def test_alignments_against_a_full_table():
+    r = np.random.default_rng(4)
+    skipped = 0
+    for _ in range(200):
+        a, b = r.integers(0, 6, r.integers(1, 25)), r.integers(0, 6, r.integers(1, 25))
+        table = slow_grid(a, b)
+        assert (np.stack(list(p._rows(a, b))) >> 32 == table).all()
+        score, matched = p.align_whole(a, b)
+        assert score == table[-1, -1] and matched >= (score + max(len(a), len(b))) / 2
+        a, b = r.integers(0, 150, 64), r.integers(0, 150, 64)
+        if not p._may_gain(a, b):
+            skipped += 1
+            assert slow_grid(a, b).max() <= 0
+    assert skipped > 20
+
+
+def test_alignment_of_any_size():
+    a = np.arange(6000)
+    b = np.concatenate([a[:2000], a[2100:]])
+    assert p.align_whole(a, b) == (5900 - 100, 5900) == p.align_whole(b, a)
+
+
 def found(spark, rows, **options):
     return p.shared_passages(docs(spark, rows, extra=True), **options).collect()
 
@@ -109,7 +141,7 @@ def test_passage_far_beyond_its_matches(spark):
     rows += [(1, " ".join(passage[500:]))]
     assert (9, 5, 20, 1020) in {(x.doc_id, x.match_doc_id, x.start_word, x.end_word) for x in found(spark, rows)}
     numbers = np.arange(200)
-    assert p.extend(numbers, np.concatenate([numbers[:50], np.arange(900, 914), numbers[64:]]))[0] == 200
+    assert p.extend(numbers, np.concatenate([numbers[:50], np.arange(900, 914), numbers[64:]]))[-1][0] == 200
 
 
 def test_first_holders_of_fragments(spark):
@@ -135,6 +167,61 @@ def test_long_documents_and_empty_table(spark):
     assert found(spark, []) == []
 
 
+@pytest.mark.parametrize("rate, least", [(0.05, 0.98), (0.1, 0.95), (0.15, 0.9)])
+def test_recall_of_edited_passages(spark, rate, least):
+    """Of copies of 60 words that are still four fifths alike, by alignment of the whole copy."""
+    r = random.Random(int(rate * 100))
+    vocabulary = [f"{x}{i}" for i in range(900) for x in "abc"]
+    rows, wanted = [], set()
+    for i in range(150):
+        passage = r.choices(vocabulary, k=60)
+        edited = [f"new{i}x{j}" if r.random() < rate else w for j, w in enumerate(passage)]
+        rows.append((i, " ".join([*r.choices(vocabulary, k=50), *passage, *r.choices(vocabulary, k=50)])))
+        rows.append((1000 + i, " ".join([*r.choices(vocabulary, k=50), *edited, *r.choices(vocabulary, k=50)])))
+        if sum(a == b for a, b in zip(passage, edited)) >= 0.8 * 60:
+            wanted.add((1000 + i, i))
+    result = found(spark, rows)
+    pairs = {(x.doc_id, x.match_doc_id) for x in result}
+    assert len(wanted) > 100 and len(pairs & wanted) >= least * len(wanted)
+    assert all(x.matched >= 0.8 * max(x.end_word - x.start_word, x.match_end - x.match_start) for x in result)
+    assert pairs <= {(1000 + i, i) for i in range(150)}
+
+
+def maximal_runs(one, two, least):
+    """Places of every common run of words that can't be made longer."""
+    out = set()
+    for shift in range(-len(one) + 1, len(two)):
+        i = max(0, -shift)
+        while i < len(one) and i + shift < len(two):
+            n = 0
+            while i + n < len(one) and i + n + shift < len(two) and one[i + n] == two[i + n + shift]:
+                n += 1
+            if n >= least:
+                out.add((i, i + n))
+            i += n + 1
+    return out
+
+
+def test_exact_passages_by_brute_force(spark):
+    """Documents made of shared pieces: whatever two of them have in common is found in each
+    but its first holder."""
+    r = random.Random(12)
+    pieces = [[f"p{i}w{j}" for j in range(r.randrange(45, 90))] for i in range(12)]
+    texts = {}
+    for doc in range(60):
+        words = []
+        for n in range(r.randrange(1, 5)):
+            words += [f"own{doc}x{n}y{j}" for j in range(r.randrange(5, 30))] + r.choice(pieces)
+        texts[doc] = words
+    covered = {doc: [] for doc in texts}
+    for x in found(spark, [(d, " ".join(t)) for d, t in texts.items()]):
+        covered[x.doc_id].append((x.start_word, x.end_word))
+    for doc, words in texts.items():
+        for other in range(doc):
+            for start, end in maximal_runs(words, texts[other], 45):
+                assert any(s <= start and end <= e for s, e in covered[doc]), (doc, other, start, end)
+
+
 def test_filter_never_leaves_out(spark):
     values = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
     frame = spark.createDataFrame([(int(v),) for v in values], "hash bigint")
