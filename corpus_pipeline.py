@@ -2,6 +2,10 @@
 
 Every stage takes all that the one before it kept and returns documents; the last one
 returns their tokens.  Between stages the documents are written as Parquet and read again.
+
+All stages read whole texts of any length, keep null and empty texts unless a rule below
+takes them, treat repeated rows alike, give an empty table for an empty one, and return the
+columns of documents alone, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -21,7 +25,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier calls toxic go."""
+    """Documents that the classifier calls toxic go.
+
+    That is a score of one half or more, a tie included.  A document without words, or
+    without an id, is judged like any other.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = toxicity_scores(docs, labels, carry=tuple(c for c in COLUMNS if c != "doc_id"))
     return scored.where("predicted = 0").select(*COLUMNS)
@@ -38,20 +46,29 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    All rows with the id of such a document go; one without an id can't be named and stays.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = stage(find_leaks(docs, items).select("doc_id").distinct(), "leaks")
     return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def replace_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal numbers, dates and addresses become pseudonyms; the length follows the text."""
+    """Personal numbers, dates and addresses become pseudonyms; the length follows the text.
+
+    No row goes; a null text stays null, and its length becomes null.
+    """
     replaced = pseudonymize(docs, key=queries.PSEUDONYM_KEY)
     return replaced.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Tokens of what is left: their number, and digests of the ids and the decoded text."""
+    """Tokens of what is left: their number, and digests of the ids and the decoded text.
+
+    One row per document; null and empty texts have no tokens.
+    """
     import public_tokenizers
 
     return encode_texts(
