@@ -10,9 +10,9 @@ behind its separator.  A token that lies in several sections is allocated by a r
 
 By any rule the counts of a document's sections add up to the tokens of the document.
 
-A null or empty text has one section without characters or tokens.  Repeated rows give
-repeated results.  Other columns of the input are ignored, whatever their names; an empty
-table gives no rows.
+Defined results: a null or empty text has one section without characters or tokens.  Long
+texts are encoded whole.  Repeated rows give repeated results, and null ids stay null.
+Other columns of the input are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,9 +9,12 @@ and inside a shard the tree goes on down to small leaves.  The distance of all 6
 then decides, so the links are exact whatever the sample.  A leaf that bears no further
 parting (many fingerprints with one slice) is compared in blocks, by several tasks.
 
-Texts without words, and nulls, have fingerprint zero and are linked like others.  Equal
-fingerprints meet once.  A shard returns a forest of its links, not all pairs.  Other
-columns of the input are ignored, whatever their names; an empty table gives no rows.
+Defined results: texts without words, and nulls, have fingerprint zero and are linked like
+others.  Long texts are hashed whole.  Equal fingerprints meet once, repeated rows each get
+their row, and a shingle hash bit set in exactly half of them is not set.  A row without an
+id takes part in links but never names a group.  A shard returns a forest of its links, not
+all pairs.  Other columns of the input are ignored, whatever their names; an empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -10,9 +10,11 @@ below zero, a step goes the other way, so that the classifier can't fit the unla
 toxic texts as clean ones.  Several linear classifiers in numpy learn on shares of the
 sample and are averaged.
 
-Nulls and empty texts get the score of a text without words.  Repeated rows are scored like
-any other.  Other columns of the input are ignored, whatever their names; an empty table
-gives no rows, and without a toxic or an unlabelled text every score is the prior.
+Defined results: nulls and empty texts get the score of a text without words; long texts are
+scored whole.  Repeated rows, and rows without an id, are scored like any other, and texts
+with equal words score alike.  A document marked twice is toxic if one mark says so.  Other
+columns of the input are ignored, whatever their names; an empty table gives no rows, and
+without a toxic or an unlabelled text every score is the prior.
 """
 
 from __future__ import annotations

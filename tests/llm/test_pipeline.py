@@ -73,4 +73,4 @@ def test_personal_data_is_replaced_and_measured(spark, folder):
 def test_everything_is_registered():
     names = registry.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}

@@ -70,6 +70,49 @@ def test_clean_marks_are_not_needed(spark):
     assert np.mean((scores >= 0.5) == np.array([toxic[i] for i, _ in rows], dtype=bool)) > 0.95
 
 
+def dense_risk(w, positive, unlabelled, prior):
+    """The non-negative risk, and the part of it that a step goes down (or up, below zero)."""
+    f = lambda x: 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+    negative = f(unlabelled).mean() - prior * f(positive).mean()
+    toxic = prior * (1 - f(positive)).mean()
+    return toxic + max(0.0, negative), (toxic + negative if negative >= 0 else -negative)
+
+
+def dense_train(positive, unlabelled, prior, epochs, rate, decay):
+    """Adam on gradients by finite differences, one weight at a time."""
+    k = positive.shape[1]
+    w = np.append(np.zeros(k), np.log(prior / (1 - prior)))
+    mean, square, below = np.zeros(k + 1), np.zeros(k + 1), 0
+    for epoch in range(1, epochs + 1):
+        gradient = np.zeros(k + 1)
+        sign = 1 if dense_risk(w, positive, unlabelled, prior)[1] == dense_risk(w, positive, unlabelled, prior)[0] else -1
+        below += sign < 0
+        for i in range(k + 1):
+            step = np.zeros(k + 1)
+            step[i] = 1e-6
+            up, down = (dense_risk(w + s, positive, unlabelled, prior)[1] for s in (step, -step))
+            gradient[i] = (up - down) / 2e-6
+        gradient[:k] += decay * w[:k]
+        mean, square = 0.9 * mean + 0.1 * gradient, 0.999 * square + 0.001 * gradient**2
+        w = w - rate * (mean / (1 - 0.9**epoch)) / (np.sqrt(square / (1 - 0.999**epoch)) + 1e-8)
+        w[:k] = np.maximum(w[:k], 0)
+    return w, below
+
+
+def test_training_against_finite_differences():
+    r = np.random.default_rng(3)
+    words = np.arange(12, dtype=np.int64) * 1000
+    for prior, epochs in ((0.2, 40), (0.6, 60)):
+        rows = [words[r.random(12) < 0.4] for _ in range(70)]
+        rows = [np.unique(np.append(x, words[:2])) if i < 25 else x for i, x in enumerate(rows)]
+        positive, unlabelled = rows[:20], rows[20:]
+        dense = [np.array([np.isin(words, x) for x in part], dtype=float) for part in (positive, unlabelled)]
+        want, below = dense_train(*dense, prior, epochs, 0.05, 1e-5)
+        model = t.train(positive, unlabelled, prior, words, epochs=epochs, rate=0.05, decay=1e-5)
+        assert np.allclose(model.weights, want[:-1], atol=2e-3) and abs(model.bias - want[-1]) < 2e-3
+        assert below or prior < 0.5  # with the high prior the risk of clean texts falls below zero
+
+
 def test_carried_columns_and_missing_sides(spark):
     frame = docs(spark, [(1, "a b"), (2, None)], extra=True)
     found = t.toxicity_scores(frame, labels(spark, []), carry=("text", "id", "kept")).collect()
