@@ -2,20 +2,24 @@
 
 The first pass reads key columns only, between the least and the greatest key to delete, a
 condition by which Parquet skips row groups; it yields the names of the files that hold a
-row to delete.  Only these are then read in full and written again.
+row to delete.  Only these are then read in full and written again.  With stored statistics
+per file (``sketches.refresh_statistics``) files without a key in that range are not even
+opened.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from coldshelf.operators.merge import delete_rows, delete_rows_exact
-from coldshelf.operators.swap import Swap, finish_swap, swap_files
+from coldshelf.operators.sketches import refresh_statistics
+from coldshelf.operators.swap import Swap, finish_swap, flat_files, swap_files
 from coldshelf.plans.staging import stage
 
 # types whose least and greatest value mean something to a scan
@@ -23,32 +27,37 @@ _ORDERED = ("tinyint", "smallint", "int", "bigint", "float", "double", "date", "
 
 
 def delete_rows_in_files(
-    spark: SparkSession, path: str, locators: DataFrame, keys: Sequence[str] | None = None
+    spark: SparkSession, path: str, locators: DataFrame, keys: Sequence[str] | None = None, store: str | None = None
 ) -> Swap:
     """Remove the rows named by key tuples from the table at ``path``; NULL matches NULL.
 
-    Without a unique key the match is on all columns.  The result says which files were
+    Without a unique key the match is on all columns.  ``store`` is where statistics per file
+    are kept; they are brought up to date first.  The result says which files were
     rewritten; deleted rows are the difference of its counts.
     """
     finish_swap(spark, path)
-    table = spark.read.parquet(path)
-    columns = list(keys or table.columns)
+    columns = list(keys or locators.columns)
     named = stage(locators.select(*columns).distinct(), "named")
+    table = _searched(spark, path, named, columns, store)
+    if table is None:
+        return Swap((), 0, 0)
     hits = within(table, named, columns).select(*columns, F.col("_metadata.file_name").alias("_file"))
     touched = _matching(hits, named, columns).select("_file").distinct()
     return swap_files(spark, path, _names(touched), lambda rows: delete_rows(rows, named, columns))
 
 
-def delete_copies_in_files(spark: SparkSession, path: str, archived: DataFrame) -> Swap:
+def delete_copies_in_files(spark: SparkSession, path: str, archived: DataFrame, store: str | None = None) -> Swap:
     """Remove exactly as many copies of each row from the table at ``path`` as were archived.
 
     Of files that hold copies of one row, those with most of them are rewritten first, and
-    no more than are needed.
+    no more than are needed.  ``archived`` has the table's columns.
     """
     finish_swap(spark, path)
-    table = spark.read.parquet(path)
-    columns = table.columns
+    columns = archived.columns
     gone = stage(archived.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("_gone")), "gone")
+    table = _searched(spark, path, gone, columns, store)
+    if table is None:
+        return Swap((), 0, 0)
     hits = within(table, gone, columns).select(*columns, F.col("_metadata.file_name").alias("_file"))
     # one row per distinct row and file, however many copies the file holds
     held = hits.groupBy(*columns, "_file").agg(F.count(F.lit(1)).alias("_held"))
@@ -65,25 +74,65 @@ def _names(touched: DataFrame) -> list[str]:
     return sorted(r["_file"] for r in touched.collect())
 
 
-def within(table: DataFrame, named: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows whose keys lie between the least and the greatest one named, column by column."""
-    kinds = dict(table.dtypes)
+def _searched(
+    spark: SparkSession, path: str, named: DataFrame, columns: Sequence[str], store: str | None
+) -> DataFrame | None:
+    """The part of a table in which to search: all of it, or the files whose stored statistics
+    allow for a named key; None if there is none."""
+    if store is None:
+        return spark.read.parquet(path)
+    refresh_statistics(spark, path, store)
+    stats = spark.read.option("mergeSchema", "true").parquet(store)
+
+    def may_hold(b: Bounds) -> Column:
+        figures = F.col(f"`c_{b.column}`")
+        inside = F.lit(False) if b.low is None else (figures["hi"] >= b.low) & ((figures["lo"] <= b.high) | b.open_above)
+        return inside | (figures["filled"] < F.col("n_rows")) if b.nulls else inside
+
+    found = _bounds(named, columns)
+    wanted = stats.where(reduce(Column.__and__, [F.coalesce(may_hold(b), F.lit(False)) for b in found], F.col("n_rows") > 0))
+    names = {r["file"] for r in wanted.select("file").collect()} & flat_files(spark, path).keys()
+    if not names:
+        return None
+    return spark.read.parquet(*[f"{path.rstrip('/')}/{n}" for n in sorted(names)])
+
+
+class Bounds(NamedTuple):
+    """What the named keys span in one column; a NaN is beyond any bound that a scan knows."""
+
+    column: str
+    low: Any
+    high: Any
+    open_above: bool
+    nulls: bool
+
+
+def _bounds(named: DataFrame, columns: Sequence[str]) -> list[Bounds]:
+    kinds = dict(named.dtypes)
     ordered = [c for c in columns if kinds[c] in _ORDERED or kinds[c].startswith("decimal")]
     if not ordered:
-        return table
+        return []
     figures = [f(c).alias(f"{name}{i}") for i, c in enumerate(ordered) for name, f in (("lo", F.min), ("hi", F.max))]
     nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls{i}") for i, c in enumerate(ordered)]
     found = named.agg(*figures, *nulls).first()
+    return [
+        Bounds(c, found[f"lo{i}"], found[f"hi{i}"], found[f"hi{i}"] != found[f"hi{i}"], found[f"nulls{i}"] > 0)
+        for i, c in enumerate(ordered)
+    ]
+
+
+def within(table: DataFrame, named: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows whose keys lie between the least and the greatest one named, column by column."""
 
-    def between(i: int, c: str) -> Column:
-        lo, hi = found[f"lo{i}"], found[f"hi{i}"]
-        if lo is None:
-            return F.col(c).isNull()
-        # a NaN is greater than any bound that could be pushed
-        inside = F.col(c) >= lo if hi != hi else (F.col(c) >= lo) & (F.col(c) <= hi)
-        return inside | F.col(c).isNull() if found[f"nulls{i}"] else inside
+    def between(b: Bounds) -> Column:
+        column = F.col(b.column)
+        if b.low is None:
+            return column.isNull()
+        inside = column >= b.low if b.open_above else (column >= b.low) & (column <= b.high)
+        return inside | column.isNull() if b.nulls else inside
 
-    return table.where(reduce(Column.__and__, [between(i, c) for i, c in enumerate(ordered)]))
+    found = _bounds(named, columns)
+    return table.where(reduce(Column.__and__, [between(b) for b in found])) if found else table
 
 
 def _matching(rows: DataFrame, named: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:

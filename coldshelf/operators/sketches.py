@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldshelf.operators.ranges import range_of
-from coldshelf.operators.swap import flat_files, read_files
+from coldshelf.operators.swap import flat_files
 from coldshelf.plans.staging import path_exists
 
 MAX_RANGES = 1000  # the finest ranges that a sketch of the size used tells apart
@@ -130,13 +130,12 @@ def refresh_statistics(spark: SparkSession, path: str, store: str) -> list[str]:
     Reads the files that are not in the store yet and returns their names; files never
     change, so a name that is known needs no second look.
     """
-    table = spark.read.parquet(path)
     known = {r["file"] for r in _stored(spark, store).select("file").collect()} if path_exists(spark, store) else set()
     new = sorted(flat_files(spark, path).keys() - known)
     if new:
-        rows = read_files(spark, path, new, table).withColumn("_file", F.col("_metadata.file_name"))
-        rows.groupBy(F.col("_file").alias("file")).agg(
-            F.count(F.lit(1)).alias("n_rows"), *[_column_figures(f).alias(f"c_{f.name}") for f in table.schema.fields]
+        rows = spark.read.parquet(*[f"{path.rstrip('/')}/{n}" for n in new])
+        rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.count(F.lit(1)).alias("n_rows"), *[_column_figures(f).alias(f"c_{f.name}") for f in rows.schema.fields]
         ).write.mode("append").parquet(store)
         # files without rows are known as well
         seen = {r["file"] for r in _stored(spark, store).select("file").collect()}

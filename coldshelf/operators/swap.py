@@ -39,13 +39,6 @@ def flat_files(spark: SparkSession, path: str) -> dict[str, int]:
     return {f.getPath().getName(): f.getLen() for f in seen}
 
 
-def read_files(spark: SparkSession, path: str, names: Sequence[str], like: DataFrame) -> DataFrame:
-    """The rows of some files of a table."""
-    if not names:
-        return spark.createDataFrame([], like.schema)
-    return spark.read.schema(like.schema).parquet(*[f"{path.rstrip('/')}/{n}" for n in names])
-
-
 def swap_files(
     spark: SparkSession, path: str, names: Sequence[str], rewrite: Callable[[DataFrame], DataFrame]
 ) -> Swap:
@@ -55,10 +48,9 @@ def swap_files(
         return Swap((), 0, 0)
     if lost := set(names) - flat_files(spark, path).keys():
         raise ValueError(f"{path} has no files {sorted(lost)}")
-    table = spark.read.parquet(path)
-    old = read_files(spark, path, names, table)
+    old = spark.read.parquet(*[f"{path.rstrip('/')}/{n}" for n in names])
     rewrite(old).write.parquet(journal.fresh("new"))
-    after = spark.read.schema(table.schema).parquet(journal.folder("new")).count()
+    after = spark.read.schema(old.schema).parquet(journal.folder("new")).count()
     facts = {"id": uuid.uuid4().hex[:12], "old": list(names), "before": old.count(), "after": after}
     journal.record("swap", facts)
     return finish_swap(spark, path)

@@ -11,6 +11,7 @@ from coldshelf.operators import swap as swap_module
 from coldshelf.operators.compact import compact_small, pack
 from coldshelf.operators.file_deletes import delete_copies_in_files, delete_rows_in_files, within
 from coldshelf.operators.merge import delete_rows, delete_rows_exact
+from coldshelf.operators.sketches import refresh_statistics
 from coldshelf.operators.swap import finish_swap, flat_files
 
 
@@ -54,14 +55,42 @@ def test_the_search_is_pruned_by_the_keys_named(spark, path, capsys):
     assert "ReadSchema: struct<id:bigint,s:string>" in plan
 
 
-def test_unread_files_stay_unread(spark, path):
-    """Files outside the range of named keys may even be broken, as long as no scan opens them."""
-    spark.conf.set("spark.sql.parquet.filterPushdown", "true")
+def test_files_without_named_keys_are_not_opened(spark, path):
+    """With stored statistics, files outside the range may even be broken."""
+    store = f"{path}-stats"
+    refresh_statistics(spark, path, store)
     table = spark.read.parquet(path)
-    lows = {r.f: r.lo for r in table.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.min("id").alias("lo")).collect()}
-    target = min(lows, key=lows.get)
-    result = delete_rows_in_files(spark, path, table.where("id < 5"), ["id"])
-    assert result.replaced == (target,)
+    files = table.groupBy(F.col("_metadata.file_name").alias("f")).agg(F.min("id").alias("lo"), F.max("id").alias("hi")).collect()
+    files = sorted(files, key=lambda r: r.lo)
+    target = files[-1]
+    named = spark.createDataFrame([(target.lo + 1,), (target.hi,)], "id bigint")
+    broken = Path(path) / files[3].f
+    whole = broken.read_bytes()
+    broken.write_bytes(b"not a table any more")
+    spark.catalog.refreshByPath(path)
+    result = delete_rows_in_files(spark, path, named, ["id"], store=store)
+    assert result.replaced == (target.f,) and result.rows_before - result.rows_after == 2
+    nothing = delete_rows_in_files(spark, path, spark.createDataFrame([(-7,)], "id bigint"), ["id"], store=store)
+    assert nothing.replaced == ()
+    broken.write_bytes(whole)
+    spark.catalog.refreshByPath(path)
+    left = {r.id for r in spark.read.parquet(path).collect()}
+    assert left == set(range(1000)) - {target.lo + 1, target.hi}
+
+
+def test_stored_statistics_allow_for_null_keys(spark, path):
+    store = f"{path}-stats"
+    table = spark.read.parquet(path)
+    named = spark.createDataFrame([(None, "1"), (5, "2")], "v bigint, s string")
+    expected = bag(delete_rows(table, named, ["v", "s"]))
+    delete_rows_in_files(spark, path, named, ["v", "s"], store=store)
+    spark.catalog.refreshByPath(path)
+    assert bag(spark.read.parquet(path)) == expected
+    copies = spark.createDataFrame([(1, 1, "1"), (2, 2, "2"), (2, 2, "2"), (10**6, 1, "1")], "id bigint, v bigint, s string")
+    expected = bag(delete_rows_exact(spark.read.parquet(path), copies))
+    delete_copies_in_files(spark, path, copies, store=store)
+    spark.catalog.refreshByPath(path)
+    assert bag(spark.read.parquet(path)) == expected
 
 
 def test_null_keys_match_null_and_empty_sets_change_nothing(spark, path):
