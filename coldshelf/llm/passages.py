@@ -5,10 +5,14 @@ Words are hashed, and of the runs of ``k`` words those with the least hash in an
 words choose a common seed.  Runs of fewer than four distinct words are never seeds: a word
 said over and over is no passage.  Each seed is led by its first document (the least id); every
 other document's seed is joined to it, so a passage in a third of all documents gives as
-many matches as it has copies and no pairs among those.  Runs of two and four successive
-seeds are led in the same way, so that documents which share more with each other than with
-the first holder of a single seed meet.  Matches that no passage holds are led again by the
-first document that is left, until two rounds in succession find nothing.
+many matches as it has copies and no pairs among those.  Runs of two successive seeds are
+led in the same way, so that documents which share more with each other than with the first
+holder of a single seed meet.
+
+Seeds that no passage holds by then are ordered by the words that follow them, all holders
+of a seed together, and each is matched with its neighbour: of all holders that is one with
+which it has most words in common to the right.  The same is done with the words before
+them.  So documents that share a passage meet behind any number of holders of its parts.
 
 The matches of a document with one leader are chained: of two matches in the same order in
 both, the later one extends the earlier one's chain at the cost of the words between them.
@@ -32,8 +36,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,11 +51,11 @@ _TABLE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 SEED_BITS, ID_BITS = 27, 24
 LEAST_DISTINCT = 4
-RUNGS = (1, 2, 4)  # how many successive seeds make a key; each key has a leader of its own
-IDLE_ROUNDS = 2  # rounds in succession that find nothing, after which no further one is tried
+RUNGS = (1, 2)  # how many successive seeds make a key; each key has a leader of its own
+CONTEXT = 32  # words by which the holders of a seed are ordered
 GAP_COST = 0.05
 REACH = 64  # words that an alignment looks ahead at a time
-MARGIN = 240  # words beyond the outermost matches that are tried first; where they end too early, whole texts are taken
+MARGINS = (112, 1000, None)  # words beyond the outermost matches; where they end too early, more are taken, at last whole texts
 MATCH, MISMATCH, GAP = 1, -1, -1
 
 
@@ -93,8 +98,9 @@ def seeds_of(numbers: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.n
     return runs[places], places
 
 
-def keys_of(seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The seeds and the runs of successive seeds as keys, and the place at which each begins."""
+def keys_of(seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The seeds and the runs of successive seeds as keys, the place at which each begins, and
+    of how many seeds it is."""
     keys, at = [seeds], [places]
     for size in RUNGS[1:]:
         count = max(0, len(seeds) - size + 1)
@@ -103,34 +109,36 @@ def keys_of(seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarr
             run = (run ^ (run >> np.uint64(31)) ^ seeds[i : i + count]) * _ODD
         keys.append(run ^ (run >> np.uint64(32)))
         at.append(places[:count])
-    return np.concatenate(keys), np.concatenate(at)
+    return np.concatenate(keys), np.concatenate(at), np.repeat(RUNGS, [len(k) for k in keys])
 
 
 def _seed_rows(docs: DataFrame, kind: str, k: int, window: int, only=None) -> DataFrame:
-    """seed, id, place; with ``only`` (a filter of bits) without the seeds that surely aren't in it."""
+    """seed, id, place, rung; with ``only`` (a filter of bits) without the seeds that surely aren't in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                seeds, places, rows = [], [], []
+                seeds, places, rungs, rows = [], [], [], []
                 for row, text in enumerate(texts(batch, "text")):
-                    own, at = keys_of(*seeds_of(word_numbers(text), k, window))
+                    own, at, rung = keys_of(*seeds_of(word_numbers(text), k, window))
                     if only is not None and len(own):
                         may = bitfilter.has(only.value, own)
-                        own, at = own[may], at[may]
+                        own, at, rung = own[may], at[may], rung[may]
                     seeds.append(own)
                     places.append(at)
+                    rungs.append(rung)
                     rows.append(np.full(len(own), row))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(seeds).view(np.int64)),
                         batch.column("id").take(pa.array(np.concatenate(rows))),
                         pa.array(np.concatenate(places).astype(np.int32)),
+                        pa.array(np.concatenate(rungs).astype(np.int8)),
                     ],
-                    ["seed", "id", "place"],
+                    ["seed", "id", "place", "rung"],
                 )
 
-    return docs.mapInArrow(run, f"seed bigint, id {kind}, place int")
+    return docs.mapInArrow(run, f"seed bigint, id {kind}, place int, rung tinyint")
 
 
 # -- chains -------------------------------------------------------------------------
@@ -429,9 +437,58 @@ def _leaders(rows: DataFrame) -> DataFrame:
     return firsts.where("first.id < last").select("seed", F.col("first.id").alias("leader"), F.col("first.place").alias("y"))
 
 
-def _led(rows: DataFrame, leaders: DataFrame) -> DataFrame:
-    led = rows.join(leaders, "seed").where("id <> leader")
-    return led.select("seed", "id", "leader", F.col("place").alias("x"), "y")
+def _neighbours(rows: DataFrame, words: DataFrame, kind: str, k: int, forward: bool) -> DataFrame:
+    """Matches of each place with the one before it, when all holders of a seed are ordered by
+    the words behind it (or, backwards, by those before it)."""
+    after = F.slice("words", F.col("place") + k + 1, CONTEXT)
+    size = F.least(F.col("place"), F.lit(CONTEXT))
+    context = after if forward else F.reverse(F.slice("words", F.col("place") - size + 1, size))
+    placed = rows.join(words, "id").select("seed", context.alias("context"), "id", "place")
+    # a seed that very many documents hold spreads over partitions, as contexts and ids differ
+    ordered = placed.repartitionByRange("seed", "context", "id").sortWithinPartitions("seed", "context", "id", "place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last = TaskContext.get().partitionId(), None
+        names = ["seed", "id", "place", "other", "other_place", "edge"]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([*([last] if last is not None else []), batch]).combine_chunks()
+            one, two = whole.slice(0, whole.num_rows - 1), whole.slice(1)
+            met = pc.and_(pc.equal(one["seed"], two["seed"]), pc.not_equal(one["id"], two["id"]))
+            pairs = [*(two[c] for c in ("seed", "id", "place")), one["id"], one["place"]]
+            out = pa.Table.from_arrays([*pairs, pa.nulls(len(met), pa.int32())], names).filter(met)
+            if last is None:  # the first and the last row of a partition meet others beside it
+                out = pa.concat_tables([out, _edge(batch.slice(0, 1), 2 * part, names)])
+            last = batch.slice(batch.num_rows - 1)
+            yield from out.combine_chunks().to_batches()
+        if last is not None:
+            yield from _edge(last, 2 * part + 1, names).to_batches()
+
+    schema = f"seed bigint, id {kind}, place int, other {kind}, other_place int, edge int"
+    found = stage(ordered.select("seed", "id", "place").mapInArrow(run, schema), "neighbours")
+    # two rows a partition; the last of one meets the first of the next
+    edges = found.where("edge IS NOT NULL").orderBy("edge").collect()
+    across = [
+        (b["seed"], b["id"], b["place"], a["id"], a["place"])
+        for a, b in zip(edges[1::2], edges[2::2], strict=False)
+        if a["seed"] == b["seed"] and a["id"] != b["id"]
+    ]
+    pairs = found.where("edge IS NULL").drop("edge")
+    if across:
+        pairs = pairs.unionByName(found.sparkSession.createDataFrame(across, pairs.schema))
+    later = F.col("id") > F.col("other")
+    return pairs.select(
+        F.greatest("id", "other").alias("id"),
+        F.least("id", "other").alias("leader"),
+        F.when(later, F.col("place")).otherwise(F.col("other_place")).alias("x"),
+        F.when(later, F.col("other_place")).otherwise(F.col("place")).alias("y"),
+    )
+
+
+def _edge(row: pa.RecordBatch, number: int, names: list[str]) -> pa.Table:
+    none = [pa.nulls(1, row.schema.field(c).type) for c in ("id", "place")]
+    return pa.Table.from_arrays([*(row.column(c) for c in ("seed", "id", "place")), *none, pa.array([number], pa.int32())], names)
 
 
 def shared_passages(
@@ -454,32 +511,40 @@ def shared_passages(
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
     leaders = stage(_leaders(_seed_rows(chosen, kind, k, window)), "leaders")
     shared = bitfilter.build(leaders, "seed", SEED_BITS)
-    matches = stage(_led(_seed_rows(chosen, kind, k, window, shared), leaders), "matches")
-    ids = matches.select("id").union(matches.select("leader")).distinct()
-    wanted = bitfilter.build(ids.select(F.xxhash64("id").alias("hash")), "hash", ID_BITS)
+    # all holders of shared seeds, the first ones too
+    rows = stage(_seed_rows(chosen, kind, k, window, shared).join(leaders, "seed").distinct(), "holders")
+    wanted = bitfilter.build(rows.select(F.xxhash64("id").alias("hash")).distinct(), "hash", ID_BITS)
     words = stage(_words(chosen, kind, wanted), "words")
-    limits = (least_words, least_share)
-    found, idle = None, 0
-    while True:
-        chains = stage(_chains(matches.select("id", "leader", "x", "y"), kind, k), "chains")
-        tried = stage(_aligned(chains, words, kind, id_col, k, MARGIN, *limits), "tried")
+    limits = (kind, id_col, k, least_words, least_share)
+    first = rows.where("id <> leader").select("id", "leader", F.col("place").alias("x"), "y")
+    found = _passages(first, words, *limits)
+    for forward in (True, False):
+        left = stage(_uncovered(rows.where("rung = 1").select("seed", "id", "place"), found, id_col), "left")
+        found = found.unionByName(_passages(_neighbours(left, words, kind, k, forward), words, *limits))
+    return _without_implied(stage(found.distinct(), "found"), id_col)
+
+
+def _passages(
+    matches: DataFrame, words: DataFrame, kind: str, id_col: str, k: int, least_words: int, least_share: float
+) -> DataFrame:
+    """Chains of matches, aligned; written."""
+    chains, out = stage(_chains(matches, kind, k), "chains"), None
+    for margin in MARGINS:
+        tried = stage(_aligned(chains, words, kind, id_col, k, margin, least_words, least_share), "tried")
+        ended = tried.where("start_word IS NOT NULL")
+        out = ended if out is None else out.unionByName(ended)
         short = tried.where("start_word IS NULL").select(F.col(id_col).alias("id"), F.col(f"match_{id_col}").alias("leader"))
-        again = chains.join(short, ["id", "leader"], "left_semi")
-        whole = _aligned(again, words, kind, id_col, k, None, *limits)
-        new = stage(tried.where("start_word IS NOT NULL").unionByName(whole), "passages")
-        found = new if found is None else found.unionByName(new)
-        idle = idle + 1 if new.isEmpty() else 0
-        if idle == IDLE_ROUNDS:
-            break
-        # places that no passage holds yet are led again, by the first document that is left
-        covered = new.groupBy(F.col(id_col).alias("id")).agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
-        inside = F.exists("spans", lambda p: (p["start_word"] <= F.col("place")) & (F.col("place") < p["end_word"]))
-        places = matches.select("seed", "id", F.col("x").alias("place")).join(covered, "id", "left")
-        left = places.where(~F.coalesce(inside, F.lit(False))).select("seed", "id", "place")
-        matches = stage(_led(left, _leaders(left)), "matches")
-        if matches.isEmpty():
+        if short.isEmpty():
             break
-    return _without_implied(stage(found.distinct(), "found"), id_col)
+        chains = stage(chains.join(short.distinct(), ["id", "leader"], "left_semi"), "chains")
+    return out
+
+
+def _uncovered(rows: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
+    """Places that lie in no passage of their document with an earlier one."""
+    spans = found.groupBy(F.col(id_col).alias("id")).agg(F.collect_set(F.struct("start_word", "end_word")).alias("spans"))
+    inside = F.exists("spans", lambda p: (p["start_word"] <= F.col("place")) & (F.col("place") < p["end_word"]))
+    return rows.join(spans, "id", "left").where(~F.coalesce(inside, F.lit(False))).select(*rows.columns)
 
 
 def _without_implied(found: DataFrame, id_col: str) -> DataFrame:

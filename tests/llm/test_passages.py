@@ -187,6 +187,47 @@ def test_recall_of_edited_passages(spark, rate, least):
     assert pairs <= {(1000 + i, i) for i in range(150)}
 
 
+def test_a_pair_behind_many_holders_of_its_parts(spark):
+    """Edited copies, each of whose parts is first held by many other documents."""
+    r = random.Random(13)
+    rows, wanted, n = [], set(), 0
+    for _ in range(15):
+        passage = prose(r, 66)
+        parts = [passage[i : i + 33] for i in (0, 33)]
+        for _ in range(8):
+            rows += [(n + i, " ".join(prose(r, 20) + part + prose(r, 20))) for i, part in enumerate(parts)]
+            n += 2
+        edited = ["changed" if i % 16 == 8 else w for i, w in enumerate(passage)]
+        rows += [(n, " ".join(passage)), (n + 1, " ".join(prose(r, 30) + edited))]
+        wanted.add((n + 1, n))
+        n += 2
+    pairs = {(x.doc_id, x.match_doc_id) for x in found(spark, rows)}
+    assert len(wanted & pairs) >= 14
+
+
+def test_holders_in_order_of_context(spark):
+    r = random.Random(14)
+    words, seeds = {}, []
+    for doc in range(60):
+        words[doc] = [r.randrange(3) for _ in range(r.randrange(8, 40))]
+        seeds += [(r.randrange(2), doc, r.randrange(len(words[doc]) - 5)) for _ in range(2)]
+    seeds = sorted(set(seeds))
+    rows = spark.createDataFrame(seeds, "seed bigint, id bigint, place int").repartition(5)
+    table = spark.createDataFrame(list(words.items()), "id bigint, words array<int>")
+    for forward in (True, False):
+
+        def context(doc, place):
+            own = words[doc]
+            return own[place + 5 :][: p.CONTEXT] if forward else own[:place][::-1][: p.CONTEXT]
+
+        ordered = sorted(seeds, key=lambda s: (s[0], context(s[1], s[2]), s[1], s[2]))
+        want = set()
+        for (s, a, x), (s2, b, y) in zip(ordered, ordered[1:]):
+            if s == s2 and a != b:
+                want.add((b, a, y, x) if b > a else (a, b, x, y))
+        assert {tuple(m) for m in p._neighbours(rows, table, "bigint", 5, forward).collect()} == want
+
+
 def maximal_runs(one, two, least):
     """Places of every common run of words that can't be made longer."""
     out = set()
