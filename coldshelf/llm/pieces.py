@@ -33,9 +33,9 @@ SPACE = "▁"
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _NONE = np.int64(1) << 62
 _LONG = 64
-_MEMO_WORDS = 300_000  # a worker remembers the words of so many at least, and of twice as many at most
+_MEMO_WORDS = 120_000  # a worker remembers the words of so many at least, and of twice as many at most
 _AT_ONCE = 32_000  # words that are merged side by side
-_SLICE_CHARS = 2_000_000
+_SLICE_CHARS = 1_500_000
 _SLOT_BITS = 20
 
 
@@ -202,6 +202,9 @@ class Vocabulary:
     def words(self, text: str) -> list[str]:
         return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def forget(self) -> None:
+        self.memo, self.older = {}, {}
+
     def know(self, words: set[str], check: bool) -> dict[str, tuple[str, str]]:
         """A table that has all these words; new ones are encoded, and with ``check`` held
         against the library."""
@@ -305,23 +308,29 @@ def encode_texts(
     kind = docs.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"`{id_col}` {kind}", *(f"{o} {_SPARK.get(o, 'string')}" for o in outputs)])
 
+    def encoded(vocab: Vocabulary, whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for batch in slices(whole, "text", _SLICE_CHARS):
+            columns: dict[str, list] = {o: [] for o in outputs}
+            for joined, decoded in vocab.encode(texts(batch, "text"), check):
+                if "n_tokens" in columns:
+                    columns["n_tokens"].append(joined.count(",") + 1 if joined else 0)
+                if "ids" in columns:
+                    columns["ids"].append([int(i) for i in joined.split(",")] if joined else [])
+                if "decoded" in columns:
+                    columns["decoded"].append(decoded)
+                if "ids_sha256" in columns:
+                    columns["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
+                if "decoded_sha256" in columns:
+                    columns["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+            arrays = [batch.column(id_col), *(pa.array(columns[o], _OUTPUTS[o]) for o in outputs)]
+            yield pa.RecordBatch.from_arrays(arrays, [id_col, *outputs])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
-        for whole in batches:
-            for batch in slices(whole, "text", _SLICE_CHARS):
-                columns: dict[str, list] = {o: [] for o in outputs}
-                for joined, decoded in vocab.encode(texts(batch, "text"), check):
-                    if "n_tokens" in columns:
-                        columns["n_tokens"].append(joined.count(",") + 1 if joined else 0)
-                    if "ids" in columns:
-                        columns["ids"].append([int(i) for i in joined.split(",")] if joined else [])
-                    if "decoded" in columns:
-                        columns["decoded"].append(decoded)
-                    if "ids_sha256" in columns:
-                        columns["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
-                    if "decoded_sha256" in columns:
-                        columns["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                arrays = [batch.column(id_col), *(pa.array(columns[o], _OUTPUTS[o]) for o in outputs)]
-                yield pa.RecordBatch.from_arrays(arrays, [id_col, *outputs])
+        try:
+            for whole in batches:
+                yield from encoded(vocab, whole)
+        finally:
+            vocab.forget()  # the worker may go on with other work
 
     return docs.select(F.col(id_col), F.col(text_col).alias("text")).mapInArrow(run, schema)
