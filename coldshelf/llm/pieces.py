@@ -33,7 +33,7 @@ SPACE = "▁"
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _NONE = np.int64(1) << 62
 _LONG = 64
-_MEMO_WORDS = 120_000  # a worker remembers the words of so many at least, and of twice as many at most
+_MEMO_WORDS = 200_000  # a worker remembers the words of so many at least, and of twice as many at most
 _AT_ONCE = 32_000  # words that are merged side by side
 _SLICE_CHARS = 1_500_000
 _SLOT_BITS = 20
@@ -202,9 +202,6 @@ class Vocabulary:
     def words(self, text: str) -> list[str]:
         return _WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def forget(self) -> None:
-        self.memo, self.older = {}, {}
-
     def know(self, words: set[str], check: bool) -> dict[str, tuple[str, str]]:
         """A table that has all these words; new ones are encoded, and with ``check`` held
         against the library."""
@@ -327,10 +324,7 @@ def encode_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
-        try:
-            for whole in batches:
-                yield from encoded(vocab, whole)
-        finally:
-            vocab.forget()  # the worker may go on with other work
+        for whole in batches:
+            yield from encoded(vocab, whole)
 
     return docs.select(F.col(id_col), F.col(text_col).alias("text")).mapInArrow(run, schema)
