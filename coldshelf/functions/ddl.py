@@ -10,6 +10,8 @@ names, parentheses, commas and what is between, and one pass over these counts t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -49,11 +51,12 @@ def _lines(pattern: str) -> Column:
     return F.filter(F.split("ddl", "\r?\n", -1), lambda line: line.rlike(pattern))
 
 
-def _scan(text: Column) -> Column:
+def _scan(text: Column, then: Callable[[Column], Column] = lambda seen: seen) -> Column:
     """The outermost parentheses of a text, and the commas in the first pair of them.
 
     ``groups`` holds the places of each pair, from 1, ``cuts`` those of the commas.  Only
-    tokens at depth 0 or 1 add to a list, so the pass is linear in the text.
+    tokens at depth 0 or 1 add to a list, so the pass is linear in the text.  ``then`` gets
+    the pass's outcome; what it looks up there, however often, takes no other pass.
     """
     start = F.from_json(F.lit('{"at":0,"depth":0,"open":0,"groups":[],"cuts":[]}'), _SCANNED)
 
@@ -70,7 +73,7 @@ def _scan(text: Column) -> Column:
             F.when(cut, F.array_append(seen["cuts"], here)).otherwise(seen["cuts"]).alias("cuts"),
         )
 
-    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), start, step)
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), start, step, then)
 
 
 def _between(text: Column, after: Column, before: Column) -> Column:
@@ -78,17 +81,22 @@ def _between(text: Column, after: Column, before: Column) -> Column:
     return F.substring(text, after + 1, before - after - 1)
 
 
-def _parts(text: Column, scanned: Column) -> Column:
+def _parts(text: Column) -> Column:
     """The parts of the first parenthesis, cut at its own commas; none if it never closes."""
-    first = F.get(scanned["groups"], F.lit(0))
-    edges = F.concat(F.array(first["open"]), scanned["cuts"], F.array(first["close"]))
-    parts = F.transform(F.sequence(F.lit(0), F.size(edges) - 2), lambda i: _between(text, F.get(edges, i), F.get(edges, i + 1)))
-    return F.when(F.size(scanned["groups"]) > 0, parts)
 
+    def cut(seen: Column) -> Column:
+        first, cuts = F.get(seen["groups"], F.lit(0)), seen["cuts"]
 
-def _with_groups(text: Column, scanned: Column) -> Column:
-    """Each outermost parenthesis: the words ``before`` it and what it holds (``inside``)."""
-    groups = scanned["groups"]
+        def part(end: Column, i: Column) -> Column:
+            return _between(text, F.when(i > 0, F.get(cuts, i - 1)).otherwise(first["open"]), end)
+
+        return F.when(F.size(seen["groups"]) > 0, F.transform(F.array_append(cuts, first["close"]), part))
+
+    return _scan(text, cut)
+
+
+def _cut(text: Column, groups: Column) -> Column:
+    """Each of some parentheses: the words ``before`` it and what it holds (``inside``)."""
 
     def cut(group: Column, i: Column) -> Column:
         end = F.when(i > 0, F.get(groups, i - 1)["close"]).otherwise(F.lit(0))
@@ -100,12 +108,22 @@ def _with_groups(text: Column, scanned: Column) -> Column:
     return F.transform(groups, cut)
 
 
-def _outside(text: Column, scanned: Column) -> Column:
+def _with_groups(text: Column) -> Column:
+    """Each outermost parenthesis: the words ``before`` it and what it holds (``inside``)."""
+    return _scan(text, lambda seen: _cut(text, seen["groups"]))
+
+
+def _outside(text: Column) -> Column:
     """A text without what its parentheses hold."""
-    last = F.get(scanned["groups"], F.size(scanned["groups"]) - 1)["close"]
-    heads = F.transform(_with_groups(text, scanned), lambda g: F.concat(g["before"], F.lit("()")))
-    tail = F.substring(text, last + 1, F.length(text))
-    return F.when(F.size(scanned["groups"]) > 0, F.concat(F.array_join(heads, ""), tail)).otherwise(text)
+
+    def bare(seen: Column) -> Column:
+        groups = seen["groups"]
+        last = F.get(groups, F.size(groups) - 1)["close"]
+        heads = F.transform(_cut(text, groups), lambda g: F.concat(g["before"], F.lit("()")))
+        tail = F.substring(text, last + 1, F.length(text))
+        return F.when(F.size(groups) > 0, F.concat(F.array_join(heads, ""), tail)).otherwise(text)
+
+    return _scan(text, bare)
 
 
 def ddl_tables(df: DataFrame) -> DataFrame:
@@ -177,7 +195,7 @@ def ddl_columns(df: DataFrame) -> DataFrame:
         F.regexp_extract("line", _COLUMN, 3).alias("rest"),
     )
     # attributes without quoted texts and without what parentheses hold
-    bare = F.when(F.col("rest").contains("("), _outside(F.col("rest"), _scan(F.col("rest")))).otherwise(F.col("rest"))
+    bare = F.when(F.col("rest").contains("("), _outside(F.col("rest"))).otherwise(F.col("rest"))
     bare = F.regexp_replace(bare, r"'(?:[^'\\]++|''|\\.)*+'", "''")
     typed = parts.withColumns(
         {
@@ -221,7 +239,7 @@ def ddl_keys(df: DataFrame) -> DataFrame:
         kind.isin("PRIMARY", "UNIQUE").alias("is_unique"),
         F.regexp_replace("line", _KEY, "").alias("body"),
     )
-    parts = F.coalesce(_parts(F.col("body"), _scan(F.col("body"))), F.array(F.lit(None).cast("string")))
+    parts = F.coalesce(_parts(F.col("body")), F.array(F.lit(None).cast("string")))
     keys = heads.select("*", F.posexplode(parts).alias("i", "part"))
     prefix = F.regexp_extract("part", _KEY_COLUMN, 2)
     column = F.regexp_extract("part", _KEY_COLUMN, 1)
@@ -249,9 +267,7 @@ def ddl_expressions(df: DataFrame) -> DataFrame:
     columns = lines.select(
         "src_id", "i", _unescape(F.regexp_extract("line", _COLUMN, 1)).alias("name"), rest.alias("rest")
     ).where(F.col("rest").contains("("))
-    groups = columns.select(
-        "src_id", "i", "name", F.explode(_with_groups(F.col("rest"), _scan(F.col("rest")))).alias("group")
-    )
+    groups = columns.select("src_id", "i", "name", F.explode(_with_groups(F.col("rest"))).alias("group"))
     word = F.lower(F.regexp_extract("group.before", r"(?i)\b(GENERATED\s+ALWAYS\s+AS|DEFAULT|CHECK)\s*$", 1))
     of_columns = groups.select(
         "src_id",
@@ -270,7 +286,7 @@ def ddl_expressions(df: DataFrame) -> DataFrame:
         F.lit("check").alias("kind"),
         F.when(F.col("name") != "", _unescape(F.col("name"))).alias("name"),
         F.lit(1).cast("long").alias("pos"),
-        F.get(_with_groups(F.col("body"), _scan(F.col("body"))), F.lit(0))["inside"].alias("expression"),
+        F.get(_with_groups(F.col("body")), F.lit(0))["inside"].alias("expression"),
     )
     of_keys = (
         ddl_keys(df)

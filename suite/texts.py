@@ -38,13 +38,21 @@ _FROM_PART = f"""(SELECT p_partkey AS src_id,
     FROM (SELECT *, string_split(p_type, ' ')[1] AS p_type_word FROM part))"""
 
 
+def _parts_dealt(spark, sf):
+    """The parts, dealt to all cores.
+
+    A part's text is far longer than its row, so that a file of few bytes is much to parse.
+    """
+    return table(spark, sf, "part").repartition(2 * spark.sparkContext.defaultParallelism, "p_partkey")
+
+
 def _ddl_texts(spark, sf):
     # a doubled quote inside a literal becomes an escaped one
     pieces = [p.replace("''", "\\'") for p in _DDL_PIECES]
     pieces = ["''" if p == "\\'" else p.replace("ELSE \\' END", "ELSE '' END") for p in pieces]
     text = "concat(" + ", ".join(pieces) + ")"
     return (
-        table(spark, sf, "part")
+        _parts_dealt(spark, sf)
         .withColumn("p_type_word", F.split("p_type", " ")[0])
         .selectExpr(
             "p_partkey AS src_id",
@@ -145,7 +153,7 @@ _NESTED_PIECES = [
 
 
 def _nested_texts(spark, sf):
-    return table(spark, sf, "part").selectExpr("p_partkey AS src_id", f"concat({', '.join(_NESTED_PIECES)}) AS ddl")
+    return _parts_dealt(spark, sf).selectExpr("p_partkey AS src_id", f"concat({', '.join(_NESTED_PIECES)}) AS ddl")
 
 
 @suite.add(
