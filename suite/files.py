@@ -403,11 +403,13 @@ def compacted(spark, sf):
 
 @suite.add("compacted_small", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_linenumber <= 3")
 def compacted_small(spark, sf):
-    """Many small files beside a large one, joined in place."""
+    """Many small files beside large ones, joined in place."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").where("l_linenumber <= 3")
     path = new_path(spark, "small")
-    lines.where("l_linenumber <= 2").coalesce(1).write.parquet(path)
-    lines.where("l_linenumber = 3").repartition(20, "l_partkey").write.mode("append").parquet(path)
+    lines.where("l_linenumber <= 2").write.parquet(path)
+    # files stay small however many rows there are
+    small = lines.where("l_linenumber = 3").repartition(20, "l_partkey").write.mode("append")
+    small.option("maxRecordsPerFile", 5000).parquet(path)
     compact_small(spark, path, small_bytes=64 << 10, target_bytes=256 << 10, keys=["l_orderkey"])
     return spark.read.parquet(path)
 

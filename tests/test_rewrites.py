@@ -13,6 +13,7 @@ from coldshelf.operators.file_deletes import delete_copies_in_files, delete_rows
 from coldshelf.operators.merge import delete_rows, delete_rows_exact
 from coldshelf.operators.sketches import refresh_statistics
 from coldshelf.operators.swap import finish_swap, flat_files
+from suite.files import suite as file_suite
 
 
 def bag(df):
@@ -214,3 +215,15 @@ def test_each_bin_becomes_one_file(spark, folder):
     found = flat_files(spark, path)
     assert 6 <= len(found) <= 8 and max(found.values()) <= 6 * size
     assert spark.read.parquet(path).count() == 9000
+
+
+def test_compaction_query_keeps_files_small_and_tasks_many(spark, folder):
+    lines = spark.range(1_200_000).selectExpr("id AS l_orderkey", "CAST(id % 3 + 1 AS int) AS l_linenumber", "hash(id) + 0L AS l_partkey")
+    lines.repartition(4).write.parquet(f"{folder}/lineitem.parquet")
+    result = file_suite.queries["compacted_small"](spark, folder)
+    files = result.groupBy("_metadata.file_path").agg(
+        F.count("*").alias("n"), F.max("l_linenumber").alias("kind"), F.max("_metadata.file_size").alias("size")
+    ).collect()
+    assert sum(f.n for f in files) == 1_200_000
+    assert max(f.n for f in files if f.kind < 3) < 400_000  # not one task for all
+    assert max(f.size for f in files if f.kind == 3) <= 320 << 10 and 20 < len(files) < 80  # small ones were joined
