@@ -438,8 +438,8 @@ def _keyed(spark, sf, replace):
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("y"))
     schema = orders.drop("y").schema
     years = [r["y"] for r in orders.select("y").distinct().orderBy("y").collect()]
-    for year in years:  # one batch a year, as files would arrive
-        orders.where(F.col("y") == year).drop("y").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    for year in years:  # one batch a year, as files would arrive, of no more files than a batch takes
+        orders.where(F.col("y") == year).drop("y").coalesce(64).write.mode("append").parquet(f"{base}/in")
         start_keyed_stream(
             spark, f"{base}/in", schema, "o_orderstatus <> 'P'", f"{base}/dest", f"{base}/kept", ["o_custkey"],
             f"{base}/state", replace=replace, order_by=["o_orderkey"],

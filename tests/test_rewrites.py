@@ -13,6 +13,7 @@ from coldshelf.operators.file_deletes import delete_copies_in_files, delete_rows
 from coldshelf.operators.merge import delete_rows, delete_rows_exact
 from coldshelf.operators.sketches import refresh_statistics
 from coldshelf.operators.swap import finish_swap, flat_files
+from suite import files as file_queries
 from suite.files import suite as file_suite
 
 
@@ -227,3 +228,20 @@ def test_compaction_query_keeps_files_small_and_tasks_many(spark, folder):
     assert sum(f.n for f in files) == 1_200_000
     assert max(f.n for f in files if f.kind < 3) < 400_000  # not one task for all
     assert max(f.size for f in files if f.kind == 3) <= 320 << 10 and 20 < len(files) < 80  # small ones were joined
+
+
+def test_keyed_batches_are_written_by_many_tasks(spark, folder, monkeypatch):
+    rows = spark.range(400).selectExpr(
+        "id % 50 AS o_custkey", "id AS o_orderkey", "'O' AS o_orderstatus", "TIMESTAMP_NTZ '1995-05-05 00:00:00' AS o_orderdate"
+    )
+    rows.repartition(4).write.parquet(f"{folder}/orders.parquet")
+    start, seen = file_queries.start_keyed_stream, []
+
+    def noted(spark, in_path, *args, **options):
+        seen.append(len(spark.read.parquet(in_path).inputFiles()))
+        return start(spark, in_path, *args, **options)
+
+    monkeypatch.setattr(file_queries, "start_keyed_stream", noted)
+    found = file_suite.queries["stream_keyed"](spark, folder).collect()
+    assert sorted((r.o_custkey, r.o_orderkey) for r in found) == [(i, i) for i in range(50)]
+    assert len(seen) == 1 and 1 < seen[0] <= 64  # one batch, of several files
