@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from coldshelf.llm import bitfilter
 from coldshelf.llm.batches import slices, texts
-from coldshelf.plans.staging import stage
+from coldshelf.plans.staging import stage_alone
 
 _PUNCTUATION = bytes(b for b in range(128) if not chr(b).isalnum())
 _TABLE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
@@ -424,8 +424,10 @@ def _aligned(
         "id", "leader", "xs", "ys", own_from.alias("own_from"), own.alias("own"), F.size("words").alias("own_size")
     )
     other_from, other = _window("words", "ys", k, margin)
-    both = near.join(words.select(F.col("id").alias("leader"), "words"), "leader").select(
-        "id", "leader", "xs", "ys", "own_from", "own", "own_size",
+    # the words under their own name, so that both joins read one shuffle of them
+    leaders = words.alias("words_of")
+    both = near.join(leaders, near["leader"] == F.col("words_of.id")).select(
+        near["id"], "leader", "xs", "ys", "own_from", "own", "own_size",
         other_from.alias("other_from"), other.alias("other"), F.size("words").alias("other_size"),
     )
     return _align(both, kind, id_col, least_words, least_share)
@@ -466,7 +468,7 @@ def _neighbours(rows: DataFrame, words: DataFrame, kind: str, k: int, forward: b
             yield from _edge(last, 2 * part + 1, names).to_batches()
 
     schema = f"seed bigint, id {kind}, place int, other {kind}, other_place int, edge int"
-    found = stage(ordered.select("seed", "id", "place").mapInArrow(run, schema), "neighbours")
+    found = stage_alone(ordered.select("seed", "id", "place").mapInArrow(run, schema), "neighbours")
     # two rows a partition; the last of one meets the first of the next
     edges = found.where("edge IS NOT NULL").orderBy("edge").collect()
     across = [
@@ -509,34 +511,34 @@ def shared_passages(
     """
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("id").isNotNull())
-    leaders = stage(_leaders(_seed_rows(chosen, kind, k, window)), "leaders")
+    leaders = stage_alone(_leaders(_seed_rows(chosen, kind, k, window)), "leaders")
     shared = bitfilter.build(leaders, "seed", SEED_BITS)
     # all holders of shared seeds, the first ones too
-    rows = stage(_seed_rows(chosen, kind, k, window, shared).join(leaders, "seed").distinct(), "holders")
+    rows = stage_alone(_seed_rows(chosen, kind, k, window, shared).join(leaders, "seed").distinct(), "holders")
     wanted = bitfilter.build(rows.select(F.xxhash64("id").alias("hash")).distinct(), "hash", ID_BITS)
-    words = stage(_words(chosen, kind, wanted), "words")
+    words = stage_alone(_words(chosen, kind, wanted), "words")
     limits = (kind, id_col, k, least_words, least_share)
     first = rows.where("id <> leader").select("id", "leader", F.col("place").alias("x"), "y")
     found = _passages(first, words, *limits)
     for forward in (True, False):
-        left = stage(_uncovered(rows.where("rung = 1").select("seed", "id", "place"), found, id_col), "left")
+        left = stage_alone(_uncovered(rows.where("rung = 1").select("seed", "id", "place"), found, id_col), "left")
         found = found.unionByName(_passages(_neighbours(left, words, kind, k, forward), words, *limits))
-    return _without_implied(stage(found.distinct(), "found"), id_col)
+    return _without_implied(stage_alone(found.distinct(), "found"), id_col)
 
 
 def _passages(
     matches: DataFrame, words: DataFrame, kind: str, id_col: str, k: int, least_words: int, least_share: float
 ) -> DataFrame:
     """Chains of matches, aligned; written."""
-    chains, out = stage(_chains(matches, kind, k), "chains"), None
+    chains, out = stage_alone(_chains(matches, kind, k), "chains"), None
     for margin in MARGINS:
-        tried = stage(_aligned(chains, words, kind, id_col, k, margin, least_words, least_share), "tried")
+        tried = stage_alone(_aligned(chains, words, kind, id_col, k, margin, least_words, least_share), "tried")
         ended = tried.where("start_word IS NOT NULL")
         out = ended if out is None else out.unionByName(ended)
         short = tried.where("start_word IS NULL").select(F.col(id_col).alias("id"), F.col(f"match_{id_col}").alias("leader"))
         if short.isEmpty():
             break
-        chains = stage(chains.join(short.distinct(), ["id", "leader"], "left_semi"), "chains")
+        chains = stage_alone(chains.join(short.distinct(), ["id", "leader"], "left_semi"), "chains")
     return out
 
 

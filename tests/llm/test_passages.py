@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -228,6 +229,43 @@ def test_holders_in_order_of_context(spark):
         assert {tuple(m) for m in p._neighbours(rows, table, "bigint", 5, forward).collect()} == want
 
 
+def test_words_are_shuffled_once_an_alignment(spark, capsys):
+    r = random.Random(15)
+    texts = {i: prose(r, 90) for i in range(4)}
+    texts |= {i + 4: prose(r, 10) + words[:70] for i, words in texts.items()}
+    words = spark.createDataFrame([(d, [WORDS.index(w) for w in t]) for d, t in texts.items()], "id bigint, words array<int>")
+    rows = [(d, d - 4, [[10, 40]], [[0, 30]]) for d in range(4, 8)]
+    chains = spark.createDataFrame(rows, "id bigint, leader bigint, xs array<array<int>>, ys array<array<int>>")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        aligned = p._aligned(chains, words, "bigint", "doc_id", 5, 112, 40, 0.8)
+        assert sorted(tuple(x) for x in aligned.collect()) == [(d, d - 4, 10, 80, 0, 70, 70) for d in range(4, 8)]
+        capsys.readouterr()
+        aligned.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    final = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") == 1
+
+
+def test_a_step_frees_the_shuffle_files_of_those_before(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    one = p.stage_alone(spark.range(1000).repartition(4, "id"), "step")
+    held = files() - before
+    two = p.stage_alone(one.select((one["id"] + 1).alias("id")).repartition(4, "id"), "step")
+    for _ in range(100):
+        if not files() & held:
+            break
+        time.sleep(0.1)
+    assert not files() & held
+    assert one.count() == two.count() == 1000
+
+
 def maximal_runs(one, two, least):
     """Places of every common run of words that can't be made longer."""
     out = set()
