@@ -32,7 +32,8 @@ columns of the input are ignored, whatever their names; an empty table gives no
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ import xxhash
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from coldshelf.llm import bitfilter
 from coldshelf.llm.batches import slices, texts
@@ -49,6 +51,7 @@ from coldshelf.plans.staging import stage_alone
 _PUNCTUATION = bytes(b for b in range(128) if not chr(b).isalnum())
 _TABLE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_XXH64 = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 SEED_BITS, ID_BITS = 27, 24
 LEAST_DISTINCT = 4
 RUNGS = (1, 2)  # how many successive seeds make a key; each key has a leader of its own
@@ -57,59 +60,132 @@ GAP_COST = 0.05
 REACH = 64  # words that an alignment looks ahead at a time
 MARGINS = (112, 1000, None)  # words beyond the outermost matches; where they end too early, more are taken, at last whole texts
 MATCH, MISMATCH, GAP = 1, -1, -1
+TOGETHER = 256  # alignments ahead that are done at once
+_FILLERS = (1 << 40, 1 << 41)  # no words, as those have 32 bits
+
+Ask = tuple[np.ndarray, np.ndarray, bool]  # words of both sides, REACH of each at most; whether all of them are aligned
+Answer = tuple[int, int, int, int]
+type Job[Result] = Generator[list[Ask], list[Answer], Result]
 
 
 def word_numbers(text: str) -> np.ndarray:
     """A 64-bit hash of each word, lower-cased and without ASCII punctuation."""
-    words = text.lower().encode().translate(_TABLE).split()
-    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), dtype=np.uint64)
+    return numbers_of_all([text])[0]
+
+
+def numbers_of_all(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ``word_numbers`` of all texts in a row, and where each text begins and the last one ends."""
+    plain = [b" ", *(text.lower().encode().translate(_TABLE) for text in some)]
+    data = np.frombuffer(b" ".join(plain) + b" " * 8, dtype=np.uint8)
+    turns = np.flatnonzero(np.diff(data != ord(" "))) + 1
+    begins, sizes = turns[::2], turns[1::2] - turns[::2]
+    edges = np.searchsorted(begins, np.cumsum([len(p) + 1 for p in plain]))
+    return _xxh64(data, begins, sizes), edges
+
+
+def _xxh64(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of ``xxhash.xxh64_digest`` of each word, words of one size at once; 8 bytes follow the last word."""
+    out = np.empty(len(begins), dtype=np.uint64)
+    one, two, three, four, five = (np.uint64(p) for p in _XXH64)
+    # the 8 or 4 bytes that begin at each byte
+    eights, fours = (np.ndarray(len(data) - 7, dtype=t, buffer=data, strides=(1,)) for t in ("<u8", "<u4"))
+
+    def turned(hashes: np.ndarray, bits: int) -> np.ndarray:
+        return hashes << np.uint64(bits) | hashes >> np.uint64(64 - bits)
+
+    order = np.argsort(np.minimum(sizes, 32).astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(np.minimum(sizes, 32), minlength=33))
+    for size in range(1, 32):
+        rows = order[ends[size - 1] : ends[size]]
+        if not len(rows):
+            continue
+        at, left = begins[rows], size
+        hashes = np.full(len(rows), five + np.uint64(size))
+        while left >= 8:
+            hashes = turned(hashes ^ turned(eights[at] * two, 31) * one, 27) * one + four
+            at, left = at + 8, left - 8
+        if left >= 4:
+            hashes = turned(hashes ^ fours[at].astype(np.uint64) * one, 23) * two + three
+            at, left = at + 4, left - 4
+        for i in range(left):
+            hashes = turned(hashes ^ data[at + i].astype(np.uint64) * five, 11) * one
+        hashes = (hashes ^ hashes >> np.uint64(33)) * two
+        hashes = (hashes ^ hashes >> np.uint64(29)) * three
+        out[rows] = hashes ^ hashes >> np.uint64(32)
+    out.byteswap(inplace=True)  # a digest begins with the highest byte
+    for row in order[ends[31] :].tolist():
+        word = data[begins[row] : begins[row] + sizes[row]].tobytes()
+        out[row] = np.frombuffer(xxhash.xxh64_digest(word), dtype=np.uint64)[0]
+    return out
 
 
 def seeds_of(numbers: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and places of the chosen runs of k words."""
+    seeds, places, _ = seeds_of_all(numbers, np.array([0, len(numbers)]), k, window)
+    return seeds, places
+
+
+def seeds_of_all(words: np.ndarray, edges: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and places of the chosen runs of k words of each text, and the text's number."""
+    sizes = np.diff(edges)
+    # all texts in a row, so far from one another that no window meets two of them
+    begins = np.cumsum(sizes + window) - sizes - window
+    numbers = np.zeros(int((sizes + window).sum()) + window + k, dtype=np.uint64)
+    numbers[np.arange(len(words)) + np.repeat(begins - edges[:-1], sizes)] = words
     count = len(numbers) - k + 1
-    if count < 1:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     runs = np.zeros(count, dtype=np.uint64)
     for i in range(k):
         runs = (runs ^ (runs >> np.uint64(31)) ^ numbers[i : i + count]) * _ODD
     runs ^= runs >> np.uint64(32)
-    # runs that repeat few words over and over are no seeds
-    again = np.zeros(count, dtype=np.int64)
+    # runs that repeat few words over and over are no seeds, nor are those that leave their text
+    apart = [numbers[: len(numbers) - d] == numbers[d:] for d in range(1, k)]
+    again = np.zeros(count, dtype=np.int8)
     for i in range(1, k):
-        again += np.any([numbers[i : i + count] == numbers[j : j + count] for j in range(i)], axis=0)
-    plain = k - again >= min(k, LEAST_DISTINCT)
+        again += np.logical_or.reduce([apart[i - j - 1][j : j + count] for j in range(i)])
+    held = np.maximum(sizes - k + 1, 0)
+    plain = _marked(count, begins, held) & (k - again >= min(k, LEAST_DISTINCT))
     runs[~plain] = np.iinfo(np.uint64).max
-    width = min(window, count)
     least, span = runs, 1
-    while span < width:  # the least of a window by doubling
-        step = min(span, width - span)
+    while span < window:  # the least of a window by doubling
+        step = min(span, window - span)
         least = np.minimum(least[: len(least) - step], least[step:])
         span += step
+    # windows within a text, or the only one of a shorter text
+    least = np.where(_marked(len(least), begins, np.where(held > 0, np.maximum(held - window + 1, 1), 0)), least, np.uint64(0))
     # the runs that are the least of some window, each once
-    low = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
-    edge = np.concatenate([np.zeros(width - 1, dtype=np.uint64), least, np.zeros(width - 1, dtype=np.uint64)])
-    low, span = edge, 1
-    while span < width:
-        step = min(span, width - span)
+    low, span = np.concatenate([np.zeros(window - 1, dtype=np.uint64), least, np.zeros(window - 1, dtype=np.uint64)]), 1
+    while span < window:
+        step = min(span, window - span)
         low = np.maximum(low[: len(low) - step], low[step:])
         span += step
-    places = np.flatnonzero((runs == low[:count]) & plain)
-    return runs[places], places
+    spots = np.flatnonzero((runs == low[:count]) & plain)
+    rows = np.searchsorted(begins, spots, side="right") - 1
+    return runs[spots], spots - begins[rows] if len(spots) else spots, rows
 
 
-def keys_of(seeds: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The seeds and the runs of successive seeds as keys, the place at which each begins, and
-    of how many seeds it is."""
-    keys, at = [seeds], [places]
+def _marked(size: int, begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """True at ``counts`` places from each of ``begins``."""
+    edges = np.zeros(size + 1, dtype=np.int8)
+    some = counts > 0
+    edges[begins[some]] = 1
+    edges[(begins + counts)[some]] = -1
+    return edges[:size].cumsum(dtype=np.int8).view(bool)
+
+
+def keys_of(seeds: np.ndarray, places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The seeds and the runs of successive seeds of a text as keys, the place at which each begins,
+    the text's number, and of how many seeds it is."""
+    keys, at, of = [seeds], [places], [rows]
     for size in RUNGS[1:]:
         count = max(0, len(seeds) - size + 1)
         run = np.full(count, size, dtype=np.uint64)
         for i in range(size):
             run = (run ^ (run >> np.uint64(31)) ^ seeds[i : i + count]) * _ODD
-        keys.append(run ^ (run >> np.uint64(32)))
-        at.append(places[:count])
-    return np.concatenate(keys), np.concatenate(at), np.repeat(RUNGS, [len(k) for k in keys])
+        one = rows[:count] == rows[size - 1 :]
+        keys.append((run ^ (run >> np.uint64(32)))[one])
+        at.append(places[:count][one])
+        of.append(rows[:count][one])
+    return np.concatenate(keys), np.concatenate(at), np.concatenate(of), np.repeat(RUNGS, [len(k) for k in keys])
 
 
 def _seed_rows(docs: DataFrame, kind: str, k: int, window: int, only=None) -> DataFrame:
@@ -118,22 +194,17 @@ def _seed_rows(docs: DataFrame, kind: str, k: int, window: int, only=None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                seeds, places, rungs, rows = [], [], [], []
-                for row, text in enumerate(texts(batch, "text")):
-                    own, at, rung = keys_of(*seeds_of(word_numbers(text), k, window))
-                    if only is not None and len(own):
-                        may = bitfilter.has(only.value, own)
-                        own, at, rung = own[may], at[may], rung[may]
-                    seeds.append(own)
-                    places.append(at)
-                    rungs.append(rung)
-                    rows.append(np.full(len(own), row))
+                found = keys_of(*seeds_of_all(*numbers_of_all(texts(batch, "text")), k, window))
+                if only is not None and len(found[0]):
+                    may = bitfilter.has(only.value, found[0])
+                    found = tuple(column[may] for column in found)
+                seeds, places, rows, rungs = found
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(seeds).view(np.int64)),
-                        batch.column("id").take(pa.array(np.concatenate(rows))),
-                        pa.array(np.concatenate(places).astype(np.int32)),
-                        pa.array(np.concatenate(rungs).astype(np.int8)),
+                        pa.array(seeds.view(np.int64)),
+                        batch.column("id").take(pa.array(rows)),
+                        pa.array(places.astype(np.int32)),
+                        pa.array(rungs.astype(np.int8)),
                     ],
                     ["seed", "id", "place", "rung"],
                 )
@@ -184,46 +255,61 @@ def _chains(matches: DataFrame, kind: str, k: int) -> DataFrame:
     """One row per document and leader: the places of the matches of each chain in both."""
     lists = pa.list_(pa.list_(pa.int32()))
 
+    def chained(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        # all rows of some documents and leaders
+        if not rows.num_rows:
+            return
+        starts = _turns(rows)
+        x, y = (rows[c].to_numpy() for c in ("x", "y"))
+        # runs that begin with the same seed may have the same leader
+        fresh = np.ones(len(x), dtype=bool)
+        fresh[1:] = (np.diff(x) != 0) | (np.diff(y) != 0)
+        fresh[starts] = True
+        x, y = x[fresh], y[fresh]
+        ends = np.cumsum(fresh)[np.append(starts[1:], len(fresh)) - 1]
+        begins = np.append(0, ends[:-1])
+        # steps by which a match surely extends the chain of the one before it
+        near = np.ones(len(x), dtype=bool)
+        near[1:] = (np.diff(x) > 0) & (np.diff(y) > 0) & (GAP_COST * (np.diff(x) + np.diff(y)) < 0.99 * k)
+        near[begins] = True
+        single = np.logical_and.reduceat(near, begins)
+        x, y, out = x.tolist(), y.tolist(), ([], [])
+        for begin, end, one in zip(begins.tolist(), ends.tolist(), single.tolist(), strict=True):
+            xs, ys = x[begin:end], y[begin:end]
+            links = [] if one else chain(xs, ys, k)
+            for places, side in zip((xs, ys), out, strict=True):
+                side.append([places] if one else [[places[i] for i in c] for c in links])
+        heads = rows.select(["id", "leader"]).take(pa.array(starts))
+        done = pa.table([heads["id"], heads["leader"], *(pa.array(side, lists) for side in out)], ["id", "leader", "xs", "ys"])
+        yield from done.combine_chunks().to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted by id and leader; a group is part of one document
-        key, xs, ys = None, [], []
-
-        def done() -> pa.RecordBatch:
-            links = chain(xs, ys, k)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([key[0]], id_type), pa.array([key[1]], id_type),
-                    pa.array([[[xs[i] for i in c] for c in links]], lists),
-                    pa.array([[[ys[i] for i in c] for c in links]], lists),
-                ],
-                ["id", "leader", "xs", "ys"],
-            )
-
-        out: list[pa.RecordBatch] = []
+        # rows come sorted by id and leader; a group is part of one document, and may go on in the next batch
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            id_type = batch.schema.field("id").type
-            columns = [batch.column(c).to_pylist() for c in ("id", "leader", "x", "y")]
-            for a, b, x, y in zip(*columns, strict=True):
-                if (a, b) != key:
-                    if key is not None:
-                        out.append(done())
-                    key, xs, ys = (a, b), [], []
-                # runs that begin with the same seed may have the same leader
-                if not xs or (x, y) != (xs[-1], ys[-1]):
-                    xs.append(x)
-                    ys.append(y)
-            if len(out) > 1000:
-                yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-                out = []
-        if key is not None:
-            out.append(done())
-        if out:
-            yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-
-    sorted_rows = matches.repartition("id").sortWithinPartitions("id", "leader", "x", "y")
+            if not batch.num_rows:
+                continue
+            edge = _turns(pa.Table.from_batches([*(b.slice(b.num_rows - 1) for b in held[-1:]), batch]))[-1] - len(held[-1:])
+            if edge < 0:  # all of it goes on with what is held
+                held.append(batch)
+                continue
+            yield from chained(pa.Table.from_batches([*held, batch.slice(0, edge)]))
+            held = [batch.slice(edge)]
+        if held:
+            yield from chained(pa.Table.from_batches(held))
+
+    sorted_rows = matches.select("id", "leader", "x", "y").repartition("id").sortWithinPartitions("id", "leader", "x", "y")
     return sorted_rows.mapInArrow(run, f"id {kind}, leader {kind}, xs array<array<int>>, ys array<array<int>>")
 
 
+def _turns(rows: pa.Table) -> np.ndarray:
+    """Where another document or leader begins, the first row included."""
+    rows = rows.select(["id", "leader"]).combine_chunks()
+    one, two = rows.slice(0, rows.num_rows - 1), rows.slice(1)
+    other = pc.or_(*(pc.not_equal(one[c], two[c]) for c in ("id", "leader")))
+    return np.append(0, np.flatnonzero(other.to_numpy()) + 1)
+
+
 # -- alignment ----------------------------------------------------------------------
 
 
@@ -233,14 +319,20 @@ _MATCHED = _UNIT - 1
 
 
 def _rows(a: np.ndarray, b: np.ndarray) -> Iterator[np.ndarray]:
-    """Global alignments of each prefix of a, from none to all, with all prefixes of b."""
-    slope = -GAP * _UNIT * np.arange(len(b) + 1)
-    row = -slope
+    """Global alignments of each prefix of a, from none to all, with all prefixes of b.
+
+    With two dimensions each row of a is aligned with the same row of b.
+    """
+    slope = -GAP * _UNIT * np.arange(b.shape[-1] + 1)
+    row = np.zeros((*b.shape[:-1], 1), dtype=np.int64) - slope
     yield row
-    for word in a:
+    for word in np.moveaxis(a, -1, 0):
         above, row = row, row + GAP * _UNIT
-        row[1:] = np.maximum(row[1:], above[:-1] + np.where(b == word, MATCH * _UNIT + 1, MISMATCH * _UNIT))
-        row = np.maximum.accumulate(row + slope) - slope
+        step = np.where(b == word[..., None], MATCH * _UNIT + 1, MISMATCH * _UNIT)
+        row[..., 1:] = np.maximum(row[..., 1:], above[..., :-1] + step)
+        row += slope
+        np.maximum.accumulate(row, axis=-1, out=row)
+        row -= slope
         yield row
 
 
@@ -253,30 +345,93 @@ def align_whole(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return int(row[-1] >> 32), int(row[-1] & _MATCHED)
 
 
-def _may_gain(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether any alignment of prefixes could score above zero.
+def _may_gain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether any alignment of prefixes could score above zero; for each row if there are many.
 
     One of prefixes of at most n words has n columns at least, so it needs more than n / 2
     matches, and no more words of a than have an equal one among n words of b can match.
     """
-    same = a[:, None] == b[None, :]
-    first = np.where(same.any(axis=1), same.argmax(axis=1), REACH)
-    known = np.bincount(np.maximum(first, np.arange(len(a))), minlength=REACH + 1)[:REACH].cumsum()
-    return bool((2 * known > np.arange(1, REACH + 1)).any())
+    same = a[..., :, None] == b[..., None, :]
+    first = np.where(same.any(axis=-1), same.argmax(axis=-1), REACH)
+    # the words of a that have an equal one among as many words of b, for each number of them
+    within = np.maximum(first, np.arange(a.shape[-1])).reshape(-1, a.shape[-1])
+    spot = within + (REACH + 1) * np.arange(len(within))[:, None]
+    known = np.bincount(spot.ravel(), minlength=(REACH + 1) * len(within)).reshape(-1, REACH + 1)[:, :REACH].cumsum(axis=1)
+    return (2 * known > np.arange(1, REACH + 1)).any(axis=1).reshape(a.shape[:-1])
+
+
+def _padded(parts: Sequence[np.ndarray], width: int, filler: int) -> np.ndarray:
+    out = np.full((len(parts), width), filler, dtype=np.int64)
+    for row, part in zip(out, parts, strict=True):
+        row[: len(part)] = part
+    return out
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Words at the start that are equal one by one."""
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    return int(differ[0]) if len(differ) else n
+def _answers(asks: list[Ask]) -> list[Answer]:
+    """Of each ask the prefixes of both sides that align best, none if no score is above zero, or
+    the whole sides; the score and the matches of their alignment.
 
+    Many are aligned at once; the fillers behind shorter sides equal no word.
+    """
+    out = [(0, 0, 0, 0)] * len(asks)
+    sizes = [0 if not whole else max(len(part), len(other)) for part, other, whole in asks]
+    order = sorted(range(len(asks)), key=sizes.__getitem__)  # those ahead, then whole sides by size
+    begins = sizes.count(0)
+    for start in (*range(0, begins, TOGETHER), *range(begins, len(order), TOGETHER)):
+        some = order[start : min(start + TOGETHER, begins if start < begins else len(order))]
+        width = sizes[some[-1]] or REACH
+        a, b = (_padded([asks[n][side] for n in some], width, filler) for side, filler in enumerate(_FILLERS))
+        if start < begins:
+            may = np.flatnonzero(_may_gain(a, b))
+            some, a, b = [some[r] for r in may], a[may], b[may]
+        if not some:
+            continue
+        table = np.stack(list(_rows(a, b)), axis=1).reshape(len(some), -1)
+        if start < begins:
+            # beyond the end of a side a step only costs, so that the first best place never lies there
+            best = (table >> 32).argmax(axis=1)
+        else:
+            best = np.array([len(asks[n][0]) * (width + 1) + len(asks[n][1]) for n in some])
+        value = table[np.arange(len(some)), best]
+        for n, at, v in zip(some, best.tolist(), value.tolist(), strict=True):
+            if sizes[n] or v >> 32 > 0:
+                out[n] = (*divmod(at, width + 1), v >> 32, v & int(_MATCHED))
+    return out
 
-def extend(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
-    """How far a and b can be aligned from their starts: words of a, of b, and matches.
 
-    The last entry is the furthest; those before it are where stretches of equal words end.
-    """
+def together(jobs: Sequence[Job[Any]]) -> list[Any]:
+    """The results of jobs that ask for alignments; what all of them ask for by then is aligned at once."""
+    results: list[Any] = [None] * len(jobs)
+    answers: list[tuple[int, Any]] = [(n, None) for n in range(len(jobs))]
+    while answers:
+        waiting, asks = [], []
+        for n, answer in answers:
+            try:
+                own = jobs[n].send(answer)
+            except StopIteration as end:
+                results[n] = end.value
+                continue
+            waiting.append((n, len(asks), len(asks) + len(own)))
+            asks += own
+        given = _answers(asks)
+        answers = [(n, given[start:end]) for n, start, end in waiting]
+    return results
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """Words at the start that are equal one by one."""
+    n, start, size = min(len(a), len(b)), 0, 4 * REACH
+    while start < n:
+        differ = a[start : min(n, start + size)] != b[start : min(n, start + size)]
+        first = int(differ.argmax())
+        if differ[first]:
+            return start + first
+        start, size = start + size, 2 * size
+    return n
+
+
+def _extend(a: np.ndarray, b: np.ndarray) -> Job[list[tuple[int, int, int]]]:
+    """``extend`` as a job for ``together``."""
     x = y = matched = 0
     ends = []
     while True:
@@ -284,19 +439,39 @@ def extend(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
         x, y, matched = x + run, y + run, matched + run
         ends.append((x, y, matched))
         part, other = a[x : x + REACH], b[y : y + REACH]
-        if not len(part) or not len(other) or not _may_gain(part, other):
+        if not len(part) or not len(other):
             return ends
-        table = np.stack(list(_rows(part, other)))
-        i, j = divmod(int((table >> 32).argmax()), table.shape[1])
-        if table[i, j] >> 32 <= 0:
+        [(i, j, _, more)] = yield [(part, other, False)]
+        if not i and not j:
             return ends
-        x, y, matched = x + i, y + j, matched + int(table[i, j] & _MATCHED)
+        x, y, matched = x + i, y + j, matched + more
 
 
-def gaps_of(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> list[tuple[int, int]]:
+def extend(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+    """How far a and b can be aligned from their starts: words of a, of b, and matches.
+
+    The last entry is the furthest; those before it are where stretches of equal words end.
+    """
+    return together([_extend(a, b)])[0]
+
+
+def gaps_of(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> Job[list[tuple[int, int]]]:
     """For each step of a chain the score of what differs in it, and its matched words."""
-    out = []
-    for x, y, x2, y2 in zip(xs, ys, xs[1:], ys[1:]):
+    if len(xs) < 2:
+        return []
+    out, asks, asked = [], [], []
+    x_at, y_at = np.array(xs), np.array(ys)
+    equal = np.zeros(len(xs) - 1, dtype=bool)
+    # stretches of a chain in which the places in both rise alike; most steps are word by word equal
+    turns = [0, *(np.flatnonzero(np.diff(x_at - y_at)) + 1).tolist(), len(xs)]
+    for first, end in zip(turns, turns[1:]):
+        if end - first > 1:
+            same = a[xs[first] : xs[end - 1]] == b[ys[first] : ys[end - 1]]
+            equal[first : end - 1] = np.logical_and.reduceat(same, x_at[first : end - 1] - xs[first])
+    for n, (x, y, x2, y2) in enumerate(zip(xs, ys, xs[1:], ys[1:])):
+        if equal[n]:
+            out.append((0, x2 - x))
+            continue
         part, other = a[x:x2], b[y:y2]
         run = _common(part, other)
         part, other = part[run:], other[run:]
@@ -304,21 +479,28 @@ def gaps_of(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int]) -> list[
         part, other = part[: len(part) - tail], other[: len(other) - tail]
         score, matched = GAP * max(len(part), len(other)), run + tail
         if len(part) and len(other):
-            score, inner = align_whole(part, other)
-            matched += inner
+            if max(len(part), len(other)) > REACH:
+                score, inner = align_whole(part, other)
+                matched += inner
+            else:
+                asks.append((part, other, True))
+                asked.append(n)
         out.append((score, matched))
+    if asks:
+        for n, (_, _, score, inner) in zip(asked, (yield asks), strict=True):
+            out[n] = score, out[n][1] + inner
     return out
 
 
 def passages_of(
     a: np.ndarray, b: np.ndarray, xs: list[list[int]], ys: list[list[int]], least_words: int, least_share: float,
     more: tuple[bool, bool, bool, bool] = (False,) * 4,
-) -> list[tuple[int, int, int, int, int]] | None:
+) -> Job[list[tuple[int, int, int, int, int]] | None]:
     """Aligned chains, or parts of them, that are long and alike enough; none lies in another one of ``a``.
 
     A chain that isn't alike enough as a whole is cut at its worst step, and so are its parts.
     ``more`` says whether the texts go on before a, after a, before b, after b; None if an
-    alignment came so near to such an end that more words could change it.
+    alignment came so near to such an end that more words could change it.  A job for ``together``.
     """
     out: list[tuple[int, int, int, int, int]] = []
     for x, y in sorted(zip(xs, ys, strict=True), key=lambda c: -len(c[0])):
@@ -330,11 +512,11 @@ def passages_of(
             p, q = parts.pop()
             if any(start <= x[p] and x[q - 1] < end for start, end, *_ in out):
                 continue
-            gaps = gaps_of(a, b, x, y) if gaps is None else gaps
+            gaps = (yield from gaps_of(a, b, x, y)) if gaps is None else gaps
             if p not in back:
-                back[p] = extend(a[: x[p]][::-1], b[: y[p]][::-1])
+                back[p] = yield from _extend(a[: x[p]][::-1], b[: y[p]][::-1])
             if q not in on:
-                on[q] = extend(a[x[q - 1] :], b[y[q - 1] :])
+                on[q] = yield from _extend(a[x[q - 1] :], b[y[q - 1] :])
             start, start2 = x[p] - back[p][-1][0], y[p] - back[p][-1][1]
             end, end2 = x[q - 1] + on[q][-1][0], y[q - 1] + on[q][-1][1]
             near = (start < REACH, end > len(a) - REACH, start2 < REACH, end2 > len(b) - REACH)
@@ -367,8 +549,10 @@ def _words(docs: DataFrame, kind: str, wanted: Broadcast) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 own = batch.filter(pa.array(bitfilter.has(wanted.value, batch.column("hash").to_numpy())))
-                words = [(word_numbers(t) >> np.uint64(32)).astype(np.uint32).view(np.int32) for t in texts(own, "text")]
-                yield pa.RecordBatch.from_arrays([own.column("id"), pa.array(words, pa.list_(pa.int32()))], ["id", "words"])
+                numbers, edges = numbers_of_all(texts(own, "text"))
+                words = (numbers >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(words))
+                yield pa.RecordBatch.from_arrays([own.column("id"), lists], ["id", "words"])
 
     return docs.withColumn("hash", F.xxhash64("id")).mapInArrow(run, f"id {kind}, words array<int>")
 
@@ -390,16 +574,16 @@ def _align(rows: DataFrame, kind: str, id_col: str, least_words: int, least_shar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, kept = [], []
-            own, other, own_from, other_from, own_size, other_size = (
-                batch.column(c) for c in ("own", "other", "own_from", "other_from", "own_size", "other_size")
-            )
-            places = [batch.column(c).to_pylist() for c in ("xs", "ys")]
-            for row, (xs, ys) in enumerate(zip(*places, strict=True)):
-                a, b = own[row].values.to_numpy(), other[row].values.to_numpy()
-                x0, y0 = own_from[row].as_py(), other_from[row].as_py()
-                more = (x0 > 0, x0 + len(a) < own_size[row].as_py(), y0 > 0, y0 + len(b) < other_size[row].as_py())
+            sides = [(c.values.to_numpy(), c.offsets.tolist()) for c in (batch.column("own"), batch.column("other"))]
+            numbers = [batch.column(c).to_pylist() for c in ("xs", "ys", "own_from", "other_from", "own_size", "other_size")]
+            jobs, froms = [], []
+            for row, (xs, ys, x0, y0, own_size, other_size) in enumerate(zip(*numbers, strict=True)):
+                a, b = (values[offsets[row] : offsets[row + 1]] for values, offsets in sides)
+                more = (x0 > 0, x0 + len(a) < own_size, y0 > 0, y0 + len(b) < other_size)
                 xs, ys = [[x - x0 for x in c] for c in xs], [[y - y0 for y in c] for c in ys]
-                passages = passages_of(a, b, xs, ys, least_words, least_share, more)
+                jobs.append(passages_of(a, b, xs, ys, least_words, least_share, more))
+                froms.append((x0, y0))
+            for row, (passages, (x0, y0)) in enumerate(zip(together(jobs), froms, strict=True)):
                 if passages is None:
                     kept.append(row)
                     found.append((None,) * 5)
@@ -445,7 +629,8 @@ def _neighbours(rows: DataFrame, words: DataFrame, kind: str, k: int, forward: b
     after = F.slice("words", F.col("place") + k + 1, CONTEXT)
     size = F.least(F.col("place"), F.lit(CONTEXT))
     context = after if forward else F.reverse(F.slice("words", F.col("place") - size + 1, size))
-    placed = rows.join(words, "id").select("seed", context.alias("context"), "id", "place")
+    # written, as the ranges are found by a pass of their own
+    placed = stage_alone(rows.join(words, "id").select("seed", context.alias("context"), "id", "place"), "placed")
     # a seed that very many documents hold spreads over partitions, as contexts and ids differ
     ordered = placed.repartitionByRange("seed", "context", "id").sortWithinPartitions("seed", "context", "id", "place")
 
@@ -478,7 +663,9 @@ def _neighbours(rows: DataFrame, words: DataFrame, kind: str, k: int, forward: b
     ]
     pairs = found.where("edge IS NULL").drop("edge")
     if across:
-        pairs = pairs.unionByName(found.sparkSession.createDataFrame(across, pairs.schema))
+        columns = zip(*across, strict=True)
+        rows = pa.table([pa.array(c, f.type) for c, f in zip(columns, to_arrow_schema(pairs.schema), strict=True)], pairs.columns)
+        pairs = pairs.unionByName(found.sparkSession.createDataFrame(rows, pairs.schema))
     later = F.col("id") > F.col("other")
     return pairs.select(
         F.greatest("id", "other").alias("id"),
@@ -530,15 +717,18 @@ def _passages(
     matches: DataFrame, words: DataFrame, kind: str, id_col: str, k: int, least_words: int, least_share: float
 ) -> DataFrame:
     """Chains of matches, aligned; written."""
-    chains, out = stage_alone(_chains(matches, kind, k), "chains"), None
+    chains, own, out = stage_alone(_chains(matches, kind, k), "chains"), words, None
     for margin in MARGINS:
-        tried = stage_alone(_aligned(chains, words, kind, id_col, k, margin, least_words, least_share), "tried")
+        tried = stage_alone(_aligned(chains, own, kind, id_col, k, margin, least_words, least_share), "tried")
         ended = tried.where("start_word IS NOT NULL")
         out = ended if out is None else out.unionByName(ended)
         short = tried.where("start_word IS NULL").select(F.col(id_col).alias("id"), F.col(f"match_{id_col}").alias("leader"))
         if short.isEmpty():
             break
         chains = stage_alone(chains.join(short.distinct(), ["id", "leader"], "left_semi"), "chains")
+        # few pairs as a rule: only their words are shuffled again
+        needed = chains.select("id").union(chains.select(F.col("leader").alias("id"))).distinct()
+        own = words.join(needed, "id", "left_semi")
     return out
 
 

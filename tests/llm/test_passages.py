@@ -82,6 +82,62 @@ def test_alignments_against_a_full_table():
     assert skipped > 20
 
 
+def test_many_alignments_at_once(monkeypatch):
+    """The steps of a table are taken once for all pairs that wait, with the results of each alone."""
+    r = np.random.default_rng(5)
+    pairs = []
+    for _ in range(100):
+        a = r.integers(0, 2**31, 150).astype(np.int32)
+        b = a[r.random(150) > 0.05].copy()
+        b[r.integers(0, len(b), 5)] = -1
+        at = [(i, int(np.flatnonzero(b == w)[0])) for i, w in enumerate(a[:130].tolist()) if i % 9 == 0 and (b == w).any()]
+        pairs.append((a, b, [[x for x, _ in at]], [[y for _, y in at]], 40, 0.8))
+    alone = [p.together([p.passages_of(*pair)])[0] for pair in pairs]
+    assert sum(map(bool, alone)) > 90
+    tables, rows = [], p._rows
+    monkeypatch.setattr(p, "_rows", lambda a, b: tables.append(a.shape) or rows(a, b))
+    assert p.together([p.passages_of(*pair) for pair in pairs]) == alone
+    assert len(tables) < len(pairs) / 4
+    for _ in range(200):  # gaps of all sizes, by a full table
+        a, b = r.integers(0, 4, r.integers(1, 60)), r.integers(0, 4, r.integers(1, 60))
+        i, j, score, matched = p._answers([(a, b, True)])[0]
+        assert (i, j, score, matched) == (len(a), len(b), *p.align_whole(a, b))
+
+
+def test_seeds_and_hashes_of_many_texts_at_once():
+    import xxhash
+
+    r = random.Random(16)
+    texts = ["", " . ", "a, b", *(" ".join("xyzäß"[: r.randrange(1, 6)] * r.randrange(1, 9) for _ in range(r.randrange(60))) for _ in range(200))]
+    numbers, edges = p.numbers_of_all(texts)
+    seeds, places, rows = p.seeds_of_all(numbers, edges, 5, 16)
+    for n, text in enumerate(texts):
+        own = numbers[edges[n] : edges[n + 1]]
+        words = text.lower().replace(".", " ").replace(",", " ").split()
+        assert own.tobytes() == b"".join(xxhash.xxh64_digest(w) for w in words)
+        alone = p.seeds_of(own, 5, 16)
+        assert (seeds[rows == n] == alone[0]).all() and places[rows == n].tolist() == alone[1].tolist()
+
+
+def test_chains_of_groups_that_span_batches(spark):
+    r = random.Random(17)
+    rows = [(d, l, r.randrange(300), r.randrange(300)) for d in range(3, 9) for l in range(3) for _ in range(r.randrange(1, 60))]
+    rows += [(20, 1, 5 * i, 5 * i + 2) for i in range(80)] * 2
+    matches = spark.createDataFrame(rows, "id bigint, leader bigint, x int, y int")
+    want = {}
+    for d, l in {row[:2] for row in rows}:
+        places = sorted({(x, y) for a, b, x, y in rows if (a, b) == (d, l)})
+        xs, ys = zip(*places)
+        want[d, l] = [[[side[i] for i in c] for c in p.chain(list(xs), list(ys), 5)] for side in (xs, ys)]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for records in ("7", size):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+            assert {(c.id, c.leader): [c.xs, c.ys] for c in p._chains(matches, "bigint", 5).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
 def test_alignment_of_any_size():
     a = np.arange(6000)
     b = np.concatenate([a[:2000], a[2100:]])
